@@ -1,0 +1 @@
+"""Batch jobs that chain operators."""
