@@ -26,10 +26,11 @@ from pyspark.sql import functions as F
 
 from .common import dealt, groups, materialise
 
-BOOKS, WORDS, BEAM = 8, 256, 8
+BOOKS, WORDS, BEAM = 16, 256, 8
 #: Bound of the sample that codebooks are learned on.
-MAX_TRAIN = 20_000
-SHORTLIST = 128  # codes kept by a block of codes for a query, before the exact reranking
+MAX_TRAIN = 12_000
+#: Codes that a block keeps for a query; and of all blocks, those reranked exactly: so many or this share of the index.
+SHORTLIST, RERANKED, RERANKED_SHARE = 256, 512, 0.01
 CODE_BLOCK, QUERY_BLOCK = 8192, 512
 
 
@@ -81,7 +82,8 @@ def learn(x: np.ndarray, seed: int = 3, rounds: int = 6) -> np.ndarray:
         gram = np.zeros((BOOKS * WORDS, BOOKS * WORDS), np.float32)
         for a in range(BOOKS):
             for b in range(BOOKS):
-                np.add.at(gram, (flat[:, a], flat[:, b]), 1)
+                pair = np.bincount(codes[:, a] * WORDS + codes[:, b], minlength=WORDS * WORDS)
+                gram[a * WORDS : (a + 1) * WORDS, b * WORDS : (b + 1) * WORDS] = pair.reshape(WORDS, WORDS)
         right = np.zeros((BOOKS * WORDS, x.shape[1]), np.float32)
         for a in range(BOOKS):
             np.add.at(right, flat[:, a], x)
@@ -187,7 +189,7 @@ def _search_index(index: DataFrame, n: int, queries: DataFrame, books: np.ndarra
 
     near = dealt(rows, ["asked", "block"], "kind", "id").mapInArrow(scan, "query_id long, node long, near double")
     best = Window.partitionBy("query_id").orderBy(F.desc("near"), "node")
-    short = near.withColumn("place", F.row_number().over(best)).where(F.col("place") <= SHORTLIST).select("query_id", "node")
+    short = near.withColumn("place", F.row_number().over(best)).where(F.col("place") <= max(RERANKED, int(RERANKED_SHARE * n))).select("query_id", "node")
     full = short.join(index.select("node", "ids", F.col("vector").alias("found")), "node").join(asked.select("query_id", "vector"), "query_id")
 
     def rerank(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
