@@ -9,8 +9,11 @@ part. Documents are therefore first dealt into cells, in which every linked pair
 one fixed order, rare groups first, two sets that are similar enough share a shingle among the first
 n - ceil(0.8 n) + 1 of each. Each cell gets a small R-tree of its own. A cell of many documents is dealt
 into pairs of parts, so none outgrows a task. Documents with equal sets stand in for one another from the
-start, and within a cell a pair that is connected already is not verified again, so that large groups of
-copies cost no quadratic number of rows.
+start. The cells are read three times. First each document gets the smallest partner that the bound leaves
+it, one pair for each document, and these pairs are verified; what they connect becomes one component. Then
+the cells are read for pairs that the bound leaves between different components. Only documents of such pairs
+meet once more, with their texts, and there every pair between different components is verified. So a large
+group of copies costs no quadratic number of rows, and no link between components is lost.
 
 Nulls: a null or empty text, or one without words, has the empty set and links with nothing; rows with a
 null doc_id are returned with a null component. Rows that share a doc_id count as linked. A text of fewer
@@ -29,7 +32,7 @@ from pyspark.sql import functions as F
 from .common import components, dealt, groups, materialise, mix, shingle_sets, slices, text_bytes
 
 WIDTH, SIMILARITY = 5, 80  # words of a shingle; per cent
-GROUPS = 64  # coordinates of a point
+GROUPS = 256  # coordinates of a point
 PAGE = 32  # points of a leaf, and children of a node
 CELL = 1500  # documents of a cell, above which it is dealt into parts
 LEVEL_BITS = 20  # groups of the table of frequencies: 1 MB, whatever the input
@@ -59,7 +62,7 @@ def frequent_groups(docs: DataFrame, text: str) -> np.ndarray:
 
 
 def sketches(docs: DataFrame, level: np.ndarray, doc_id: str, text: str) -> DataFrame:
-    """doc_id, n_shingles, fingerprint of the set (16 bytes) and the prefix: the shingles that make its cells."""
+    """doc_id, n_shingles, fingerprint of the set (16 bytes), its point and the prefix: the shingles that make its cells."""
     shipped = docs.sparkSession.sparkContext.broadcast(level)  # 1 MB
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -77,39 +80,38 @@ def sketches(docs: DataFrame, level: np.ndarray, doc_id: str, text: str) -> Data
             for a, b in zip(at[:-1], at[1:], strict=True):
                 keep = b - a - -(-SIMILARITY * (b - a) // 100) + 1 if b > a else 0
                 prefix.append(found[a:b][np.argpartition(order[a:b], keep - 1)[:keep]] if keep < b - a else found[a:b])
+            points = [np.bincount(g, minlength=GROUPS) for g in np.split((mix(found) & _U(GROUPS - 1)).astype(np.int64), at[1:-1])]
+            points = [x.astype(np.uint8 if x.max(initial=0) < 256 else np.int32).tobytes() for x in points]
             sizes = np.concatenate([[0], np.cumsum([len(x) for x in prefix])]).astype(np.int32)
             flat = np.concatenate(prefix).view(np.int64) if prefix else np.zeros(0, np.int64)
             yield pa.RecordBatch.from_arrays(
-                [part.column(0), pa.array(n.astype(np.int64)), pa.array([x.tobytes() for x in prints], pa.binary()), pa.ListArray.from_arrays(pa.array(sizes), pa.array(flat))],
-                ["doc_id", "n_shingles", "print", "prefix"],
+                [part.column(0), pa.array(n.astype(np.int64)), pa.array([x.tobytes() for x in prints], pa.binary()), pa.array(points, pa.binary()), pa.ListArray.from_arrays(pa.array(sizes), pa.array(flat))],
+                ["doc_id", "n_shingles", "print", "point", "prefix"],
             )
 
-    return docs.select(F.col(doc_id).cast("long").alias("doc_id"), F.col(text).alias(text)).mapInArrow(run, "doc_id long, n_shingles long, print binary, prefix array<long>")
+    return docs.select(F.col(doc_id).cast("long").alias("doc_id"), F.col(text).alias(text)).mapInArrow(run, "doc_id long, n_shingles long, print binary, point binary, prefix array<long>")
 
 
-def sets_of(docs: DataFrame, doc_id: str, text: str) -> DataFrame:
-    """doc_id and its sorted set of shingles as bytes."""
+def point_of(raw: bytes) -> np.ndarray:
+    return np.frombuffer(raw, np.uint8 if len(raw) == GROUPS else np.int32).astype(np.int32)
 
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for part in slices(batches, text):
-            found, at = shingle_sets(*text_bytes(part.column(1)), WIDTH)
-            raw = found.tobytes()
-            yield pa.RecordBatch.from_arrays([part.column(0), pa.array([raw[8 * a : 8 * b] for a, b in zip(at[:-1], at[1:], strict=True)], pa.binary())], ["doc_id", "shingles"])
 
-    return docs.select(F.col(doc_id).cast("long").alias("doc_id"), F.col(text).alias(text)).mapInArrow(run, "doc_id long, shingles binary")
+def similar(s: np.ndarray, t: np.ndarray) -> bool:
+    """Whether two sorted sets reach the similarity."""
+    if len(s) > len(t):
+        s, t = t, s
+    if not len(s) or 100 * len(s) < SIMILARITY * len(t):
+        return False
+    both = int((t[np.minimum(np.searchsorted(t, s), len(t) - 1)] == s).sum())
+    return 100 * both >= SIMILARITY * (len(s) + len(t) - both)
 
 
 class RTree:
     """Points packed into pages of neighbours by size, page corners packed into nodes, and so on up."""
 
-    def __init__(self, sets: list[np.ndarray]):
-        self.sets = sets
-        self.size = np.array([len(s) for s in sets], np.int64)
-        self.point = np.zeros((len(sets), GROUPS), np.int32)
-        for k, s in enumerate(sets):
-            self.point[k] = np.bincount((mix(s) >> _U(58)).astype(np.int64), minlength=GROUPS)
-        self.order = np.lexsort((self.point[:, 0], self.size))
-        tops, sizes = self.point[self.order], self.size[self.order]
+    def __init__(self, points: np.ndarray, size: np.ndarray):
+        self.order = np.lexsort((points[:, 0], size)) if len(size) > 2 else np.arange(len(size))
+        tops, sizes = points[self.order], size[self.order]
         self.levels = [(tops, sizes, sizes)]  # upper corner, smallest and largest set; of points, pages, nodes
         while len(self.levels[-1][0]) > PAGE:
             tops, low, high = self.levels[-1]
@@ -119,53 +121,27 @@ class RTree:
     def near(self, level: int, a: np.ndarray, b: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
         """Of all entries a with all entries b of a level, the pairs (a <= b) that the bound doesn't part."""
         tops, low, high = self.levels[level]
-        over = np.minimum(tops[a][:, None, :], tops[b][None, :, :]).sum(axis=2)
-        # |A n B| >= s |A u B| means (1 + s) |A n B| >= s (|A| + |B|), and a ratio of sizes of s at least
-        need = SIMILARITY * (low[a][:, None] + low[b][None, :])
-        ok = ((100 + SIMILARITY) * over >= need) & (100 * high[a][:, None] >= SIMILARITY * low[b][None, :]) & (100 * high[b][None, :] >= SIMILARITY * low[a][:, None])
-        i, j = np.nonzero(ok & (a[:, None] <= b[None, :]))
-        return a[i], b[j]
-
-    def links(self) -> np.ndarray:
-        """A label for each point, equal for points that linked pairs connect."""
-        label = np.arange(len(self.sets))
+        ok = (100 * high[a][:, None] >= SIMILARITY * low[b][None, :]) & (100 * high[b][None, :] >= SIMILARITY * low[a][:, None])
+        i, j = np.nonzero(ok & (a[:, None] <= b[None, :] if level else a[:, None] < b[None, :]))
+        a, b = a[i], b[j]
+        # |A n B| >= s |A u B| means (1 + s) |A n B| >= s (|A| + |B|)
+        ok = (100 + SIMILARITY) * np.minimum(tops[a], tops[b]).sum(axis=1) >= SIMILARITY * (low[a] + low[b])
+        return a[ok], b[ok]
+
+    def pairs(self) -> Iterator[tuple[np.ndarray, np.ndarray]]:
+        """Pairs of points that survive, a leaf of the join at a time."""
         top = len(self.levels) - 1
         every = np.arange(len(self.levels[top][0]))
         stack = [(top, every, every)]
         while stack:
             level, a, b = stack.pop()
+            p, q = self.near(level, a, b)
             if level == 0:
-                self.verify(a, b, label)
+                yield self.order[p], self.order[q]
                 continue
             below = len(self.levels[level - 1][0])
-            for p, q in zip(*self.near(level, a, b), strict=True):
-                stack.append((level - 1, np.arange(p * PAGE, min((p + 1) * PAGE, below)), np.arange(q * PAGE, min((q + 1) * PAGE, below))))
-        return label
-
-    def verify(self, a: np.ndarray, b: np.ndarray, label: np.ndarray) -> None:
-        own_a, own_b = label[self.order[a]], label[self.order[b]]
-        if (own_a[0] == own_a).all() and (own_b == own_a[0]).all():
-            return
-        i, j = self.near(0, a, b)
-        i, j = self.order[i], self.order[j]
-        while len(i):
-            apart = label[i] != label[j]
-            i, j = i[apart], j[apart]
-            for k, (x, y) in enumerate(zip(i.tolist(), j.tolist(), strict=True)):
-                if label[x] == label[y]:
-                    continue
-                s, t = self.sets[x], self.sets[y]
-                if len(s) > len(t):
-                    s, t = t, s
-                at = np.minimum(np.searchsorted(t, s), len(t) - 1)
-                both = int((t[at] == s).sum())
-                if 100 * both >= SIMILARITY * (len(s) + len(t) - both):
-                    low, high = sorted((label[x], label[y]))
-                    label[label == high] = low
-                    i, j = i[k + 1 :], j[k + 1 :]
-                    break
-            else:
-                return
+            for i, j in zip(p, q, strict=True):
+                stack.append((level - 1, np.arange(i * PAGE, min((i + 1) * PAGE, below)), np.arange(j * PAGE, min((j + 1) * PAGE, below))))
 
 
 def cells(sketch: DataFrame) -> DataFrame:
@@ -180,43 +156,108 @@ def cells(sketch: DataFrame) -> DataFrame:
     return met.join(first.select("cell"), "cell", "left_semi").select("cell", "n", "doc_id")
 
 
-def local_links(met: DataFrame, sets: DataFrame) -> DataFrame:
-    """(a, b): what connects linked documents of a cell, each with the smallest of its component."""
+def in_parts(met: DataFrame) -> DataFrame:
+    """Cells of many documents dealt into pairs of parts: (cell, p, q, and the other columns)."""
     parts = F.ceil(F.col("n") / CELL)
-    own = F.pmod(F.xxhash64("doc_id", F.lit(2)), parts)
-    entries = met.withColumn("own", own).withColumn("other", F.explode(F.sequence(F.lit(0).cast("long"), (parts - 1).cast("long"))))
-    entries = entries.select("cell", "doc_id", F.least("own", "other").alias("p"), F.greatest("own", "other").alias("q"))
-    rows = dealt(entries.join(sets, "doc_id"), ["cell", "p", "q"], "doc_id")
+    own = met.withColumn("own", F.pmod(F.xxhash64("doc_id", F.lit(2)), parts)).withColumn("other", F.explode(F.sequence(F.lit(0).cast("long"), (parts - 1).cast("long"))))
+    return own.withColumn("p", F.least("own", "other")).withColumn("q", F.greatest("own", "other")).drop("n", "own", "other")
+
+
+def partners(rows: DataFrame) -> DataFrame:
+    """(doc_id, partner) of each document that the bound leaves a pair: the smallest id it meets, itself included."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        best: dict[int, int] = {}
+        for table in groups(batches, ["cell", "p", "q"]):
+            ids = table.column("doc_id").to_numpy()
+            least, met = ids.copy(), np.zeros(len(ids), bool)
+            for i, j in RTree(np.array([point_of(x) for x in table.column("point").to_pylist()]), table.column("n_shingles").to_numpy()).pairs():
+                met[i] = met[j] = True
+                np.minimum.at(least, np.where(ids[i] < ids[j], j, i), np.minimum(ids[i], ids[j]))
+            for a, b in zip(ids[met].tolist(), least[met].tolist(), strict=True):
+                best[a] = min(best.get(a, b), b)
+            if len(best) > 100_000:
+                yield pa.RecordBatch.from_arrays([pa.array(list(best), pa.int64()), pa.array(list(best.values()), pa.int64())], ["doc_id", "partner"])
+                best.clear()
+        yield pa.RecordBatch.from_arrays([pa.array(list(best), pa.int64()), pa.array(list(best.values()), pa.int64())], ["doc_id", "partner"])
+
+    found = dealt(rows, ["cell", "p", "q"], "doc_id").mapInArrow(run, "doc_id long, partner long")
+    return found.groupBy("doc_id").agg(F.min("partner").alias("partner"))
+
+
+def verified(pairs: DataFrame, texts: DataFrame) -> DataFrame:
+    """(a, b) of the pairs whose sets are similar."""
+    both = pairs.join(texts, "doc_id").select("doc_id", "partner", F.col("text").alias("own"))
+    both = both.join(texts.select(F.col("doc_id").alias("partner"), F.col("text").alias("other")), "partner").select("partner", "doc_id", "own", "other")
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for part in slices(batches, "own"):
+            (s, at), (t, to) = (shingle_sets(*text_bytes(part.column(c)), WIDTH) for c in (2, 3))
+            ok = [similar(s[at[k] : at[k + 1]], t[to[k] : to[k + 1]]) for k in range(part.num_rows)]
+            yield pa.RecordBatch.from_arrays([part.column(0).filter(pa.array(ok)), part.column(1).filter(pa.array(ok))], ["a", "b"])
+
+    return both.mapInArrow(run, "a long, b long")
+
+
+def apart(rows: DataFrame) -> DataFrame:
+    """(cell, p, q, doc_id, label) of documents that the bound leaves a pair with another component."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for table in groups(batches, ["cell", "p", "q"]):
+            label = table.column("label").to_numpy()
+            if (label == label[0]).all():
+                continue
+            out = np.zeros(len(label), bool)
+            for i, j in RTree(np.array([point_of(x) for x in table.column("point").to_pylist()]), table.column("n_shingles").to_numpy()).pairs():
+                differ = label[i] != label[j]
+                out[i[differ]] = out[j[differ]] = True
+            if out.any():
+                yield from table.select(["cell", "p", "q", "doc_id", "label"]).filter(pa.array(out)).to_batches()
+
+    return dealt(rows, ["cell", "p", "q"], "doc_id").mapInArrow(run, "cell long, p long, q long, doc_id long, label long")
+
+
+def last_links(rows: DataFrame) -> DataFrame:
+    """(a, b): links between different components, enough of them to connect what is linked in a cell."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         a, b = [], []
         for table in groups(batches, ["cell", "p", "q"]):
-            ids = table.column("doc_id").to_pylist()
-            tree = RTree([np.frombuffer(x, _U) for x in table.column("shingles").to_pylist()])
-            label = tree.links()
-            for k in np.flatnonzero(label != np.arange(len(ids))):
-                a.append(ids[label[k]])
-                b.append(ids[k])
+            ids, label = table.column("doc_id").to_pylist(), table.column("label").to_numpy().copy()
+            found, at = shingle_sets(*text_bytes(table.column("text").combine_chunks()), WIDTH)
+            sets = np.split(found, at[1:-1])
+            for i, j in RTree(np.array([point_of(x) for x in table.column("point").to_pylist()]), table.column("n_shingles").to_numpy()).pairs():
+                for x, y in zip(i[label[i] != label[j]].tolist(), j[label[i] != label[j]].tolist(), strict=True):
+                    if label[x] != label[y] and similar(sets[x], sets[y]):
+                        a.append(ids[x])
+                        b.append(ids[y])
+                        label[label == label[y]] = label[x]
             if len(a) > 10_000:
                 yield pa.RecordBatch.from_arrays([pa.array(a, pa.int64()), pa.array(b, pa.int64())], ["a", "b"])
                 a, b = [], []
         yield pa.RecordBatch.from_arrays([pa.array(a, pa.int64()), pa.array(b, pa.int64())], ["a", "b"])
 
-    return rows.mapInArrow(run, "a long, b long").distinct()
+    return dealt(rows, ["cell", "p", "q"], "doc_id").mapInArrow(run, "a long, b long").distinct()
 
 
 def classes(docs: DataFrame, doc_id: str = "doc_id", text: str = "text") -> DataFrame:
     """doc_id, n_shingles and component_id (the smallest doc_id that links reach) of every row."""
     sketch = materialise(sketches(docs, frequent_groups(docs, text), doc_id, text), "sketches")
     known = sketch.where("doc_id IS NOT NULL AND n_shingles > 0")
-    stands = known.groupBy("print").agg(F.min("doc_id").alias("rep"))
+    stands = materialise(known.groupBy("print").agg(F.min("doc_id").alias("rep")), "stands")
     reps = sketch.join(stands.select(F.col("rep").alias("doc_id"), "print"), ["doc_id", "print"], "left_semi")
     met = materialise(cells(reps), "met")
-    wanted = docs.select(F.col(doc_id).cast("long").alias("doc_id"), F.col(text).alias("text")).join(met.select("doc_id").distinct(), "doc_id", "left_semi")
-    sets = materialise(sets_of(wanted, "doc_id", "text").where("octet_length(shingles) > 0"), "sets")
-    links = local_links(met, sets)
-    label = components(links).withColumnRenamed("node", "rep")
-    of_rep = materialise(stands.join(label, "rep", "left").select("print", F.least("rep", F.coalesce("label", "rep")).alias("component_id")), "classes")
+    points = reps.select("doc_id", "point", "n_shingles").join(met.select("doc_id").distinct(), "doc_id", "left_semi")
+    rows = materialise(in_parts(met).join(points, "doc_id").select("cell", "p", "q", "doc_id", "point", "n_shingles"), "rows")
+    pairs = materialise(partners(rows), "pairs")
+    own = docs.select(F.col(doc_id).cast("long").alias("doc_id"), F.col(text).alias("text"))
+    texts = materialise(own.join(pairs.select("doc_id"), "doc_id", "left_semi"), "texts")
+    links = materialise(verified(pairs.where("partner < doc_id"), texts), "links")
+    label = components(links)
+    more = materialise(apart(rows.join(label.withColumnRenamed("node", "doc_id"), "doc_id", "left").withColumn("label", F.coalesce("label", "doc_id"))), "apart")
+    last = materialise(last_links(more.join(points, "doc_id").join(texts, "doc_id").select("cell", "p", "q", "doc_id", "label", "point", "n_shingles", "text")), "last")
+    label = components(links.unionByName(last)).withColumnRenamed("node", "rep")
+    of_rep = stands.join(label, "rep", "left").select("print", F.least("rep", F.coalesce("label", "rep")).alias("component_id"))
     return (
         sketch.select("doc_id", "n_shingles", F.when(F.col("doc_id").isNotNull() & (F.col("n_shingles") > 0), F.col("print")).alias("print"))
         .join(of_rep, "print", "left")
