@@ -11,8 +11,9 @@ n - ceil(0.8 n) + 1 of each. Each cell gets a small R-tree of its own. A cell of
 into pairs of parts, so none outgrows a task. Documents with equal sets stand in for one another from the
 start. The cells are read three times. First each document gets the smallest partner that the bound leaves
 it, one pair for each document, and these pairs are verified; what they connect becomes one component. Then
-the cells are read for pairs that the bound leaves between different components. Only documents of such pairs
-meet once more, with their texts, and there every pair between different components is verified. So a large
+the cells are read for the other pairs that the bound leaves between different components, and these are
+verified, too: one by one, or, where a cell has very many, within the cell, which its documents then reach
+with their texts. So a large
 group of copies costs no quadratic number of rows, and no link between components is lost.
 
 Nulls: a null or empty text, or one without words, has the empty set and links with nothing; rows with a
@@ -35,6 +36,7 @@ WIDTH, SIMILARITY = 5, 80  # words of a shingle; per cent
 GROUPS = 256  # coordinates of a point
 PAGE = 32  # points of a leaf, and children of a node
 CELL = 1500  # documents of a cell, above which it is dealt into parts
+FEW = 4  # pairs for each document of a cell that are verified one by one
 LEVEL_BITS = 20  # groups of the table of frequencies: 1 MB, whatever the input
 _U = np.uint64
 
@@ -200,21 +202,33 @@ def verified(pairs: DataFrame, texts: DataFrame) -> DataFrame:
 
 
 def apart(rows: DataFrame) -> DataFrame:
-    """(cell, p, q, doc_id, label) of documents that the bound leaves a pair with another component."""
+    """Pairs (doc_id, partner) of different components that the bound leaves and that weren't tried before.
+
+    A cell with more than FEW such pairs for each of its documents gives its documents instead (partner null).
+    """
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for table in groups(batches, ["cell", "p", "q"]):
-            label = table.column("label").to_numpy()
+            label, ids, tried = (table.column(c).to_numpy() for c in ("label", "doc_id", "tried"))
             if (label == label[0]).all():
                 continue
-            out = np.zeros(len(label), bool)
+            out, a, b = np.zeros(len(label), bool), [], []
             for i, j in RTree(np.array([point_of(x) for x in table.column("point").to_pylist()]), table.column("n_shingles").to_numpy()).pairs():
-                differ = label[i] != label[j]
-                out[i[differ]] = out[j[differ]] = True
-            if out.any():
-                yield from table.select(["cell", "p", "q", "doc_id", "label"]).filter(pa.array(out)).to_batches()
-
-    return dealt(rows, ["cell", "p", "q"], "doc_id").mapInArrow(run, "cell long, p long, q long, doc_id long, label long")
+                open_ = (label[i] != label[j]) & (tried[i] != ids[j]) & (tried[j] != ids[i])
+                i, j = i[open_], j[open_]
+                out[i] = out[j] = True
+                if sum(map(len, a)) <= FEW * len(label):
+                    a.append(ids[i])
+                    b.append(ids[j])
+            if sum(map(len, a)) > FEW * len(label):
+                held = table.select(["cell", "p", "q", "doc_id", "label"]).filter(pa.array(out))
+                yield from held.append_column("partner", pa.nulls(len(held), pa.int64())).to_batches()
+            elif out.any():
+                x, y = np.concatenate(a), np.concatenate(b)
+                none = np.zeros(len(x), np.int64)
+                yield pa.RecordBatch.from_arrays([pa.array(v) for v in (none, none, none, np.maximum(x, y), none, np.minimum(x, y))], ["cell", "p", "q", "doc_id", "label", "partner"])
+
+    return dealt(rows, ["cell", "p", "q"], "doc_id").mapInArrow(run, "cell long, p long, q long, doc_id long, label long, partner long")
 
 
 def last_links(rows: DataFrame) -> DataFrame:
@@ -254,8 +268,14 @@ def classes(docs: DataFrame, doc_id: str = "doc_id", text: str = "text") -> Data
     texts = materialise(own.join(pairs.select("doc_id"), "doc_id", "left_semi"), "texts")
     links = materialise(verified(pairs.where("partner < doc_id"), texts), "links")
     label = components(links)
-    more = materialise(apart(rows.join(label.withColumnRenamed("node", "doc_id"), "doc_id", "left").withColumn("label", F.coalesce("label", "doc_id"))), "apart")
-    last = materialise(last_links(more.join(points, "doc_id").join(texts, "doc_id").select("cell", "p", "q", "doc_id", "label", "point", "n_shingles", "text")), "last")
+    state = rows.join(label.withColumnRenamed("node", "doc_id"), "doc_id", "left").join(pairs.withColumnRenamed("partner", "tried"), "doc_id", "left")
+    state = state.withColumn("label", F.coalesce("label", "doc_id")).withColumn("tried", F.coalesce("tried", "doc_id"))
+    more = materialise(apart(state), "apart")
+    single = more.where("partner IS NOT NULL").select("doc_id", "partner").distinct()
+    crowded = more.where("partner IS NULL").drop("partner")
+    last = materialise(
+        verified(single, texts).unionByName(last_links(crowded.join(points, "doc_id").join(texts, "doc_id").select("cell", "p", "q", "doc_id", "label", "point", "n_shingles", "text"))), "last"
+    )
     label = components(links.unionByName(last)).withColumnRenamed("node", "rep")
     of_rep = stands.join(label, "rep", "left").select("print", F.least("rep", F.coalesce("label", "rep")).alias("component_id"))
     return (
