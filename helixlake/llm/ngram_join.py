@@ -33,7 +33,7 @@ from pyspark.sql import functions as F
 from .common import components, dealt, groups, materialise, mix, shingle_sets, slices, text_bytes
 
 WIDTH, SIMILARITY = 5, 80  # words of a shingle; per cent
-GROUPS = 256  # coordinates of a point
+GROUPS, MOST_GROUPS = 256, 4096  # coordinates of a point: half as many as shingles, within these
 PAGE = 32  # points of a leaf, and children of a node
 CELL = 1500  # documents of a cell, above which it is dealt into parts
 FEW = 4  # pairs for each document of a cell that are verified one by one
@@ -82,8 +82,8 @@ def sketches(docs: DataFrame, level: np.ndarray, doc_id: str, text: str) -> Data
             for a, b in zip(at[:-1], at[1:], strict=True):
                 keep = b - a - -(-SIMILARITY * (b - a) // 100) + 1 if b > a else 0
                 prefix.append(found[a:b][np.argpartition(order[a:b], keep - 1)[:keep]] if keep < b - a else found[a:b])
-            points = [np.bincount(g, minlength=GROUPS) for g in np.split((mix(found) & _U(GROUPS - 1)).astype(np.int64), at[1:-1])]
-            points = [x.astype(np.uint8 if x.max(initial=0) < 256 else np.int32).tobytes() for x in points]
+            mixed = mix(found)
+            points = [packed_point(mixed[a:b]) for a, b in zip(at[:-1], at[1:], strict=True)]
             sizes = np.concatenate([[0], np.cumsum([len(x) for x in prefix])]).astype(np.int32)
             flat = np.concatenate(prefix).view(np.int64) if prefix else np.zeros(0, np.int64)
             yield pa.RecordBatch.from_arrays(
@@ -94,8 +94,19 @@ def sketches(docs: DataFrame, level: np.ndarray, doc_id: str, text: str) -> Data
     return docs.select(F.col(doc_id).cast("long").alias("doc_id"), F.col(text).alias(text)).mapInArrow(run, "doc_id long, n_shingles long, print binary, point binary, prefix array<long>")
 
 
-def point_of(raw: bytes) -> np.ndarray:
-    return np.frombuffer(raw, np.uint8 if len(raw) == GROUPS else np.int32).astype(np.int32)
+def packed_point(mixed: np.ndarray) -> bytes:
+    """Counts of a set by group: a letter for their width, then the counts."""
+    dims = min(MOST_GROUPS, max(GROUPS, 1 << max(0, len(mixed) // 2).bit_length()))
+    counts = np.bincount((mixed & _U(dims - 1)).astype(np.int64), minlength=dims)
+    small = counts.max(initial=0) < 256
+    return (b"b" if small else b"i") + counts.astype(np.uint8 if small else np.int32).tobytes()
+
+
+def points_of(raw: list[bytes]) -> np.ndarray:
+    """(sets, groups) counts; those in more groups are folded onto the fewest that one of them has."""
+    points = [np.frombuffer(x[1:], np.uint8 if x[:1] == b"b" else np.int32) for x in raw]
+    dims = min(map(len, points))
+    return np.array([x if len(x) == dims else x.reshape(-1, dims).sum(axis=0) for x in points], np.int32)
 
 
 def similar(s: np.ndarray, t: np.ndarray) -> bool:
@@ -173,7 +184,7 @@ def partners(rows: DataFrame) -> DataFrame:
         for table in groups(batches, ["cell", "p", "q"]):
             ids = table.column("doc_id").to_numpy()
             least, met = ids.copy(), np.zeros(len(ids), bool)
-            for i, j in RTree(np.array([point_of(x) for x in table.column("point").to_pylist()]), table.column("n_shingles").to_numpy()).pairs():
+            for i, j in RTree(points_of(table.column("point").to_pylist()), table.column("n_shingles").to_numpy()).pairs():
                 met[i] = met[j] = True
                 np.minimum.at(least, np.where(ids[i] < ids[j], j, i), np.minimum(ids[i], ids[j]))
             for a, b in zip(ids[met].tolist(), least[met].tolist(), strict=True):
@@ -213,7 +224,7 @@ def apart(rows: DataFrame) -> DataFrame:
             if (label == label[0]).all():
                 continue
             out, a, b = np.zeros(len(label), bool), [], []
-            for i, j in RTree(np.array([point_of(x) for x in table.column("point").to_pylist()]), table.column("n_shingles").to_numpy()).pairs():
+            for i, j in RTree(points_of(table.column("point").to_pylist()), table.column("n_shingles").to_numpy()).pairs():
                 open_ = (label[i] != label[j]) & (tried[i] != ids[j]) & (tried[j] != ids[i])
                 i, j = i[open_], j[open_]
                 out[i] = out[j] = True
@@ -240,7 +251,7 @@ def last_links(rows: DataFrame) -> DataFrame:
             ids, label = table.column("doc_id").to_pylist(), table.column("label").to_numpy().copy()
             found, at = shingle_sets(*text_bytes(table.column("text").combine_chunks()), WIDTH)
             sets = np.split(found, at[1:-1])
-            for i, j in RTree(np.array([point_of(x) for x in table.column("point").to_pylist()]), table.column("n_shingles").to_numpy()).pairs():
+            for i, j in RTree(points_of(table.column("point").to_pylist()), table.column("n_shingles").to_numpy()).pairs():
                 for x, y in zip(i[label[i] != label[j]].tolist(), j[label[i] != label[j]].tolist(), strict=True):
                     if label[x] != label[y] and similar(sets[x], sets[y]):
                         a.append(ids[x])
