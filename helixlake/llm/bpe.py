@@ -27,7 +27,7 @@ from pyspark import SparkFiles
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import slices
+from .common import materialise, slices
 
 #: Words of the lexicon, and how many words a worker remembers or counts at a time.
 LEXICON_WORDS, MEMO_WORDS, COUNT_WORDS = 300_000, 200_000, 300_000
@@ -256,7 +256,7 @@ class Lexicon:
 
 
 def frequent_words(docs: DataFrame, path: str, text: str = "text", most: int = LEXICON_WORDS) -> list[str]:
-    """The most frequent words (runs of letters, signs or single digits) of all documents, ties by the word.
+    """The most frequent words (runs of letters, signs or single digits) of all documents; words of one count go together.
 
     Each task counts before the shuffle.
     """
@@ -281,8 +281,17 @@ def frequent_words(docs: DataFrame, path: str, text: str = "text", most: int = L
         yield flush()
 
     counts = docs.select(F.col(text).alias(text)).mapInArrow(count, "word string, n long").where(f"length(word) <= {MAX_LEXICON_CHARS}")
-    top = counts.groupBy("word").agg(F.sum("n").alias("n")).orderBy(F.desc("n"), "word").limit(most)
-    return [r["word"] for r in top.select("word").collect()]  # LEXICON_WORDS short words at most
+    totals = materialise(counts.groupBy("word").agg(F.sum("n").alias("n")), "words")
+    # the lowest count whose words, with all more frequent ones, are at most so many; a top-k would gather k words of every task
+    taken, least = 0, None
+    for r in totals.groupBy("n").agg(F.count(F.lit(1)).alias("words")).orderBy(F.desc("n")).toLocalIterator():
+        taken += r["words"]
+        if taken > most:
+            break
+        least = r["n"]
+    if least is None:
+        return []
+    return sorted(r["word"] for r in totals.where(F.col("n") >= least).select("word").collect())  # LEXICON_WORDS short words at most
 
 
 def build_lexicon(docs: DataFrame, path: str, text: str = "text", most: int = LEXICON_WORDS) -> str:

@@ -82,7 +82,7 @@ def flight(p: np.ndarray, size: np.ndarray, u: np.ndarray) -> np.ndarray:
         for i in (a, b, c):
             if i not in live:
                 p[i] = float(round(p[i]))
-    return np.array(p)
+    return np.array(p, float)
 
 
 def landing(p: np.ndarray, size: np.ndarray) -> np.ndarray:
