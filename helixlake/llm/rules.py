@@ -103,7 +103,9 @@ def verdicts(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", order:
     """The statistics of every row, base_failed and kept."""
     stats, given = statistics(docs, doc_id, text), rules()
     if order is None:
-        order = ordered(statistics(bounded(docs, doc_id, 2 * MAX_SAMPLE), doc_id, text), given)
+        # written first: else the filters merge, and the statistics of all rows are worked out for it
+        sample = materialise(bounded(docs.select(doc_id, text), doc_id, 2 * MAX_SAMPLE), "texts")
+        order = ordered(statistics(sample, doc_id, text), given)
     kept = F.when(base_failed(), F.lit(False))
     for name in order:  # CASE stops at the first rule that rejects
         kept = kept.when(given[name], F.lit(False))
