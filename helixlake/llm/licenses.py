@@ -86,7 +86,9 @@ def scan(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", templates:
     near = docs.select(F.col(doc_id).cast("long").alias("doc_id"), low.alias("low")).where(F.col("low").rlike(f"(?<![a-z0-9])(?:{found})(?![a-z0-9])"))
     near = near.select("doc_id", F.filter(F.split("low", "[^a-z0-9]+"), lambda x: x != "").alias("words")).where(F.size("words") >= WIDTH)
     shingles = F.transform(F.sequence(F.lit(1), F.size("words") - WIDTH + 1), lambda i: F.concat_ws(" ", F.slice("words", i, WIDTH)))
-    texts = materialise(near.select("doc_id", F.monotonically_increasing_id().alias("row"), shingles.alias("shingles")), "shingles")
+    kept = materialise(near.select("doc_id", F.monotonically_increasing_id().alias("row"), "words"), "words")
+    # dealt by row once: windows are then grouped, and matches joined to their texts, where the texts already are
+    texts = kept.repartition(int(spark.conf.get("spark.sql.shuffle.partitions")), "row")
 
     table = spark.createDataFrame([(k, *band_class(len(s)), s) for k, s in own.items()], "license string, window int, step int, bands int, shingles array<string>")
     classes = sorted({band_class(len(s)) for s in own.values()})
@@ -100,12 +102,12 @@ def scan(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", templates:
 
     known = bands(table.select("license", "window", "bands", F.explode("shingles").alias("s")).groupBy("license", "window", "bands").agg(*signature(F.xxhash64("s"))), "license", "window")
     # each shingle belongs to window / step windows; windows are numbered by their start
-    numbered = texts.select("row", F.posexplode("shingles").alias("i", "s")).select("row", "i", F.xxhash64("s").alias("h"))
+    numbered = texts.select("row", F.posexplode(shingles).alias("i", "s")).select("row", "i", F.xxhash64("s").alias("h"))
     kinds = F.explode(F.array(*[F.struct(F.lit(w).alias("window"), F.lit(s).alias("step"), F.lit(b).alias("bands")) for w, s, b in classes]))
     placed = numbered.select("row", "i", "h", kinds.alias("k")).select("row", "h", "k.window", "k.bands", F.explode(F.sequence(F.floor((F.col("i") - F.col("k.window")) / F.col("k.step")) + 1, F.floor(F.col("i") / F.col("k.step")))).alias("at"))
     windows = placed.groupBy("row", "window", "bands", "at").agg(*signature(F.col("h")))
     met = bands(windows, "row", "window").join(F.broadcast(known), ["window", "band", "value"]).select("row", "license").distinct()  # known: BANDS values of each template
-    held = F.size(F.array_intersect("shingles", "template"))
+    held = F.size(F.array_intersect(shingles, "template"))
     return (
         met.join(F.broadcast(table.select("license", F.col("shingles").alias("template"))), "license")  # the templates
         .join(texts, "row")
