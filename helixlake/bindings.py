@@ -144,13 +144,13 @@ def d4_tax_override(spark, d):
 
 
 def alignments(spark: SparkSession, d: str) -> DataFrame:
-    x = F.substring(F.regexp_replace(F.lower("text"), "[^a-z]", ""), 1, 120)
+    x = F.regexp_replace(F.lower("text"), "[^a-z]", "")
     return table(spark, d, "documents").select(F.col("doc_id").alias("aln"), x.alias("x")).select("aln", F.translate("x", "zk", "--").alias("unp_aln"), F.translate("x", "aeq", "-x-").alias("pdb_aln"), "x")
 
 
-A = """a AS (SELECT doc_id AS aln, left(regexp_replace(lower(text), '[^a-z]', '', 'g'), 120) AS x FROM documents),
+A = """a AS (SELECT doc_id AS aln, regexp_replace(lower(text), '[^a-z]', '', 'g') AS x FROM documents),
 aln AS (SELECT aln, x, translate(x, 'zk', '--') AS u, translate(x, 'aeq', '-x-') AS p FROM a),
-c AS (SELECT aln, i, u[i] AS u, p[i] AS p FROM (SELECT aln, u, p, unnest(range(1, length(x) + 1)) AS i FROM aln)),
+c AS (SELECT aln, unnest(range(1, length(x) + 1)) AS i, unnest(string_split(u, '')) AS u, unnest(string_split(p, '')) AS p FROM aln WHERE x <> ''),
 w AS (SELECT *, sum((u <> '-')::INT) OVER k::BIGINT AS unp_pos, sum((p <> '-')::INT) OVER k::BIGINT AS pdb_pos FROM c WINDOW k AS (PARTITION BY aln ORDER BY i)),
 m AS (SELECT aln, pdb_pos, unp_pos FROM w WHERE u <> '-' AND p <> '-')"""
 

@@ -6,10 +6,15 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 
+def letters(text: str | Column) -> Column:
+    """The letters of a string: going through them takes time in proportion to it, unlike substrings by place."""
+    return F.filter(F.split(text, ""), lambda x: x != "")
+
+
 def matches(a: Column, b: Column) -> Column:
     """Columns of two gapped strings that agree, up to the shorter's end."""
-    n = F.least(F.length(a), F.length(b))
-    return F.size(F.filter(F.sequence(F.lit(1), n), lambda i: F.substring(a, i, F.lit(1)) == F.substring(b, i, F.lit(1))))
+    agree = F.zip_with(letters(a), letters(b), lambda x, y: F.coalesce(x == y, F.lit(False)))
+    return F.size(F.filter(agree, lambda x: x))
 
 
 def identity(unp: Column, pdb: Column) -> Column:
@@ -28,8 +33,9 @@ def coverage(pdb: Column, canonical_length: Column) -> Column:
 def aligned_columns(alignments: DataFrame, key: str = "aln") -> DataFrame:
     """One row for each column: letters and running positions on both sides (starts are 1 unless given)."""
     cols = alignments.select(key, "unp_aln", "pdb_aln", *[c for c in ("unp_start", "pdb_start") if c in alignments.columns])
-    rows = cols.withColumn("i", F.explode(F.sequence(F.lit(1), F.least(F.length("unp_aln"), F.length("pdb_aln")))))
-    rows = rows.withColumn("u", F.substring("unp_aln", F.col("i"), F.lit(1))).withColumn("p", F.substring("pdb_aln", F.col("i"), F.lit(1)))
+    pairs = F.posexplode(F.zip_with(letters("unp_aln"), letters("pdb_aln"), lambda u, p: F.struct(u.alias("u"), p.alias("p")))).alias("i", "c")
+    rows = cols.select(*[c for c in cols.columns if c not in ("unp_aln", "pdb_aln")], pairs).where("c.u IS NOT NULL AND c.p IS NOT NULL")
+    rows = rows.withColumn("i", F.col("i") + 1).withColumn("u", F.col("c.u")).withColumn("p", F.col("c.p"))
     w = Window.partitionBy(key).orderBy("i").rowsBetween(Window.unboundedPreceding, 0)
     at = {s: F.sum(F.when(F.col(s) != "-", 1).otherwise(0)).over(w) + (F.col(f"{n}_start") - 1 if f"{n}_start" in alignments.columns else F.lit(0)) for s, n in (("u", "unp"), ("p", "pdb"))}
     return rows.select(key, "i", "u", "p", at["u"].cast("long").alias("unp_pos"), at["p"].cast("long").alias("pdb_pos"))
@@ -97,9 +103,9 @@ def alignment_letter() -> Column:
     return F.when(t.isin("Insertion", "Linker", "Expression tag"), F.lit("J")).when(t.isin("Engineered mutation", "Conflict", "Cloning artifact"), F.coalesce("original", F.lit("X"))).otherwise(F.col("letter"))
 
 
-def assembled(letters: DataFrame, keys: list[str], position: str = "pos", letter: str = "letter", row_no: str = "row_no") -> DataFrame:
+def assembled(rows: DataFrame, keys: list[str], position: str = "pos", letter: str = "letter", row_no: str = "row_no") -> DataFrame:
     """The sequence: the first row's letter of each position, in the order of positions."""
-    first = letters.groupBy(*keys, position).agg(F.min_by(letter, row_no).alias("__c"))
+    first = rows.groupBy(*keys, position).agg(F.min_by(letter, row_no).alias("__c"))
     ordered = F.sort_array(F.collect_list(F.struct(F.col(position).alias("p"), F.col("__c").alias("c"))))
     return first.groupBy(*keys).agg(F.array_join(F.transform(ordered, lambda x: x.c), "").alias("sequence"))
 
