@@ -175,7 +175,7 @@ def i26_disjoint_chunks(spark, d):
 
 @query()
 def i8_resolved_chimera(spark, d):
-    """Positions that accessions of an order share, given to one each (a choice in sequence, held against brute force in tests)."""
+    """Positions that accessions of an order share, given to one each (a choice in sequence, held against a planted case in tests)."""
     rows = lines(spark, d).select("entry", (F.col("q") % 10).alias("pdb_pos"), F.concat(F.lit("P"), F.col("part") % 3).alias("accession"), (F.col("q") % 10 + F.col("part") % 3).alias("unp_pos"), (F.col("flag") == "R").alias("agrees"))
     return gaps.resolved_chimera(rows.groupBy("entry", "pdb_pos", "accession", "unp_pos").agg(F.bool_or("agrees").alias("agrees")), ["entry"])
 
