@@ -7,8 +7,9 @@ inner products with the codewords; the best of each block of codes are reranked
 on the original vectors.
 
 The index holds every distinct vector once, with the few smallest ids that share it (as many as a result
-can use), so thousands of copies cannot crowd a shortlist. Queries come in blocks, and each block meets every
-block of codes.
+can use), so thousands of copies cannot crowd a shortlist. Codes travel in packs. A task takes a block of queries
+through all packs of one half of the index and keeps each query's best on the way, so what it emits follows the
+number of queries, not that of packs.
 
 Null vectors, zero vectors and those with a null or non-finite component take no part; so do rows with a
 null id. Ties go to the smaller id. Rows with equal ids count as one vector each. With fewer candidates than
@@ -17,6 +18,7 @@ neighbours asked for, all are returned; an empty table gives an empty result.
 
 from __future__ import annotations
 
+import math
 from collections.abc import Iterator
 
 import numpy as np
@@ -24,14 +26,14 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from .common import dealt, groups, materialise
+from .common import dealt, materialise
 
 BOOKS, WORDS, BEAM = 16, 256, 8
 #: Bound of the sample that codebooks are learned on.
 MAX_TRAIN = 12_000
-#: Codes that a block keeps for a query; and of all blocks, those reranked exactly: so many or this share of the index.
-SHORTLIST, RERANKED, RERANKED_SHARE = 256, 512, 0.01
-CODE_BLOCK, QUERY_BLOCK = 8192, 512
+#: Codes that are reranked exactly for a query: so many, or twice the root of the size of the index if that is more.
+RERANKED = 512
+PACK, SCAN, HALVES, QUERY_BLOCK = 512, 4096, 2, 512  # codes of a row, codes scored at once, parts of the index, queries of a task
 
 
 def unit(x: np.ndarray) -> np.ndarray:
@@ -59,6 +61,11 @@ def encode(x: np.ndarray, books: np.ndarray, beam: int = BEAM) -> np.ndarray:
     return codes[:, 0]
 
 
+def encoded(x: np.ndarray, books: np.ndarray, beam: int = BEAM) -> np.ndarray:
+    """:func:`encode` a few rows at a time, so that the beams stay small."""
+    return np.concatenate([encode(x[a : a + 512], books, beam) for a in range(0, len(x), 512)])
+
+
 def learn(x: np.ndarray, seed: int = 3, rounds: int = 6) -> np.ndarray:
     """(books, words, dims): k-means on the residuals, book after book, then two joint least-squares passes."""
     r = np.random.default_rng(seed)
@@ -76,7 +83,7 @@ def learn(x: np.ndarray, seed: int = 3, rounds: int = 6) -> np.ndarray:
         books[m] = book
         left = left - book[((book * book).sum(1) - 2 * left @ book.T).argmin(1)]
     for _ in range(2):
-        codes = encode(x, books, 4).astype(np.int64)
+        codes = encoded(x, books, 4).astype(np.int64)
         # codewords that together fit the sample best, given its codes: conjugate gradients on the normal equations
         flat = codes + np.arange(BOOKS) * WORDS
         gram = np.zeros((BOOKS * WORDS, BOOKS * WORDS), np.float32)
@@ -87,10 +94,60 @@ def learn(x: np.ndarray, seed: int = 3, rounds: int = 6) -> np.ndarray:
         right = np.zeros((BOOKS * WORDS, x.shape[1]), np.float32)
         for a in range(BOOKS):
             np.add.at(right, flat[:, a], x)
-        books = np.linalg.solve(gram + np.eye(len(gram), dtype=np.float32) * 0.1, right + 0.1 * books.reshape(-1, x.shape[1])).reshape(books.shape).astype(np.float32)
+        gram[np.diag_indices(len(gram))] += 0.1
+        books = np.linalg.solve(gram, right + 0.1 * books.reshape(-1, x.shape[1])).reshape(books.shape).astype(np.float32)
     return books
 
 
+class Nearest:
+    """The best codes of each query of a block, kept while packs go by."""
+
+    def __init__(self, books: np.ndarray, depth: int):
+        self.books, self.depth, self.key = books, depth, None
+        self.start(None)
+
+    def start(self, key: tuple[int, int] | None) -> None:
+        self.key, self.queries, self.tables = key, np.zeros(0, np.int64), None
+        self.score, self.node = np.zeros((0, 0), np.float32), np.zeros((0, 0), np.int64)
+
+    def ask(self, queries: np.ndarray, vectors: np.ndarray) -> None:
+        """Queries to the block; they all come before its packs."""
+        table = np.einsum("qd,mwd->mwq", unit(vectors).astype(np.float32), self.books, optimize=True)
+        self.queries = np.concatenate([self.queries, queries])
+        self.tables = table if self.tables is None else np.concatenate([self.tables, table], axis=2)
+        self.score, self.node = np.zeros((len(self.queries), 0), np.float32), np.zeros((len(self.queries), 0), np.int64)
+
+    def meet(self, ids: np.ndarray, codes: np.ndarray, norms: np.ndarray) -> None:
+        if not len(self.queries):
+            return
+        codes = codes.reshape(-1, len(self.books))
+        found = self.tables[0][codes[:, 0]]
+        for m in range(1, len(self.books)):
+            found += self.tables[m][codes[:, m]]
+        found /= np.maximum(norms, 1e-12)[:, None]
+        score = np.concatenate([self.score, found.T], axis=1)
+        node = np.concatenate([self.node, np.broadcast_to(ids, (len(self.queries), len(ids)))], axis=1)
+        if score.shape[1] > self.depth:
+            top = np.argpartition(-score, self.depth - 1, axis=1)[:, : self.depth]
+            score, node = np.take_along_axis(score, top, 1), np.take_along_axis(node, top, 1)
+        self.score, self.node = score, node
+
+    def rows(self) -> Iterator[pa.RecordBatch]:
+        if self.node.size:
+            yield pa.RecordBatch.from_arrays([pa.array(np.repeat(self.queries, self.node.shape[1])), pa.array(self.node.ravel()), pa.array(self.score.ravel().astype(np.float64))], ["query_id", "node", "near"])
+
+
+def _runs(batch: pa.RecordBatch, keys: list[str]) -> Iterator[pa.RecordBatch]:
+    """Pieces of a sorted batch with equal keys."""
+    change = np.zeros(batch.num_rows, bool)
+    for k in keys:
+        c = batch.column(batch.schema.get_field_index(k)).to_numpy()
+        change[1:] |= c[1:] != c[:-1]
+    edges = [0, *np.flatnonzero(change).tolist(), batch.num_rows]
+    for a, b in zip(edges[:-1], edges[1:], strict=True):
+        yield batch.slice(a, b - a)
+
+
 def usable(vector: Column) -> Column:
     """True for a vector without null or non-finite parts that isn't zero throughout."""
     bad = F.exists(vector, lambda v: v.isNull() | F.isnan(v) | (F.abs(v) == float("inf")))
@@ -147,49 +204,52 @@ def _search_index(index: DataFrame, n: int, queries: DataFrame, books: np.ndarra
     spark = index.sparkSession
     shipped = spark.sparkContext.broadcast(books)  # BOOKS * WORDS codewords
 
+    depth = max(RERANKED, 2 * math.isqrt(n))
+
     def code(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         books = shipped.value
         for batch in batches:
             if not batch.num_rows:
                 continue
             x = unit(np.array([np.frombuffer(v) for v in batch.column(1).to_pylist()]))
-            codes = np.concatenate([encode(x[a : a + 512], books) for a in range(0, len(x), 512)])
+            codes = encoded(x, books)
             whole = sum(books[m][codes[:, m]] for m in range(len(books)))
-            yield pa.RecordBatch.from_arrays([batch.column(0), pa.array([c.tobytes() for c in codes], pa.binary()), pa.array(np.linalg.norm(whole, axis=1).astype(np.float64))], ["node", "codes", "norm"])
+            norm, nodes = np.linalg.norm(whole, axis=1).astype(np.float32), batch.column(0).to_numpy()
+            packs = [(int(nodes[a]), nodes[a : a + PACK].tobytes(), codes[a : a + PACK].tobytes(), norm[a : a + PACK].tobytes()) for a in range(0, len(x), PACK)]
+            yield pa.RecordBatch.from_arrays([pa.array(c) for c in zip(*packs, strict=True)], ["pack", "ids", "codes", "norms"])
 
-    blocks = max(1, -(-n // CODE_BLOCK))
-    coded = index.select("node", "vector").mapInArrow(code, "node long, codes binary, norm double").withColumn("block", F.pmod(F.xxhash64("node"), F.lit(blocks)))
-    coded = materialise(coded, "codes")
+    coded = materialise(index.select("node", "vector").mapInArrow(code, "pack long, ids binary, codes binary, norms binary"), "codes")
     ask_blocks = max(1, -(-queries.count() // QUERY_BLOCK))
     asked = queries.select(F.col("vec_id").alias("query_id"), "vector").distinct().withColumn("asked", F.pmod(F.xxhash64("query_id", F.lit("q")), F.lit(ask_blocks)))
     asked = materialise(asked, "queries")
-    # every block of queries meets every block of codes, each pair of blocks in one task
-    pairs_of_codes = coded.withColumn("asked", F.explode(F.sequence(F.lit(0), F.lit(ask_blocks - 1))))
-    pairs_of_queries = asked.withColumn("block", F.explode(F.sequence(F.lit(0), F.lit(blocks - 1))))
-    rows = pairs_of_codes.select(F.col("asked").cast("int"), F.col("block").cast("int"), F.lit(1).alias("kind"), F.col("node").alias("id"), "codes", "norm", F.lit(None).cast("array<double>").alias("vector")).unionByName(
-        pairs_of_queries.select(F.col("asked").cast("int"), F.col("block").cast("int"), F.lit(0).alias("kind"), F.col("query_id").alias("id"), F.lit(None).cast("binary").alias("codes"), F.lit(0.0).alias("norm"), "vector")
-    )
+    # every block of queries meets every pack of codes, and each half of the packs in one task
+    kinds = "cast(asked as int) asked", "cast(half as int) half"
+    packs = coded.select(F.explode(F.sequence(F.lit(0), F.lit(ask_blocks - 1))).alias("asked"), F.pmod(F.xxhash64("pack"), F.lit(HALVES)).alias("half"), "pack", "ids", "codes", "norms")
+    packs = packs.selectExpr(*kinds, "1 kind", "pack id", "ids", "codes", "norms", "cast(null as array<double>) vector")
+    asks = asked.select("asked", "query_id", "vector", F.explode(F.sequence(F.lit(0), F.lit(HALVES - 1))).alias("half"))
+    asks = asks.selectExpr(*kinds, "0 kind", "query_id id", "cast(null as binary) ids", "cast(null as binary) codes", "cast(null as binary) norms", "vector")
 
     def scan(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        books = shipped.value
-        for table in groups(batches, ["asked", "block"]):
-            kind = table.column("kind").to_numpy()
-            q = int((kind == 0).sum())
-            if not q or q == len(kind):
+        best = Nearest(shipped.value, depth)
+        for batch in batches:
+            if not batch.num_rows:
                 continue
-            ids = table.column("id").to_numpy()
-            x = unit(np.array(table.column("vector").slice(0, q).to_pylist(), np.float64)).astype(np.float32)
-            codes = np.frombuffer(b"".join(table.column("codes").slice(q).to_pylist()), np.uint8).reshape(-1, len(books))
-            norm, nodes = table.column("norm").to_numpy()[q:], ids[q:]
-            tables = np.einsum("qd,mwd->mwq", x, books, optimize=True)
-            score = sum(tables[m][codes[:, m]] for m in range(len(books))) / np.maximum(norm, 1e-12)[:, None].astype(np.float32)
-            keep = min(SHORTLIST, len(nodes))
-            top = np.argpartition(-score, keep - 1, axis=0)[:keep]
-            yield pa.RecordBatch.from_arrays([pa.array(np.repeat(ids[:q], keep)), pa.array(nodes[top].T.ravel()), pa.array(np.take_along_axis(score, top, 0).T.ravel().astype(np.float64))], ["query_id", "node", "near"])
-
-    near = dealt(rows, ["asked", "block"], "kind", "id").mapInArrow(scan, "query_id long, node long, near double")
+            for part in _runs(batch, ["asked", "half", "kind"]):
+                key, kind = (part.column(0)[0].as_py(), part.column(1)[0].as_py()), part.column(2)[0].as_py()
+                if key != best.key:
+                    yield from best.rows()
+                    best.start(key)
+                if kind == 0:
+                    best.ask(part.column(3).to_numpy(), np.array(part.column(7).to_pylist(), np.float64))
+                else:
+                    for a in range(0, part.num_rows, SCAN // PACK):
+                        ids, codes, norms = (b"".join(part.column(c).slice(a, SCAN // PACK).to_pylist()) for c in (4, 5, 6))
+                        best.meet(np.frombuffer(ids, np.int64), np.frombuffer(codes, np.uint8), np.frombuffer(norms, np.float32))
+        yield from best.rows()
+
+    near = dealt(packs.unionByName(asks), ["asked", "half"], "kind", "id").mapInArrow(scan, "query_id long, node long, near double")
     best = Window.partitionBy("query_id").orderBy(F.desc("near"), "node")
-    short = near.withColumn("place", F.row_number().over(best)).where(F.col("place") <= max(RERANKED, int(RERANKED_SHARE * n))).select("query_id", "node")
+    short = near.withColumn("place", F.row_number().over(best)).where(F.col("place") <= depth).select("query_id", "node")
     full = short.join(index.select("node", "ids", F.col("vector").alias("found")), "node").join(asked.select("query_id", "vector"), "query_id")
 
     def rerank(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
