@@ -2,10 +2,11 @@
 
 from __future__ import annotations
 
+from pyspark.sql import Window
 from pyspark.sql import functions as F
 
 from .bindings import A, alignments, query, table
-from .operators import entities, gaps, residues
+from .operators import decisions, entities, gaps, residues
 
 
 def lines(spark, d):
@@ -186,3 +187,33 @@ def i23_poly_seq_scheme(spark, d):
     a = alignments(spark, d).where("x <> ''")
     mapped = residues.residue_map(a)
     return entities.poly_seq_scheme(a.select("aln", F.col("x").alias("sequence")), mapped, mapped.select("aln", "pdb_pos", F.col("pdb_pos").alias("auth_seq_id")), ["aln"])
+
+
+ORDER = ["line", "part", "supplier", "q", "price"]
+CONTINUITY = f"""{L}, n AS (SELECT *, row_number() OVER (PARTITION BY entry ORDER BY line, part, supplier, q, price) AS n, count(*) OVER (PARTITION BY entry) AS c FROM l),
+b AS (SELECT entry, n AS k FROM n WHERE n < c AND (q % 7 = 0 OR q > 40)),
+f AS (SELECT n.entry, n.n, any_value(line) AS line, any_value(q) AS q, min(n.n - 1 - k) FILTER (WHERE k BETWEEN n.n - 10 AND n.n - 1) AS left_break, min(k - n.n) FILTER (WHERE k BETWEEN n.n AND n.n + 9) AS right_break
+  FROM n LEFT JOIN b ON b.entry = n.entry GROUP BY n.entry, n.n)"""
+
+
+def continuous(spark, d):
+    broken = F.when(F.col("q") % 7 != 0, F.col("q") > 40)  # every seventh has an atom missing
+    return decisions.continuity(lines(spark, d).withColumn("broken", broken), ["entry"], ORDER)
+
+
+@query(f"WITH {CONTINUITY} SELECT entry, line, left_break, right_break FROM f")
+def f12_continuity(spark, d):
+    return continuous(spark, d).select("entry", "line", F.col("left_break").cast("long").alias("left_break"), F.col("right_break").cast("long").alias("right_break"))
+
+
+@query(f"""WITH {CONTINUITY}, g AS (
+  SELECT x.entry, x.line, coalesce(w.q % 7 <> 0 AND w.q <= 40, false) AS l, x.q % 2 = 0 AS r, coalesce(w.left_break, CASE WHEN w.n IS NULL THEN x.left_break END) AS lb, y.right_break AS rb, w.n IS NOT NULL AS prev
+  FROM f x JOIN f y ON y.entry = x.entry AND y.n = x.n + 1 LEFT JOIN f w ON w.entry = x.entry AND w.n = x.n - 1)
+SELECT entry, line, CASE WHEN l AND r THEN CASE WHEN (lb IS NULL) = (rb IS NULL) THEN 'ambiguous' WHEN lb IS NULL THEN 'ok' WHEN lb = 0 AND prev THEN 'fix' ELSE 'fix_partial' END
+  WHEN l THEN 'ok' WHEN r THEN 'fix' ELSE 'chain_break' END AS action FROM g""")
+def i27_gap_decision(spark, d):
+    w = Window.partitionBy("entry").orderBy(*ORDER)
+    before, behind = lambda c: F.lag(c).over(w), lambda c: F.lead(c).over(w)
+    prior, own = before(F.lit(1)).isNotNull(), continuous(spark, d)
+    near = own.select("entry", "line", (~before("broken")).alias("bond_left"), (F.col("q") % 2 == 0).alias("bond_right"), F.when(prior, before("left_break")).otherwise(F.col("left_break")).alias("left_break"), behind("right_break").alias("right_break"), prior.alias("prior"), behind(F.lit(1)).alias("next"))
+    return near.where("next IS NOT NULL").select("entry", "line", decisions.gap_action(*map(F.col, ("bond_left", "bond_right", "left_break", "right_break", "prior"))).alias("action"))
