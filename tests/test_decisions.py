@@ -28,14 +28,14 @@ def test_gap_actions(spark):
 
 
 def test_record_xml(spark, tmp_path):
-    (tmp_path / "r.xml").write_text("""<?xml version="1.0"?><uniprot xmlns="http://uniprot.org/uniprot">
+    (tmp_path / "r.xml").write_text("""<?xml version="1.0"?><records xmlns="http://example.org/records">
 <entry dataset="Swiss-Prot" created="1990-01-01" modified="2020-02-02" version="7"><accession>P1</accession><accession>Q2</accession><name>X_HUMAN</name>
 <organism><dbReference type="NCBI Taxonomy" id="9606"/></organism><dbReference type="PDB" id="1ABC"/><keyword id="K1">Membrane</keyword>
 <feature type="chain" id="F1"><location><begin position="2"/><end position="6"/></location></feature>
 <feature type="sequence variant" id="V1"><original>A</original><variation>G</variation><location><position position="3"/></location></feature>
 <sequence length="6" mass="700" checksum="AB" modified="1991-01-01" version="2">MKA
 LLV</sequence></entry>
-<entry dataset="TrEMBL" created="1990-01-01" modified="2020-02-02" version="1"><accession>P9</accession></entry></uniprot>""")
+<entry dataset="TrEMBL" created="1990-01-01" modified="2020-02-02" version="1"><accession>P9</accession></entry></records>""")
     got = records_xml.read_records(spark, str(tmp_path / "r.xml")).collect()
     assert len(got) == 1
     row = got[0]
