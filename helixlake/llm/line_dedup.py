@@ -1,10 +1,19 @@
-"""Line dedup: of lines that are equal or at most two edits apart, the first in the corpus stays.
+"""Line dedup: of lines that are equal or few edits apart, the first in the corpus stays.
 
-Method: a segment-partition edit join. Every distinct line is cut into three segments (edits plus one). If a
-line is within two edits of another, one of its substrings equals a segment of it, near the segment's own
+How many edits are few is a rule on the length of the shorter line: :func:`two_edits`, the rule of
+op8_line_dedup and its SQL, or :func:`by_length`, one edit for each 20 code points and two at least, the
+rule of the pipeline.
+
+Method: a segment-partition edit join. Every line is cut into segments, one more than its edits. If a
+line is within the edits of another, one of its substrings equals a segment of it, near the segment's own
 place; which lengths and places can match follows from the lengths alone (multi-match-aware selection).
 Segments and substrings meet by hash, and pairs are verified by a banded bit-parallel edit distance over
-code points. Lines that links connect make a class. Its first line, by doc_id and line number, stays.
+code points. Where the edits grow with the line, from 60 code points on, the number of substrings would grow
+with the square of the edits. There the lines meet by winnowing instead: two lines within the edits share a
+run of 15 code points (18 from 202 on), and of every such run both choose the same gram. Lengths and counts of
+code points leave few of those pairs, which bit-parallel columns verify. Both ways lose no pair.
+
+Lines that links connect make a class. Its first line, by doc_id and line number, stays.
 
 Lines part at line feeds. Lines of fewer than 20 code points are never dropped (they carry too little to be
 called copies). Documents keep all their other columns; a text that loses every line becomes empty, a null
@@ -14,7 +23,7 @@ kept or cut alike. An empty table gives an empty result.
 
 from __future__ import annotations
 
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 
 import numpy as np
 import pyarrow as pa
@@ -24,6 +33,10 @@ from pyspark.sql import functions as F
 from .common import coefficients, components, dealt, groups, materialise, mix, slices
 
 EDITS, SHORTEST = 2, 20
+WINNOWED = 60  # code points of a shorter line from which by_length has its lines meet by winnowing
+GRAMS = ((10, 6), (12, 7))  # code points of a gram and grams of a window: 15 code points, and 18 from class LATER on
+LATER, BINS = 3, 32
+EDGES = np.array([int(WINNOWED * 1.5**c) for c in range(40)])  # classes of lengths
 BUCKET = 1500  # lines of a bucket, above which it is dealt into parts
 _U = np.uint64
 _INVERSE = pow(0x9E3779B97F4A7C15 | 1, -1, 1 << 64)
@@ -65,6 +78,40 @@ def within(a: str, b: str, edits: int = EDITS) -> bool:
     return bool(state[edits] >> (len(b) - len(a) + mid) & 1)
 
 
+def two_edits(size: np.ndarray) -> np.ndarray:
+    """Two edits; lines of fewer than 20 code points have none to meet (-1) and are never dropped."""
+    return np.where(size >= SHORTEST, EDITS, -1)
+
+
+def by_length(size: np.ndarray) -> np.ndarray:
+    """One edit for each 20 code points of the shorter line, two at least."""
+    return np.where(size >= SHORTEST, np.maximum(EDITS, size // 20), -1)
+
+
+def near(a: str, b: str, edits: int) -> bool:
+    """:func:`within` for many edits: the columns of the edit matrix as bit vectors of the length of ``a``."""
+    if abs(len(a) - len(b)) > edits:
+        return False
+    if edits <= EDITS or not a:
+        return within(a, b, edits)
+    at: dict[str, int] = {}
+    for i, x in enumerate(a):
+        at[x] = at.get(x, 0) | 1 << i
+    full, top = (1 << len(a)) - 1, len(a) - 1
+    up, down, score = full, 0, len(a)
+    for left, x in zip(range(len(b) - 1, -1, -1), b, strict=True):
+        same = at.get(x, 0)
+        across = (((same & up) + up) ^ up) | same
+        more, less = down | full & ~(across | up), up & across
+        score += (more >> top & 1) - (less >> top & 1)
+        if score - left > edits:
+            return False
+        more, less = (more << 1 | 1) & full, less << 1 & full
+        same |= down
+        up, down = less | full & ~(same | more), more & same
+    return score <= edits
+
+
 def places(size: np.ndarray, shorter: int, segment: int, edits: int = EDITS) -> list[tuple[np.ndarray, np.ndarray, np.ndarray]]:
     """(rows, start, length) of the substrings of lines of these sizes that can equal the given segment of a line shorter by ``shorter``."""
     base = size - shorter
@@ -84,60 +131,117 @@ def places(size: np.ndarray, shorter: int, segment: int, edits: int = EDITS) ->
     return out
 
 
-def segment_keys(docs: DataFrame, doc_id: str, text: str) -> DataFrame:
+class Hashed:
+    """Texts of a slice as code points, with the hash of any substring."""
+
+    def __init__(self, part: pa.RecordBatch):
+        lines = dict(zip(part.column(0).to_pylist(), part.column(1).to_pylist(), strict=True))
+        self.ids, self.size = np.array(list(lines), np.int64), np.array([len(x) for x in lines.values()], np.int64)
+        self.codes = np.frombuffer("".join(lines.values()).encode("utf-32-le", "surrogatepass"), np.uint32)
+        n = len(self.codes) + 1
+        power, self.back = np.full(n, _BASE, _U), np.full(n, _INVERSE, _U)
+        power[0] = self.back[0] = 1
+        power, self.back = np.multiply.accumulate(power), np.multiply.accumulate(self.back)
+        self.total = np.concatenate([np.zeros(1, _U), np.cumsum((mix(self.codes.astype(_U) + _U(1))) * power[:-1])])
+        self.first = np.cumsum(self.size) - self.size
+
+    def at(self, s: np.ndarray, length: np.ndarray | int) -> np.ndarray:
+        return (self.total[s + length] - self.total[s]) * self.back[s]
+
+
+def segment_keys(lines: DataFrame, allowed: Callable = two_edits) -> DataFrame:
     """(key, line, indexed): hashed segments and substrings of every line, once for each line of a slice.
 
     line is the hash of the whole line; indexed says that the key is one of its own segments.
     """
     factors = coefficients(64, 9)
+    most = WINNOWED if allowed is by_length else 1 << 40
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for part in slices(batches, "line"):
+            text = Hashed(part)
+            for edits in range(1, EDITS + 1):
+                for shorter in range(edits + 1):
+                    base = text.size - shorter
+                    fit = np.flatnonzero((allowed(base) == edits) & (base < most))
+                    size, base = text.size[fit], base[fit]
+                    for segment in range(edits + 1):
+                        own = segment * (base // (edits + 1)) + np.maximum(0, segment - (edits + 1 - base % (edits + 1)))
+                        for rows, start, length in places(size, shorter, segment, edits):
+                            key = mix(text.at(text.first[fit[rows]] + start, length) + base[rows].astype(_U) * factors[segment] + length.astype(_U))
+                            yield pa.RecordBatch.from_arrays([pa.array(key.view(np.int64)), pa.array(text.ids[fit[rows]]), pa.array((start == own[rows]) & (shorter == 0))], ["key", "line", "indexed"])
+
+    return lines.mapInArrow(run, "key long, line long, indexed boolean")
+
+
+def winnowed_keys(lines: DataFrame) -> DataFrame:
+    """(key, line): of every window of grams of a long line the gram of the smallest hash, under each class of lengths that the shorter line of a pair can have."""
+    factors = coefficients(len(EDGES), 21)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for part in slices(batches, "line"):
-            lines = {h: x for h, x in zip(part.column(0).to_pylist(), part.column(1).to_pylist(), strict=True)}
-            ids = np.array(list(lines), np.int64)
-            size = np.array([len(x) for x in lines.values()], np.int64)
-            codes = np.frombuffer("".join(lines.values()).encode("utf-32-le", "surrogatepass"), np.uint32)
-            n = len(codes) + 1
-            power, back = np.full(n, _BASE, _U), np.full(n, _INVERSE, _U)
-            power[0] = back[0] = 1
-            power, back = np.multiply.accumulate(power), np.multiply.accumulate(back)
-            total = np.concatenate([np.zeros(1, _U), np.cumsum((mix(codes.astype(_U) + _U(1))) * power[:-1])])
-            first = np.cumsum(size) - size
-            for shorter in range(EDITS + 1):
-                for segment in range(EDITS + 1):
-                    own = segment * ((size - shorter) // (EDITS + 1)) + np.maximum(0, segment - (EDITS + 1 - (size - shorter) % (EDITS + 1)))
-                    for rows, start, length in places(size, shorter, segment):
-                        s = first[rows] + start
-                        h = (total[s + length] - total[s]) * back[s]
-                        key = mix(h + (size[rows] - shorter).astype(_U) * factors[segment] + length.astype(_U))
-                        yield pa.RecordBatch.from_arrays([pa.array(key.view(np.int64)), pa.array(ids[rows]), pa.array((start == own[rows]) & (shorter == 0))], ["key", "line", "indexed"])
-
-    return docs.mapInArrow(run, "key long, line long, indexed boolean")
-
-
-def lines_of(docs: DataFrame, doc_id: str, text: str) -> DataFrame:
+            text = Hashed(part)
+            owner = np.repeat(np.arange(len(text.ids)), text.size)
+            # a line of n code points is at most a twentieth longer than the shorter one
+            high, low = (np.searchsorted(EDGES, n, "right") - 1 for n in (text.size, text.size * 20 // 21))
+            for late, (k, w) in enumerate(GRAMS):
+                if len(text.codes) < k + w - 1:
+                    continue
+                grams = mix(text.at(np.arange(len(text.codes) - k + 1), k))
+                line = owner[: len(grams) - w + 1]
+                fit = (high[line] >= LATER) if late else (high[line] >= 0) & (low[line] < LATER)
+                at = np.flatnonzero(fit & (np.arange(len(line)) + w + k - 1 <= (text.first + text.size)[line]))
+                at = np.unique(at + np.lib.stride_tricks.sliding_window_view(grams, w)[at].argmin(1))
+                for own in (high, low):
+                    kind = own[owner[at]]
+                    take = (kind >= 0) & ((kind >= LATER) == bool(late)) & ((own is high) | (kind < high[owner[at]]))
+                    rows = pa.table({"key": mix(grams[at[take]] + factors[kind[take]]).view(np.int64), "line": text.ids[owner[at[take]]]})
+                    yield from rows.group_by(["key", "line"]).aggregate([]).to_batches()
+
+    return lines.mapInArrow(run, "key long, line long")
+
+
+def signed(texts: DataFrame) -> DataFrame:
+    """(line, size, bag): the length of every line and how often its code points fall in each of BINS bins."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            bags = []
+            for x in batch.column(1).to_pylist():
+                codes = np.frombuffer(x.encode("utf-32-le", "surrogatepass"), np.uint32)
+                bags.append(np.minimum(np.bincount(codes % BINS, minlength=BINS), 65535).astype(np.uint16).tobytes())
+            yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(2), pa.array(bags, pa.binary())], ["line", "size", "bag"])
+
+    return texts.select("line", "text", F.char_length("text").alias("size")).mapInArrow(run, "line long, size int, bag binary")
+
+
+def lines_of(docs: DataFrame, doc_id: str, text: str, allowed: Callable = two_edits) -> DataFrame:
     """doc_id, line_no (from 0), line and its hash, of the lines that can be dropped."""
     split = docs.where(F.col(doc_id).isNotNull()).select(F.col(doc_id).cast("long").alias("doc_id"), F.posexplode(F.split(F.col(text), "\n", -1)).alias("line_no", "line"))
     return split.where(F.char_length("line") >= SHORTEST).withColumn("hash", F.xxhash64("line"))
 
 
-def near_links(met: DataFrame, texts: DataFrame) -> DataFrame:
-    """(a, b): hashes of lines that are within the edits, enough of them to connect every class."""
+def _parted(met: DataFrame) -> DataFrame:
+    """Rows of a key under the pairs of parts (p, q) that its lines are dealt into."""
     parts = F.ceil(F.col("n") / BUCKET)
     entries = met.withColumn("own", F.pmod(F.xxhash64("line", F.lit(2)), parts)).withColumn("other", F.explode(F.sequence(F.lit(0).cast("long"), (parts - 1).cast("long"))))
-    entries = entries.select("key", "line", "indexed", F.least("own", "other").alias("p"), F.greatest("own", "other").alias("q"))
-    rows = dealt(entries.join(texts, "line"), ["key", "p", "q"], "line")
+    return entries.withColumn("p", F.least("own", "other")).withColumn("q", F.greatest("own", "other")).drop("own", "other", "n")
+
+
+def near_links(met: DataFrame, texts: DataFrame, allowed: Callable = two_edits) -> DataFrame:
+    """(a, b): hashes of lines that are within the edits, enough of them to connect every class."""
+    rows = dealt(_parted(met).select("key", "line", "indexed", "p", "q").join(texts, "line"), ["key", "p", "q"], "line")
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         a, b = [], []
         for table in groups(batches, ["key", "p", "q"]):
             ids, text = table.column("line").to_pylist(), table.column("text").to_pylist()
             size, own = np.array([len(x) for x in text]), np.flatnonzero(table.column("indexed").to_numpy(zero_copy_only=False))
-            label = np.arange(len(ids))
+            label, most = np.arange(len(ids)), allowed(size)
             for i in own:
-                open_ = (label != label[i]) & (size >= size[i]) & (size <= size[i] + EDITS)
+                open_ = (label != label[i]) & (size >= size[i]) & (size <= size[i] + most[i])
                 for j in np.flatnonzero(open_):
-                    if label[j] != label[i] and within(text[i], text[j]):
+                    if label[j] != label[i] and within(text[i], text[j], int(most[i])):
                         a.append(ids[i])
                         b.append(ids[j])
                         label[label == label[j]] = label[i]
@@ -149,20 +253,77 @@ def near_links(met: DataFrame, texts: DataFrame) -> DataFrame:
     return rows.mapInArrow(run, "a long, b long").distinct()
 
 
-def dropped(docs: DataFrame, doc_id: str = "doc_id", text: str = "text") -> DataFrame:
+def winnowed_links(met: DataFrame, texts: DataFrame) -> DataFrame:
+    """(a, b): lines that share a key and are within the edits of :func:`by_length`."""
+    rows = dealt(_parted(met).select("key", "line", "p", "q").join(signed(texts), "line").select("key", "p", "q", "line", "size", "bag"), ["key", "p", "q"], "size", "line")
+
+    def meet(table: pa.Table) -> Iterator[pa.RecordBatch]:
+        """Pairs of whole groups, a distance in the order of sizes at a time."""
+        key, p, q, line, size = (table.column(c).to_numpy() for c in range(5))
+        bag = np.frombuffer(b"".join(table.column(5).to_pylist()), np.uint16).reshape(-1, BINS).astype(np.int32)
+        at, most, step = np.arange(len(key)), by_length(size), 1
+        while len(at := at[at + step < len(key)]):
+            to = at + step
+            open_ = (key[at] == key[to]) & (p[at] == p[to]) & (q[at] == q[to]) & (size[to] <= size[at] + most[at])
+            at, to = at[open_], to[open_]
+            for c in range(0, len(at), 1 << 16):
+                i, j = at[c : c + (1 << 16)], to[c : c + (1 << 16)]
+                apart = bag[i] - bag[j]
+                close = (np.maximum(apart, 0).sum(1) <= most[i]) & (np.maximum(-apart, 0).sum(1) <= most[i]) & (line[i] != line[j])
+                low, high = np.minimum(line[i], line[j])[close], np.maximum(line[i], line[j])[close]
+                yield pa.RecordBatch.from_arrays([pa.array(low), pa.array(high)], ["a", "b"])
+            step += 1
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        held: list[pa.Table] = []
+        for batch in batches:
+            if not batch.num_rows:
+                continue
+            table = pa.concat_tables([*held, pa.Table.from_batches([batch])])
+            key = table.column(0).to_numpy()
+            change = np.flatnonzero(key[1:] != key[:-1])
+            cut = int(change[-1]) + 1 if len(change) else 0
+            if cut:
+                yield from meet(table.slice(0, cut))
+            held = [table.slice(cut)]
+        for table in held:
+            yield from meet(table)
+
+    pairs = materialise(rows.mapInArrow(run, "a long, b long").distinct(), "pairs")
+    told = pairs.join(texts.select(F.col("line").alias("a"), F.col("text").alias("x")), "a").join(texts.select(F.col("line").alias("b"), F.col("text").alias("y")), "b")
+
+    def verify(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            xs, ys = batch.column(2).to_pylist(), batch.column(3).to_pylist()
+            good = [near(x, y, int(by_length(np.array(min(len(x), len(y)))))) for x, y in zip(xs, ys, strict=True)]
+            yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(1)], ["a", "b"]).filter(pa.array(good, pa.bool_()))
+
+    return told.select("a", "b", "x", "y").mapInArrow(verify, "a long, b long")
+
+
+def dropped(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", allowed: Callable = two_edits) -> DataFrame:
     """doc_id and gone: which lines go, as (line number, hash) pairs."""
-    lines = lines_of(docs, doc_id, text)
+    lines = lines_of(docs, doc_id, text, allowed)
     places_ = materialise(lines.select("hash", "doc_id", "line_no"), "lines")
-    keys = segment_keys(lines.select("hash", "line"), doc_id, text)
+    keys = segment_keys(lines.select("hash", "line"), allowed)
     w = Window.partitionBy("key")
     met = keys.select("key", "line", "indexed", F.count(F.lit(1)).over(w).alias("n"), F.min("line").over(w).alias("low"), F.max("line").over(w).alias("high"), F.bool_or("indexed").over(w).alias("any"))
     met = materialise(met.where("low < high AND any").groupBy("key", "line").agg(F.bool_or("indexed").alias("indexed"), F.max("n").alias("n")), "met")
     at = places_.groupBy("hash").agg(F.min(F.struct("doc_id", "line_no")).alias("first"), F.count(F.lit(1)).alias("copies"))
     firsts = materialise(at, "firsts")
-    wanted = met.select(F.col("line").alias("hash")).distinct()
+    wanted = met.select(F.col("line").alias("hash"))
+    if allowed is by_length:
+        long = winnowed_keys(lines.where(F.char_length("line") >= WINNOWED).select("hash", "line")).distinct()
+        long = long.withColumn("n", F.count(F.lit(1)).over(w)).where("n > 1")
+        long = materialise(long, "winnowed")
+        wanted = wanted.union(long.select(F.col("line").alias("hash")))
+    wanted = wanted.distinct()
     texts = lines.join(firsts.join(wanted, "hash", "left_semi").select(F.col("first.doc_id").alias("doc_id"), F.col("first.line_no").alias("line_no"), "hash"), ["doc_id", "line_no", "hash"], "left_semi")
     texts = materialise(texts.groupBy(F.col("hash").alias("line")).agg(F.first("line").alias("text")), "texts")
-    labels = components(near_links(met, texts))
+    links = near_links(met, texts, allowed)
+    if allowed is by_length:
+        links = links.union(winnowed_links(long, texts))
+    labels = components(links)
     classed = firsts.join(labels.withColumnRenamed("node", "hash"), "hash", "left").withColumn("label", F.coalesce("label", "hash"))
     kept = classed.groupBy("label").agg(F.min("first").alias("kept"), F.sum("copies").alias("copies")).where("copies > 1")
     going = materialise(classed.select("hash", "label").join(kept, "label").select("hash", "kept"), "going")
@@ -170,10 +331,10 @@ def dropped(docs: DataFrame, doc_id: str = "doc_id", text: str = "text") -> Data
     return out.groupBy("doc_id").agg(F.collect_set(F.struct("line_no", "hash")).alias("gone"))
 
 
-def dedup(docs: DataFrame, doc_id: str = "doc_id", text: str = "text") -> DataFrame:
-    """The documents with later copies of lines taken out; columns as they came."""
+def dedup(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", allowed: Callable = two_edits) -> DataFrame:
+    """The documents with later copies of lines taken out; columns as they came. allowed: two_edits or by_length."""
     names = docs.columns
-    gone = dropped(docs, doc_id, text).select(F.col("doc_id").alias("__id"), "gone")
+    gone = dropped(docs, doc_id, text, allowed).select(F.col("doc_id").alias("__id"), "gone")
     joined = docs.join(gone, F.col(doc_id).cast("long") == F.col("__id"), "left")
     left = F.filter(F.split(F.col(text), "\n", -1), lambda x, i: ~F.array_contains(F.col("gone"), F.struct(i.alias("line_no"), F.xxhash64(x).alias("hash"))))
     cut = F.when(F.col("gone").isNull(), F.col(text)).otherwise(F.array_join(left, "\n"))
