@@ -15,8 +15,8 @@ code points leave few of those pairs, which bit-parallel columns verify. Both wa
 
 Lines that links connect make a class. Its first line, by doc_id and line number, stays.
 
-Lines part at line feeds. Lines of fewer than 20 code points are never dropped (they carry too little to be
-called copies). Documents keep all their other columns; a text that loses every line becomes empty, a null
+Lines part at line feeds. two_edits never drops lines of fewer than 20 code points. by_length drops their
+copies too, near ones at one edit from 10 code points on; only blank lines stay. Documents keep all their other columns; a text that loses every line becomes empty, a null
 text stays null. Rows with a null doc_id pass unchanged. Rows that share doc_id and text are one document,
 kept or cut alike. An empty table gives an empty result.
 """
@@ -30,7 +30,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from .common import coefficients, components, dealt, groups, materialise, mix, slices
+from .common import WORD, coefficients, components, dealt, groups, materialise, mix, slices
 
 EDITS, SHORTEST = 2, 20
 WINNOWED = 60  # code points of a shorter line from which by_length has its lines meet by winnowing
@@ -84,8 +84,8 @@ def two_edits(size: np.ndarray) -> np.ndarray:
 
 
 def by_length(size: np.ndarray) -> np.ndarray:
-    """One edit for each 20 code points of the shorter line, two at least."""
-    return np.where(size >= SHORTEST, np.maximum(EDITS, size // 20), -1)
+    """One edit for each 20 code points of the shorter line, two at least; one below 20 code points, none below 10."""
+    return np.where(size >= SHORTEST, np.maximum(EDITS, size // 20), size // 10)
 
 
 def near(a: str, b: str, edits: int) -> bool:
@@ -218,7 +218,8 @@ def signed(texts: DataFrame) -> DataFrame:
 def lines_of(docs: DataFrame, doc_id: str, text: str, allowed: Callable = two_edits) -> DataFrame:
     """doc_id, line_no (from 0), line and its hash, of the lines that can be dropped."""
     split = docs.where(F.col(doc_id).isNotNull()).select(F.col(doc_id).cast("long").alias("doc_id"), F.posexplode(F.split(F.col(text), "\n", -1)).alias("line_no", "line"))
-    return split.where(F.char_length("line") >= SHORTEST).withColumn("hash", F.xxhash64("line"))
+    taking_part = F.col("line").rlike(WORD) if allowed is by_length else F.char_length("line") >= SHORTEST
+    return split.where(taking_part).withColumn("hash", F.xxhash64("line"))
 
 
 def _parted(met: DataFrame) -> DataFrame:

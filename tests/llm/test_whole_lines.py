@@ -77,3 +77,28 @@ def test_pipeline_stage_follows_the_length(spark):
     text = "The quick brown fox jumps over the lazy dog while the band plays on in the old town square tonight."
     df = spark.createDataFrame([(1, text, 0), (2, text.replace("quick", "swift"), 0)], "doc_id long, text string, n_chars int")
     assert {r["doc_id"]: r["text"] for r in line_dedup_stage(spark, df, "").collect()} == {1: text, 2: ""}
+
+
+def test_short_lines(spark):
+    texts = ["The end of it\nLes.\n\n \nab", "Les.\nThe and of it\n\n \nLes!", "Les.\nab\nac\nThe ant of it", None, "Short of it"]
+    df = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
+    got = {r["doc_id"]: r["text"] for r in line_dedup.dedup(df, allowed=line_dedup.by_length).collect()}
+    # exact copies go at any length; "end" and "and" are one edit apart, and so are "and" and "ant"; below 10 code points no near copy goes
+    assert got == {0: texts[0], 1: "\n \nLes!", 2: "ac", 3: None, 4: texts[4]}
+
+
+def test_all_pairs_of_short_lines(spark):
+    r = random.Random(3)
+    texts = [edited(r, "".join(r.choice("ab ") for _ in range(size)) + "y", 1) for size in (3, 8, 9, 10, 11, 17, 18, 19, 20, 21) for _ in range(30)]
+    label = list(range(len(texts)))
+    for i, a in enumerate(texts):
+        for j, b in enumerate(texts[:i]):
+            n = min(len(a), len(b))
+            if a.strip() and b.strip() and plain(a, b) <= (2 if n >= 20 else n // 10):
+                label = [label[j] if x == label[i] else x for x in label]
+    first = {}
+    for k, x in enumerate(label):
+        first.setdefault(x, k)
+    df = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
+    got = {r["doc_id"]: r["text"] for r in line_dedup.dedup(df, allowed=line_dedup.by_length).collect()}
+    assert got == {k: x if first[label[k]] == k else "" for k, x in enumerate(texts)}
