@@ -8,11 +8,14 @@ With bands of one row, 32 of them meet with probability 1 - 0.75 ** 32 = 0.9999.
 five shingles has to be there in full and is read with windows of its own length, whose one band meets for
 sure. What bands retrieve is verified by exact containment of shingles, as strings.
 
+A template of fewer than five words has its whole word sequence as its one shingle and is met by windows of
+that many words, as strings. A template without words is an error.
+
 Before that, a plain filter passes over texts that cannot hold any template: more than a fifth of the
 shingles of each template hold one of a few words (chosen by :func:`anchors` from the templates), so a text
 without any of them holds less than four fifths of each.
 
-Words are runs of a-z and 0-9 after A-Z became a-z. Null, empty and short texts give no rows; repeated rows
+Words are runs of a-z and 0-9 after A-Z became a-z. Null and empty texts give no rows; repeated rows
 give rows of their own; an empty table gives an empty result; columns beyond the two named ones are not read.
 """
 
@@ -45,6 +48,9 @@ TEMPLATES = {
     "Unlicense": "This is free and unencumbered software released into the public domain.",
 }
 
+#: What a scan looks for unless told otherwise; op4_license_scans looks for TEMPLATES, as its SQL does.
+NOTICES = TEMPLATES | {"All-rights-reserved": "All rights reserved."}
+
 
 def words_of(text: str) -> list[str]:
     return re.findall("[a-z0-9]+", re.sub("[A-Z]", lambda m: m[0].lower(), text))
@@ -52,7 +58,7 @@ def words_of(text: str) -> list[str]:
 
 def shingles_of(text: str) -> list[str]:
     w = words_of(text)
-    return list(dict.fromkeys(" ".join(w[i : i + WIDTH]) for i in range(len(w) - WIDTH + 1)))
+    return list(dict.fromkeys(" ".join(w[i : i + WIDTH]) for i in range(max(len(w) - WIDTH, 0) + 1))) if w else []
 
 
 def anchors(templates: dict[str, str]) -> list[str]:
@@ -78,18 +84,35 @@ def band_class(n: int) -> tuple[int, int, int]:
 
 def scan(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", templates: dict[str, str] | None = None) -> DataFrame:
     """doc_id, license, n_template (its shingles) and n_found (those in the document), a row for each license of a row."""
-    spark, templates = docs.sparkSession, templates or TEMPLATES
-    own = {k: s for k, t in templates.items() if (s := shingles_of(t))}
+    spark, templates = docs.sparkSession, templates or NOTICES
+    if empty := [k for k, t in templates.items() if not words_of(t)]:
+        raise ValueError(f"templates without words: {', '.join(empty)}")
+    own = {k: shingles_of(t) for k, t in templates.items() if len(words_of(t)) >= WIDTH}
+    short = [(k, len(w), " ".join(w)) for k, t in templates.items() if len(w := words_of(t)) < WIDTH]
     found = "|".join(anchors(templates))
     upper, lower = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
     low = F.translate(F.col(text), upper, lower)
     near = docs.select(F.col(doc_id).cast("long").alias("doc_id"), low.alias("low")).where(F.col("low").rlike(f"(?<![a-z0-9])(?:{found})(?![a-z0-9])"))
-    near = near.select("doc_id", F.filter(F.split("low", "[^a-z0-9]+"), lambda x: x != "").alias("words")).where(F.size("words") >= WIDTH)
-    shingles = F.transform(F.sequence(F.lit(1), F.size("words") - WIDTH + 1), lambda i: F.concat_ws(" ", F.slice("words", i, WIDTH)))
+    near = near.select("doc_id", F.filter(F.split("low", "[^a-z0-9]+"), lambda x: x != "").alias("words"))
+
+    def windowed(width: int):
+        all_ = F.transform(F.sequence(F.lit(1), F.size("words") - width + 1), lambda i: F.concat_ws(" ", F.slice("words", i, width)))
+        return F.when(F.size("words") >= width, all_).otherwise(F.array().cast("array<string>"))
+
+    shingles = windowed(WIDTH)
     kept = materialise(near.select("doc_id", F.monotonically_increasing_id().alias("row"), "words"), "words")
     # dealt by row once: windows are then grouped, and matches joined to their texts, where the texts already are
     texts = kept.repartition(int(spark.conf.get("spark.sql.shuffle.partitions")), "row")
 
+    parts = []
+    if short:
+        phrases = spark.createDataFrame(short, "license string, width int, s string")
+        seen = F.array_distinct(F.concat(*[windowed(n) for n in sorted({n for _, n, _ in short})]))
+        met = kept.select("doc_id", F.explode(seen).alias("s")).join(F.broadcast(phrases), "s")  # the short templates
+        parts.append(met.select("doc_id", "license", F.lit(1).cast("long").alias("n_template"), F.lit(1).cast("long").alias("n_found")))
+    if not own:
+        return parts[0]
+
     table = spark.createDataFrame([(k, *band_class(len(s)), s) for k, s in own.items()], "license string, window int, step int, bands int, shingles array<string>")
     classes = sorted({band_class(len(s)) for s in own.values()})
 
@@ -108,9 +131,10 @@ def scan(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", templates:
     windows = placed.groupBy("row", "window", "bands", "at").agg(*signature(F.col("h")))
     met = bands(windows, "row", "window").join(F.broadcast(known), ["window", "band", "value"]).select("row", "license").distinct()  # known: BANDS values of each template
     held = F.size(F.array_intersect(shingles, "template"))
-    return (
+    whole = (
         met.join(F.broadcast(table.select("license", F.col("shingles").alias("template"))), "license")  # the templates
         .join(texts, "row")
         .select("doc_id", "license", F.size("template").cast("long").alias("n_template"), held.cast("long").alias("n_found"))
         .where(f"100 * n_found >= {CONTAINED} * n_template")
     )
+    return whole.unionByName(parts[0]) if parts else whole

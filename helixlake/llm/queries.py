@@ -42,7 +42,7 @@ def op3_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op4_license_scans(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return licenses.scan(table(spark, sf_dir, "documents"))
+    return licenses.scan(table(spark, sf_dir, "documents"), templates=licenses.TEMPLATES)
 
 
 def op5_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
