@@ -4,14 +4,16 @@ Vectors are normalised to length one. Codebooks of full-dimensional codewords ar
 other on the residuals of a bounded sample; a vector is encoded by beam search as one codeword of each, and
 the norm of their sum is stored beside the codes. A query is compared with all codes through tables of its
 inner products with the codewords; the best of each block of codes are reranked exactly, in double precision,
-on the original vectors.
+on the original vectors. The k-th score so found is a floor: a second pass computes the exact score of every
+vector whose inner product by its code, plus the length of what the code leaves over, can reach the floor, so
+nothing is lost to the number of codes reranked, however many vectors crowd in one direction.
 
 The index holds every distinct vector once, with the few smallest ids that share it (as many as a result
 can use), so thousands of copies cannot crowd a shortlist. Codes travel in packs. A task takes a block of queries
 through all packs of one half of the index and keeps each query's best on the way, so what it emits follows the
 number of queries, not that of packs.
 
-Null vectors, zero vectors and those with a null or non-finite component take no part; so do rows with a
+Scores that agree in twelve decimals are ties. Null vectors, zero vectors and those with a null or non-finite component take no part; so do rows with a
 null id. Ties go to the smaller id. Rows with equal ids count as one vector each. With fewer candidates than
 neighbours asked for, all are returned; an empty table gives an empty result.
 """
@@ -34,6 +36,8 @@ MAX_TRAIN = 12_000
 #: Codes that are reranked exactly for a query: so many, or twice the root of the size of the index if that is more.
 RERANKED = 512
 PACK, SCAN, HALVES, QUERY_BLOCK = 512, 4096, 2, 512  # codes of a row, codes scored at once, parts of the index, queries of a task
+#: Vectors of a part of the index in the second pass; what an inner product in single precision may be off; decimals of a score.
+PART, SLACK, DECIMALS = 65_536, 1e-4, 12
 
 
 def unit(x: np.ndarray) -> np.ndarray:
@@ -137,6 +141,52 @@ class Nearest:
             yield pa.RecordBatch.from_arrays([pa.array(np.repeat(self.queries, self.node.shape[1])), pa.array(self.node.ravel()), pa.array(self.score.ravel().astype(np.float64))], ["query_id", "node", "near"])
 
 
+class Reaching:
+    """The ``keep`` best vectors of each query of a block, of those whose bound reaches the query's floor."""
+
+    def __init__(self, books: np.ndarray, keep: int):
+        self.books, self.keep = books, keep
+        self.start(None)
+
+    def start(self, key: tuple[int, int] | None) -> None:
+        self.key, self.queries, self.best = key, [], []
+        self.unit, self.floor, self.tables = None, np.zeros(0), None
+
+    def ask(self, queries: list[int], vectors: np.ndarray, floor: np.ndarray) -> None:
+        own = unit(vectors)
+        self.unit = own if self.unit is None else np.concatenate([self.unit, own])
+        self.queries += queries
+        self.floor = np.concatenate([self.floor, floor])
+        self.best += [(np.zeros(0), np.zeros(0, np.int64)) for _ in queries]
+        self.tables = np.einsum("qd,mwd->mwq", self.unit.astype(np.float32), self.books, optimize=True)
+
+    def meet(self, ids: np.ndarray, codes: np.ndarray, gaps: np.ndarray, vectors: np.ndarray) -> None:
+        if not self.queries:
+            return
+        codes = codes.reshape(-1, len(self.books))
+        bound = self.tables[0][codes[:, 0]]
+        for m in range(1, len(self.books)):
+            bound += self.tables[m][codes[:, m]]
+        bound += gaps[:, None] + np.float32(SLACK)
+        some = np.flatnonzero((bound >= self.floor).any(1))
+        if not len(some):
+            return
+        score = np.round(self.unit @ vectors.reshape(len(ids), -1)[some].T, DECIMALS)
+        open_ = score >= self.floor[:, None]
+        for q in np.flatnonzero(open_.any(1)):
+            at = np.flatnonzero(open_[q])
+            value, node = np.concatenate([self.best[q][0], score[q, at]]), np.concatenate([self.best[q][1], ids[some[at]]])
+            top = np.lexsort((node, -value))[: self.keep]
+            self.best[q] = value[top], node[top]
+            if len(top) == self.keep:
+                self.floor[q] = max(self.floor[q], value[top[-1]])
+
+    def rows(self) -> Iterator[pa.RecordBatch]:
+        if self.queries:
+            query = np.repeat(np.array(self.queries, np.int64), [len(v) for v, _ in self.best])
+            yield pa.RecordBatch.from_arrays([pa.array(query), pa.array(np.concatenate([n for _, n in self.best])), pa.array(np.concatenate([v for v, _ in self.best]))], ["query_id", "node", "score"])
+
+
 def _runs(batch: pa.RecordBatch, keys: list[str]) -> Iterator[pa.RecordBatch]:
     """Pieces of a sorted batch with equal keys."""
     change = np.zeros(batch.num_rows, bool)
@@ -215,10 +265,11 @@ def _search_index(index: DataFrame, n: int, queries: DataFrame, books: np.ndarra
             codes = encoded(x, books)
             whole = sum(books[m][codes[:, m]] for m in range(len(books)))
             norm, nodes = np.linalg.norm(whole, axis=1).astype(np.float32), batch.column(0).to_numpy()
-            packs = [(int(nodes[a]), nodes[a : a + PACK].tobytes(), codes[a : a + PACK].tobytes(), norm[a : a + PACK].tobytes()) for a in range(0, len(x), PACK)]
-            yield pa.RecordBatch.from_arrays([pa.array(c) for c in zip(*packs, strict=True)], ["pack", "ids", "codes", "norms"])
+            gap = np.linalg.norm(x - whole, axis=1).astype(np.float32)
+            packs = [(int(nodes[a]), *(v[a : a + PACK].tobytes() for v in (nodes, codes, norm, gap, x))) for a in range(0, len(x), PACK)]
+            yield pa.RecordBatch.from_arrays([pa.array(c) for c in zip(*packs, strict=True)], ["pack", "ids", "codes", "norms", "gaps", "units"])
 
-    coded = materialise(index.select("node", "vector").mapInArrow(code, "pack long, ids binary, codes binary, norms binary"), "codes")
+    coded = materialise(index.select("node", "vector").mapInArrow(code, "pack long, ids binary, codes binary, norms binary, gaps binary, units binary"), "codes")
     ask_blocks = max(1, -(-queries.count() // QUERY_BLOCK))
     asked = queries.select(F.col("vec_id").alias("query_id"), "vector").distinct().withColumn("asked", F.pmod(F.xxhash64("query_id", F.lit("q")), F.lit(ask_blocks)))
     asked = materialise(asked, "queries")
@@ -263,5 +314,38 @@ def _search_index(index: DataFrame, n: int, queries: DataFrame, books: np.ndarra
 
     scored = full.select("query_id", "found", "vector", "ids").mapInArrow(rerank, "query_id long, ids array<long>, score double")
     every = scored.select("query_id", "score", F.explode("ids").alias("vec_id")).where("vec_id <> query_id")
-    rank = Window.partitionBy("query_id").orderBy(F.desc("score"), "vec_id")
+    rank = Window.partitionBy("query_id").orderBy(F.desc(F.round("score", DECIMALS)), "vec_id")
+    first = every.withColumn("rank", F.row_number().over(rank)).where(F.col("rank") == k).select("query_id", (F.col("score") - 10.0**-DECIMALS).alias("floor"))
+    every = _reaching(index, n, coded, asked.join(materialise(first, "floors"), "query_id", "left"), ask_blocks, shipped, k)
     return every.withColumn("rank", F.row_number().over(rank)).where(F.col("rank") <= k).select("query_id", "rank", "vec_id", "score")
+
+
+def _reaching(index: DataFrame, n: int, coded: DataFrame, asked: DataFrame, ask_blocks: int, shipped, k: int) -> DataFrame:
+    """query_id, score, vec_id: of all vectors that can reach a query's floor the best, enough for k of them; the query itself is left out."""
+    parts = max(HALVES, -(-n // PART))
+    kinds = "cast(asked as int) asked", "cast(part as int) part"
+    packs = coded.select(F.explode(F.sequence(F.lit(0), F.lit(ask_blocks - 1))).alias("asked"), F.pmod(F.xxhash64("pack"), F.lit(parts)).alias("part"), "pack", "ids", "codes", "gaps", "units")
+    packs = packs.selectExpr(*kinds, "1 kind", "pack id", "ids", "codes", "gaps", "units", "cast(null as array<double>) vector", "cast(null as double) floor")
+    asks = asked.select("asked", "query_id", "vector", F.coalesce("floor", F.lit(-2.0)).alias("floor"), F.explode(F.sequence(F.lit(0), F.lit(parts - 1))).alias("part"))
+    asks = asks.selectExpr(*kinds, "0 kind", "query_id id", *[f"cast(null as binary) {c}" for c in ("ids", "codes", "gaps", "units")], "vector", "floor")
+
+    def scan(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        best = Reaching(shipped.value, k + 1)
+        for batch in batches:
+            if not batch.num_rows:
+                continue
+            for part in _runs(batch, ["asked", "part", "kind"]):
+                key, kind = (part.column(0)[0].as_py(), part.column(1)[0].as_py()), part.column(2)[0].as_py()
+                if key != best.key:
+                    yield from best.rows()
+                    best.start(key)
+                if kind == 0:
+                    best.ask(part.column(3).to_pylist(), np.array(part.column(8).to_pylist(), np.float64), part.column(9).to_numpy())
+                else:
+                    for a in range(0, part.num_rows, SCAN // PACK):
+                        ids, codes, gaps, units = (b"".join(part.column(c).slice(a, SCAN // PACK).to_pylist()) for c in (4, 5, 6, 7))
+                        best.meet(np.frombuffer(ids, np.int64), np.frombuffer(codes, np.uint8), np.frombuffer(gaps, np.float32), np.frombuffer(units))
+        yield from best.rows()
+
+    near = dealt(packs.unionByName(asks), ["asked", "part"], "kind", "id").mapInArrow(scan, "query_id long, node long, score double")
+    return near.join(index.select("node", "ids"), "node").select("query_id", "score", F.explode("ids").alias("vec_id")).where("vec_id <> query_id")
