@@ -1,4 +1,4 @@
-"""Sequence search: k-mer candidates and ungapped diagonals."""
+"""Sequence search: k-mer candidates on diagonals; they are not aligned yet."""
 
 from __future__ import annotations
 
