@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 
 
 CHUNK = 256
+HOT = 10_000  # places of a k-mer in the references, above which it is dealt into parts
 
 
 def kmers(sequences: DataFrame, key: str, sequence: str, k: int) -> DataFrame:
@@ -19,15 +20,19 @@ def kmers(sequences: DataFrame, key: str, sequence: str, k: int) -> DataFrame:
     return rows.select(key, (F.col("__at") + F.col("__i")).alias("pos"), F.substring("__part", F.col("__i"), F.lit(k)).alias("kmer"))
 
 
-def candidates(queries: DataFrame, refs: DataFrame, k: int = 12, min_shared: int = 2, max_refs: int | None = 200) -> DataFrame:
+def candidates(queries: DataFrame, refs: DataFrame, k: int = 12, min_shared: int = 2, max_refs: int | None = None) -> DataFrame:
     """(query, ref, diagonal, shared): k-mers that a query and a reference share on one diagonal.
 
-    k-mers that more than ``max_refs`` references hold say little and are left out, as in any seeded search;
-    None keeps them all.
+    All k-mers count; those of many references are dealt over tasks. A caller who gives ``max_refs`` has
+    k-mers that more references hold left out.
     """
     q, r = kmers(queries, "query", "sequence", k), kmers(refs, "ref", "sequence", k)
     if max_refs is not None:
         common = r.groupBy("kmer").agg(F.countDistinct("ref").alias("n")).where(F.col("n") > max_refs)
         q = q.join(common, "kmer", "left_anti")
-    met = q.withColumnRenamed("pos", "qpos").join(r.withColumnRenamed("pos", "rpos"), "kmer")
+    hot = r.groupBy("kmer").agg(F.ceil(F.count(F.lit(1)) / HOT).alias("parts")).where("parts > 1").join(q.select("kmer"), "kmer", "left_semi")
+    parts = F.coalesce("parts", F.lit(1).cast("long"))
+    q = q.join(hot, "kmer", "left").withColumn("part", F.explode(F.sequence(F.lit(0).cast("long"), parts - 1))).drop("parts")
+    r = r.join(hot, "kmer", "left").withColumn("part", F.pmod(F.xxhash64("ref"), parts)).drop("parts")
+    met = q.withColumnRenamed("pos", "qpos").join(r.withColumnRenamed("pos", "rpos"), ["kmer", "part"])
     return met.groupBy("query", "ref", (F.col("rpos") - F.col("qpos")).cast("long").alias("diagonal")).agg(F.count(F.lit(1)).alias("shared"), F.min("qpos").alias("qstart"), F.max("qpos").alias("qlast")).where(F.col("shared") >= min_shared)
