@@ -1,0 +1,13 @@
+"""The pipeline's n-gram stage on repeated rows and null ids."""
+
+from corpus_pipeline import ngram_jaccard_join
+
+
+def test_one_row_of_each_group_stays(spark):
+    a, b, c = ("alpha beta gamma delta epsilon zeta eta theta", "one two three four five six", "sun moon star cloud rain snow")
+    rows = [(1, a), (1, a), (2, a), (None, a), (3, b), (None, c), (None, c), (None, ""), (None, ""), (None, None), (4, None), (4, None), (5, "x"), (5, b)]
+    df = spark.createDataFrame([(k, t, "s") for k, t in rows], "doc_id long, text string, source string").repartition(3)
+    out = ngram_jaccard_join(spark, df, "")
+    assert out.columns == df.columns
+    got = sorted(((r["doc_id"], r["text"]) for r in out.collect()), key=str)
+    assert got == sorted([(1, a), (3, b), (None, c), (None, ""), (None, ""), (None, None), (4, None)], key=str)
