@@ -314,9 +314,9 @@ def dropped(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", allowed
     firsts = materialise(at, "firsts")
     wanted = met.select(F.col("line").alias("hash"))
     if allowed is by_length:
-        long = winnowed_keys(lines.where(F.char_length("line") >= WINNOWED).select("hash", "line")).distinct()
-        long = long.withColumn("n", F.count(F.lit(1)).over(w)).where("n > 1")
-        long = materialise(long, "winnowed")
+        long = winnowed_keys(lines.where(F.char_length("line") >= WINNOWED).select("hash", "line"))
+        long = long.select("key", "line", F.count(F.lit(1)).over(w).alias("n"), F.min("line").over(w).alias("low"), F.max("line").over(w).alias("high"))
+        long = materialise(long.where("low < high").groupBy("key", "line").agg(F.max("n").alias("n")), "winnowed")
         wanted = wanted.union(long.select(F.col("line").alias("hash")))
     wanted = wanted.distinct()
     texts = lines.join(firsts.join(wanted, "hash", "left_semi").select(F.col("first.doc_id").alias("doc_id"), F.col("first.line_no").alias("line_no"), "hash"), ["doc_id", "line_no", "hash"], "left_semi")
