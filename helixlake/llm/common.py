@@ -2,18 +2,22 @@
 
 from __future__ import annotations
 
+import re
 import tempfile
 import uuid
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
+from pyspark.sql.pandas.types import to_arrow_schema
 
 #: A word is a run of anything but space, tab, line feed, vertical tab, form feed and carriage return.
 WORD = r"[^\x20\x09-\x0D]+"
 SLICE_BYTES = 4 << 20
+#: One owner in SAMPLE tells which keys are hot, of which there are SHARES at most; each is counted in SALTS parts.
+SAMPLE, SHARES, SALTS = 64, 10_000, 64
 
 _WS = np.zeros(256, bool)
 _WS[[0x20, *range(0x09, 0x0E)]] = True
@@ -36,9 +40,11 @@ def bounded(df: DataFrame, key: str, most: int) -> DataFrame:
 
 
 def shared_folder(spark: SparkSession) -> str:
-    """The folder all executors see; a local one is set only where the session names none."""
+    """The folder all executors see; one is made up only on a single machine, for tests."""
     where = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getCheckpointDir()
     if not where:
+        if not re.fullmatch(r"local(\[.*\])?", spark.sparkContext.master):
+            raise ValueError("set spark.checkpoint.dir to a folder that the driver and all executors see")
         where = "file://" + tempfile.mkdtemp(prefix="helixlake-")
         spark.conf.set("spark.checkpoint.dir", where)
     return where.rstrip("/")
@@ -47,10 +53,81 @@ def shared_folder(spark: SparkSession) -> str:
 def materialise(df: DataFrame, name: str) -> DataFrame:
     """Write ``df`` as a table in the shared folder and read it back: lineage ends here."""
     path = f"{shared_folder(df.sparkSession)}/{name}-{uuid.uuid4().hex}"
-    df.write.parquet(path)
+    df.write.option("compression", "zstd").parquet(path)
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
+def put_file(spark: SparkSession, name: str, content: bytes) -> str:
+    """Write a small file to the shared folder by Hadoop's file system, whatever its kind; returns its path."""
+    jvm = spark.sparkContext._jvm
+    path = jvm.org.apache.hadoop.fs.Path(f"{shared_folder(spark)}/{name}")
+    out = path.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).create(path)
+    try:
+        out.write(content)
+    finally:
+        out.close()
+    return path.toString()
+
+
+def in_one_task(rows: DataFrame, work: Callable[[pa.Table], bytes]) -> bytes:
+    """work(rows), done by one task: for samples of bounded size, so that the driver holds the outcome alone."""
+    empty = pa.RecordBatch.from_pylist([], to_arrow_schema(rows.schema))
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        held = [b for b in batches if b.num_rows]
+        yield pa.RecordBatch.from_arrays([pa.array([work(pa.Table.from_batches(held or [empty]))], pa.binary())], ["made"])
+
+    made = rows.repartition(1).mapInArrow(run, "made binary").first()
+    return bytes(made[0]) if made else work(pa.Table.from_batches([empty]))
+
+
+def told(owner: str) -> Column:
+    """The one owner in SAMPLE that tells which keys are hot."""
+    return F.pmod(F.xxhash64(owner, F.lit("hot")), F.lit(SAMPLE)) == 0
+
+
+def counted(rows: DataFrame, some: DataFrame, key: str, owner: str, more: dict[str, Column]) -> DataFrame:
+    """rows with n, how many of its rows a key has, and further aggregates over the key, each under its name.
+
+    ``some`` are the rows of the owners that :func:`told` picks. They tell the keys of very many rows, no more
+    than SHARES, so those are shipped to all tasks. Such a key is counted in SALTS parts, for no task has to hold
+    it whole; its n is the estimate, the same on all of its rows, and its further aggregates are null.
+    """
+    often = materialise(some.groupBy(key).agg(F.count(F.lit(1)).alias("__n")).where("__n >= 16"), "often")
+    least = (often.agg(F.sum("__n")).first()[0] or 0) / SHARES
+    hot = often.where(F.col("__n") >= least).select(key, (F.col("__n") * SAMPLE).alias("__hot"))
+    w = Window.partitionBy(key, F.when(F.col("__hot").isNotNull(), F.pmod(F.xxhash64(owner), F.lit(SALTS))))
+    found = rows.join(F.broadcast(hot), key, "left")  # SHARES rows at most
+    every = [F.when(F.col("__hot").isNull(), c.over(w)).alias(name) for name, c in more.items()]
+    return found.select(*rows.columns, F.coalesce("__hot", F.count(F.lit(1)).over(w)).alias("n"), *every)
+
+
+def parted(rows: DataFrame, key: str, owner: str, most: int) -> DataFrame:
+    """rows with part: a key of n rows is dealt into parts of about ``most``, each key in a way of its own."""
+    return rows.withColumn("part", F.pmod(F.xxhash64(owner, key), F.ceil(F.col("n") / most).cast("long")))
+
+
+def across(rows: DataFrame, key: str, owner: str, most: int) -> DataFrame:
+    """rows (key, owner, label, ...) under the pairs of parts (p, q) in which rows of different labels meet.
+
+    Only keys with several labels are left. Rows outside a key's largest label are few, as a rule; they are the
+    ones that ask: those of part p meet all rows of part q. With m that ask among n, a row is copied
+    m / most + 1 times and one that asks n / most + 1 times more, so a group that has become one label costs
+    nothing and a stray row in it little. ``asks`` says which.
+    """
+    per = rows.groupBy(key, "label").agg(F.count(F.lit(1)).alias("__c"))
+    per = per.groupBy(key).agg(F.sum("__c").alias("__n"), F.max_by("label", F.struct("__c", "label")).alias("__main"), F.max("__c").alias("__c"))
+    per = per.where("__n > __c").select(key, "__main", F.ceil((F.col("__n") - F.col("__c")) / most).cast("long").alias("__a"), F.ceil(F.col("__n") / most).cast("long").alias("__b"))
+    found = rows.join(per, key).withColumn("__asks", F.col("label") != F.col("__main"))
+    own = F.xxhash64(owner, F.lit(2))
+    every = lambda n, asks: F.transform(F.sequence(F.lit(0).cast("long"), n - 1), asks)
+    met = every(F.col("__a"), lambda p: F.struct(p.alias("p"), F.pmod(own, F.col("__b")).alias("q"), F.lit(False).alias("asks")))
+    ask = every(F.col("__b"), lambda q: F.struct(F.pmod(own, F.col("__a")).alias("p"), q.alias("q"), F.lit(True).alias("asks")))
+    # in its own pair of parts a row that asks is there once, asking
+    both = F.concat(ask, F.filter(met, lambda x: x.p != F.pmod(own, F.col("__a"))))
+    return found.select(*rows.columns, F.explode(F.when(F.col("__asks"), both).otherwise(met)).alias("__x")).select(*rows.columns, "__x.p", "__x.q", "__x.asks")
+
+
 def slices(batches: Iterator[pa.RecordBatch], text: str, most: int = SLICE_BYTES) -> Iterator[pa.RecordBatch]:
     """Cut Arrow batches so that the texts of each piece stay near ``most`` bytes (one row at least)."""
     for batch in batches:
