@@ -9,12 +9,15 @@ part. Documents are therefore first dealt into cells, in which every linked pair
 one fixed order, rare groups first, two sets that are similar enough share a shingle among the first
 n - ceil(0.8 n) + 1 of each. Each cell gets a small R-tree of its own. A cell of many documents is dealt
 into pairs of parts, so none outgrows a task. Documents with equal sets stand in for one another from the
-start. The cells are read three times. First each document gets the smallest partner that the bound leaves
-it, one pair for each document, and these pairs are verified; what they connect becomes one component. Then
-the cells are read for the other pairs that the bound leaves between different components, and these are
-verified, too: one by one, or, where a cell has very many, within the cell, which its documents then reach
-with their texts. So a large
-group of copies costs no quadratic number of rows, and no link between components is lost.
+start.
+
+The cells are read twice. A first look takes a few cells of each document, large ones in parts, and gives each
+document the smallest partner there that the bound leaves it; these pairs are verified, and what they connect
+becomes one component. A group of copies is one component then, as a rule. The second look takes every cell
+that still holds several components and all pairs across them that the bound leaves, and verifies those: one
+by one, or, where a cell has very many, within the cell, which its documents then reach with their texts. In a
+large cell only the documents outside its largest component meet all others, part by part. So a large group
+of copies costs rows in proportion to it, and no link between components is lost.
 
 Nulls: a null or empty text, or one without words, has the empty set and links with nothing; rows with a
 null doc_id are returned with a null component. Rows that share a doc_id count as linked. A text of fewer
@@ -30,12 +33,13 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from .common import components, dealt, groups, materialise, mix, shingle_sets, slices, text_bytes
+from .common import across, components, counted, dealt, groups, in_one_task, materialise, mix, parted, shingle_sets, slices, text_bytes, told
 
 WIDTH, SIMILARITY = 5, 80  # words of a shingle; per cent
 GROUPS, MOST_GROUPS = 256, 4096  # coordinates of a point: half as many as shingles, within these
 PAGE = 32  # points of a leaf, and children of a node
 CELL = 1500  # documents of a cell, above which it is dealt into parts
+FIRST = 4  # cells of a document that the first look takes
 FEW = 4  # pairs for each document of a cell that are verified one by one
 LEVEL_BITS = 20  # groups of the table of frequencies: 1 MB, whatever the input
 _U = np.uint64
@@ -57,10 +61,13 @@ def frequent_groups(docs: DataFrame, text: str) -> np.ndarray:
         at = np.flatnonzero(seen >= 3 + 4 * total / len(seen))
         yield pa.RecordBatch.from_arrays([pa.array(at), pa.array(seen[at])], ["g", "n"])
 
-    rows = docs.select(F.col(text).alias(text)).mapInArrow(count, "g long, n long").groupBy("g").agg(F.sum("n").alias("n")).where("n >= 8").toPandas()
-    out = np.zeros(1 << LEVEL_BITS, np.uint8)
-    out[rows["g"].to_numpy(np.int64)] = np.log2(rows["n"].to_numpy(np.float64)).astype(np.uint8) if len(rows) else 0
-    return out
+    def levels(table: pa.Table) -> bytes:
+        out = np.zeros(1 << LEVEL_BITS, np.uint8)
+        out[table.column("g").to_numpy()] = np.log2(table.column("n").to_numpy().astype(np.float64)).astype(np.uint8)
+        return out.tobytes()
+
+    rows = docs.select(F.col(text).alias(text)).mapInArrow(count, "g long, n long").groupBy("g").agg(F.sum("n").alias("n")).where("n >= 8")
+    return np.frombuffer(in_one_task(rows, levels), np.uint8)  # a row for each of 2**20 groups at most
 
 
 def sketches(docs: DataFrame, level: np.ndarray, doc_id: str, text: str) -> DataFrame:
@@ -120,21 +127,28 @@ def similar(s: np.ndarray, t: np.ndarray) -> bool:
 
 
 class RTree:
-    """Points packed into pages of neighbours by size, page corners packed into nodes, and so on up."""
+    """Points packed into pages of neighbours by size, page corners packed into nodes, and so on up.
+
+    With labels, points of one label are packed together and pairs of one label are left out.
+    """
 
-    def __init__(self, points: np.ndarray, size: np.ndarray):
-        self.order = np.lexsort((points[:, 0], size)) if len(size) > 2 else np.arange(len(size))
-        tops, sizes = points[self.order], size[self.order]
-        self.levels = [(tops, sizes, sizes)]  # upper corner, smallest and largest set; of points, pages, nodes
+    def __init__(self, points: np.ndarray, size: np.ndarray, label: np.ndarray | None = None):
+        own = np.zeros(len(size), np.int64) if label is None else label
+        self.labelled = label is not None
+        self.order = np.lexsort((points[:, 0], size, own)) if len(size) > 2 else np.arange(len(size))
+        tops, sizes, own = points[self.order], size[self.order], own[self.order]
+        self.levels = [(tops, sizes, sizes, own, own)]  # upper corner, smallest and largest set and label; of points, pages, nodes
         while len(self.levels[-1][0]) > PAGE:
-            tops, low, high = self.levels[-1]
+            tops, low, high, first, last = self.levels[-1]
             cut = np.arange(0, len(tops), PAGE)
-            self.levels.append((np.maximum.reduceat(tops, cut), np.minimum.reduceat(low, cut), np.maximum.reduceat(high, cut)))
+            self.levels.append((np.maximum.reduceat(tops, cut), np.minimum.reduceat(low, cut), np.maximum.reduceat(high, cut), np.minimum.reduceat(first, cut), np.maximum.reduceat(last, cut)))
 
     def near(self, level: int, a: np.ndarray, b: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
         """Of all entries a with all entries b of a level, the pairs (a <= b) that the bound doesn't part."""
-        tops, low, high = self.levels[level]
+        tops, low, high, first, last = self.levels[level]
         ok = (100 * high[a][:, None] >= SIMILARITY * low[b][None, :]) & (100 * high[b][None, :] >= SIMILARITY * low[a][:, None])
+        if self.labelled:
+            ok &= (first[a][:, None] != last[b][None, :]) | (last[a][:, None] != first[b][None, :])
         i, j = np.nonzero(ok & (a[:, None] <= b[None, :] if level else a[:, None] < b[None, :]))
         a, b = a[i], b[j]
         # |A n B| >= s |A u B| means (1 + s) |A n B| >= s (|A| + |B|)
@@ -160,41 +174,48 @@ class RTree:
 def cells(sketch: DataFrame) -> DataFrame:
     """(cell, n, doc_id) of the cells with two documents or more; cells with the same documents count once."""
     entries = sketch.select("doc_id", F.explode("prefix").alias("cell"))
-    w = Window.partitionBy("cell")
     own, other = F.xxhash64("doc_id"), F.xxhash64("doc_id", F.lit(1))
-    met = materialise(
-        entries.select("cell", "doc_id", F.count(F.lit(1)).over(w).alias("n"), F.bit_xor(own).over(w).alias("x"), F.bit_xor(other).over(w).alias("y")).where("n > 1"), "cells"
-    )
-    first = met.groupBy("n", "x", "y").agg(F.min("cell").alias("cell"))
-    return met.join(first.select("cell"), "cell", "left_semi").select("cell", "n", "doc_id")
+    met = counted(entries, entries.where(told("doc_id")), "cell", "doc_id", {"x": F.bit_xor(own), "y": F.bit_xor(other)})
+    met = materialise(met.where("n > 1"), "cells")
+    first = met.where("x IS NOT NULL").groupBy("n", "x", "y").agg(F.min("cell").alias("cell"))
+    single = met.where("x IS NOT NULL").join(first.select("cell"), "cell", "left_semi").unionByName(met.where("x IS NULL"))
+    return single.select("cell", "n", "doc_id")
 
 
-def in_parts(met: DataFrame) -> DataFrame:
-    """Cells of many documents dealt into pairs of parts: (cell, p, q, and the other columns)."""
-    parts = F.ceil(F.col("n") / CELL)
-    own = met.withColumn("own", F.pmod(F.xxhash64("doc_id", F.lit(2)), parts)).withColumn("other", F.explode(F.sequence(F.lit(0).cast("long"), (parts - 1).cast("long"))))
-    return own.withColumn("p", F.least("own", "other")).withColumn("q", F.greatest("own", "other")).drop("n", "own", "other")
+def first_look(met: DataFrame) -> DataFrame:
+    """(cell, part, doc_id) of the FIRST cells of each document by hash, an order that its near copies share."""
+    order = Window.partitionBy("doc_id").orderBy(F.xxhash64("cell"), "cell")
+    some = met.withColumn("nth", F.row_number().over(order)).where(f"nth <= {FIRST}").drop("nth")
+    # the smallest document of a large cell goes to all of its parts, so that a group of copies becomes one component
+    every = F.explode(F.sequence(F.lit(0).cast("long"), F.ceil(F.col("n") / CELL).cast("long") - 1))
+    lead = some.where(F.col("n") > CELL).groupBy("cell", "n").agg(F.min("doc_id").alias("doc_id")).select("cell", every.alias("part"), "doc_id")
+    return parted(some, "cell", "doc_id", CELL).select("cell", "part", "doc_id").unionByName(lead)
 
 
 def partners(rows: DataFrame) -> DataFrame:
-    """(doc_id, partner) of each document that the bound leaves a pair: the smallest id it meets, itself included."""
+    """(doc_id, partner) of each document that the bound leaves a smaller one in a part of a cell: the smallest of them."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         best: dict[int, int] = {}
-        for table in groups(batches, ["cell", "p", "q"]):
+
+        def flush() -> pa.RecordBatch:
+            out = pa.RecordBatch.from_arrays([pa.array(list(best), pa.int64()), pa.array(list(best.values()), pa.int64())], ["doc_id", "partner"])
+            best.clear()
+            return out
+
+        for table in groups(batches, ["cell", "part"]):
             ids = table.column("doc_id").to_numpy()
-            least, met = ids.copy(), np.zeros(len(ids), bool)
+            least = ids.copy()
             for i, j in RTree(points_of(table.column("point").to_pylist()), table.column("n_shingles").to_numpy()).pairs():
-                met[i] = met[j] = True
                 np.minimum.at(least, np.where(ids[i] < ids[j], j, i), np.minimum(ids[i], ids[j]))
+            met = least < ids
             for a, b in zip(ids[met].tolist(), least[met].tolist(), strict=True):
                 best[a] = min(best.get(a, b), b)
             if len(best) > 100_000:
-                yield pa.RecordBatch.from_arrays([pa.array(list(best), pa.int64()), pa.array(list(best.values()), pa.int64())], ["doc_id", "partner"])
-                best.clear()
-        yield pa.RecordBatch.from_arrays([pa.array(list(best), pa.int64()), pa.array(list(best.values()), pa.int64())], ["doc_id", "partner"])
+                yield flush()
+        yield flush()
 
-    found = dealt(rows, ["cell", "p", "q"], "doc_id").mapInArrow(run, "doc_id long, partner long")
+    found = dealt(rows, ["cell", "part"], "doc_id").mapInArrow(run, "doc_id long, partner long")
     return found.groupBy("doc_id").agg(F.min("partner").alias("partner"))
 
 
@@ -221,20 +242,22 @@ def apart(rows: DataFrame) -> DataFrame:
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for table in groups(batches, ["cell", "p", "q"]):
             label, ids, tried = (table.column(c).to_numpy() for c in ("label", "doc_id", "tried"))
-            if (label == label[0]).all():
+            asks = table.column("asks").to_numpy(zero_copy_only=False)
+            if (label == label[0]).all() or not asks.any():
                 continue
-            out, a, b = np.zeros(len(label), bool), [], []
-            for i, j in RTree(points_of(table.column("point").to_pylist()), table.column("n_shingles").to_numpy()).pairs():
-                open_ = (label[i] != label[j]) & (tried[i] != ids[j]) & (tried[j] != ids[i])
+            out, a, b, n = np.zeros(len(label), bool), [], [], 0
+            for i, j in RTree(points_of(table.column("point").to_pylist()), table.column("n_shingles").to_numpy(), label).pairs():
+                open_ = (label[i] != label[j]) & (asks[i] | asks[j]) & (tried[i] != ids[j]) & (tried[j] != ids[i])
                 i, j = i[open_], j[open_]
                 out[i] = out[j] = True
-                if sum(map(len, a)) <= FEW * len(label):
+                if n <= FEW * len(label):
                     a.append(ids[i])
                     b.append(ids[j])
-            if sum(map(len, a)) > FEW * len(label):
+                    n += len(i)
+            if n > FEW * len(label):
                 held = table.select(["cell", "p", "q", "doc_id", "label"]).filter(pa.array(out))
                 yield from held.append_column("partner", pa.nulls(len(held), pa.int64())).to_batches()
-            elif out.any():
+            elif n:
                 x, y = np.concatenate(a), np.concatenate(b)
                 none = np.zeros(len(x), np.int64)
                 yield pa.RecordBatch.from_arrays([pa.array(v) for v in (none, none, none, np.maximum(x, y), none, np.minimum(x, y))], ["cell", "p", "q", "doc_id", "label", "partner"])
@@ -247,20 +270,26 @@ def last_links(rows: DataFrame) -> DataFrame:
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         a, b = [], []
+
+        def flush() -> pa.RecordBatch:
+            out = pa.RecordBatch.from_arrays([pa.array(a, pa.int64()), pa.array(b, pa.int64())], ["a", "b"])
+            a.clear()
+            b.clear()
+            return out
+
         for table in groups(batches, ["cell", "p", "q"]):
             ids, label = table.column("doc_id").to_pylist(), table.column("label").to_numpy().copy()
             found, at = shingle_sets(*text_bytes(table.column("text").combine_chunks()), WIDTH)
             sets = np.split(found, at[1:-1])
-            for i, j in RTree(points_of(table.column("point").to_pylist()), table.column("n_shingles").to_numpy()).pairs():
+            for i, j in RTree(points_of(table.column("point").to_pylist()), table.column("n_shingles").to_numpy(), label).pairs():
                 for x, y in zip(i[label[i] != label[j]].tolist(), j[label[i] != label[j]].tolist(), strict=True):
                     if label[x] != label[y] and similar(sets[x], sets[y]):
                         a.append(ids[x])
                         b.append(ids[y])
                         label[label == label[y]] = label[x]
             if len(a) > 10_000:
-                yield pa.RecordBatch.from_arrays([pa.array(a, pa.int64()), pa.array(b, pa.int64())], ["a", "b"])
-                a, b = [], []
-        yield pa.RecordBatch.from_arrays([pa.array(a, pa.int64()), pa.array(b, pa.int64())], ["a", "b"])
+                yield flush()
+        yield flush()
 
     return dealt(rows, ["cell", "p", "q"], "doc_id").mapInArrow(run, "a long, b long").distinct()
 
@@ -273,20 +302,21 @@ def classes(docs: DataFrame, doc_id: str = "doc_id", text: str = "text") -> Data
     reps = sketch.join(stands.select(F.col("rep").alias("doc_id"), "print"), ["doc_id", "print"], "left_semi")
     met = materialise(cells(reps), "met")
     points = reps.select("doc_id", "point", "n_shingles").join(met.select("doc_id").distinct(), "doc_id", "left_semi")
-    rows = materialise(in_parts(met).join(points, "doc_id").select("cell", "p", "q", "doc_id", "point", "n_shingles"), "rows")
-    pairs = materialise(partners(rows), "pairs")
+    pairs = materialise(partners(first_look(met).join(points, "doc_id")), "pairs")
     own = docs.select(F.col(doc_id).cast("long").alias("doc_id"), F.col(text).alias("text"))
-    texts = materialise(own.join(pairs.select("doc_id"), "doc_id", "left_semi"), "texts")
-    links = materialise(verified(pairs.where("partner < doc_id"), texts), "links")
-    label = components(links)
-    state = rows.join(label.withColumnRenamed("node", "doc_id"), "doc_id", "left").join(pairs.withColumnRenamed("partner", "tried"), "doc_id", "left")
-    state = state.withColumn("label", F.coalesce("label", "doc_id")).withColumn("tried", F.coalesce("tried", "doc_id"))
+    texts_of = lambda ids: own.join(ids.distinct(), "doc_id", "left_semi")
+    either = lambda p: p.select("doc_id").union(p.select("partner"))
+    links = materialise(verified(pairs, texts_of(either(pairs))), "links")
+    label = components(links).withColumnRenamed("node", "doc_id")
+    tried = pairs.withColumnRenamed("partner", "tried")
+    state = met.select("cell", "doc_id").join(label, "doc_id", "left").withColumn("label", F.coalesce("label", "doc_id"))
+    state = materialise(across(state, "cell", "doc_id", CELL), "across")
+    state = state.join(points, "doc_id").join(tried, "doc_id", "left").withColumn("tried", F.coalesce("tried", "doc_id"))
     more = materialise(apart(state), "apart")
-    single = more.where("partner IS NOT NULL").select("doc_id", "partner").distinct()
+    single = materialise(more.where("partner IS NOT NULL").select("doc_id", "partner").distinct(), "single")
     crowded = more.where("partner IS NULL").drop("partner")
-    last = materialise(
-        verified(single, texts).unionByName(last_links(crowded.join(points, "doc_id").join(texts, "doc_id").select("cell", "p", "q", "doc_id", "label", "point", "n_shingles", "text"))), "last"
-    )
+    held = crowded.join(points, "doc_id").join(texts_of(crowded.select("doc_id")), "doc_id").select("cell", "p", "q", "doc_id", "label", "point", "n_shingles", "text")
+    last = materialise(verified(single, texts_of(either(single))).unionByName(last_links(held)), "last")
     label = components(links.unionByName(last)).withColumnRenamed("node", "rep")
     of_rep = stands.join(label, "rep", "left").select("print", F.least("rep", F.coalesce("label", "rep")).alias("component_id"))
     return (
