@@ -1,24 +1,29 @@
 """Line dedup: of lines that are equal or few edits apart, the first in the corpus stays.
 
-How many edits are few is a rule on the length of the shorter line: :func:`two_edits`, the rule of
-op8_line_dedup and its SQL, or :func:`by_length`, one edit for each 20 code points and two at least, the
-rule of the pipeline.
-
-Method: a segment-partition edit join. Every line is cut into segments, one more than its edits. If a
-line is within the edits of another, one of its substrings equals a segment of it, near the segment's own
-place; which lengths and places can match follows from the lengths alone (multi-match-aware selection).
-Segments and substrings meet by hash, and pairs are verified by a banded bit-parallel edit distance over
-code points. Where the edits grow with the line, from 60 code points on, the number of substrings would grow
-with the square of the edits. There the lines meet by winnowing instead: two lines within the edits share a
-run of 15 code points (18 from 202 on), and of every such run both choose the same gram. Lengths and counts of
-code points leave few of those pairs, which bit-parallel columns verify. Both ways lose no pair.
-
-Lines that links connect make a class. Its first line, by doc_id and line number, stays.
-
-Lines part at line feeds. two_edits never drops lines of fewer than 20 code points. by_length drops their
-copies too, near ones at one edit from 10 code points on; only blank lines stay. Documents keep all their other columns; a text that loses every line becomes empty, a null
-text stays null. Rows with a null doc_id pass unchanged. Rows that share doc_id and text are one document,
-kept or cut alike. An empty table gives an empty result.
+How many edits are few is a rule on the length of the shorter line. :func:`two_edits`, the rule of
+op8_line_dedup and its SQL, lets two edits pass from 20 code points on. :func:`by_length` lets one pass for each
+20 code points, two at least, and one below 20. :func:`by_spots`, the rule of the pipeline, lets as many pass,
+where the edits of lines of 60 code points or more lie in one or two spots, such as an exchanged word, or else
+leave a run of three tenths of the line. Copies go at any length; only blank lines always stay.
+
+Method: a segment-partition edit join over distinct lines. Every line is cut into segments, one more than its
+edits. If a line is within the edits of another, one of its substrings equals a segment of it, near the
+segment's own place; which lengths and places can match follows from the lengths alone (multi-match-aware
+selection). Segments and substrings meet by hash, and pairs are verified by a banded bit-parallel edit distance
+over code points. Where the edits grow with the line, from 60 code points on, the number of substrings would
+grow with the square of the edits. There the lines meet by winnowing instead. Under by_length two lines within
+the edits share a run of 15 code points (18 from 202 on), under by_spots a run of three tenths of their class
+of lengths, and of every such run both choose the same gram. Lengths and counts of code points leave few of
+those pairs, which bit-parallel columns verify. No pair that the rule names is lost. by_spots is far cheaper:
+long runs have few chosen grams, and those are rare.
+
+Lines that links connect make a class. Its first line, by doc_id and line number, stays. Equal lines are told by
+two independent hashes of 64 bits.
+
+Lines part at line feeds. Documents keep all their other columns, whatever their names; a text that loses every
+line becomes empty, a null text stays null. Rows with a null doc_id pass unchanged. Rows that share doc_id and
+text are one document, kept or cut alike. Texts and lines may be of any length. An empty table gives an empty
+result.
 """
 
 from __future__ import annotations
@@ -27,15 +32,15 @@ from collections.abc import Callable, Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame, Window
+import pyarrow.compute as pc
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import WORD, coefficients, components, dealt, groups, materialise, mix, slices
+from .common import WORD, across, coefficients, components, counted, dealt, groups, materialise, mix, parted, slices, told
 
 EDITS, SHORTEST = 2, 20
-WINNOWED = 60  # code points of a shorter line from which by_length has its lines meet by winnowing
-GRAMS = ((10, 6), (12, 7))  # code points of a gram and grams of a window: 15 code points, and 18 from class LATER on
-LATER, BINS = 3, 32
+WINNOWED = 60  # code points of a shorter line from which by_length and by_spots have their lines meet by winnowing
+LATER, RUN, BINS = 3, 0.3, 32
 EDGES = np.array([int(WINNOWED * 1.5**c) for c in range(40)])  # classes of lengths
 BUCKET = 1500  # lines of a bucket, above which it is dealt into parts
 _U = np.uint64
@@ -79,8 +84,8 @@ def within(a: str, b: str, edits: int = EDITS) -> bool:
 
 
 def two_edits(size: np.ndarray) -> np.ndarray:
-    """Two edits; lines of fewer than 20 code points have none to meet (-1) and are never dropped."""
-    return np.where(size >= SHORTEST, EDITS, -1)
+    """Two edits, none for lines of fewer than 20 code points."""
+    return np.where(size >= SHORTEST, EDITS, 0)
 
 
 def by_length(size: np.ndarray) -> np.ndarray:
@@ -88,6 +93,20 @@ def by_length(size: np.ndarray) -> np.ndarray:
     return np.where(size >= SHORTEST, np.maximum(EDITS, size // 20), size // 10)
 
 
+def by_spots(size: np.ndarray) -> np.ndarray:
+    """As many edits as :func:`by_length`; from 60 code points on, lines that share a run of RUN of the shorter one are found."""
+    return by_length(size)
+
+
+def window(allowed: Callable, kind: int) -> tuple[int, int]:
+    """Code points of a gram, and grams of a window, for a class of lengths: together a run that near copies share."""
+    if allowed is by_length:
+        return (10, 6) if kind < LATER else (12, 7)
+    run = int(RUN * EDGES[kind])
+    gram = min(24, 2 * run // 3)
+    return gram, run - gram + 1
+
+
 def near(a: str, b: str, edits: int) -> bool:
     """:func:`within` for many edits: the columns of the edit matrix as bit vectors of the length of ``a``."""
     if abs(len(a) - len(b)) > edits:
@@ -150,12 +169,9 @@ class Hashed:
 
 
 def segment_keys(lines: DataFrame, allowed: Callable = two_edits) -> DataFrame:
-    """(key, line, indexed): hashed segments and substrings of every line, once for each line of a slice.
-
-    line is the hash of the whole line; indexed says that the key is one of its own segments.
-    """
+    """(key, line, indexed): hashed segments and substrings of every line; indexed says that the key is one of its own segments."""
     factors = coefficients(64, 9)
-    most = WINNOWED if allowed is by_length else 1 << 40
+    most = 1 << 40 if allowed is two_edits else WINNOWED
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for part in slices(batches, "line"):
@@ -174,29 +190,45 @@ def segment_keys(lines: DataFrame, allowed: Callable = two_edits) -> DataFrame:
     return lines.mapInArrow(run, "key long, line long, indexed boolean")
 
 
-def winnowed_keys(lines: DataFrame) -> DataFrame:
+def least(values: np.ndarray, width: int) -> np.ndarray:
+    """The least of each window of ``width`` values, by windows of doubling width."""
+    out, step = values, 1
+    while 2 * step <= width:
+        out = np.minimum(out[:-step], out[step:])
+        step *= 2
+    return np.minimum(out[: len(values) - width + 1], out[width - step :][: len(values) - width + 1])
+
+
+def chosen(values: np.ndarray, inside: np.ndarray, width: int) -> np.ndarray:
+    """Places that hold the least value of a window of ``width``, of the windows that begin where ``inside`` says."""
+    low = np.where(inside, least(values, width), 0)
+    pad = np.zeros(width - 1, low.dtype)
+    # a value is the least of a window that holds it, if the largest of their least ones is the value
+    most = ~least(~np.concatenate([pad, low, pad]), width)
+    return np.flatnonzero(most == values)
+
+
+def winnowed_keys(lines: DataFrame, allowed: Callable = by_length) -> DataFrame:
     """(key, line): of every window of grams of a long line the gram of the smallest hash, under each class of lengths that the shorter line of a pair can have."""
     factors = coefficients(len(EDGES), 21)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for part in slices(batches, "line"):
-            text = Hashed(part)
-            owner = np.repeat(np.arange(len(text.ids)), text.size)
+            size = pc.utf8_length(part.column(1)).to_numpy().astype(np.int64)
             # a line of n code points is at most a twentieth longer than the shorter one
-            high, low = (np.searchsorted(EDGES, n, "right") - 1 for n in (text.size, text.size * 20 // 21))
-            for late, (k, w) in enumerate(GRAMS):
+            high, low = (np.searchsorted(EDGES, n, "right") - 1 for n in (size, size * 20 // 21))
+            for kind in np.unique(np.concatenate([high, low])):
+                if kind < 0:
+                    continue
+                text, (k, w) = Hashed(part.take(pa.array(np.flatnonzero((high == kind) | (low == kind))))), window(allowed, kind)
                 if len(text.codes) < k + w - 1:
                     continue
-                grams = mix(text.at(np.arange(len(text.codes) - k + 1), k))
-                line = owner[: len(grams) - w + 1]
-                fit = (high[line] >= LATER) if late else (high[line] >= 0) & (low[line] < LATER)
-                at = np.flatnonzero(fit & (np.arange(len(line)) + w + k - 1 <= (text.first + text.size)[line]))
-                at = np.unique(at + np.lib.stride_tricks.sliding_window_view(grams, w)[at].argmin(1))
-                for own in (high, low):
-                    kind = own[owner[at]]
-                    take = (kind >= 0) & ((kind >= LATER) == bool(late)) & ((own is high) | (kind < high[owner[at]]))
-                    rows = pa.table({"key": mix(grams[at[take]] + factors[kind[take]]).view(np.int64), "line": text.ids[owner[at[take]]]})
-                    yield from rows.group_by(["key", "line"]).aggregate([]).to_batches()
+                grams = mix(text.at(np.arange(len(text.codes) - k + 1), k)) | _U(1)
+                ends = np.repeat(text.first + text.size, text.size)
+                at = chosen(grams, np.arange(len(grams) - w + 1) + w + k - 1 <= ends[: len(grams) - w + 1], w)
+                owner = np.repeat(np.arange(len(text.ids)), text.size)[at]
+                rows = pa.table({"key": mix(grams[at] + factors[kind]).view(np.int64), "line": text.ids[owner]})
+                yield from rows.group_by(["key", "line"]).aggregate([]).to_batches()
 
     return lines.mapInArrow(run, "key long, line long")
 
@@ -215,48 +247,72 @@ def signed(texts: DataFrame) -> DataFrame:
     return texts.select("line", "text", F.char_length("text").alias("size")).mapInArrow(run, "line long, size int, bag binary")
 
 
-def lines_of(docs: DataFrame, doc_id: str, text: str, allowed: Callable = two_edits) -> DataFrame:
-    """doc_id, line_no (from 0), line and its hash, of the lines that can be dropped."""
+def lines_of(docs: DataFrame, doc_id: str, text: str) -> DataFrame:
+    """doc_id, line_no (from 0), line and its two hashes, of the lines that aren't blank."""
     split = docs.where(F.col(doc_id).isNotNull()).select(F.col(doc_id).cast("long").alias("doc_id"), F.posexplode(F.split(F.col(text), "\n", -1)).alias("line_no", "line"))
-    taking_part = F.col("line").rlike(WORD) if allowed is by_length else F.char_length("line") >= SHORTEST
-    return split.where(taking_part).withColumn("hash", F.xxhash64("line"))
+    return split.where(F.col("line").rlike(WORD)).select("doc_id", "line_no", "line", F.xxhash64("line").alias("h1"), F.xxhash64(F.lit(1), "line").alias("h2"))
 
 
-def _parted(met: DataFrame) -> DataFrame:
-    """Rows of a key under the pairs of parts (p, q) that its lines are dealt into."""
-    parts = F.ceil(F.col("n") / BUCKET)
-    entries = met.withColumn("own", F.pmod(F.xxhash64("line", F.lit(2)), parts)).withColumn("other", F.explode(F.sequence(F.lit(0).cast("long"), (parts - 1).cast("long"))))
-    return entries.withColumn("p", F.least("own", "other")).withColumn("q", F.greatest("own", "other")).drop("own", "other", "n")
+def met_by(keys: Callable[[DataFrame], DataFrame], lines: DataFrame, indexed: bool) -> DataFrame:
+    """(key, line, indexed, n) of the keys that several lines have, one of them as a segment where ``indexed``."""
+    more = {"low": F.min("line"), "high": F.max("line")} | ({"own": F.bool_or("indexed")} if indexed else {})
+    met = counted(keys(lines), keys(lines.where(told("line"))), "key", "line", more).where("low < high OR low IS NULL")
+    if indexed:
+        met = met.where("own OR own IS NULL").groupBy("key", "line").agg(F.bool_or("indexed").alias("indexed"), F.max("n").alias("n"))
+    return met.drop("low", "high", "own")
 
 
 def near_links(met: DataFrame, texts: DataFrame, allowed: Callable = two_edits) -> DataFrame:
-    """(a, b): hashes of lines that are within the edits, enough of them to connect every class."""
-    rows = dealt(_parted(met).select("key", "line", "indexed", "p", "q").join(texts, "line"), ["key", "p", "q"], "line")
+    """(a, b): lines that are within the edits, enough of them to connect every class.
 
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        a, b = [], []
-        for table in groups(batches, ["key", "p", "q"]):
-            ids, text = table.column("line").to_pylist(), table.column("text").to_pylist()
-            size, own = np.array([len(x) for x in text]), np.flatnonzero(table.column("indexed").to_numpy(zero_copy_only=False))
-            label, most = np.arange(len(ids)), allowed(size)
-            for i in own:
-                open_ = (label != label[i]) & (size >= size[i]) & (size <= size[i] + most[i])
-                for j in np.flatnonzero(open_):
-                    if label[j] != label[i] and within(text[i], text[j], int(most[i])):
-                        a.append(ids[i])
-                        b.append(ids[j])
-                        label[label == label[j]] = label[i]
-            if len(a) > 10_000:
-                yield pa.RecordBatch.from_arrays([pa.array(a, pa.int64()), pa.array(b, pa.int64())], ["a", "b"])
-                a, b = [], []
-        yield pa.RecordBatch.from_arrays([pa.array(a, pa.int64()), pa.array(b, pa.int64())], ["a", "b"])
-
-    return rows.mapInArrow(run, "a long, b long").distinct()
+    Keys of many lines are dealt into parts first. What is still apart then meets across the parts.
+    """
+
+    def linked(rows: DataFrame, part: list[str]) -> DataFrame:
+        def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+            a, b = [], []
+
+            def flush() -> pa.RecordBatch:
+                out = pa.RecordBatch.from_arrays([pa.array(a, pa.int64()), pa.array(b, pa.int64())], ["a", "b"])
+                a.clear()
+                b.clear()
+                return out
+
+            for table in groups(batches, ["key", *part]):
+                ids, text = table.column("line").to_pylist(), table.column("text").to_pylist()
+                size, own = np.array([len(x) for x in text]), np.flatnonzero(table.column("indexed").to_numpy(zero_copy_only=False))
+                label, asks = table.column("label").to_numpy().copy(), table.column("asks").to_numpy(zero_copy_only=False)
+                most = allowed(size)
+                for i in own:
+                    open_ = (label != label[i]) & (size >= size[i]) & (size <= size[i] + most[i]) & (asks | asks[i])
+                    for j in np.flatnonzero(open_):
+                        if label[j] != label[i] and within(text[i], text[j], int(most[i])):
+                            a.append(ids[i])
+                            b.append(ids[j])
+                            label[label == label[j]] = label[i]
+                if len(a) > 10_000:
+                    yield flush()
+            yield flush()
+
+        names = ["key", "line", "indexed", "label", "asks", *part]
+        return dealt(rows.select(*names).join(texts, "line"), ["key", *part], "line").mapInArrow(run, "a long, b long").distinct()
+
+    alone = parted(met, "key", "line", BUCKET).withColumn("label", F.col("line")).withColumn("asks", F.lit(True))
+    first = materialise(linked(alone, ["part"]), "links")
+    large = met.where(F.col("n") > BUCKET)
+    if large.isEmpty():
+        return first
+    state = large.join(components(first).withColumnRenamed("node", "line"), "line", "left").withColumn("label", F.coalesce("label", "line"))
+    rest = across(state.select("key", "line", "indexed", "label"), "key", "line", BUCKET)
+    return first.unionByName(linked(rest, ["p", "q"]))
 
 
 def winnowed_links(met: DataFrame, texts: DataFrame) -> DataFrame:
     """(a, b): lines that share a key and are within the edits of :func:`by_length`."""
-    rows = dealt(_parted(met).select("key", "line", "p", "q").join(signed(texts), "line").select("key", "p", "q", "line", "size", "bag"), ["key", "p", "q"], "size", "line")
+    parts = F.ceil(F.col("n") / BUCKET)
+    pairs = met.withColumn("own", F.pmod(F.xxhash64("line", F.lit(2)), parts)).withColumn("other", F.explode(F.sequence(F.lit(0).cast("long"), (parts - 1).cast("long"))))
+    pairs = pairs.select("key", "line", F.least("own", "other").alias("p"), F.greatest("own", "other").alias("q"))
+    rows = dealt(pairs.join(signed(texts), "line").select("key", "p", "q", "line", "size", "bag"), ["key", "p", "q"], "size", "line")
 
     def meet(table: pa.Table) -> Iterator[pa.RecordBatch]:
         """Pairs of whole groups, a distance in the order of sizes at a time."""
@@ -303,40 +359,38 @@ def winnowed_links(met: DataFrame, texts: DataFrame) -> DataFrame:
 
 
 def dropped(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", allowed: Callable = two_edits) -> DataFrame:
-    """doc_id and gone: which lines go, as (line number, hash) pairs."""
-    lines = lines_of(docs, doc_id, text, allowed)
-    places_ = materialise(lines.select("hash", "doc_id", "line_no"), "lines")
-    keys = segment_keys(lines.select("hash", "line"), allowed)
-    w = Window.partitionBy("key")
-    met = keys.select("key", "line", "indexed", F.count(F.lit(1)).over(w).alias("n"), F.min("line").over(w).alias("low"), F.max("line").over(w).alias("high"), F.bool_or("indexed").over(w).alias("any"))
-    met = materialise(met.where("low < high AND any").groupBy("key", "line").agg(F.bool_or("indexed").alias("indexed"), F.max("n").alias("n")), "met")
-    at = places_.groupBy("hash").agg(F.min(F.struct("doc_id", "line_no")).alias("first"), F.count(F.lit(1)).alias("copies"))
-    firsts = materialise(at, "firsts")
-    wanted = met.select(F.col("line").alias("hash"))
-    if allowed is by_length:
-        long = winnowed_keys(lines.where(F.char_length("line") >= WINNOWED).select("hash", "line"))
-        long = long.select("key", "line", F.count(F.lit(1)).over(w).alias("n"), F.min("line").over(w).alias("low"), F.max("line").over(w).alias("high"))
-        long = materialise(long.where("low < high").groupBy("key", "line").agg(F.max("n").alias("n")), "winnowed")
-        wanted = wanted.union(long.select(F.col("line").alias("hash")))
-    wanted = wanted.distinct()
-    texts = lines.join(firsts.join(wanted, "hash", "left_semi").select(F.col("first.doc_id").alias("doc_id"), F.col("first.line_no").alias("line_no"), "hash"), ["doc_id", "line_no", "hash"], "left_semi")
-    texts = materialise(texts.groupBy(F.col("hash").alias("line")).agg(F.first("line").alias("text")), "texts")
+    """doc_id and gone: which lines go, as (line number, both hashes)."""
+    lines = lines_of(docs, doc_id, text)
+    places_ = materialise(lines.drop("line"), "places")
+    distinct = lines.groupBy("h1", "h2").agg(F.min(F.struct("doc_id", "line_no")).alias("first"), F.count(F.lit(1)).alias("copies"), F.min("line").alias("text"))
+    distinct = materialise(distinct.withColumn("line", F.monotonically_increasing_id()), "distinct")
+    own = distinct.select("line", "text")
+    keyed = own.select("line", F.col("text").alias("line_text"))
+    inner = lambda d: d.select(F.col("line").alias("id"), F.col("line_text").alias("line"))
+    met = materialise(met_by(lambda d: segment_keys(inner(d), allowed), keyed, True), "met")
+    wanted = met.select("line")
+    if allowed is not two_edits:
+        long_lines = keyed.where(F.char_length("line_text") >= WINNOWED)
+        long = materialise(met_by(lambda d: winnowed_keys(inner(d), allowed), long_lines, False), "winnowed")
+        wanted = wanted.union(long.select("line"))
+    texts = materialise(own.join(wanted.distinct(), "line", "left_semi"), "texts")
     links = near_links(met, texts, allowed)
-    if allowed is by_length:
+    if allowed is not two_edits:
         links = links.union(winnowed_links(long, texts))
-    labels = components(links)
-    classed = firsts.join(labels.withColumnRenamed("node", "hash"), "hash", "left").withColumn("label", F.coalesce("label", "hash"))
+    labels = components(links).withColumnRenamed("node", "line")
+    classed = distinct.drop("text").join(labels, "line", "left").withColumn("label", F.coalesce("label", "line"))
     kept = classed.groupBy("label").agg(F.min("first").alias("kept"), F.sum("copies").alias("copies")).where("copies > 1")
-    going = materialise(classed.select("hash", "label").join(kept, "label").select("hash", "kept"), "going")
-    out = places_.join(going, "hash").where(~((F.col("doc_id") == F.col("kept.doc_id")) & (F.col("line_no") == F.col("kept.line_no"))))
-    return out.groupBy("doc_id").agg(F.collect_set(F.struct("line_no", "hash")).alias("gone"))
+    going = materialise(classed.select("h1", "h2", "label").join(kept, "label").select("h1", "h2", "kept"), "going")
+    out = places_.join(going, ["h1", "h2"]).where(~((F.col("doc_id") == F.col("kept.doc_id")) & (F.col("line_no") == F.col("kept.line_no"))))
+    return out.groupBy("doc_id").agg(F.collect_set(F.struct("line_no", "h1", "h2")).alias("gone"))
 
 
 def dedup(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", allowed: Callable = two_edits) -> DataFrame:
-    """The documents with later copies of lines taken out; columns as they came. allowed: two_edits or by_length."""
-    names = docs.columns
-    gone = dropped(docs, doc_id, text, allowed).select(F.col("doc_id").alias("__id"), "gone")
-    joined = docs.join(gone, F.col(doc_id).cast("long") == F.col("__id"), "left")
-    left = F.filter(F.split(F.col(text), "\n", -1), lambda x, i: ~F.array_contains(F.col("gone"), F.struct(i.alias("line_no"), F.xxhash64(x).alias("hash"))))
-    cut = F.when(F.col("gone").isNull(), F.col(text)).otherwise(F.array_join(left, "\n"))
-    return joined.select(*[cut.alias(c) if c == text else F.col(c) for c in names])
+    """The documents with later copies of lines taken out; columns as they came. allowed: two_edits, by_length or by_spots."""
+    gone = dropped(docs, doc_id, text, allowed)
+    joined = docs.select(F.struct("*").alias("doc"), F.col(doc_id).cast("long").alias("doc_id")).join(gone, "doc_id", "left")
+    whole = F.col("doc").getField(text)
+    told_ = lambda x, i: F.struct(i.alias("line_no"), F.xxhash64(x).alias("h1"), F.xxhash64(F.lit(1), x).alias("h2"))
+    left = F.filter(F.split(whole, "\n", -1), lambda x, i: ~F.array_contains("gone", told_(x, i)))
+    cut = F.when(F.col("gone").isNull(), whole).otherwise(F.array_join(left, "\n"))
+    return joined.select(*[(cut if c == text else F.col("doc").getField(c)).alias(c) for c in docs.columns])

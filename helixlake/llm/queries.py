@@ -122,16 +122,16 @@ SELECT doc_id, n_words, word_chars, n_symbols, n_dup_lines, n_repeat_words, base
   NOT (base_failed OR 100 * n_symbols > 30 * n_words OR word_chars < 2 * n_words OR word_chars > 14 * n_words OR 100 * n_dup_lines > 50 * n_lines
     OR 100 * len(regexp_extract_all(t, '[A-Z]')) > 40 * word_chars OR 100 * len(regexp_extract_all(t, '!')) > 50 * n_words OR 400 * len(regexp_extract_all(t, '[.!?:;,]')) < n_words) AS kept
 FROM v""",
-    "op8_line_dedup": """
+    "op8_line_dedup": f"""
 WITH RECURSIVE l AS (
   SELECT doc_id, unnest(string_split(text, chr(10))) AS line, generate_subscripts(string_split(text, chr(10)), 1) AS i FROM documents
 ), d AS (
-  SELECT line, min((doc_id, i)) AS first FROM l WHERE length(line) >= 20 GROUP BY line
+  SELECT line, min((doc_id, i)) AS first FROM l WHERE regexp_matches(line, '{WORD}') GROUP BY line
 ), p AS (
-  SELECT DISTINCT line, length(line) AS n, 0 AS z FROM d
+  SELECT DISTINCT line, length(line) AS n, 0 AS z FROM d WHERE length(line) >= 20
 ), e AS (
   SELECT x.line AS a, y.line AS b FROM p x JOIN p y ON y.n BETWEEN x.n - 2 AND x.n + 2 AND x.line <> y.line
-  WHERE levenshtein(translate(x.line, 'éèêëàâäáçîïíôöóùûüúñßÉÈÊËÀÂÄÁÇÎÏÍÔÖÓÙÛÜÚÑ', '0123456789@$^~`{}[];:?=+*&_<>|/QWZYKJXUVGBM'), translate(y.line, 'éèêëàâäáçîïíôöóùûüúñßÉÈÊËÀÂÄÁÇÎÏÍÔÖÓÙÛÜÚÑ', '0123456789@$^~`{}[];:?=+*&_<>|/QWZYKJXUVGBM')) <= 2
+  WHERE levenshtein(translate(x.line, 'éèêëàâäáçîïíôöóùûüúñßÉÈÊËÀÂÄÁÇÎÏÍÔÖÓÙÛÜÚÑ', '0123456789@$^~`{{}}[];:?=+*&_<>|/QWZYKJXUVGBM'), translate(y.line, 'éèêëàâäáçîïíôöóùûüúñßÉÈÊËÀÂÄÁÇÎÏÍÔÖÓÙÛÜÚÑ', '0123456789@$^~`{{}}[];:?=+*&_<>|/QWZYKJXUVGBM')) <= 2
 ), r(a, b) AS (SELECT line, line FROM d UNION SELECT r.a, e.b FROM r JOIN e ON r.b = e.a
 ), k AS (SELECT r.a AS line, min(d.first) AS kept FROM r JOIN d ON d.line = r.b GROUP BY r.a)
 SELECT d.doc_id, len(string_split(d.text, chr(10)))::BIGINT AS n_lines, length(coalesce(t.text, ''))::BIGINT AS n_chars_left, sha256(coalesce(t.text, '')) AS text_sha256
