@@ -2,12 +2,12 @@
 
 The corpus is counted for its most frequent words. They are compiled into a minimal automaton: states with
 equal futures are shared, and every arc adds a number, so that the numbers on a word's path sum to its place
-in the table of token ids. The file of the automaton goes to every executor, is memory-mapped there, and is
-walked for all new words of a slice at once. A word that it lacks is merged rule by rule, exactly as the
+in the table of token ids. One task compiles it; its file lies in the shared folder, goes to every executor, is
+memory-mapped there, and is walked for all new words of a slice at once. A word that it lacks is merged rule by rule, exactly as the
 tokenizer does. The lexicon decides about speed alone, never about the result.
 
-A null text is empty: no tokens, and the digest of an empty string. Repeated rows are encoded alike; an empty
-table gives an empty result; columns beyond the named ones are not read.
+A null text is empty: no tokens, and the digest of an empty string. Texts are encoded in full, however long.
+Repeated rows are encoded alike; an empty table gives an empty result; columns beyond the named ones are not read.
 """
 
 from __future__ import annotations
@@ -15,8 +15,9 @@ from __future__ import annotations
 import hashlib
 import json
 import os
-import tempfile
 import unicodedata
+import uuid
+from array import array
 from collections import Counter
 from collections.abc import Iterator
 
@@ -27,7 +28,7 @@ from pyspark import SparkFiles
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import materialise, slices
+from .common import in_one_task, materialise, put_file, slices
 
 #: Words of the lexicon, and how many words a worker remembers or counts at a time.
 LEXICON_WORDS, MEMO_WORDS, COUNT_WORDS = 300_000, 200_000, 300_000
@@ -163,59 +164,52 @@ def compile_lexicon(entries: dict[str, list[int]]) -> dict[str, np.ndarray]:
     ``start``: token ids of the words, in order.
     """
     words = sorted((w.encode("utf-8"), ids) for w, ids in entries.items())
-    register: dict[tuple, int] = {}
-    arcs: list[tuple[tuple[int, int], ...]] = []
-    ends: list[bool] = []
-
-    def finished(node: list) -> int:
-        key = (node[0], tuple(node[1]))
-        if key not in register:
-            register[key] = len(arcs)
-            arcs.append(key[1])
-            ends.append(node[0])
-        return register[key]
-
-    path: list[list] = [[False, []]]  # of the current word: [ends here, finished arcs], and open arcs between
+    register: dict[bytes, int] = {}  # a state as bytes: whether words end there, then letter and target of each arc
+
+    def finished(node: bytearray) -> bytes:
+        return register.setdefault(bytes(node), len(register)).to_bytes(4, "big")
+
+    path: list[bytearray] = [bytearray(1)]  # the states of the current word, whose last arcs are open
     last = b""
     for word, _ in words:
-        same = 0
-        while same < min(len(word), len(last)) and word[same] == last[same]:
-            same += 1
+        same = len(os.path.commonprefix([word, last]))
         while len(path) > same + 1:
             done = finished(path.pop())
-            path[-1][1].append((last[len(path) - 1], done))
-        path += [[False, []] for _ in word[same:]]
-        path[-1][0] = True
+            path[-1] += last[len(path) - 1 : len(path)] + done
+        path += [bytearray(1) for _ in word[same:]]
+        path[-1][0] = 1
         last = word
     while len(path) > 1:
         done = finished(path.pop())
-        path[-1][1].append((last[len(path) - 1], done))
-    root = finished(path[0])
-    size = [0] * len(arcs)  # words behind each state; arcs lead to states finished before
-    keys, to, add = [], [], []
-    for state, out in enumerate(arcs):
-        n = int(ends[state])
-        for byte, target in out:
-            keys.append(state * 256 + byte)
-            to.append(target)
+        path[-1] += last[len(path) - 1 : len(path)] + done
+    root = int.from_bytes(finished(path[0]), "big")
+    states = list(register)  # arcs lead to states finished before
+    arcs = np.frombuffer(b"".join(x[1:] for x in states), np.uint8).reshape(-1, 5)
+    to = np.ascontiguousarray(arcs[:, 1:]).view(">u4").ravel().astype(np.int32)
+    ends, count = [x[0] for x in states], [(len(x) - 1) // 5 for x in states]
+    size, add, at = array("q"), array("q"), 0  # words behind each state
+    targets = to.tolist()
+    for end, k in zip(ends, count, strict=True):
+        n = end
+        for target in targets[at : at + k]:
             add.append(n)
             n += size[target]
-        size[state] = n
-    ids = [i for _, x in words for i in x]
-    start = np.cumsum([0, *(len(x) for _, x in words)])
-    return {"arc": np.array(keys, np.int64), "to": np.array(to, np.int32), "add": np.array(add, np.int32), "final": np.array(ends, bool), "ids": np.array(ids, np.uint16 if not ids or max(ids) < 65_536 else np.int32), "start": start.astype(np.int32), "root": np.array([root], np.int64)}
+        at += k
+        size.append(n)
+    keys = np.repeat(np.arange(len(states), dtype=np.int64), count) * 256 + arcs[:, 0]
+    start = np.zeros(len(words) + 1, np.int32)
+    np.cumsum([len(x) for _, x in words], out=start[1:])
+    ids = np.fromiter((i for _, x in words for i in x), np.int32, int(start[-1]))
+    return {"arc": keys, "to": to, "add": np.array(add, np.int32), "final": np.array(ends, bool), "ids": ids.astype(np.uint16) if not len(ids) or ids.max() < 65_536 else ids, "start": start, "root": np.array([root], np.int64)}
 
 
-def save_lexicon(parts: dict[str, np.ndarray], path: str) -> None:
+def lexicon_file(parts: dict[str, np.ndarray]) -> bytes:
     """One file: a line of JSON that names the arrays and where they lie, then the arrays."""
     head, at = {}, 0
     for k, a in parts.items():
         head[k] = (a.dtype.str, len(a), at)
         at += -(-a.nbytes // 8) * 8
-    with open(path, "wb") as f:
-        f.write(json.dumps(head).encode().ljust(1024) + b"\n" * 8)
-        for a in parts.values():
-            f.write(a.tobytes().ljust(-(-a.nbytes // 8) * 8, b"\0"))
+    return b"".join([json.dumps(head).encode().ljust(1024), b"\n" * 8, *(a.tobytes().ljust(-(-a.nbytes // 8) * 8, b"\0") for a in parts.values())])
 
 
 class Lexicon:
@@ -255,10 +249,10 @@ class Lexicon:
         return out
 
 
-def frequent_words(docs: DataFrame, path: str, text: str = "text", most: int = LEXICON_WORDS) -> list[str]:
-    """The most frequent words (runs of letters, signs or single digits) of all documents; words of one count go together.
+def frequent_words(docs: DataFrame, path: str, text: str = "text", most: int = LEXICON_WORDS) -> DataFrame:
+    """(word): the most frequent words (runs of letters, signs or single digits) of all documents, ``most`` at most.
 
-    Each task counts before the shuffle.
+    Words of like counts go together. Each task counts before the shuffle.
     """
 
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -281,27 +275,29 @@ def frequent_words(docs: DataFrame, path: str, text: str = "text", most: int = L
         yield flush()
 
     counts = docs.select(F.col(text).alias(text)).mapInArrow(count, "word string, n long").where(f"length(word) <= {MAX_LEXICON_CHARS}")
-    totals = materialise(counts.groupBy("word").agg(F.sum("n").alias("n")), "words")
+    totals = materialise(counts.groupBy("word").agg(F.sum("n").alias("n")).withColumn("like", F.floor(F.log2("n") * 64)), "words")
     # the lowest count whose words, with all more frequent ones, are at most so many; a top-k would gather k words of every task
-    taken, least = 0, None
-    for r in totals.groupBy("n").agg(F.count(F.lit(1)).alias("words")).orderBy(F.desc("n")).toLocalIterator():
+    taken, least = 0, 1 << 30
+    for r in totals.groupBy("like").agg(F.count(F.lit(1)).alias("words")).orderBy(F.desc("like")).collect():  # 64 rows for each doubling of a count
         taken += r["words"]
         if taken > most:
             break
-        least = r["n"]
-    if least is None:
-        return []
-    return sorted(r["word"] for r in totals.where(F.col("n") >= least).select("word").collect())  # LEXICON_WORDS short words at most
+        least = r["like"]
+    return totals.where(F.col("like") >= least).select("word")
 
 
 def build_lexicon(docs: DataFrame, path: str, text: str = "text", most: int = LEXICON_WORDS) -> str:
     """Compile the lexicon of ``docs`` and hand its file to the executors; returns the file's name there."""
-    bpe = WordBpe(path)
-    words = frequent_words(docs, path, text, most)
-    name = os.path.join(tempfile.mkdtemp(prefix="lexicon-"), f"lexicon-{os.urandom(8).hex()}.bin")
-    save_lexicon(compile_lexicon(dict(zip(words, bpe.merge_many(words), strict=True))), name)
-    docs.sparkSession.sparkContext.addFile(name)
-    return os.path.basename(name)
+
+    def compiled(table: pa.Table) -> bytes:
+        bpe, words = WordBpe(path), table.column("word").to_pylist()
+        return lexicon_file(compile_lexicon(dict(zip(words, bpe.merge_many(words), strict=True))))
+
+    spark = docs.sparkSession
+    made = in_one_task(frequent_words(docs, path, text, most), compiled)  # LEXICON_WORDS short words at most
+    where = put_file(spark, f"lexicon-{uuid.uuid4().hex}.bin", made)
+    spark.sparkContext.addFile(where)
+    return os.path.basename(where)
 
 
 class Memo(dict):
