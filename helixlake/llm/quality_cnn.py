@@ -4,13 +4,14 @@ A document is cut into overlapping chunks that cover all of its bytes. Each chun
 embeddings, learned filters and a max-pool to one logit; the logits of all chunks are combined into one
 probability by a logistic layer over their mean, maximum, minimum and spread.
 
-Null and empty texts are scored like a document with one chunk of padding. Rows are scored one by one, so
-repeated rows and ties have equal scores; an empty table gives an empty result; columns beyond the two
-named ones are not read.
+Null and empty texts are scored like a document with one chunk of padding; long texts in full, and they are
+learned from in full, too. Rows are scored one by one, so repeated rows and ties have equal scores; an empty
+table gives an empty result; columns beyond the two named ones are not read.
 """
 
 from __future__ import annotations
 
+import pickle
 from collections.abc import Iterator
 
 import numpy as np
@@ -18,12 +19,12 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import bounded, slices, text_bytes
+from .common import bounded, in_one_task, slices, text_bytes
 
 CHUNK, HOP = 256, 240  # bytes; neighbours share 16
 BLOCK, DIM, FILTERS = 4, 8, 24  # a filter sees two blocks of four bytes
-#: Bounds of the labelled sample that the network is fitted on.
-MAX_TRAIN_DOCS, MAX_TRAIN_CHUNKS = 4000, 12
+#: Bound of the labelled sample that the network is fitted on, in whole documents; and the weight in chunks of a long one.
+MAX_TRAIN_DOCS, MOST_WEIGHT = 4000, 12
 THRESHOLD = 0.3
 
 
@@ -115,7 +116,7 @@ def logistic(x: np.ndarray, y: np.ndarray, ridge: float = 1e-3, rounds: int = 40
     return w
 
 
-def train(texts: list[str | None], label: np.ndarray, epochs: int = 5, seed: int = 7) -> dict:
+def train(texts: list[str | None], label: np.ndarray, epochs: int = 3, seed: int = 7) -> dict:
     """Fit the network on chunks and the combining layer on documents; labels are 0 or 1."""
     net, r = ByteNet(seed), np.random.default_rng(seed)
     if not len(texts) or label.min() == label.max():  # nothing to tell apart: the share of ones, smoothed
@@ -123,15 +124,14 @@ def train(texts: list[str | None], label: np.ndarray, epochs: int = 5, seed: int
         return {"p": net.p, "w": np.array([0, 0, 0, 0, np.log(share / (1 - share))])}
     data, offsets = text_bytes(pa.array(texts, pa.large_string()))
     starts, count = chunk_starts(offsets)
-    doc, nth = np.repeat(np.arange(len(texts)), count), np.arange(count.sum()) - np.repeat(np.cumsum(count) - count, count)
-    own = nth * MAX_TRAIN_CHUNKS // np.maximum(count[doc], MAX_TRAIN_CHUNKS)  # evenly spaced chunks of a long document
-    keep = (count[doc] <= MAX_TRAIN_CHUNKS) | np.concatenate([[True], (own[1:] != own[:-1]) | (doc[1:] != doc[:-1])])
-    starts, doc = starts[keep], doc[keep]
-    chunks, count = chunk_matrix(data, starts, offsets[1:][doc]), np.bincount(doc, minlength=len(texts))
-    y = label[doc].astype(np.float32)
-    weight = np.where(y == 1, 0.5 / max(y.mean(), 1e-6), 0.5 / max(1 - y.mean(), 1e-6)).astype(np.float32)
+    doc = np.repeat(np.arange(len(texts)), count)
+    chunks, y = chunk_matrix(data, starts, offsets[1:][doc]), label[doc].astype(np.float32)
+    # every chunk is learned from; those of a very long document weigh no more than MOST_WEIGHT together
+    own = np.minimum(1, MOST_WEIGHT / count)[doc].astype(np.float32)
+    ones = float((own * y).sum() / own.sum())
+    weight = own * np.where(y == 1, 0.5 / max(ones, 1e-6), 0.5 / max(1 - ones, 1e-6)).astype(np.float32)
     steps, batch = 0, 128
-    epochs = max(epochs, -(-1200 * batch // max(1, len(y) * 1)) if len(y) < 24_000 else epochs)
+    epochs = max(epochs, -(-1200 * batch // len(y)))
     total = epochs * -(-len(y) // batch)
     for _ in range(epochs):
         order = r.permutation(len(y))
@@ -144,10 +144,30 @@ def train(texts: list[str | None], label: np.ndarray, epochs: int = 5, seed: int
 
 
 def fit(docs: DataFrame, labels: DataFrame, label: str = "quality", doc_id: str = "doc_id", text: str = "text", max_docs: int = MAX_TRAIN_DOCS) -> dict:
-    """Fit on a repeatable sample of about ``max_docs`` labelled documents."""
+    """Fit on a repeatable sample of about ``max_docs`` labelled documents, in one task."""
     known = bounded(labels.where(F.col(label).isNotNull() & F.col(doc_id).isNotNull()).groupBy(doc_id).agg(F.max(label).alias("y")), doc_id, max_docs)
-    rows = docs.select(doc_id, text).join(F.broadcast(known), doc_id).orderBy(doc_id, text).collect()  # about max_docs rows
-    return train([x[text] for x in rows], np.array([x["y"] for x in rows], np.int64))
+    rows = docs.select(F.col(doc_id).alias("doc_id"), F.col(text).alias("text")).join(F.broadcast(known.withColumnRenamed(doc_id, "doc_id")), "doc_id")  # about max_docs rows
+
+    def learned(table: pa.Table) -> bytes:
+        table = table.sort_by([("doc_id", "ascending"), ("text", "ascending")])
+        return pickle.dumps(train(table.column("text").to_pylist(), table.column("y").to_numpy().astype(np.int64)))
+
+    return pickle.loads(in_one_task(rows.select("doc_id", "text", F.col("y").cast("long").alias("y")), learned))
+
+
+def probabilities(texts: pa.Array, net: ByteNet, w: np.ndarray) -> np.ndarray:
+    """One probability for each text, from all of its chunks."""
+    data, offsets = text_bytes(texts)
+    starts, count = chunk_starts(offsets)
+    ends = np.repeat(offsets[1:], count)
+    z = np.concatenate([net.logits(chunk_matrix(data, starts[a : a + 1024], ends[a : a + 1024])) for a in range(0, len(starts), 1024)])
+    return 1 / (1 + np.exp(-np.clip(pooled(z, count) @ w[:-1] + w[-1], -30, 30)))
+
+
+def loaded(model: dict) -> tuple[ByteNet, np.ndarray]:
+    net = ByteNet()
+    net.p = model["p"]
+    return net, model["w"]
 
 
 def scores(docs: DataFrame, model: dict, doc_id: str = "doc_id", text: str = "text") -> DataFrame:
@@ -155,33 +175,20 @@ def scores(docs: DataFrame, model: dict, doc_id: str = "doc_id", text: str = "te
     shipped = docs.sparkSession.sparkContext.broadcast(model)  # a few ten KB
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        net = ByteNet()
-        net.p, w = shipped.value["p"], shipped.value["w"]
+        net, w = loaded(shipped.value)
         for part in slices(batches, text):
-            data, offsets = text_bytes(part.column(1))
-            starts, count = chunk_starts(offsets)
-            ends = np.repeat(offsets[1:], count)
-            z = np.concatenate([net.logits(chunk_matrix(data, starts[a : a + 1024], ends[a : a + 1024])) for a in range(0, len(starts), 1024)])
-            p = 1 / (1 + np.exp(-np.clip(pooled(z, count) @ w[:-1] + w[-1], -30, 30)))
-            yield pa.RecordBatch.from_arrays([part.column(0), pa.array(p)], ["doc_id", "score"])
+            yield pa.RecordBatch.from_arrays([part.column(0), pa.array(probabilities(part.column(1), net, w))], ["doc_id", "score"])
 
     return docs.select(F.col(doc_id).cast("long").alias("doc_id"), F.col(text).alias(text)).mapInArrow(run, "doc_id long, score double")
 
 
-def keep_good(docs: DataFrame, model: dict, threshold: float = THRESHOLD) -> DataFrame:
+def keep_good(docs: DataFrame, model: dict, threshold: float = THRESHOLD, text: str = "text") -> DataFrame:
     """The rows whose score reaches the threshold, with all their columns; no join, so repeated ids don't matter."""
-    shipped, names = docs.sparkSession.sparkContext.broadcast(model), docs.columns
+    shipped, at = docs.sparkSession.sparkContext.broadcast(model), docs.columns.index(text)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        net = ByteNet()
-        net.p, w = shipped.value["p"], shipped.value["w"]
-        at = names.index("text")
-        for part in slices(batches, "text"):
-            data, offsets = text_bytes(part.column(at))
-            starts, count = chunk_starts(offsets)
-            ends = np.repeat(offsets[1:], count)
-            z = np.concatenate([net.logits(chunk_matrix(data, starts[a : a + 1024], ends[a : a + 1024])) for a in range(0, len(starts), 1024)])
-            p = 1 / (1 + np.exp(-np.clip(pooled(z, count) @ w[:-1] + w[-1], -30, 30)))
-            yield part.filter(pa.array(p >= threshold))
+        net, w = loaded(shipped.value)
+        for part in slices(batches, text):
+            yield part.filter(pa.array(probabilities(part.column(at), net, w) >= threshold))
 
     return docs.mapInArrow(run, docs.schema)
