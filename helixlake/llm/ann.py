@@ -10,8 +10,8 @@ nothing is lost to the number of codes reranked, however many vectors crowd in o
 
 The index holds every distinct vector once, with the few smallest ids that share it (as many as a result
 can use), so thousands of copies cannot crowd a shortlist. Codes travel in packs. A task takes a block of queries
-through all packs of one half of the index and keeps each query's best on the way, so what it emits follows the
-number of queries, not that of packs.
+through all packs of one part of the index and keeps each query's best on the way; the number of parts grows with
+the index.
 
 Scores that agree in twelve decimals are ties. Null vectors, zero vectors and those with a null or non-finite component take no part; so do rows with a
 null id. Ties go to the smaller id. Rows with equal ids count as one vector each. With fewer candidates than
@@ -20,7 +20,7 @@ neighbours asked for, all are returned; an empty table gives an empty result.
 
 from __future__ import annotations
 
-import math
+import io
 from collections.abc import Iterator
 
 import numpy as np
@@ -28,15 +28,15 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from .common import dealt, materialise
+from .common import dealt, in_one_task, materialise
 
 BOOKS, WORDS, BEAM = 16, 256, 8
 #: Bound of the sample that codebooks are learned on.
 MAX_TRAIN = 12_000
-#: Codes that are reranked exactly for a query: so many, or twice the root of the size of the index if that is more.
-RERANKED = 512
-PACK, SCAN, HALVES, QUERY_BLOCK = 512, 4096, 2, 512  # codes of a row, codes scored at once, parts of the index, queries of a task
-#: Vectors of a part of the index in the second pass; what an inner product in single precision may be off; decimals of a score.
+#: Codes of each part of the index that are reranked exactly for a query; they give it a floor.
+RERANKED = 64
+PACK, SCAN, PARTS, QUERY_BLOCK = 512, 4096, 2, 512  # codes of a row, codes scored at once, parts of the index at least, queries of a task
+#: Vectors of a part of the index; what an inner product in single precision may be off; decimals of a score.
 PART, SLACK, DECIMALS = 65_536, 1e-4, 12
 
 
@@ -225,6 +225,18 @@ def distinct_vectors(vectors: DataFrame, k: int) -> DataFrame:
     return packed.groupBy("vector").agg(F.slice(F.sort_array(F.flatten(F.collect_list("ids"))), 1, k + 1).alias("ids"))
 
 
+def learned(sample: DataFrame, dims: int) -> np.ndarray:
+    """The codebooks of a sample of bounded size, learned by one task."""
+
+    def work(table: pa.Table) -> bytes:
+        known = np.array([np.frombuffer(v) for v in table.sort_by("node").column("vector").to_pylist()] or [np.ones(dims)])
+        out = io.BytesIO()
+        np.save(out, learn(unit(known)).astype(np.float32))
+        return out.getvalue()
+
+    return np.load(io.BytesIO(in_one_task(sample.select("node", "vector"), work)))
+
+
 def search(vectors: DataFrame, is_query: Column, k: int = 5, vec_id: str = "vec_id", vector: str = "embedding") -> DataFrame:
     """query_id, rank (from 1), vec_id, score (cosine): the k nearest found of every row that ``is_query`` picks.
 
@@ -241,8 +253,7 @@ def search(vectors: DataFrame, is_query: Column, k: int = 5, vec_id: str = "vec_
     found = []
     for row in by_dims:
         own = index.where(F.col("dims") == row["dims"])
-        known = np.array([np.frombuffer(r["vector"]) for r in sample.where(F.col("dims") == row["dims"]).orderBy("node").collect()] or [np.ones(row["dims"] // 8)])
-        books = learn(unit(known)).astype(np.float32)
+        books = learned(sample.where(F.col("dims") == row["dims"]), row["dims"] // 8)
         found.append(_search_index(own, row["n"], good.where(is_query & (F.size("vector") * 8 == row["dims"])), books, k))
     out = found[0]
     for more in found[1:]:
@@ -254,7 +265,7 @@ def _search_index(index: DataFrame, n: int, queries: DataFrame, books: np.ndarra
     spark = index.sparkSession
     shipped = spark.sparkContext.broadcast(books)  # BOOKS * WORDS codewords
 
-    depth = max(RERANKED, 2 * math.isqrt(n))
+    parts = max(PARTS, -(-n // PART))
 
     def code(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         books = shipped.value
@@ -273,19 +284,19 @@ def _search_index(index: DataFrame, n: int, queries: DataFrame, books: np.ndarra
     ask_blocks = max(1, -(-queries.count() // QUERY_BLOCK))
     asked = queries.select(F.col("vec_id").alias("query_id"), "vector").distinct().withColumn("asked", F.pmod(F.xxhash64("query_id", F.lit("q")), F.lit(ask_blocks)))
     asked = materialise(asked, "queries")
-    # every block of queries meets every pack of codes, and each half of the packs in one task
-    kinds = "cast(asked as int) asked", "cast(half as int) half"
-    packs = coded.select(F.explode(F.sequence(F.lit(0), F.lit(ask_blocks - 1))).alias("asked"), F.pmod(F.xxhash64("pack"), F.lit(HALVES)).alias("half"), "pack", "ids", "codes", "norms")
+    # every block of queries meets every pack of codes, the packs of a part in one task
+    kinds = "cast(asked as int) asked", "cast(part as int) part"
+    packs = coded.select(F.explode(F.sequence(F.lit(0), F.lit(ask_blocks - 1))).alias("asked"), F.pmod(F.xxhash64("pack"), F.lit(parts)).alias("part"), "pack", "ids", "codes", "norms")
     packs = packs.selectExpr(*kinds, "1 kind", "pack id", "ids", "codes", "norms", "cast(null as array<double>) vector")
-    asks = asked.select("asked", "query_id", "vector", F.explode(F.sequence(F.lit(0), F.lit(HALVES - 1))).alias("half"))
+    asks = asked.select("asked", "query_id", "vector", F.explode(F.sequence(F.lit(0), F.lit(parts - 1))).alias("part"))
     asks = asks.selectExpr(*kinds, "0 kind", "query_id id", "cast(null as binary) ids", "cast(null as binary) codes", "cast(null as binary) norms", "vector")
 
     def scan(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        best = Nearest(shipped.value, depth)
+        best = Nearest(shipped.value, RERANKED)
         for batch in batches:
             if not batch.num_rows:
                 continue
-            for part in _runs(batch, ["asked", "half", "kind"]):
+            for part in _runs(batch, ["asked", "part", "kind"]):
                 key, kind = (part.column(0)[0].as_py(), part.column(1)[0].as_py()), part.column(2)[0].as_py()
                 if key != best.key:
                     yield from best.rows()
@@ -298,10 +309,8 @@ def _search_index(index: DataFrame, n: int, queries: DataFrame, books: np.ndarra
                         best.meet(np.frombuffer(ids, np.int64), np.frombuffer(codes, np.uint8), np.frombuffer(norms, np.float32))
         yield from best.rows()
 
-    near = dealt(packs.unionByName(asks), ["asked", "half"], "kind", "id").mapInArrow(scan, "query_id long, node long, near double")
-    best = Window.partitionBy("query_id").orderBy(F.desc("near"), "node")
-    short = near.withColumn("place", F.row_number().over(best)).where(F.col("place") <= depth).select("query_id", "node")
-    full = short.join(index.select("node", "ids", F.col("vector").alias("found")), "node").join(asked.select("query_id", "vector"), "query_id")
+    near = dealt(packs.unionByName(asks), ["asked", "part"], "kind", "id").mapInArrow(scan, "query_id long, node long, near double")
+    full = near.select("query_id", "node").join(index.select("node", "ids", F.col("vector").alias("found")), "node").join(asked.select("query_id", "vector"), "query_id")
 
     def rerank(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -316,13 +325,12 @@ def _search_index(index: DataFrame, n: int, queries: DataFrame, books: np.ndarra
     every = scored.select("query_id", "score", F.explode("ids").alias("vec_id")).where("vec_id <> query_id")
     rank = Window.partitionBy("query_id").orderBy(F.desc(F.round("score", DECIMALS)), "vec_id")
     first = every.withColumn("rank", F.row_number().over(rank)).where(F.col("rank") == k).select("query_id", (F.col("score") - 10.0**-DECIMALS).alias("floor"))
-    every = _reaching(index, n, coded, asked.join(materialise(first, "floors"), "query_id", "left"), ask_blocks, shipped, k)
+    every = _reaching(index, coded, asked.join(materialise(first, "floors"), "query_id", "left"), ask_blocks, parts, shipped, k)
     return every.withColumn("rank", F.row_number().over(rank)).where(F.col("rank") <= k).select("query_id", "rank", "vec_id", "score")
 
 
-def _reaching(index: DataFrame, n: int, coded: DataFrame, asked: DataFrame, ask_blocks: int, shipped, k: int) -> DataFrame:
+def _reaching(index: DataFrame, coded: DataFrame, asked: DataFrame, ask_blocks: int, parts: int, shipped, k: int) -> DataFrame:
     """query_id, score, vec_id: of all vectors that can reach a query's floor the best, enough for k of them; the query itself is left out."""
-    parts = max(HALVES, -(-n // PART))
     kinds = "cast(asked as int) asked", "cast(part as int) part"
     packs = coded.select(F.explode(F.sequence(F.lit(0), F.lit(ask_blocks - 1))).alias("asked"), F.pmod(F.xxhash64("pack"), F.lit(parts)).alias("part"), "pack", "ids", "codes", "gaps", "units")
     packs = packs.selectExpr(*kinds, "1 kind", "pack id", "ids", "codes", "gaps", "units", "cast(null as array<double>) vector", "cast(null as double) floor")
