@@ -12,9 +12,10 @@ open (two documents at most) goes to the next level, in blocks again, until one
 there the landing sets each of the last to the side that misses the word total the least. Nothing depends on
 the order of rows, so reruns agree.
 
-A null text has no words; a null source is a source of its own and the last one; rows with equal ids are
-balanced one by one, alike ones being interchangeable. A source without words takes each document as it is.
-An empty table gives an empty result.
+A null text has no words; a null source is a source of its own and the last one; rows with equal or null ids are
+balanced one by one, those with equal texts being interchangeable. Texts are counted in full, however long. A
+source without words takes each document as it is. Documents may have columns of any name. An empty table gives
+an empty result.
 """
 
 from __future__ import annotations
@@ -23,7 +24,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from .common import WORD, dealt, groups, materialise
@@ -107,29 +108,37 @@ def draw(docs: DataFrame, last: bool) -> DataFrame:
                 p = landing(p, size)
             yield from table.set_column(table.schema.get_field_index("p"), "p", pa.array(p)).combine_chunks().to_batches()
 
-    return dealt(docs, ["source_key", "block"], "u", "row", "size").mapInArrow(run, docs.schema)
+    return dealt(docs, ["source_key", "block"], "u", "row", "size", "print").mapInArrow(run, docs.schema)
+
+
+def _size(text: Column) -> Column:
+    return F.coalesce(F.regexp_count(text, F.lit(WORD)), F.lit(0)).cast("long")
+
+
+def _print(text: Column) -> Column:
+    return F.xxhash64(text)
 
 
 def mix(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", source: str = "source", weights: tuple[int, ...] = WEIGHTS, copies: int = COPIES) -> DataFrame:
-    """doc_id, size, source_size, target and copies (how often the mix takes the document) of every row."""
+    """doc_id, source, size, source_size, target, copies (how often the mix takes the document) and the hash of its text, of every row."""
     sizes = materialise(
-        docs.select(F.col(doc_id).cast("long").alias("doc_id"), F.col(source).alias("source"), F.coalesce(F.regexp_count(text, F.lit(WORD)), F.lit(0)).cast("long").alias("size")), "sizes"
+        docs.select(F.col(doc_id).cast("long").alias("doc_id"), F.col(source).alias("source"), _size(F.col(text)).alias("size"), _print(F.col(text)).alias("print")), "sizes"
     )
     per = targets(sizes, weights, copies)
     counts = sizes.groupBy("source").agg(F.count(F.lit(1)).alias("n"))
     per = materialise(per.join(counts, per.source.eqNullSafe(counts.source)).select(per.source.alias("of"), "source_size", "target", "n"), "targets")
     wanted = F.coalesce(F.try_divide(F.col("target"), F.col("source_size").cast("double")), F.lit(1.0))
     # equal rows get ranks through a count of their own, so that their draws differ
-    alike = Window.partitionBy("doc_id", "source", "size").orderBy("size")
+    alike = Window.partitionBy("doc_id", "source", "print").orderBy("size")
     rows = (
         sizes.join(per, F.col("source").eqNullSafe(F.col("of")))
-        .select("doc_id", "source", "size", "source_size", "target", "n", F.row_number().over(alike).alias("row"))
+        .select("doc_id", "source", "size", "print", "source_size", "target", "n", F.row_number().over(alike).alias("row"))
         .withColumn("whole", F.floor(wanted + F.lit(1e-12)).cast("long"))
         .withColumn("p", F.greatest(F.lit(0.0), wanted - F.floor(wanted + F.lit(1e-12))))
         .withColumn("source_key", F.xxhash64(F.coalesce("source", F.lit("")), F.col("source").isNull()))
-        .withColumn("u", F.pmod(F.xxhash64("doc_id", "row", F.lit("u")), F.lit(1 << 30)) / F.lit(float(1 << 30)))
+        .withColumn("u", F.pmod(F.xxhash64("doc_id", "print", "row", F.lit("u")), F.lit(1 << 30)) / F.lit(float(1 << 30)))
         .withColumn("blocks", F.ceil(F.col("n") / F.lit(BLOCK)))
-        .withColumn("block", F.pmod(F.xxhash64("doc_id", "row", F.lit("b")), F.col("blocks")))
+        .withColumn("block", F.pmod(F.xxhash64("doc_id", "print", "row", F.lit("b")), F.col("blocks")))
     )
     done, level = None, 0
     blocks = max([r[0] for r in per.agg(F.max(F.ceil(F.col("n") / F.lit(BLOCK)))).collect() if r[0]], default=1)
@@ -142,18 +151,18 @@ def mix(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", source: str
             break
         level += 1
         blocks = -(-2 * blocks // BLOCK)  # two open documents of each block
-        rows = rows.where("p > 0 AND p < 1").withColumn("blocks", F.ceil(F.col("blocks") * 2 / F.lit(BLOCK))).withColumn("block", F.pmod(F.xxhash64("doc_id", "row", F.lit(f"b{level}")), F.col("blocks")))
-    return done.select("doc_id", "source", "size", "source_size", "target", (F.col("whole") + F.col("p").cast("long")).alias("copies"), "row")
+        rows = rows.where("p > 0 AND p < 1").withColumn("blocks", F.ceil(F.col("blocks") * 2 / F.lit(BLOCK))).withColumn("block", F.pmod(F.xxhash64("doc_id", "print", "row", F.lit(f"b{level}")), F.col("blocks")))
+    return done.select("doc_id", "source", "size", "source_size", "target", (F.col("whole") + F.col("p").cast("long")).alias("copies"), "print", "row")
 
 
 def mixed(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", source: str = "source") -> DataFrame:
     """The documents, each as often as the mix takes it, with their own columns."""
-    take = mix(docs, doc_id, text, source).groupBy(F.col("doc_id").alias("__id"), F.col("source").alias("__source"), F.col("size").alias("__size"))
-    take = take.agg(F.sum("copies").alias("__copies"), F.count(F.lit(1)).alias("__alike"))
-    size = F.coalesce(F.regexp_count(text, F.lit(WORD)), F.lit(0)).cast("long")
-    joined = docs.withColumn("__own", size).join(take, F.col(doc_id).cast("long").eqNullSafe(F.col("__id")) & F.col(source).eqNullSafe(F.col("__source")) & (F.col("__own") == F.col("__size")))
-    alike = Window.partitionBy(doc_id, source, "__own").orderBy(text)
-    # rows that agree in id, source and size share their copies out, the first ones getting one more
-    nth = F.when(F.col("__alike") > 1, F.row_number().over(alike)).otherwise(1)
-    each = F.floor(F.col("__copies") / F.col("__alike")).cast("long") + F.when(nth <= F.col("__copies") % F.col("__alike"), 1).otherwise(0)
-    return joined.withColumn("__n", each).where("__n > 0").withColumn("__copy", F.explode(F.sequence(F.lit(1).cast("long"), F.col("__n")))).select(*docs.columns)
+    key = ["id", "source", "print"]
+    take = mix(docs, doc_id, text, source).withColumnRenamed("doc_id", "id").groupBy(*key).agg(F.sum("copies").alias("copies"), F.count(F.lit(1)).alias("alike"))
+    own = docs.select(F.struct("*").alias("doc"), F.col(doc_id).cast("long").alias("id"), F.col(source).alias("source"), _print(F.col(text)).alias("print"))
+    same = [own[c].eqNullSafe(take[c]) for c in key]
+    joined = own.join(take, same[0] & same[1] & same[2]).select("doc", *[own[c] for c in key], "copies", "alike")
+    # rows that agree in id, source and text share their copies out, the first ones getting one more
+    nth = F.when(F.col("alike") > 1, F.row_number().over(Window.partitionBy(*key).orderBy("doc"))).otherwise(1)
+    each = F.floor(F.col("copies") / F.col("alike")).cast("long") + F.when(nth <= F.col("copies") % F.col("alike"), 1).otherwise(0)
+    return joined.withColumn("n", each).where("n > 0").select("doc", F.explode(F.sequence(F.lit(1).cast("long"), F.col("n")))).select("doc.*")
