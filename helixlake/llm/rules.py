@@ -1,12 +1,13 @@
 """Quality rules as a short-circuit cascade, in DataFrame functions alone.
 
-The base statistics are computed for every text. Of the further rules, cost (seconds on a sample) and
-selectivity (the share of the sample that it rejects) are estimated first, and rules are tried in the order of
-rejection per cost; a text that one rejects isn't shown to the next. The order changes the time only: a text
+The base statistics are computed for every text. Of the further rules, cost (seconds over a sample, which each
+rule goes through many times, less those of a rule that does nothing) and selectivity (the share of the sample
+that it rejects) are estimated first, and rules are tried in the order of rejection per cost; a text that one rejects isn't shown to the next. The order changes the time only: a text
 is kept if no rule rejects it.
 
-A null or empty text has no words and fails the base. Every row has a verdict, repeated rows the same one; an
-empty table gives an empty result; columns beyond the two named ones are not read.
+A null or empty text has no words and fails the base. Texts are read in full, however long. Every row has a
+verdict, repeated rows the same one; an empty table gives an empty result; columns beyond the two named ones are
+not read.
 """
 
 from __future__ import annotations
@@ -23,6 +24,8 @@ SPACE = " \t\n\x0b\x0c\r"
 SYMBOLS = "#*$%&|<>"
 #: Bound of the sample on which cost and selectivity are estimated.
 MAX_SAMPLE = 2000
+#: Times that a rule goes through the sample, in each of two runs.
+REPEATS = 10
 
 
 def _let(value: Column, body: Callable[[Column], Column]) -> Column:
@@ -91,11 +94,22 @@ def ordered(stats: DataFrame, given: dict[str, Column], most: int = MAX_SAMPLE)
     """Names of the rules, the one with the most rejections per second first."""
     sample = materialise(bounded(stats.where(~base_failed()), "doc_id", most), "sample")
     n = max(1, sample.count())
-    worth = {}
+    again = sample.withColumn("turn", F.explode(F.sequence(F.lit(1), F.lit(REPEATS))))
+
+    def seconds(rule: Column) -> tuple[float, int]:
+        """The faster of two runs, and the rows rejected in a turn."""
+        found = []
+        for _ in range(2):
+            began = time.monotonic()
+            # the turn is part of the condition, so that every turn works it out
+            rejected = again.where(F.when(F.col("turn") > 0, rule)).count()
+            found.append((time.monotonic() - began, rejected // REPEATS))
+        return min(found)
+
+    idle, worth = seconds(F.col("n_words") < 0)[0], {}
     for name, rule in given.items():
-        began = time.monotonic()
-        rejected = sample.where(rule).count()
-        worth[name] = (rejected / n) / max(time.monotonic() - began, 1e-6)
+        took, rejected = seconds(rule)
+        worth[name] = (rejected / n) / max(took - idle, 1e-3)
     return sorted(given, key=lambda name: (-worth[name], name))
 
 
