@@ -33,7 +33,7 @@ from collections.abc import Callable, Iterator
 import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from .common import WORD, across, coefficients, components, counted, dealt, groups, materialise, mix, parted, slices, told
@@ -43,6 +43,7 @@ WINNOWED = 60  # code points of a shorter line from which by_length and by_spots
 LATER, RUN, BINS = 3, 0.3, 32
 EDGES = np.array([int(WINNOWED * 1.5**c) for c in range(40)])  # classes of lengths
 BUCKET = 1500  # lines of a bucket, above which it is dealt into parts
+FIRST = 4  # keys of a line that the first look takes
 _U = np.uint64
 _INVERSE = pow(0x9E3779B97F4A7C15 | 1, -1, 1 << 64)
 _BASE = 0x9E3779B97F4A7C15 | 1
@@ -307,55 +308,101 @@ def near_links(met: DataFrame, texts: DataFrame, allowed: Callable = two_edits)
     return first.unionByName(linked(rest, ["p", "q"]))
 
 
-def winnowed_links(met: DataFrame, texts: DataFrame) -> DataFrame:
-    """(a, b): lines that share a key and are within the edits of :func:`by_length`."""
-    parts = F.ceil(F.col("n") / BUCKET)
-    pairs = met.withColumn("own", F.pmod(F.xxhash64("line", F.lit(2)), parts)).withColumn("other", F.explode(F.sequence(F.lit(0).cast("long"), (parts - 1).cast("long"))))
-    pairs = pairs.select("key", "line", F.least("own", "other").alias("p"), F.greatest("own", "other").alias("q"))
-    rows = dealt(pairs.join(signed(texts), "line").select("key", "p", "q", "line", "size", "bag"), ["key", "p", "q"], "size", "line")
-
-    def meet(table: pa.Table) -> Iterator[pa.RecordBatch]:
-        """Pairs of whole groups, a distance in the order of sizes at a time."""
-        key, p, q, line, size = (table.column(c).to_numpy() for c in range(5))
-        bag = np.frombuffer(b"".join(table.column(5).to_pylist()), np.uint16).reshape(-1, BINS).astype(np.int32)
-        at, most, step = np.arange(len(key)), by_length(size), 1
-        while len(at := at[at + step < len(key)]):
-            to = at + step
-            open_ = (key[at] == key[to]) & (p[at] == p[to]) & (q[at] == q[to]) & (size[to] <= size[at] + most[at])
-            at, to = at[open_], to[open_]
-            for c in range(0, len(at), 1 << 16):
-                i, j = at[c : c + (1 << 16)], to[c : c + (1 << 16)]
-                apart = bag[i] - bag[j]
-                close = (np.maximum(apart, 0).sum(1) <= most[i]) & (np.maximum(-apart, 0).sum(1) <= most[i]) & (line[i] != line[j])
-                low, high = np.minimum(line[i], line[j])[close], np.maximum(line[i], line[j])[close]
-                yield pa.RecordBatch.from_arrays([pa.array(low), pa.array(high)], ["a", "b"])
-            step += 1
+def close_pairs(table: pa.Table, groups_: list[str], allowed: Callable) -> Iterator[tuple[np.ndarray, np.ndarray]]:
+    """Places (i, j) of rows of one group whose lengths and counts of code points leave the edits of the shorter line, i.
+
+    Rows come by group and size. All rows look at the one behind them, then at the next but one, and so on, until
+    the lengths of a row's group have gone too far.
+    """
+    keys = [table.column(c).to_numpy() for c in groups_]
+    size = table.column("size").to_numpy()
+    bag = np.frombuffer(b"".join(table.column("bag").to_pylist()), np.uint16).reshape(-1, BINS).astype(np.int32)
+    at, most, step = np.arange(len(size)), allowed(size), 1
+    while len(at := at[at + step < len(size)]):
+        to = at + step
+        open_ = size[to] <= size[at] + most[at]
+        for k in keys:
+            open_ &= k[at] == k[to]
+        at, to = at[open_], to[open_]
+        for c in range(0, len(at), 1 << 16):
+            i, j = at[c : c + (1 << 16)], to[c : c + (1 << 16)]
+            apart = bag[i] - bag[j]
+            near_ = (np.maximum(apart, 0).sum(1) <= most[i]) & (np.maximum(-apart, 0).sum(1) <= most[i])
+            yield i[near_], j[near_]
+        step += 1
+
+
+def whole_groups(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.Table]:
+    """Tables of sorted batches that end where their first column changes."""
+    held: list[pa.Table] = []
+    for batch in batches:
+        if not batch.num_rows:
+            continue
+        table = pa.concat_tables([*held, pa.Table.from_batches([batch])])
+        key = table.column(0).to_numpy()
+        change = np.flatnonzero(key[1:] != key[:-1])
+        cut = int(change[-1]) + 1 if len(change) else 0
+        if cut:
+            yield table.slice(0, cut)
+        held = [table.slice(cut)]
+    yield from held
+
+
+def verified(pairs: DataFrame, texts: DataFrame, allowed: Callable) -> DataFrame:
+    """(a, b) of the pairs that are within the edits."""
+    both = pairs.join(texts.select(F.col("line").alias("a"), F.col("text").alias("x")), "a").join(texts.select(F.col("line").alias("b"), F.col("text").alias("y")), "b")
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        held: list[pa.Table] = []
-        for batch in batches:
-            if not batch.num_rows:
-                continue
-            table = pa.concat_tables([*held, pa.Table.from_batches([batch])])
-            key = table.column(0).to_numpy()
-            change = np.flatnonzero(key[1:] != key[:-1])
-            cut = int(change[-1]) + 1 if len(change) else 0
-            if cut:
-                yield from meet(table.slice(0, cut))
-            held = [table.slice(cut)]
-        for table in held:
-            yield from meet(table)
-
-    pairs = materialise(rows.mapInArrow(run, "a long, b long").distinct(), "pairs")
-    told = pairs.join(texts.select(F.col("line").alias("a"), F.col("text").alias("x")), "a").join(texts.select(F.col("line").alias("b"), F.col("text").alias("y")), "b")
-
-    def verify(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             xs, ys = batch.column(2).to_pylist(), batch.column(3).to_pylist()
-            good = [near(x, y, int(by_length(np.array(min(len(x), len(y)))))) for x, y in zip(xs, ys, strict=True)]
+            good = [near(x, y, int(allowed(np.array(min(len(x), len(y)))))) for x, y in zip(xs, ys, strict=True)]
             yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(1)], ["a", "b"]).filter(pa.array(good, pa.bool_()))
 
-    return told.select("a", "b", "x", "y").mapInArrow(verify, "a long, b long")
+    return both.select("a", "b", "x", "y").mapInArrow(run, "a long, b long")
+
+
+def winnowed_links(met: DataFrame, texts: DataFrame, allowed: Callable = by_length) -> DataFrame:
+    """(a, b): lines that share a key and are within the edits, enough of them to connect every class.
+
+    A first look takes a few keys of each line, large ones in parts, and gives each line the smallest one there
+    that lengths and counts leave it, one pair for each. What these pairs connect is one class; then every key
+    that still holds several classes is gone through for pairs across them. So a crowd of near copies costs
+    pairs in proportion to its lines.
+    """
+    bags = materialise(signed(texts), "bags")
+
+    def smallest(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for table in whole_groups(batches):
+            line = table.column("line").to_numpy()
+            least = line.copy()
+            for i, j in close_pairs(table, ["key", "part"], allowed):
+                low = np.minimum(line[i], line[j])
+                np.minimum.at(least, i, low)
+                np.minimum.at(least, j, low)
+            met_ = least < line
+            yield pa.RecordBatch.from_arrays([pa.array(line[met_]), pa.array(least[met_])], ["b", "a"])
+
+    order = Window.partitionBy("line").orderBy(F.xxhash64("key"), "key")
+    some = met.withColumn("nth", F.row_number().over(order)).where(f"nth <= {FIRST}").drop("nth")
+    # the smallest line of a large key goes to all of its parts
+    every = F.explode(F.sequence(F.lit(0).cast("long"), F.ceil(F.col("n") / BUCKET).cast("long") - 1))
+    lead = some.where(F.col("n") > BUCKET).groupBy("key", "n").agg(F.min("line").alias("line")).select("key", every.alias("part"), "line")
+    dealt_ = parted(some, "key", "line", BUCKET).select("key", "part", "line").unionByName(lead).join(bags, "line").select("key", "part", "line", "size", "bag")
+    pairs = dealt(dealt_, ["key", "part"], "size", "line").mapInArrow(smallest, "b long, a long").groupBy("b").agg(F.min("a").alias("a"))
+    first = materialise(verified(pairs.select("a", "b"), texts, allowed), "links")
+
+    def others(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for table in whole_groups(batches):
+            line, label, asks = table.column("line").to_numpy(), table.column("label").to_numpy(), table.column("asks").to_numpy(zero_copy_only=False)
+            for i, j in close_pairs(table, ["key", "p", "q"], allowed):
+                take = (label[i] != label[j]) & (asks[i] | asks[j])
+                low, high = np.minimum(line[i], line[j])[take], np.maximum(line[i], line[j])[take]
+                yield pa.RecordBatch.from_arrays([pa.array(low), pa.array(high)], ["a", "b"])
+
+    state = met.select("key", "line").join(components(first).withColumnRenamed("node", "line"), "line", "left").withColumn("label", F.coalesce("label", "line"))
+    rest = across(state, "key", "line", BUCKET).join(bags, "line").select("key", "p", "q", "line", "size", "bag", "label", "asks")
+    pairs = materialise(dealt(rest, ["key", "p", "q"], "size", "line").mapInArrow(others, "a long, b long").distinct(), "pairs")
+    return first.unionByName(verified(pairs, texts, allowed))
 
 
 def dropped(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", allowed: Callable = two_edits) -> DataFrame:
@@ -376,7 +423,7 @@ def dropped(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", allowed
     texts = materialise(own.join(wanted.distinct(), "line", "left_semi"), "texts")
     links = near_links(met, texts, allowed)
     if allowed is not two_edits:
-        links = links.union(winnowed_links(long, texts))
+        links = links.union(winnowed_links(long, texts, allowed))
     labels = components(links).withColumnRenamed("node", "line")
     classed = distinct.drop("text").join(labels, "line", "left").withColumn("label", F.coalesce("label", "line"))
     kept = classed.groupBy("label").agg(F.min("first").alias("kept"), F.sum("copies").alias("copies")).where("copies > 1")
