@@ -2,9 +2,13 @@
 
 from __future__ import annotations
 
+from functools import reduce
+
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from .tables import cut
+
 MIN_IDENTITY = 0.9
 ENTITY = ("entry", "entity")
 
@@ -32,20 +36,27 @@ def provenance(review_type: Column) -> Column:
     return F.when(F.contains(review_type, F.lit("Swiss-Prot")), F.lit("Swiss-Prot")).otherwise(F.lit("TrEMBL"))
 
 
-def sifts_score() -> Column:
+def total_score() -> Column:
     return F.coalesce("adjusted_score", F.lit(0.0)) + F.coalesce("tax_score", F.lit(0.0)) + F.coalesce("dataset_score", F.lit(0.0))
 
 
 def tax_lineage(nodes: DataFrame, max_depth: int = 64) -> DataFrame:
-    """(tax_id, ancestor, depth) of every node, itself at depth 0; a root is its own parent or has none."""
-    step = out = nodes.select("tax_id", F.col("tax_id").alias("ancestor"), F.lit(0).alias("depth"))
-    up = nodes.select(F.col("tax_id").alias("ancestor"), F.col("parent").alias("next"))
-    for depth in range(1, max_depth):
-        step = step.join(up, "ancestor").where("next IS NOT NULL AND next <> ancestor").select("tax_id", F.col("next").alias("ancestor"), F.lit(depth).alias("depth"))
+    """(tax_id, ancestor, depth) of every node, itself at depth 0; a root is its own parent or has none.
+
+    Written once, as its readers would work it out again. A lineage deeper than ``max_depth``, such as one in a
+    circle, is an error.
+    """
+    up = nodes.select(F.col("tax_id").alias("ancestor"), F.col("parent").alias("next")).where("next IS NOT NULL AND next <> ancestor")
+    step = nodes.select("tax_id", F.col("tax_id").alias("ancestor"), F.lit(0).alias("depth"))
+    levels = [step]
+    while True:
+        step = cut(step.join(up, "ancestor").select("tax_id", F.col("next").alias("ancestor"), (F.col("depth") + 1).alias("depth")))
         if step.isEmpty():
             break
-        out = out.unionByName(step)
-    return out
+        if len(levels) > max_depth:
+            raise ValueError(f"a lineage is deeper than {max_depth}")
+        levels.append(step)
+    return cut(reduce(DataFrame.unionByName, levels))
 
 
 def tax_pairs(hits: DataFrame) -> DataFrame:
@@ -72,11 +83,16 @@ def accession_info(*sources: DataFrame) -> DataFrame:
     """One row for each accession: of earlier sources first, and of several rows the best annotated."""
     out = None
     for source in sources:
-        own = source.groupBy("accession").agg(F.max_by("provenance", "annotation_score").alias("provenance"), F.max("annotation_score").alias("annotation_score"))
-        out = own if out is None else out.unionByName(own.join(out, "accession", "left_anti"))
+        own = source.groupBy("accession").agg(F.max_by("provenance", F.struct(F.coalesce("annotation_score", F.lit(float("-inf"))), "provenance")).alias("provenance"), F.max("annotation_score").alias("annotation_score"))
+        out = own if out is None else with_new_metadata(out, own)
     return out
 
 
+def with_new_metadata(info: DataFrame, more: DataFrame) -> DataFrame:
+    """info and the rows of ``more`` whose accession it lacks; a null accession in either keeps no other row out."""
+    return info.unionByName(more.join(info, "accession", "left_anti"))
+
+
 def missing_accessions(hits: DataFrame, info: DataFrame) -> DataFrame:
     return hits.select("accession").distinct().join(info, "accession", "left_anti")
 
@@ -87,27 +103,28 @@ def xref_counts(xrefs: DataFrame) -> DataFrame:
 
 
 def with_tax_override(hits: DataFrame, override: DataFrame) -> DataFrame:
-    """The override's tax id wins over the hit's."""
-    own = override.select("entry", "entity", F.col("tax_id").alias("__tax"))
+    """The override's tax id wins over the hit's; of several for an entity the largest."""
+    own = override.groupBy("entry", "entity").agg(F.max("tax_id").alias("__tax"))
     return hits.join(own, list(ENTITY), "left").withColumn("query_tax_id", F.coalesce("__tax", "query_tax_id")).drop("__tax")
 
 
 def score(hits: DataFrame, info: DataFrame, lineage: DataFrame, xrefs: DataFrame, cutoff: float = MIN_IDENTITY) -> DataFrame:
-    """All scores of the hits that pass the filter; dimensions join on their own keys, Spark broadcasts small ones."""
+    """All scores of the hits that pass the filter; dimensions join on their own keys, made unique first, and Spark broadcasts small ones."""
     hits = identity_filter(hits, cutoff).withColumn("adjusted_score", adjusted_score())
     hits = hits.join(tax_score(tax_pairs(hits), lineage), ["query_tax_id", "target_tax_id"], "left")
-    hits = hits.join(info.withColumn("dataset_score", dataset_score()).select("accession", "dataset_score"), "accession", "left")
-    return hits.join(xrefs, "accession", "left").withColumn("sifts_score", sifts_score())
+    hits = hits.join(accession_info(info).withColumn("dataset_score", dataset_score()).select("accession", "dataset_score"), "accession", "left")
+    counts = xrefs.groupBy("accession").agg(F.max("pdb_cross_references").alias("pdb_cross_references"))
+    return hits.join(counts, "accession", "left").withColumn("total_score", total_score())
 
 
 def ranked(hits: DataFrame) -> DataFrame:
     """hit_rank within (entry, entity); equal scores share a rank."""
-    w = Window.partitionBy(*ENTITY).orderBy(F.desc_nulls_last("sifts_score"), F.desc_nulls_last("pdb_cross_references"))
+    w = Window.partitionBy(*ENTITY).orderBy(F.desc_nulls_last("total_score"), F.desc_nulls_last("pdb_cross_references"))
     return hits.withColumn("hit_rank", F.dense_rank().over(w))
 
 
 def curated_top(hits: DataFrame) -> DataFrame:
     """The one hit of each (entry, entity) that five keys put first."""
-    keys = [F.desc_nulls_last(c) for c in ("sifts_score", "pdb_cross_references", "adjusted_score", "dataset_score")]
+    keys = [F.desc_nulls_last(c) for c in ("total_score", "pdb_cross_references", "adjusted_score", "dataset_score")]
     w = Window.partitionBy(*ENTITY).orderBy(*keys, F.asc("accession"))
     return hits.withColumn("__n", F.row_number().over(w)).where("__n = 1").drop("__n")
