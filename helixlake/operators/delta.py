@@ -5,21 +5,54 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-KEY = ["entry", "chain", "accession"]
+# Labels of changes.
+OBSOLETED, NEW, CHANGED = "obsoleted_mapping", "new_mapping", "changed_segments"
+CHAIN = ["entry", "chain"]
 
 
-def joined_segments(segments: DataFrame) -> DataFrame:
-    """Segments of each mapping as one string, in order."""
-    text = F.concat_ws("_", "pdb_start", "pdb_end", "unp_start", "unp_end")
-    rows = F.sort_array(F.collect_list(F.struct("row_no", text.alias("s"))))
-    return segments.groupBy(*KEY).agg(F.array_join(F.transform(rows, lambda x: x.s), ";").alias("segments"))
+def _key(rows: DataFrame) -> list[str]:
+    return [*CHAIN, *(["db"] if "db" in rows.columns else []), "accession"]
 
 
-def typed_delta(old: DataFrame, new: DataFrame) -> DataFrame:
-    """obsoleted_mapping, new_mapping or changed_segments for each mapping that differs."""
-    a, b = joined_segments(old).withColumnRenamed("segments", "old_segments"), joined_segments(new).withColumnRenamed("segments", "new_segments")
-    kind = F.when(F.col("new_segments").isNull(), "obsoleted_mapping").when(F.col("old_segments").isNull(), "new_mapping").when(F.col("old_segments") != F.col("new_segments"), "changed_segments")
-    return a.join(b, KEY, "full_outer").select(*KEY, kind.alias("delta_type"), "old_segments", "new_segments").where("delta_type IS NOT NULL")
+def segment_lists(segments: DataFrame) -> DataFrame:
+    """The segments of each mapping as a list of strings, in the order of rows; a missing reference range is empty."""
+    text = F.concat_ws("_", *[F.coalesce(F.col(c).cast("string"), F.lit("")) for c in ("pdb_start", "pdb_end", "unp_start", "unp_end")])
+    rows = F.sort_array(F.collect_list(F.struct("row_no", text.alias("s"))))
+    return segments.groupBy(*_key(segments)).agg(F.transform(rows, lambda x: x.s).alias("segments"))
+
+
+def typed_delta(old: DataFrame, new: DataFrame, databases: list[str] | None = None) -> DataFrame:
+    """What became of each mapping (entry, chain, db if there is one, accession) that differs.
+
+    Where a whole chain comes or goes, each of its mappings is one row, segments joined by ';'. Where a chain
+    stays and a mapping comes or goes, each segment is a row. A mapping that stays with other segments is one row
+    with both joined. ``databases``: of chains that stay only these.
+    """
+    key, chain = _key(new), Window.partitionBy(*CHAIN)
+    a, b = segment_lists(old).withColumnRenamed("segments", "o"), segment_lists(new).withColumnRenamed("segments", "n")
+    both = a.join(b, key, "full_outer")
+    stays = F.max(F.col("o").isNotNull()).over(chain) & F.max(F.col("n").isNotNull()).over(chain)
+    both = both.withColumn("stays", stays)
+    if databases is not None and "db" in key:
+        both = both.where(~F.col("stays") | F.col("db").isin(*databases))
+    kind = F.when(F.col("n").isNull(), OBSOLETED).when(F.col("o").isNull(), NEW).when(F.col("o") != F.col("n"), CHANGED)
+    joined = lambda c: F.array_join(c, ";")
+    one = F.coalesce("o", "n")
+    pieces = F.when(F.col("delta_type") == CHANGED, F.array(F.lit(None).cast("string"))).when(F.col("stays"), one).otherwise(F.array(joined(one)))
+    rows = both.withColumn("delta_type", kind).where("delta_type IS NOT NULL").select(*key, "delta_type", "o", "n", F.explode(pieces).alias("s"))
+    is_ = lambda k: F.col("delta_type") == k
+    return rows.select(*key, "delta_type", F.when(is_(CHANGED), joined("o")).when(is_(OBSOLETED), F.col("s")).alias("old_segments"), F.when(is_(CHANGED), joined("n")).when(is_(NEW), F.col("s")).alias("new_segments"))
+
+
+def exported_segments(unp: DataFrame, other: DataFrame) -> DataFrame:
+    """Rows to compare, read back from the two exported segment tables: those of the reference database, with its label, and all others.
+
+    Other databases have no reference range; it is empty.
+    """
+    own = unp.select("entry", F.col("asym_id").alias("chain"), F.lit("UNP").alias("db"), F.col("unp_acc").alias("accession"), F.col("seq_id_start").cast("long").alias("pdb_start"), F.col("seq_id_end").cast("long").alias("pdb_end"), F.col("unp_start").cast("long").alias("unp_start"), F.col("unp_end").cast("long").alias("unp_end"), F.struct("segment_id", "instance_id", "seq_id_start", "seq_id_end").alias("row_no"))
+    none = F.lit(None).cast("long")
+    more = other.select("entry", F.col("asym_id").alias("chain"), F.col("xref_db").alias("db"), F.col("xref_db_acc").alias("accession"), F.col("seq_id_start").cast("long").alias("pdb_start"), F.col("seq_id_end").cast("long").alias("pdb_end"), none.alias("unp_start"), none.alias("unp_end"), F.struct("segment_id", "instance_id", "seq_id_start", "seq_id_end").alias("row_no"))
+    return own.unionByName(more)
 
 
 def same_rows(a: DataFrame, b: DataFrame) -> bool:

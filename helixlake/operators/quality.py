@@ -35,3 +35,25 @@ def same_schema(df: DataFrame, names: list[str]) -> DataFrame:
     if df.columns != names:
         raise ValueError(f"columns {df.columns}, wanted {names}")
     return df
+
+
+def require_rows(df: DataFrame, name: str) -> DataFrame:
+    if df.isEmpty():
+        raise ValueError(f"{name} is empty")
+    return df
+
+
+def lost_rows(before: DataFrame, after: DataFrame) -> DataFrame:
+    """Rows of ``before``, as often as they are there, that ``after`` lacks in the columns they share."""
+    shared = [c for c in before.columns if c in after.columns]
+    return before.select(*shared).exceptAll(after.select(*shared))
+
+
+def preserved(before: DataFrame, after: DataFrame) -> bool:
+    """Whether the output holds all that the input held: no fewer rows, all columns, every row."""
+    return set(before.columns) <= set(after.columns) and before.count() <= after.count() and lost_rows(before, after).isEmpty()
+
+
+def without_canonical(segments: DataFrame) -> DataFrame:
+    """(entry, chain) of the chains none of whose segments is canonical."""
+    return segments.groupBy("entry", "chain").agg(F.bool_or("canonical_acc").alias("__any")).where("NOT coalesce(__any, false)").select("entry", "chain")

@@ -2,6 +2,10 @@
 
 from __future__ import annotations
 
+from collections.abc import Iterator
+
+import numpy as np
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -17,9 +21,14 @@ def matches(a: Column, b: Column) -> Column:
     return F.size(F.filter(agree, lambda x: x))
 
 
+def rounded(x: Column, digits: int = 2) -> Column:
+    """Half up on the binary value, so that it can be said in any SQL."""
+    return F.floor(x * 10**digits + 0.5) / 10**digits
+
+
 def identity(unp: Column, pdb: Column) -> Column:
-    """Agreeing columns over the length of the gapped structure string."""
-    return F.try_divide(matches(unp, pdb).cast("double"), F.length(pdb).cast("double"))
+    """Agreeing columns over the length of the gapped structure string, in two decimals."""
+    return rounded(F.try_divide(matches(unp, pdb).cast("double"), F.length(pdb).cast("double")))
 
 
 def conflicts(unp: Column, pdb: Column) -> Column:
@@ -27,23 +36,92 @@ def conflicts(unp: Column, pdb: Column) -> Column:
 
 
 def coverage(pdb: Column, canonical_length: Column) -> Column:
-    return F.try_divide(F.length(F.replace(pdb, F.lit("-"), F.lit(""))).cast("double"), canonical_length.cast("double"))
+    """Letters of the structure over the canonical length, in two decimals; 0 without a canonical sequence."""
+    return F.coalesce(rounded(F.try_divide(F.length(F.replace(pdb, F.lit("-"), F.lit(""))).cast("double"), canonical_length.cast("double"))), F.lit(0.0))
+
+
+def _codes(text: str | None) -> np.ndarray:
+    return np.frombuffer((text or "").encode("utf-32-le", "surrogatepass"), np.uint32)
+
+
+def aligned_columns(alignments: DataFrame, key: str = "aln", mapped: bool = False) -> DataFrame:
+    """One row for each column: letters and running positions on both sides (starts are 1 unless given).
 
+    An alignment is one row before and is gone through in its own task, so nothing is shuffled; the counts are
+    cumulative sums over its code points. With ``mapped`` only columns with a letter on both sides.
+    """
+    start = lambda c: F.coalesce(F.col(c), F.lit(1)).cast("long") if c in alignments.columns else F.lit(1).cast("long")
+    cols = alignments.select(key, "unp_aln", "pdb_aln", start("unp_start").alias("unp_start"), start("pdb_start").alias("pdb_start"))
+    kind = alignments.schema[key].dataType.simpleString()
 
-def aligned_columns(alignments: DataFrame, key: str = "aln") -> DataFrame:
-    """One row for each column: letters and running positions on both sides (starts are 1 unless given)."""
-    cols = alignments.select(key, "unp_aln", "pdb_aln", *[c for c in ("unp_start", "pdb_start") if c in alignments.columns])
-    pairs = F.posexplode(F.zip_with(letters("unp_aln"), letters("pdb_aln"), lambda u, p: F.struct(u.alias("u"), p.alias("p")))).alias("i", "c")
-    rows = cols.select(*[c for c in cols.columns if c not in ("unp_aln", "pdb_aln")], pairs).where("c.u IS NOT NULL AND c.p IS NOT NULL")
-    rows = rows.withColumn("i", F.col("i") + 1).withColumn("u", F.col("c.u")).withColumn("p", F.col("c.p"))
-    w = Window.partitionBy(key).orderBy("i").rowsBetween(Window.unboundedPreceding, 0)
-    at = {s: F.sum(F.when(F.col(s) != "-", 1).otherwise(0)).over(w) + (F.col(f"{n}_start") - 1 if f"{n}_start" in alignments.columns else F.lit(0)) for s, n in (("u", "unp"), ("p", "pdb"))}
-    return rows.select(key, "i", "u", "p", at["u"].cast("long").alias("unp_pos"), at["p"].cast("long").alias("pdb_pos"))
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            sides = zip(*(batch.column(c).to_pylist() for c in range(1, 5)), strict=True)
+            for k, (unp, pdb, u0, p0) in enumerate(sides):
+                u, p = _codes(unp), _codes(pdb)
+                n = min(len(u), len(p))
+                u, p = u[:n], p[:n]
+                at_u, at_p = np.cumsum(u != 45) + u0 - 1, np.cumsum(p != 45) + p0 - 1
+                take = np.flatnonzero((u != 45) & (p != 45)) if mapped else np.arange(n)
+                same = batch.column(0).take(pa.array(np.full(len(take), k)))
+                if mapped:
+                    yield pa.RecordBatch.from_arrays([same, pa.array(at_p[take]), pa.array(at_u[take])], [key, "pdb_pos", "unp_pos"])
+                else:
+                    yield pa.RecordBatch.from_arrays([same, pa.array(take + 1), pa.array(list(unp[:n])), pa.array(list(pdb[:n])), pa.array(at_u), pa.array(at_p)], [key, "i", "u", "p", "unp_pos", "pdb_pos"])
+
+    places = "pdb_pos long, unp_pos long" if mapped else "i long, u string, p string, unp_pos long, pdb_pos long"
+    return cols.where("unp_aln IS NOT NULL AND pdb_aln IS NOT NULL").mapInArrow(run, f"`{key}` {kind}, {places}")
 
 
 def residue_map(alignments: DataFrame, key: str = "aln") -> DataFrame:
     """(key, pdb_pos, unp_pos) of columns with a letter on both sides."""
-    return aligned_columns(alignments, key).where("u <> '-' AND p <> '-'").select(key, "pdb_pos", "unp_pos")
+    return aligned_columns(alignments, key, mapped=True)
+
+
+def without_excluded(mapped: DataFrame, residues: DataFrame, keys: list[str]) -> DataFrame:
+    """Positions of a map without those of residues that never map (see :func:`excluded_types`)."""
+    good = excluded_types(residues).select(*keys, F.col("seq_id").alias("pdb_pos"))
+    return mapped.join(good, [*keys, "pdb_pos"], "left_semi")
+
+
+def with_long_letters(mapped: DataFrame, residues: DataFrame, keys: list[str]) -> DataFrame:
+    """A map whose columns count letters as one of residues: a residue of several letters has several columns.
+
+    residues (keys, seq_id, letters). Position k of the structure's letters belongs to the residue that holds
+    the k-th letter, so such a residue maps to several positions of the reference.
+    """
+    w = Window.partitionBy(*keys).orderBy("seq_id").rowsBetween(Window.unboundedPreceding, -1)
+    own = residues.select(*keys, "seq_id", F.coalesce(F.sum(F.length("letters")).over(w), F.lit(0)).alias("before"), F.length("letters").alias("n")).where("n > 0")
+    places = own.select(*keys, "seq_id", F.explode(F.sequence(F.col("before") + 1, F.col("before") + F.col("n"))).alias("pdb_pos"))
+    return mapped.join(places, [*keys, "pdb_pos"]).select(*keys, F.col("seq_id").alias("pdb_pos"), "unp_pos")
+
+
+def preferred_positions(mapped: DataFrame, keys: list[str], rank: str = "rank") -> DataFrame:
+    """Of several alignments of a chain, position by position the one of the smallest rank."""
+    best = F.rank().over(Window.partitionBy(*keys, "pdb_pos").orderBy(rank))
+    return mapped.withColumn("__r", best).where("__r = 1").select(*keys, "pdb_pos", "unp_pos")
+
+
+def aligned_islands(alignments: DataFrame, key: str = "aln") -> DataFrame:
+    """:func:`islands` of :func:`residue_map`, folded inside the row of each alignment: only whole runs leave it.
+
+    Columns become letters: M where both sides have one, D where the structure alone has, I where the reference
+    alone has. Runs end at D; what stands between two of them counts its letters.
+    """
+    start = lambda c: F.coalesce(F.col(c), F.lit(1)).cast("long") if c in alignments.columns else F.lit(1).cast("long")
+    kind = F.zip_with(letters("unp_aln"), letters("pdb_aln"), lambda u, p: F.when(u.isNull() | p.isNull() | ((u == "-") & (p == "-")), "").when(u == "-", "D").when(p == "-", "I").otherwise("M"))
+    runs = F.split(F.array_join(kind, ""), "D")
+    count = lambda x, c: F.length(x) - F.length(F.replace(x, F.lit(c), F.lit("")))
+
+    def add(done: Column, run: Column) -> Column:
+        n, here = count(run, "M").cast("long"), F.ltrim(run, F.lit("I"))
+        first, last = done.u + F.length(run) - F.length(here), done.u + F.length(F.rtrim(run, F.lit("I")))
+        found = F.struct((done.p + 1).alias("pdb_start"), (done.p + n).alias("pdb_end"), (first + 1).cast("long").alias("unp_start"), last.cast("long").alias("unp_end"))
+        return F.struct((done.p + n + 1).alias("p"), (done.u + F.length(run)).cast("long").alias("u"), F.when(n > 0, F.array_append(done.runs, found)).otherwise(done.runs).alias("runs"))
+
+    none = F.array().cast("array<struct<pdb_start:bigint,pdb_end:bigint,unp_start:bigint,unp_end:bigint>>")
+    begin = F.struct((start("pdb_start") - 1).alias("p"), (start("unp_start") - 1).alias("u"), none.alias("runs"))
+    return alignments.select(key, F.inline(F.aggregate(runs, begin, add, lambda x: x.runs)))
 
 
 def excluded_types(residues: DataFrame, types: tuple[str, ...] = ("Insertion", "Linker", "Expression tag")) -> DataFrame:
@@ -66,35 +144,66 @@ def islands(positions: DataFrame, keys: list[str]) -> DataFrame:
 
 
 def blanks(chains: DataFrame, mapped: DataFrame, keys: list[str]) -> DataFrame:
-    """Ranges of chains (keys, length) that no mapped position covers."""
-    every = chains.select(*keys, F.explode(F.sequence(F.lit(1).cast("long"), F.col("length").cast("long"))).alias("pdb_pos"))
-    left = every.join(mapped.select(*keys, "pdb_pos").distinct(), [*keys, "pdb_pos"], "left_anti").withColumn("unp_pos", F.lit(None).cast("long"))
-    return islands(left, keys).select(*keys, "pdb_start", "pdb_end")
+    """Ranges of chains (keys, length) that no mapped range (keys, pdb_start, pdb_end), or position (pdb_pos), covers.
+
+    Ranges are subtracted as such: a blank lies between the farthest end so far and the next start.
+    """
+    ranges = mapped.select(*keys, F.col("pdb_pos").alias("pdb_start"), F.col("pdb_pos").alias("pdb_end")) if "pdb_pos" in mapped.columns else mapped.select(*keys, "pdb_start", "pdb_end")
+    ends = chains.select(*keys, (F.col("length") + 1).cast("long").alias("pdb_start"), (F.col("length") + 1).cast("long").alias("pdb_end"), F.col("length").cast("long").alias("__n"))
+    rows = ends.unionByName(ranges.join(chains.select(*keys, F.col("length").cast("long").alias("__n")), keys))
+    before = F.coalesce(F.max("pdb_end").over(Window.partitionBy(*keys).orderBy("pdb_start", "pdb_end").rowsBetween(Window.unboundedPreceding, -1)), F.lit(0))
+    out = rows.select(*keys, (F.greatest(before, F.lit(0)) + 1).alias("a"), F.least(F.col("pdb_start") - 1, F.col("__n")).alias("b"))
+    return out.where("a <= b").select(*keys, F.col("a").alias("pdb_start"), F.col("b").alias("pdb_end"))
 
 
 def align_chunk(alignments: DataFrame, key: str = "aln") -> DataFrame:
-    """Slices (start, stop by ungapped positions of the structure): outer gaps go, inner gaps stay."""
-    cols = aligned_columns(alignments, key).join(alignments.select(key, "start", "stop"), key)
-    inside = cols.where("pdb_pos BETWEEN start AND stop")
-    last = F.max(F.when(F.col("p") != "-", F.col("i"))).over(Window.partitionBy(key))
-    inside = inside.withColumn("__last", last).where("i <= __last")
-    return inside.groupBy(key).agg(F.array_join(F.transform(F.sort_array(F.collect_list(F.struct("i", "p"))), lambda x: x.p), "").alias("pdb_chunk"), F.array_join(F.transform(F.sort_array(F.collect_list(F.struct("i", "u"))), lambda x: x.u), "").alias("unp_chunk"))
+    """Slices (start, stop by ungapped positions of the structure): outer gaps go, inner gaps stay; '' for a slice without letters.
+
+    Each alignment is cut inside its own row.
+    """
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            found = []
+            for unp, pdb, a, b in zip(*(batch.column(c).to_pylist() for c in range(1, 5)), strict=True):
+                n = min(len(unp), len(pdb))
+                at = np.flatnonzero(_codes(pdb)[:n] != 45)[max(a - 1, 0) : max(b, 0)]
+                low, high = (int(at[0]), int(at[-1]) + 1) if len(at) else (0, 0)
+                found.append((pdb[low:high], unp[low:high]))
+            yield pa.RecordBatch.from_arrays([batch.column(0), pa.array([x for x, _ in found], pa.string()), pa.array([x for _, x in found], pa.string())], [key, "pdb_chunk", "unp_chunk"])
+
+    cols = alignments.where("unp_aln IS NOT NULL AND pdb_aln IS NOT NULL AND start IS NOT NULL AND stop IS NOT NULL").select(key, "unp_aln", "pdb_aln", F.col("start").cast("long"), F.col("stop").cast("long"))
+    return cols.mapInArrow(run, f"`{key}` {alignments.schema[key].dataType.simpleString()}, pdb_chunk string, unp_chunk string")
+
 
+def merge_connected(segments: DataFrame, keys: list[str], apart: str | None = None) -> DataFrame:
+    """Join segments whose border is bonded (bonded_next: the end of this one with the start of the next).
 
-def merge_connected(segments: DataFrame, keys: list[str]) -> DataFrame:
-    """Join segments whose border is bonded (bonded_next: the end of this one with the start of the next)."""
+    ``apart`` names a boolean column: segments of chimeras and of accessions that repeat stay as they are.
+    """
     w = Window.partitionBy(*keys).orderBy("pdb_start")
-    begins = F.when(F.coalesce(F.lag("bonded_next").over(w), F.lit(False)), 0).otherwise(1)
+    joined = F.coalesce(F.lag("bonded_next").over(w), F.lit(False))
+    begins = F.when(joined & ~F.coalesce(F.col(apart), F.lit(False)) if apart else joined, 0).otherwise(1)
     runs = segments.withColumn("__new", begins).withColumn("__run", F.sum("__new").over(w.rowsBetween(Window.unboundedPreceding, 0)))
     out = runs.groupBy(*keys, "__run").agg(F.min("pdb_start").alias("pdb_start"), F.max("pdb_end").alias("pdb_end"), F.min_by("unp_start", "pdb_start").alias("unp_start"), F.max_by("unp_end", "pdb_start").alias("unp_end"))
     return out.drop("__run")
 
 
 def chimera_flags(mapping: DataFrame) -> DataFrame:
-    """(entry, chain): chimera with more than one accession; repeated if one has ranges out of order or overlapping."""
-    w = Window.partitionBy("entry", "chain", "accession").orderBy("row_no")
-    again = mapping.withColumn("__bad", F.coalesce(F.col("unp_start") <= F.lag("unp_end").over(w), F.lit(False)))
-    return again.groupBy("entry", "chain").agg((F.countDistinct("accession") > 1).alias("chimera"), F.bool_or("__bad").alias("repeated"))
+    """(entry, chain, chimera, repeated): chimera with several accessions; repeated where the one accession has several
+    ranges and a later one starts no later than an earlier one, or meets it, or lies beyond a large gap.
+
+    The gap rule looks at the first two ranges: a gap longer than three times (half the second range less five).
+    """
+    w = Window.partitionBy("entry", "chain").orderBy("row_no")
+    before = w.rowsBetween(Window.unboundedPreceding, -1)
+    gap = F.col("unp_start") - F.lag("unp_end").over(w) - 1
+    extra = F.col("unp_end") - F.col("unp_start") + 1
+    far = (F.row_number().over(w) == 2) & (gap > 3 * (extra / 2 - 5))
+    met = F.greatest(F.max("unp_start").over(before), F.max("unp_end").over(before)) >= F.col("unp_start")
+    again = mapping.withColumn("__bad", F.coalesce(far | met, F.lit(False)))
+    several = F.countDistinct("accession") > 1
+    return again.groupBy("entry", "chain").agg(several.alias("chimera"), (F.bool_or("__bad") & ~several).alias("repeated"))
 
 
 def alignment_letter() -> Column:
