@@ -124,3 +124,55 @@ def poly_seq_scheme(canonical: DataFrame, mapped: DataFrame, coordinates: DataFr
     every = canonical.select(*keys, F.posexplode(F.split("sequence", "")).alias("p", "letter")).where("letter <> ''").select(*keys, (F.col("p") + 1).cast("long").alias("seq_id"), "letter")
     seen = mapped.join(coordinates, [*keys, "pdb_pos"]).select(*keys, F.col("unp_pos").alias("seq_id"), F.col("auth_seq_id").cast("string").alias("auth"))
     return every.join(seen, [*keys, "seq_id"], "left").withColumn("auth", F.coalesce("auth", F.lit("?")))
+
+
+SCHEME = ["asym_id", "entity_id", "seq_id", "mon_id", "ndb_seq_num", "pdb_seq_num", "auth_seq_num", "pdb_mon_id", "auth_mon_id", "pdb_strand_id", "pdb_ins_code", "hetero"]
+
+
+def rebuilt_scheme(canonical: DataFrame, chains: DataFrame, mapped: DataFrame, coordinates: DataFrame) -> DataFrame:
+    """The 12 columns of the residue scheme for every chain of every entry; what was not seen is '?'.
+
+    canonical (entry, entity, seq_id, mon_id); chains (entry, entity, chain, asym); mapped (entry, chain, pdb_pos,
+    unp_pos): the k-th coordinate residue against the canonical place; coordinates (entry, chain, pdb_pos,
+    auth_seq_id, comp, ins_code, hetero).
+    """
+    every = canonical.join(chains, ["entry", "entity"])
+    seen = mapped.join(coordinates, ["entry", "chain", "pdb_pos"]).select("entry", "chain", F.col("unp_pos").alias("seq_id"), F.col("auth_seq_id").cast("string").alias("auth"), "comp", "ins_code", "hetero")
+    rows = every.join(seen, ["entry", "chain", "seq_id"], "left")
+    auth, comp, n = F.coalesce("auth", F.lit("?")), F.coalesce("comp", "mon_id"), F.col("seq_id").cast("string")
+    return rows.select("entry", F.coalesce("asym", F.lit("?")).alias("asym_id"), F.col("entity").alias("entity_id"), n.alias("seq_id"), "mon_id", n.alias("ndb_seq_num"), auth.alias("pdb_seq_num"), auth.alias("auth_seq_num"), comp.alias("pdb_mon_id"), comp.alias("auth_mon_id"), F.col("chain").alias("pdb_strand_id"), F.coalesce("ins_code", F.lit(".")).alias("pdb_ins_code"), F.coalesce("hetero", F.lit("n")).alias("hetero"))
+
+
+def updated_scheme(canonical: DataFrame, chains: DataFrame, mapped: DataFrame, coordinates: DataFrame) -> DataFrame:
+    """The other form of :func:`rebuilt_scheme`: the alignment of an entity's first chain (row_no) serves all its chains; what was not seen is '.'.
+
+    mapped (entry, chain, pdb_pos, unp_pos) need hold the first chains alone.
+    """
+    first = chains.groupBy("entry", "entity").agg(F.min_by("chain", "row_no").alias("chain"))
+    shared = mapped.join(first, ["entry", "chain"]).select("entry", "entity", "pdb_pos", F.col("unp_pos").alias("seq_id"))
+    every = canonical.join(chains, ["entry", "entity"]).join(shared, ["entry", "entity", "seq_id"], "left")
+    rows = every.join(coordinates.select("entry", "chain", "pdb_pos", F.col("auth_seq_id").cast("string").alias("auth")), ["entry", "chain", "pdb_pos"], "left")
+    seen = lambda c: F.when(F.col("auth").isNotNull(), F.col(c)).otherwise(F.lit("."))
+    n = F.col("seq_id").cast("string")
+    return rows.select("entry", F.col("asym").alias("asym_id"), F.col("entity").alias("entity_id"), n.alias("seq_id"), "mon_id", n.alias("ndb_seq_num"), n.alias("pdb_seq_num"), seen("auth").alias("auth_seq_num"), seen("mon_id").alias("pdb_mon_id"), seen("mon_id").alias("auth_mon_id"), F.col("chain").alias("pdb_strand_id"), F.lit(".").alias("pdb_ins_code"), F.lit("n").alias("hetero"))
+
+
+def relabelled_atoms(atoms: DataFrame, shared: DataFrame) -> DataFrame:
+    """atoms (entry, asym, entity, auth_seq_id, comp_id, row_no, ...) with label_seq_id: the place of the residue's alignment partner, '.' without one.
+
+    Residues of an asym are counted as the author's number or the component changes in file order; shared
+    (entry, entity, pdb_pos, seq_id) maps that count.
+    """
+    w = Window.partitionBy("entry", "asym").orderBy("row_no")
+    here = F.struct("auth_seq_id", "comp_id")
+    new = F.when(here.eqNullSafe(F.lag(here).over(w)), 0).otherwise(1)
+    rows = atoms.withColumn("__new", new).withColumn("pdb_pos", F.sum("__new").over(w.rowsBetween(Window.unboundedPreceding, 0)))
+    found = rows.join(shared.withColumnRenamed("seq_id", "__seq"), ["entry", "entity", "pdb_pos"], "left")
+    return found.select(*atoms.columns, F.coalesce(F.col("__seq").cast("string"), F.lit(".")).alias("label_seq_id"))
+
+
+def modified_names(raw: Column) -> Column:
+    """The names in brackets of a raw one-letter sequence with their places: an array of (name, seq_id)."""
+    tokens = F.regexp_extract_all(F.regexp_replace(raw, r"\s", ""), F.lit(r"(\([A-Za-z0-9]+\)|[^()])"))
+    named = F.transform(tokens, lambda x, i: F.struct(F.when(F.length(x) > 1, F.translate(x, "()", "")).alias("name"), (i + 1).cast("long").alias("seq_id")))
+    return F.filter(named, lambda x: x.name.isNotNull())

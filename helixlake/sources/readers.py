@@ -52,6 +52,13 @@ def read_tax_override(spark: SparkSession, path: str) -> DataFrame:
     return _tsv(spark, path, "entry string, entity string, tax_id int")
 
 
+def read_entity_tax_override(spark: SparkSession, path: str, entry: str | None = None) -> DataFrame:
+    """(entry, entity, tax_id) for segments; a file of two columns holds the entities of the one entry named."""
+    if entry is None:
+        return _tsv(spark, path, "entry string, entity string, tax_id int")
+    return _tsv(spark, path, "entity string, tax_id int").select(F.lit(entry.lower()).alias("entry"), "entity", "tax_id")
+
+
 def read_tax_mapping(spark: SparkSession, path: str) -> DataFrame:
     return _tsv(spark, path, "accession string, tax_id int")
 
@@ -72,6 +79,18 @@ def query_header(header: Column) -> list[Column]:
     return [_part(key, "-", 1).alias("entry"), _part(key, "-", 2).alias("entity"), _part(header, "=", 2).try_cast("int").alias("tax_id")]
 
 
+def custom_header(header: Column) -> list[Column]:
+    """entry, chain, accession and name of 'entry|chain|accession|name'; without an accession the chain stands for it, without a name it is empty."""
+    chain = _part(header, "|", 2)
+    return [F.lower(_part(header, "|", 1)).alias("entry"), chain.alias("chain"), F.coalesce(F.nullif(_part(header, "|", 3), F.lit("")), chain).alias("accession"), _part(header, "|", 4).alias("name")]
+
+
+def chain_header(records: DataFrame, header: str = "header") -> DataFrame:
+    """records with entity and chain, a row for each chain of 'entity|chain,chain'."""
+    chains = F.split(_part(header, "|", 2), ",")
+    return records.withColumn("entity", _part(header, "|", 1)).withColumn("chain", F.explode(chains)).withColumn("chain", F.trim("chain"))
+
+
 def read_segment_files(spark: SparkSession, folder: str, schema: str, suffix: str = "seg", recursive: bool = False) -> DataFrame:
     """Positional gzip CSV files of a folder, without those of the reduced mode."""
     t = spark.read.schema(schema).option("quote", "|").option("pathGlobFilter", f"*_{suffix}.csv.gz").option("recursiveFileLookup", recursive).csv(folder)

@@ -5,6 +5,12 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from ..operators import delta
+from ..operators.assembly import RESIDUE, RESIDUE_REQUIRED, SEGMENT, SEGMENT_REQUIRED
+from ..operators.quality import require, same_schema
+
+BUCKETS = 64
+
 
 def write_fasta(entities: DataFrame, path: str) -> None:
     """'>pdb|entry-entity|OX=tax' and the sequence; nothing to write is an error."""
@@ -35,3 +41,79 @@ def write_delta(changes: DataFrame, path: str) -> bool:
         return False
     changes.write.mode("append").partitionBy("release_date").parquet(path)
     return True
+
+
+def write_hits(hits: DataFrame, folder: str) -> None:
+    """Replace what an earlier run left, the table and all else in its folder."""
+    jvm, context = hits.sparkSession.sparkContext._jvm, hits.sparkSession.sparkContext
+    path = jvm.org.apache.hadoop.fs.Path(folder)
+    path.getFileSystem(context._jsc.hadoopConfiguration()).delete(path, True)
+    hits.write.parquet(f"{folder}/hits")
+
+
+def _columns(schema: str) -> list[str]:
+    return [c.split()[0] for c in schema.split(",")]
+
+
+def write_segments(rows: DataFrame, path: str) -> None:
+    """The 26 columns of segments, checked, as headerless files."""
+    write_delimited(require(same_schema(rows, _columns(SEGMENT)), SEGMENT_REQUIRED), path)
+
+
+def write_residues(rows: DataFrame, path: str) -> None:
+    """The 24 columns of residues, checked, as headerless files."""
+    write_delimited(require(same_schema(rows, _columns(RESIDUE)), RESIDUE_REQUIRED), path)
+
+
+def bucket(entry: str = "entry_id"):
+    return F.pmod(F.xxhash64(entry), F.lit(BUCKETS)).cast("int")
+
+
+def changed_entries(old: DataFrame, new: DataFrame, entry: str = "entry_id") -> DataFrame:
+    """Entries of ``new`` whose rows are not just those of ``old``; one that is there for the first time is among them."""
+    lost, come = old.join(new.select(entry).distinct(), entry, "left_semi").exceptAll(new), new.exceptAll(old)
+    return lost.select(entry).union(come.select(entry)).distinct()
+
+
+def write_changed(rows: DataFrame, path: str, entry: str = "entry_id", failed: DataFrame | None = None) -> bool:
+    """Write entries that changed and take out those that failed; the others stay as they are. False: nothing to do.
+
+    The table lies in buckets of entries, of which those touched are written anew. ``failed`` (entry) had a chain
+    without accessions or a file that could not be read, so what an earlier run wrote of them goes.
+    """
+    spark = rows.sparkSession
+    jvm = spark.sparkContext._jvm
+    where = jvm.org.apache.hadoop.fs.Path(path)
+    if not where.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).exists(where):
+        old = spark.createDataFrame([], rows.schema)
+    else:
+        old = spark.read.schema(rows.schema).parquet(path).select(*rows.columns)
+    gone = failed.select(F.col(failed.columns[0]).alias(entry)).distinct() if failed is not None else spark.createDataFrame([], rows.select(entry).schema)
+    rows = rows.join(gone, entry, "left_anti")
+    touched = changed_entries(old, rows, entry).union(old.join(gone, entry, "left_semi").select(entry).distinct()).distinct().checkpoint()
+    if touched.isEmpty():
+        return False
+    buckets = touched.select(bucket(entry).alias("bucket")).distinct()
+    kept = old.withColumn("bucket", bucket(entry)).join(buckets, "bucket", "left_semi").join(touched, entry, "left_anti")
+    new = rows.join(touched, entry, "left_semi").withColumn("bucket", bucket(entry))
+    out = kept.select(*rows.columns, "bucket").unionByName(new.select(*rows.columns, "bucket")).checkpoint()  # read before its own files are replaced
+    # a bucket that lost its last entry is emptied, too
+    empty = [r["bucket"] for r in buckets.join(out.select("bucket").distinct(), "bucket", "left_anti").collect()]  # BUCKETS at most
+    out.write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy("bucket").parquet(path)
+    for b in empty:
+        part = jvm.org.apache.hadoop.fs.Path(f"{path}/bucket={b}")
+        part.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(part, True)
+    return True
+
+
+def write_release(changes: DataFrame, path: str, release: str, keep: int = 10) -> bool:
+    """Append a release's changes to the log and drop releases beyond the newest ones."""
+    if not write_delta(changes.withColumn("release_date", F.lit(release)), path):
+        return False
+    spark = changes.sparkSession
+    log = spark.read.option("basePath", path).parquet(path).withColumn("release_date", F.col("release_date").cast("string"))
+    kept = delta.newest_releases(log.select("release_date").distinct(), keep)
+    for r in log.select("release_date").distinct().join(kept, "release_date", "left_anti").collect():  # a few dates
+        part = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(f"{path}/release_date={r['release_date']}")
+        part.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(part, True)
+    return True

@@ -6,27 +6,32 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..operators import delta
+from ..operators.tables import cut
 
 
 def load_new_segments(spark: SparkSession, folder: str, schema: str, table: str, log: str, checkpoint: str) -> None:
     """Read what arrived, log typed changes and overwrite the buckets of touched entries; then stop.
 
-    The table is partitioned by a bucket of the entry, so a batch rewrites the buckets it touches alone.
+    The table is partitioned by a bucket of the entry, so a batch rewrites the buckets it touches alone. The log
+    lies under the number of the batch: one that is tried again neither logs twice nor loses its log.
     """
 
+    context = spark.sparkContext
+
+    def there(path: str) -> bool:
+        where = context._jvm.org.apache.hadoop.fs.Path(path)
+        return where.getFileSystem(context._jsc.hadoopConfiguration()).exists(where)
+
     def batch(rows: DataFrame, number: int) -> None:
-        rows = rows.withColumn("bucket", F.pmod(F.xxhash64("entry"), F.lit(64)))
-        try:
-            old = spark.read.parquet(table)
-        except Exception as e:  # the first batch finds no table
-            if "PATH_NOT_FOUND" not in str(e):
-                raise
-            old = spark.createDataFrame([], rows.schema)
+        rows = cut(rows.withColumn("bucket", F.pmod(F.xxhash64("entry"), F.lit(64))))
+        old = spark.read.schema(rows.schema).parquet(table) if there(table) else spark.createDataFrame([], rows.schema)
         touched = old.join(rows.select("bucket").distinct(), "bucket", "left_semi")
-        same = touched.join(rows.select("entry").distinct(), "entry", "left_semi")
-        delta.typed_delta(same, rows).withColumn("batch", F.lit(number)).write.mode("append").parquet(log)
+        before = f"{log}/batch={number}"
+        if not there(f"{before}/_SUCCESS"):  # a batch that is tried again finds its log, made before the table changed
+            same = touched.join(rows.select("entry").distinct(), "entry", "left_semi")
+            delta.typed_delta(same, rows).write.mode("overwrite").parquet(before)
         kept = touched.join(rows.select("entry").distinct(), "entry", "left_anti")
-        out = kept.select(*rows.columns).unionByName(rows).checkpoint()  # read before its own files are replaced
+        out = cut(kept.select(*rows.columns).unionByName(rows))  # read before its own files are replaced
         out.write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy("bucket").parquet(table)
 
     source = spark.readStream.schema(schema).csv(folder)
