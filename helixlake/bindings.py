@@ -75,8 +75,8 @@ scored AS (SELECT h.*, coalesce(identity * coverage * (1.0::DOUBLE - mismatch::D
   CASE WHEN query_tax_id = target_tax_id THEN 200.0 WHEN q.r = t.r THEN 50.0 ELSE 25.0 END::DOUBLE AS tax_score,
   CASE WHEN annotation_score IS NULL THEN 0.0 WHEN provenance = 'Swiss-Prot' THEN 20 * annotation_score ELSE 10 * annotation_score - 50 END::DOUBLE AS dataset_score, pdb_cross_references
   FROM hits h JOIN region_of q ON query_tax_id = q.tax_id JOIN region_of t ON target_tax_id = t.tax_id LEFT JOIN info USING (accession) LEFT JOIN xrefs USING (accession) WHERE identity >= 0.9),
-full_ AS (SELECT *, adjusted_score + tax_score + dataset_score AS sifts_score FROM scored)"""
-SCORES = ["entry", "entity", "accession", "hit_id", "adjusted_score", "tax_score", "dataset_score", "pdb_cross_references", "sifts_score"]
+full_ AS (SELECT *, adjusted_score + tax_score + dataset_score AS total_score FROM scored)"""
+SCORES = ["entry", "entity", "accession", "hit_id", "adjusted_score", "tax_score", "dataset_score", "pdb_cross_references", "total_score"]
 
 
 def scored(spark: SparkSession, d: str) -> DataFrame:
@@ -89,24 +89,24 @@ def c1_identity_filter(spark, d):
 
 
 @query(f"WITH {H} SELECT {', '.join(SCORES)} FROM full_")
-def i36_sifts_score(spark, d):
+def i36_total_score(spark, d):
     return scored(spark, d).select(*SCORES)
 
 
-@query(f"WITH {H} SELECT {', '.join(SCORES)}, dense_rank() OVER (PARTITION BY entry, entity ORDER BY sifts_score DESC NULLS LAST, pdb_cross_references DESC NULLS LAST) AS hit_rank FROM full_")
+@query(f"WITH {H} SELECT {', '.join(SCORES)}, dense_rank() OVER (PARTITION BY entry, entity ORDER BY total_score DESC NULLS LAST, pdb_cross_references DESC NULLS LAST) AS hit_rank FROM full_")
 def f1_ranked_hits(spark, d):
     return scoring.ranked(scored(spark, d)).select(*SCORES, F.col("hit_rank").cast("long").alias("hit_rank"))
 
 
-@query(f"""WITH {H} SELECT entry, entity, accession, sifts_score FROM (SELECT *, row_number() OVER (PARTITION BY entry, entity ORDER BY sifts_score DESC NULLS LAST,
+@query(f"""WITH {H} SELECT entry, entity, accession, total_score FROM (SELECT *, row_number() OVER (PARTITION BY entry, entity ORDER BY total_score DESC NULLS LAST,
   pdb_cross_references DESC NULLS LAST, adjusted_score DESC NULLS LAST, dataset_score DESC NULLS LAST, accession) AS n FROM full_) WHERE n = 1""")
 def f2_curated_top(spark, d):
-    return scoring.curated_top(scored(spark, d)).select("entry", "entity", "accession", "sifts_score")
+    return scoring.curated_top(scored(spark, d)).select("entry", "entity", "accession", "total_score")
 
 
-@query(f"WITH {H} SELECT entry, entity, accession, hit_id, sifts_score FROM (SELECT *, dense_rank() OVER (PARTITION BY entry, entity ORDER BY sifts_score DESC NULLS LAST, pdb_cross_references DESC NULLS LAST) AS r FROM full_) WHERE r = 1")
+@query(f"WITH {H} SELECT entry, entity, accession, hit_id, total_score FROM (SELECT *, dense_rank() OVER (PARTITION BY entry, entity ORDER BY total_score DESC NULLS LAST, pdb_cross_references DESC NULLS LAST) AS r FROM full_) WHERE r = 1")
 def c5_best_hits(spark, d):
-    return scoring.ranked(scored(spark, d)).where("hit_rank = 1").select("entry", "entity", "accession", "hit_id", "sifts_score")
+    return scoring.ranked(scored(spark, d)).where("hit_rank = 1").select("entry", "entity", "accession", "hit_id", "total_score")
 
 
 @query("""WITH RECURSIVE n AS (SELECT n_nationkey + 1000 AS tax_id, n_regionkey + 100 AS parent FROM nation UNION ALL SELECT r_regionkey + 100, 1 FROM region UNION ALL SELECT 1, NULL),
@@ -163,18 +163,18 @@ def i5_residue_map(spark, d):
 @query(f"""WITH {A}, r AS (SELECT *, pdb_pos - row_number() OVER (PARTITION BY aln ORDER BY pdb_pos) AS g FROM m)
 SELECT aln, min(pdb_pos)::BIGINT AS pdb_start, max(pdb_pos)::BIGINT AS pdb_end, min(unp_pos)::BIGINT AS unp_start, max(unp_pos)::BIGINT AS unp_end FROM r GROUP BY aln, g""")
 def i6_islands(spark, d):
-    return residues.islands(residues.residue_map(alignments(spark, d)), ["aln"])
+    return residues.aligned_islands(alignments(spark, d))
 
 
 @query(f"""WITH {A}, n AS (SELECT aln, unnest(range(1, length(x) + 1))::BIGINT AS pos FROM aln), l AS (SELECT * FROM n ANTI JOIN m ON m.aln = n.aln AND m.pdb_pos = n.pos),
 r AS (SELECT *, pos - row_number() OVER (PARTITION BY aln ORDER BY pos) AS g FROM l) SELECT aln, min(pos) AS pdb_start, max(pos) AS pdb_end FROM r GROUP BY aln, g""")
 def h7_blank_segments(spark, d):
     a = alignments(spark, d)
-    return residues.blanks(a.where("x <> ''").select("aln", F.length("x").alias("length")), residues.residue_map(a), ["aln"])
+    return residues.blanks(a.where("x <> ''").select("aln", F.length("x").alias("length")), residues.aligned_islands(a), ["aln"])
 
 
-@query(f"""WITH {A} SELECT aln.aln, coalesce(k.m, 0)::BIGINT AS matches, (length(x) - coalesce(k.m, 0))::BIGINT AS conflicts, coalesce(k.m, 0)::DOUBLE / length(x) AS identity,
-  length(replace(p, '-', ''))::DOUBLE / length(x) AS coverage FROM aln LEFT JOIN (SELECT aln, count(*) AS m FROM c WHERE u = p GROUP BY aln) k USING (aln) WHERE length(x) > 0""")
+@query(f"""WITH {A} SELECT aln.aln, coalesce(k.m, 0)::BIGINT AS matches, (length(x) - coalesce(k.m, 0))::BIGINT AS conflicts, floor(coalesce(k.m, 0)::DOUBLE / length(x) * 100 + 0.5) / 100 AS identity,
+  floor(length(replace(p, '-', ''))::DOUBLE / length(x) * 100 + 0.5) / 100 AS coverage FROM aln LEFT JOIN (SELECT aln, count(*) AS m FROM c WHERE u = p GROUP BY aln) k USING (aln) WHERE length(x) > 0""")
 def e9_identity(spark, d):
     a = alignments(spark, d).where("x <> ''")
     u, p = F.col("unp_aln"), F.col("pdb_aln")
@@ -182,7 +182,7 @@ def e9_identity(spark, d):
 
 
 @query(f"""WITH {A}, s AS (SELECT *, max(CASE WHEN p <> '-' THEN i END) OVER (PARTITION BY aln) AS last FROM w WHERE pdb_pos BETWEEN 10 AND 40)
-SELECT aln, string_agg(p, '' ORDER BY i) AS pdb_chunk, string_agg(u, '' ORDER BY i) AS unp_chunk FROM s WHERE i <= last GROUP BY aln""")
+SELECT aln.aln, coalesce(string_agg(s.p, '' ORDER BY i), '') AS pdb_chunk, coalesce(string_agg(s.u, '' ORDER BY i), '') AS unp_chunk FROM aln LEFT JOIN s ON s.aln = aln.aln AND i <= last WHERE x <> '' GROUP BY aln.aln""")
 def i16_align_chunk(spark, d):
     return residues.align_chunk(alignments(spark, d).where("x <> ''").select("aln", "unp_aln", "pdb_aln", F.lit(10).alias("start"), F.lit(40).alias("stop")))
 
@@ -210,10 +210,10 @@ def i22_difference_runs(spark, d):
     return residues.difference_runs(c, ["chain"])
 
 
-@query("SELECT doc_id, left(text, 4) || 'AB' || substring(text, 8, 12) || 'C' || substring(text, 23) AS sequence FROM documents WHERE length(text) >= 30")
+@query("SELECT doc_id, left(text, 4) || 'AB' || substring(text, 8, 12) || 'C' || substring(text, 23) AS sequence FROM documents")
 def i19_splice_variants(spark, d):
     variants = F.array(*[F.struct(F.lit(b).alias("begin"), F.lit(e).alias("end"), F.lit(v).alias("variation")) for b, e, v in ((5, 7, "AB"), (20, 22, "C"))])
-    return table(spark, d, "documents").where(F.length("text") >= 30).select("doc_id", residues.splice(F.col("text"), variants).alias("sequence"))
+    return table(spark, d, "documents").select("doc_id", residues.splice(F.col("text"), variants).alias("sequence"))
 
 
 # -- atoms --------------------------------------------------------------------------------------------------
@@ -235,12 +235,14 @@ def i10_bond_table(spark, d):
     return structure.bond_table(atoms(spark, d), ["chain"], "vec_id", LIMIT)
 
 
-@query(f"""WITH {B}, f AS (SELECT *, coalesce(lag(distance <= {LIMIT}) OVER (PARTITION BY chain ORDER BY vec_id), false) AS j FROM b),
+@query(f"""WITH {B}, f AS (SELECT *, coalesce(lag(distance <= {LIMIT}) OVER (PARTITION BY chain ORDER BY vec_id), false) AND chain % 3 <> 0 AS j FROM b),
 r AS (SELECT *, sum((NOT j)::INT) OVER (PARTITION BY chain ORDER BY vec_id) AS g FROM f)
 SELECT chain, min(vec_id) AS pdb_start, max(next_order) AS pdb_end, min(vec_id) AS unp_start, max(next_order) AS unp_end FROM r GROUP BY chain, g""")
 def i9_merge_connected(spark, d):
+    """Every third chain stands for a chimera, which keeps its segments."""
     b = structure.bond_table(atoms(spark, d), ["chain"], "vec_id", LIMIT)
-    return residues.merge_connected(b.select("chain", F.col("vec_id").alias("pdb_start"), F.col("next_order").alias("pdb_end"), F.col("vec_id").alias("unp_start"), F.col("next_order").alias("unp_end"), F.col("bonded").alias("bonded_next")), ["chain"])
+    rows = b.select("chain", F.col("vec_id").alias("pdb_start"), F.col("next_order").alias("pdb_end"), F.col("vec_id").alias("unp_start"), F.col("next_order").alias("unp_end"), F.col("bonded").alias("bonded_next"), (F.col("chain") % 3 == 0).alias("chimera"))
+    return residues.merge_connected(rows, ["chain"], apart="chimera")
 
 
 @query(f"WITH {B} SELECT chain, vec_id, min(CASE WHEN distance > {LIMIT} THEN vec_id END) OVER (PARTITION BY chain ORDER BY vec_id ROWS BETWEEN CURRENT ROW AND 9 FOLLOWING) AS first_break FROM b")
@@ -258,9 +260,9 @@ def segments(spark: SparkSession, d: str) -> DataFrame:
 
 
 S = """s AS (SELECT l_suppkey AS entity, l_partkey % 5 AS accession, l_quantity::BIGINT AS "start", l_quantity::BIGINT + l_linenumber AS "end", l_orderkey, l_linenumber FROM lineitem),
-n AS (SELECT *, count(*) OVER (PARTITION BY entity, accession, "start", "end") AS n FROM s),
+n AS (SELECT *, count(*) OVER k AS n, min((l_orderkey, l_linenumber, "start", "end")) OVER k AS f FROM s WINDOW k AS (PARTITION BY entity, accession, "start", "end")),
 num AS (SELECT entity, accession, "start", "end", l_orderkey, l_linenumber, (1 + coalesce(sum((n = 1)::INT) OVER k, 0))::BIGINT AS segment_id, (1 + coalesce(sum((n > 1)::INT) OVER k, 0))::BIGINT AS instance_id FROM n
-  WINDOW k AS (PARTITION BY entity, accession ORDER BY l_orderkey, l_linenumber, "start", "end" ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING)),
+  WINDOW k AS (PARTITION BY entity, accession ORDER BY f, l_orderkey, l_linenumber, "start", "end" ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING)),
 e AS (SELECT entity, accession, segment_id, instance_id, unnest(range("start", "end" + 1)) AS seq_id FROM num)"""
 
 
@@ -300,28 +302,30 @@ def i13_residue_xrefs(spark, d):
 def snapshots(spark: SparkSession, d: str) -> tuple[DataFrame, DataFrame]:
     q = F.col("l_quantity").cast("long")
     rows = table(spark, d, "lineitem").select(
-        F.col("l_suppkey").alias("entry"), F.col("l_linenumber").alias("chain"), (F.col("l_partkey") % 5).alias("accession"), "l_partkey", "l_orderkey",
+        F.col("l_suppkey").alias("entry"), (F.col("l_orderkey") % 3 * 10 + F.col("l_linenumber")).alias("chain"), F.concat(F.lit("D"), F.col("l_linenumber") % 2).alias("db"), (F.col("l_partkey") % 5).alias("accession"), "l_partkey", "l_orderkey",
         q.alias("pdb_start"), (q + 9).alias("pdb_end"), q.alias("unp_start"), (q + 9).alias("unp_end"), (F.col("l_orderkey") * 10 + F.col("l_linenumber")).alias("row_no"),
     )
-    new = rows.where("l_orderkey % 7 <> 2").withColumn("pdb_end", F.when(F.col("l_partkey") % 7 == 0, F.col("pdb_end") + 1).otherwise(F.col("pdb_end")))
-    return rows.where("l_orderkey % 5 <> 1"), new
+    new = rows.where("l_orderkey % 7 <> 2 AND entry % 11 <> chain % 11").withColumn("pdb_end", F.when(F.col("l_partkey") % 7 == 0, F.col("pdb_end") + 1).otherwise(F.col("pdb_end")))
+    return rows.where("l_orderkey % 5 <> 1 AND entry % 7 <> chain % 7"), new
 
 
-D = """o AS (SELECT l_suppkey AS entry, l_linenumber AS chain, l_partkey % 5 AS accession, l_quantity::BIGINT AS q, l_orderkey * 10 + l_linenumber AS n, l_partkey AS p, l_orderkey AS k FROM lineitem),
-x AS (SELECT entry, chain, accession, string_agg(concat_ws('_', q, q + 9, q, q + 9), ';' ORDER BY n, concat_ws('_', q, q + 9, q, q + 9)) AS old_segments FROM o WHERE k % 5 <> 1 GROUP BY ALL),
-y AS (SELECT entry, chain, accession, string_agg(concat_ws('_', q, q + 9 + (p % 7 = 0)::INT, q, q + 9), ';' ORDER BY n, concat_ws('_', q, q + 9 + (p % 7 = 0)::INT, q, q + 9)) AS new_segments FROM o WHERE k % 7 <> 2 GROUP BY ALL),
-t AS (SELECT entry, chain, accession, CASE WHEN new_segments IS NULL THEN 'obsoleted_mapping' WHEN old_segments IS NULL THEN 'new_mapping' WHEN old_segments <> new_segments THEN 'changed_segments' END AS delta_type, old_segments, new_segments
-  FROM x FULL JOIN y USING (entry, chain, accession))"""
+D = """o AS (SELECT l_suppkey AS entry, l_orderkey % 3 * 10 + l_linenumber AS chain, 'D' || l_linenumber % 2 AS db, l_partkey % 5 AS accession, l_quantity::BIGINT AS q, l_orderkey * 10 + l_linenumber AS n, l_partkey AS p, l_orderkey AS k FROM lineitem),
+x AS (SELECT entry, chain, db, accession, list(concat_ws('_', q, q + 9, q, q + 9) ORDER BY n, concat_ws('_', q, q + 9, q, q + 9)) AS o FROM o WHERE k % 5 <> 1 AND entry % 7 <> chain % 7 GROUP BY ALL),
+y AS (SELECT entry, chain, db, accession, list(concat_ws('_', q, q + 9 + (p % 7 = 0)::INT, q, q + 9) ORDER BY n, concat_ws('_', q, q + 9 + (p % 7 = 0)::INT, q, q + 9)) AS n FROM o WHERE k % 7 <> 2 AND entry % 11 <> chain % 11 GROUP BY ALL),
+j AS (SELECT *, bool_or(o IS NOT NULL) OVER c AND bool_or(n IS NOT NULL) OVER c AS stays FROM x FULL JOIN y USING (entry, chain, db, accession) WINDOW c AS (PARTITION BY entry, chain)),
+t AS (SELECT entry, chain, db, accession, 'changed_segments' AS delta_type, array_to_string(o, ';') AS old_segments, array_to_string(n, ';') AS new_segments FROM j WHERE o <> n
+  UNION ALL SELECT entry, chain, db, accession, 'obsoleted_mapping', unnest(CASE WHEN stays THEN o ELSE [array_to_string(o, ';')] END), NULL FROM j WHERE n IS NULL
+  UNION ALL SELECT entry, chain, db, accession, 'new_mapping', NULL, unnest(CASE WHEN stays THEN n ELSE [array_to_string(n, ';')] END) FROM j WHERE o IS NULL)"""
 
 
-@query(f"WITH {D} SELECT * FROM t WHERE delta_type IS NOT NULL")
+@query(f"WITH {D} SELECT * FROM t")
 def h4_typed_delta(spark, d):
     return delta.typed_delta(*snapshots(spark, d))
 
 
-@query(f"WITH {D} SELECT entry, string_agg(DISTINCT 'D' || accession, ',' ORDER BY 'D' || accession) AS databases FROM t WHERE delta_type IS NOT NULL GROUP BY entry")
+@query(f"WITH {D} SELECT entry, string_agg(DISTINCT db, ',' ORDER BY db) AS databases FROM t GROUP BY entry")
 def e14_changed_databases(spark, d):
-    return delta.changed_databases(delta.typed_delta(*snapshots(spark, d)).withColumn("db", F.concat(F.lit("D"), "accession")))
+    return delta.changed_databases(delta.typed_delta(*snapshots(spark, d)))
 
 
 @query("""WITH o AS (SELECT l_suppkey AS entry, l_linenumber AS chain, l_quantity::BIGINT AS pdb_start, l_orderkey AS k, l_partkey AS p FROM lineitem),
@@ -369,7 +373,14 @@ def m5_null_counts(spark, d):
     return quality.null_counts(table(spark, d, "documents"), ["lang", "source", "text"])
 
 
-@query("SELECT l_suppkey AS entry, l_linenumber AS chain, count(DISTINCT l_partkey) > 1 AS chimera FROM lineitem GROUP BY ALL")
+@query("""WITH m AS (SELECT l_orderkey AS entry, l_linenumber % 3 AS chain, l_linenumber % 3 + (l_orderkey % 4 = 0)::INT * (l_linenumber % 2) AS accession, l_linenumber * 40 + (l_quantity::BIGINT % 7) * 20 AS s, l_linenumber AS n, l_partkey AS p FROM lineitem),
+r AS (SELECT *, s + 9 + p % 30 AS e, row_number() OVER (PARTITION BY entry, chain ORDER BY n, p, s) AS i FROM m), g AS (
+SELECT a.entry, a.chain, bool_or(b.s <= a.s OR b.s <= a.e OR (a.i = 1 AND b.i = 2 AND b.s - a.e - 1 > 3 * ((b.e - b.s + 1) / 2 - 5))) AS bad FROM r a JOIN r b ON a.entry = b.entry AND a.chain = b.chain AND a.i < b.i GROUP BY ALL)
+SELECT entry, chain, count(DISTINCT accession) > 1 AS chimera, coalesce(any_value(bad), false) AND count(DISTINCT accession) = 1 AS repeated FROM r LEFT JOIN g USING (entry, chain) GROUP BY entry, chain""")
 def i7_chimera_flags(spark, d):
-    m = table(spark, d, "lineitem").select(F.col("l_suppkey").alias("entry"), F.col("l_linenumber").alias("chain"), F.col("l_partkey").alias("accession"), F.col("l_quantity").alias("unp_start"), (F.col("l_quantity") + 9).alias("unp_end"), F.col("l_orderkey").alias("row_no"))
-    return residues.chimera_flags(m).select("entry", "chain", "chimera")
+    line, start = F.col("l_linenumber"), F.col("l_linenumber") * 40 + (F.col("l_quantity").cast("long") % 7) * 20
+    m = table(spark, d, "lineitem").select(
+        F.col("l_orderkey").alias("entry"), (line % 3).alias("chain"), (line % 3 + F.when(F.col("l_orderkey") % 4 == 0, line % 2).otherwise(0)).alias("accession"),
+        start.alias("unp_start"), (start + 9 + F.col("l_partkey") % 30).alias("unp_end"), F.struct(line, "l_partkey", start).alias("row_no"),
+    )
+    return residues.chimera_flags(m)

@@ -34,16 +34,16 @@ def c8_mappable_residues(spark, d):
     return residues.excluded_types(rows).select("entry", "seq_id", "rtype")
 
 
-@query(f"WITH {L} SELECT entry, o_custkey AS accession, line AS chain, part FROM l JOIN orders ON o_orderkey = entry WHERE o_orderstatus <> 'P'")
+@query(f"WITH {L} SELECT entry, o_custkey AS accession, line AS chain, part FROM l JOIN orders ON o_orderkey = entry")
 def d7_chains_of_entities(spark, d):
-    mapping = table(spark, d, "orders").where("o_orderstatus <> 'P'").select(F.col("o_orderkey").alias("entry"), F.col("o_custkey").alias("accession"))
+    mapping = table(spark, d, "orders").select(F.col("o_orderkey").alias("entry"), F.col("o_custkey").alias("accession"))
     return entities.fan_out(mapping, lines(spark, d).select("entry", F.col("line").alias("chain"), "part"), ["entry"])[0]
 
 
-@query(f"WITH {L} SELECT entry, line AS chain, part, supplier FROM l ANTI JOIN (SELECT * FROM orders WHERE o_orderstatus <> 'P') ON o_orderkey = entry")
+@query(f"WITH {L} SELECT entry, line AS chain, part, supplier FROM l ANTI JOIN part ON p_size = q")
 def m8_chains_without_entity(spark, d):
-    mapping = table(spark, d, "orders").where("o_orderstatus <> 'P'").select(F.col("o_orderkey").alias("entry"))
-    return entities.fan_out(mapping, lines(spark, d).select("entry", F.col("line").alias("chain"), "part", "supplier"), ["entry"])[2]
+    mapping = table(spark, d, "part").select(F.col("p_size").cast("long").alias("q"))
+    return entities.fan_out(mapping, lines(spark, d), ["q"])[2].select("entry", F.col("line").alias("chain"), "part", "supplier")
 
 
 @query(f"WITH {L} SELECT entry, line, part, flag FROM (SELECT *, rank() OVER (PARTITION BY entry ORDER BY CASE flag WHEN 'R' THEN 1 WHEN 'A' THEN 2 ELSE 3 END) AS r FROM l) WHERE r = 1")
@@ -62,9 +62,9 @@ CODES = " ".join(f"WHEN '{k}' THEN '{v}'" for k, v in entities.STANDARD.items())
 
 
 @query(f"""WITH w AS (SELECT doc_id, unnest(regexp_extract_all(text, '[a-zA-Z]+')) AS w FROM documents)
-SELECT doc_id, CASE upper(w) {CODES} ELSE 'X' END AS letter, count(*) AS n FROM w WHERE length(w) = 3 GROUP BY ALL""")
+SELECT doc_id, CASE upper(w) {CODES} ELSE 'X' END AS letter, count(*) AS n FROM w GROUP BY ALL""")
 def d12_component_letters(spark, d):
-    words = table(spark, d, "documents").select("doc_id", F.explode(F.regexp_extract_all("text", F.lit("([a-zA-Z]+)"))).alias("w")).where("length(w) = 3")
+    words = table(spark, d, "documents").select("doc_id", F.explode(F.regexp_extract_all("text", F.lit("([a-zA-Z]+)"))).alias("w"))
     return words.groupBy("doc_id", entities.one_letter(F.col("w")).alias("letter")).agg(F.count(F.lit(1)).alias("n"))
 
 
@@ -139,16 +139,16 @@ def i21_features_at(spark, d):
     return entities.features_at(features, rows.select("entry", F.col("q").alias("pos")).distinct(), ["entry"]).select("entry", "part", "pos")
 
 
-@query("SELECT doc_id, left(text, 5) || 'QRS' || substring(text, 9) AS sequence FROM documents WHERE length(text) >= 10")
+@query("SELECT doc_id, left(text, 5) || 'QRS' || substring(text, 9) AS sequence FROM documents")
 def i20_sequence_variant(spark, d):
-    return table(spark, d, "documents").where("length(text) >= 10").select("doc_id", entities.variant(F.col("text"), F.lit(6), F.lit(8), F.lit("QRS")).alias("sequence"))
+    return table(spark, d, "documents").select("doc_id", entities.variant(F.col("text"), F.lit(6), F.lit(8), F.lit("QRS")).alias("sequence"))
 
 
-@query(f"WITH {A} SELECT aln, repeat('-', 9) || p[10:length(x) - 5] || repeat('-', 5) AS gapped FROM aln WHERE length(x) >= 30")
+@query(f"WITH {A}, s AS (SELECT *, least(10, length(x)) AS s, greatest(length(x) - 5, least(10, length(x))) AS e FROM aln WHERE x <> '') SELECT aln, repeat('-', s - 1) || p[s:e] || repeat('-', length(x) - e) AS gapped FROM s")
 def i25_padded_alignment(spark, d):
-    a = alignments(spark, d).where("length(x) >= 30")
-    piece = F.substring("pdb_aln", F.lit(10), F.length("x") - 14)
-    return a.select("aln", gaps.padded(piece, F.col("x"), F.lit(10), F.length("x") - 5)[1].alias("gapped"))
+    a = alignments(spark, d).where("x <> ''").withColumn("s", F.least(F.lit(10), F.length("x"))).withColumn("e", F.greatest(F.length("x") - 5, "s"))
+    piece = F.substring("pdb_aln", F.col("s"), F.col("e") - F.col("s") + 1)
+    return a.select("aln", gaps.padded(piece, F.col("x"), F.col("s"), F.col("e"))[1].alias("gapped"))
 
 
 @query(f"""WITH {A}, g AS (SELECT aln, p, strpos(p, '--') AS b FROM aln)
