@@ -28,7 +28,7 @@ from pyspark import SparkFiles
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import in_one_task, materialise, put_file, slices
+from .common import in_one_task, materialise, most_frequent, put_file, slices
 
 #: Words of the lexicon, and how many words a worker remembers or counts at a time.
 LEXICON_WORDS, MEMO_WORDS, COUNT_WORDS = 300_000, 200_000, 300_000
@@ -275,15 +275,8 @@ def frequent_words(docs: DataFrame, path: str, text: str = "text", most: int = L
         yield flush()
 
     counts = docs.select(F.col(text).alias(text)).mapInArrow(count, "word string, n long").where(f"length(word) <= {MAX_LEXICON_CHARS}")
-    totals = materialise(counts.groupBy("word").agg(F.sum("n").alias("n")).withColumn("like", F.floor(F.log2("n") * 64)), "words")
-    # the lowest count whose words, with all more frequent ones, are at most so many; a top-k would gather k words of every task
-    taken, least = 0, 1 << 30
-    for r in totals.groupBy("like").agg(F.count(F.lit(1)).alias("words")).orderBy(F.desc("like")).collect():  # 64 rows for each doubling of a count
-        taken += r["words"]
-        if taken > most:
-            break
-        least = r["like"]
-    return totals.where(F.col("like") >= least).select("word")
+    totals = materialise(counts.groupBy("word").agg(F.sum("n").alias("n")), "words")
+    return most_frequent(totals, most).select("word")
 
 
 def build_lexicon(docs: DataFrame, path: str, text: str = "text", most: int = LEXICON_WORDS) -> str:

@@ -102,6 +102,21 @@ def counted(rows: DataFrame, some: DataFrame, key: str, owner: str, more: dict[s
     return found.select(*rows.columns, F.coalesce("__hot", F.count(F.lit(1)).over(w)).alias("n"), *every)
 
 
+def most_frequent(counts: DataFrame, most: int) -> DataFrame:
+    """Of counts (.., n) those of the largest n, ``most`` rows at most; rows of like counts go together.
+
+    The bound comes from a histogram of 64 classes for each doubling: a top-k would gather k rows of every task.
+    """
+    classed = counts.withColumn("__like", F.floor(F.log2("n") * 64))
+    taken, least = 0, 1 << 30
+    for r in classed.groupBy("__like").agg(F.count(F.lit(1)).alias("c")).orderBy(F.desc("__like")).collect():
+        taken += r["c"]
+        if taken > most:
+            break
+        least = r["__like"]
+    return classed.where(F.col("__like") >= least).drop("__like")
+
+
 def parted(rows: DataFrame, key: str, owner: str, most: int) -> DataFrame:
     """rows with part: a key of n rows is dealt into parts of about ``most``, each key in a way of its own."""
     return rows.withColumn("part", F.pmod(F.xxhash64(owner, key), F.ceil(F.col("n") / most).cast("long")))

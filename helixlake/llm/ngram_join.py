@@ -6,7 +6,7 @@ overlap of their sets from above; pairs that survive are verified on the sets th
 
 One tree over everything would not prune: its bound is shared out over all coordinates, so wide nodes never
 part. Documents are therefore first dealt into cells, in which every linked pair meets: with sets sorted by
-one fixed order, rare groups first, two sets that are similar enough share a shingle among the first
+one fixed order, rare shingles first, two sets that are similar enough share a shingle among the first
 n - ceil(0.8 n) + 1 of each. Each cell gets a small R-tree of its own. A cell of many documents is dealt
 into pairs of parts, so none outgrows a task. Documents with equal sets stand in for one another from the
 start.
@@ -33,7 +33,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from .common import across, components, counted, dealt, groups, in_one_task, materialise, mix, parted, shingle_sets, slices, text_bytes, told
+from .common import across, components, counted, dealt, groups, in_one_task, materialise, mix, most_frequent, parted, shingle_sets, slices, text_bytes, told
 
 WIDTH, SIMILARITY = 5, 80  # words of a shingle; per cent
 GROUPS, MOST_GROUPS = 256, 4096  # coordinates of a point: half as many as shingles, within these
@@ -41,50 +41,50 @@ PAGE = 32  # points of a leaf, and children of a node
 CELL = 1500  # documents of a cell, above which it is dealt into parts
 FIRST = 4  # cells of a document that the first look takes
 FEW = 4  # pairs for each document of a cell that are verified one by one
-LEVEL_BITS = 20  # groups of the table of frequencies: 1 MB, whatever the input
+OFTEN = 1 << 19  # shingles of the table of frequencies: 5 MB, whatever the input
 _U = np.uint64
 
 
-def frequent_groups(docs: DataFrame, text: str) -> np.ndarray:
-    """For each of 2**20 groups of shingles the logarithm of how often it stood out, 0 for most.
+def frequent_shingles(docs: DataFrame, text: str) -> tuple[np.ndarray, np.ndarray]:
+    """The most frequent shingles, sorted, and for each four times the logarithm of how often it was met.
 
-    It sets the order of shingles alone; any table gives the same links. A task reports a group that is well
-    over its own mean, so few rows are shuffled and the table stays at 1 MB.
+    It sets the order of shingles alone; any table gives the same links. One text in SAMPLE is read, each distinct
+    one once, so a shingle of some two hundred documents is met three times and counts as frequent.
     """
 
-    def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        seen, total = np.zeros(1 << LEVEL_BITS, np.int64), 0
-        for part in slices(batches, text):
-            found, _ = shingle_sets(*text_bytes(part.column(0)), WIDTH)
-            seen += np.bincount((found >> _U(64 - LEVEL_BITS)).astype(np.int64), minlength=len(seen))
-            total += len(found)
-        at = np.flatnonzero(seen >= 3 + 4 * total / len(seen))
-        yield pa.RecordBatch.from_arrays([pa.array(at), pa.array(seen[at])], ["g", "n"])
+    def spread(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for part in slices(batches, "text"):
+            yield pa.RecordBatch.from_arrays([pa.array(shingle_sets(*text_bytes(part.column(0)), WIDTH)[0].view(np.int64))], ["s"])
 
-    def levels(table: pa.Table) -> bytes:
-        out = np.zeros(1 << LEVEL_BITS, np.uint8)
-        out[table.column("g").to_numpy()] = np.log2(table.column("n").to_numpy().astype(np.float64)).astype(np.uint8)
-        return out.tobytes()
+    def packed(table: pa.Table) -> bytes:
+        found, n = table.column("s").to_numpy().view(_U), table.column("n").to_numpy().astype(np.float64)
+        order = np.argsort(found)
+        return found[order].tobytes() + (4 * np.log2(n[order])).astype(np.uint8).tobytes()
 
-    rows = docs.select(F.col(text).alias(text)).mapInArrow(count, "g long, n long").groupBy("g").agg(F.sum("n").alias("n")).where("n >= 8")
-    return np.frombuffer(in_one_task(rows, levels), np.uint8)  # a row for each of 2**20 groups at most
+    some = docs.select(F.col(text).alias("text")).where(told("text")).distinct()
+    counts = materialise(some.mapInArrow(spread, "s long").groupBy("s").agg(F.count(F.lit(1)).alias("n")).where("n >= 3"), "often")
+    made = in_one_task(most_frequent(counts, OFTEN), packed)
+    n = len(made) // 9
+    return np.frombuffer(made, _U, n), np.frombuffer(made, np.uint8, n, 8 * n)
 
 
-def sketches(docs: DataFrame, level: np.ndarray, doc_id: str, text: str) -> DataFrame:
+def sketches(docs: DataFrame, often: tuple[np.ndarray, np.ndarray], doc_id: str, text: str) -> DataFrame:
     """doc_id, n_shingles, fingerprint of the set (16 bytes), its point and the prefix: the shingles that make its cells."""
-    shipped = docs.sparkSession.sparkContext.broadcast(level)  # 1 MB
+    shipped = docs.sparkSession.sparkContext.broadcast(often)  # OFTEN shingles at most
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        rank = shipped.value
+        known, rank = shipped.value
         for part in slices(batches, text):
             found, at = shingle_sets(*text_bytes(part.column(1)), WIDTH)
+            place = np.minimum(np.searchsorted(known, found), len(known) - 1) if len(known) else np.zeros(len(found), np.int64)
+            own = np.where(known[place] == found, rank[place], 0) if len(known) else place
             n = np.diff(at)
             prints = np.zeros((len(n), 2), _U)
             full = np.flatnonzero(n)
             if len(full):
                 prints[full, 0] = np.add.reduceat(mix(found ^ _U(0x5851F42D4C957F2D)), at[:-1][full])
                 prints[full, 1] = np.add.reduceat(mix(found + _U(0x14057B7EF767814F)), at[:-1][full])
-            order = (rank[(found >> _U(64 - LEVEL_BITS)).astype(np.int64)].astype(_U) << _U(56)) | (mix(found) >> _U(8))
+            order = (own.astype(_U) << _U(56)) | (mix(found) >> _U(8))
             prefix = []
             for a, b in zip(at[:-1], at[1:], strict=True):
                 keep = b - a - -(-SIMILARITY * (b - a) // 100) + 1 if b > a else 0
@@ -296,7 +296,7 @@ def last_links(rows: DataFrame) -> DataFrame:
 
 def classes(docs: DataFrame, doc_id: str = "doc_id", text: str = "text") -> DataFrame:
     """doc_id, n_shingles and component_id (the smallest doc_id that links reach) of every row."""
-    sketch = materialise(sketches(docs, frequent_groups(docs, text), doc_id, text), "sketches")
+    sketch = materialise(sketches(docs, frequent_shingles(docs, text), doc_id, text), "sketches")
     known = sketch.where("doc_id IS NOT NULL AND n_shingles > 0")
     stands = materialise(known.groupBy("print").agg(F.min("doc_id").alias("rep")), "stands")
     reps = sketch.join(stands.select(F.col("rep").alias("doc_id"), "print"), ["doc_id", "print"], "left_semi")
