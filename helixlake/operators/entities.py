@@ -175,4 +175,4 @@ def modified_names(raw: Column) -> Column:
     """The names in brackets of a raw one-letter sequence with their places: an array of (name, seq_id)."""
     tokens = F.regexp_extract_all(F.regexp_replace(raw, r"\s", ""), F.lit(r"(\([A-Za-z0-9]+\)|[^()])"))
     named = F.transform(tokens, lambda x, i: F.struct(F.when(F.length(x) > 1, F.translate(x, "()", "")).alias("name"), (i + 1).cast("long").alias("seq_id")))
-    return F.filter(named, lambda x: x.name.isNotNull())
+    return F.filter(named, lambda x: x["name"].isNotNull())

@@ -14,14 +14,14 @@ def rows(df, *order):
 
 @pytest.mark.parametrize(
     "identity,coverage,mismatch,length,want",
-    [(1.0, 1.0, 0, 137, 1000.0), (0.9, 0.5, 10, 100, 405.0), (None, 1.0, 0, 10, 0.0), (1.0, 1.0, 0, 0, 0.0), (1.0, 1.0, None, 10, 0.0)],
+    [(1.0, 0.8, 0, 41, 800.0), (0.95, 0.5, 20, 200, 427.5), (None, 1.0, 0, 10, 0.0), (1.0, 1.0, 0, 0, 0.0), (1.0, 1.0, None, 10, 0.0)],
 )
 def test_adjusted_score(spark, identity, coverage, mismatch, length, want):
     df = spark.createDataFrame([(identity, coverage, mismatch, length)], "identity double, coverage double, mismatch int, query_len int")
     assert df.select(scoring.adjusted_score()).first()[0] == pytest.approx(want)
 
 
-@pytest.mark.parametrize("prov,score,want", [("Swiss-Prot", 5.0, 100.0), ("TrEMBL", 5.0, 0.0), (None, 3.0, -20.0), ("Swiss-Prot", None, 0.0)])
+@pytest.mark.parametrize("prov,score,want", [("Swiss-Prot", 3.5, 70.0), ("TrEMBL", 6.0, 10.0), (None, 2.0, -30.0), ("Swiss-Prot", None, 0.0)])
 def test_dataset_score(spark, prov, score, want):
     assert spark.createDataFrame([(prov, score)], "provenance string, annotation_score double").select(scoring.dataset_score()).first()[0] == want
 
@@ -40,21 +40,21 @@ def test_cutoff(spark):
 
 def test_hits_readers(spark, tmp_path):
     p = tmp_path / "m.tsv"
-    p.write_text("1cbs-1\tP29373\t137\t0\t1\t137\t2\t138\t5.4E-100\t277\tPN\tPN\t137\t9606\tpdb|1cbs-1|OX=9606\t1.000\t1.000\n")
+    p.write_text("7qax-1\tQ5ZZ01\t52\t1\t3\t54\t9\t60\t2.5E-31\t140\tPN\tPN\t52\t4932\tpdb|7qax-1|OX=4932\t1.000\t1.000\n")
     r = readers.read_hits(spark, str(p)).first()
-    assert (r["entry"], r["entity"], r["accession"], r["query_tax_id"], r["identity"]) == ("1cbs", "1", "P29373", 9606, 1.0)
+    assert (r["entry"], r["entity"], r["accession"], r["query_tax_id"], r["identity"]) == ("7qax", "1", "Q5ZZ01", 4932, 1.0)
     p = tmp_path / "b.tsv"
-    p.write_text("pdb|1cbs-1|OX=x\tsp|P29373|RABP2_HUMAN\t137\t0\t1\t137\t2\t138\t1e-9\t277\tPN\tPN\t137\t9606\t100.0\t50.0\n")
+    p.write_text("pdb|7qax-1|OX=x\tsp|Q5ZZ01|OWN1_YEAST\t52\t1\t3\t54\t9\t60\t1e-9\t140\tPN\tPN\t52\t4932\t100.0\t50.0\n")
     r = readers.read_hits(spark, str(p), "blastp").first()
-    assert (r["entity"], r["accession"], r["query_tax_id"], r["coverage"]) == ("1", "P29373", None, 0.5)
+    assert (r["entity"], r["accession"], r["query_tax_id"], r["coverage"]) == ("1", "Q5ZZ01", None, 0.5)
     (tmp_path / "empty.tsv").write_text("")
     assert readers.read_hits(spark, str(tmp_path / "empty.tsv")).isEmpty()
 
 
 def test_fasta(spark, tmp_path):
-    writers.write_fasta(spark.createDataFrame([("1cbs", 1, 9606, "PNFSG"), ("1vyc", 1, None, "MK")], "entry string, entity int, tax_id int, sequence string"), str(tmp_path / "o"))
+    writers.write_fasta(spark.createDataFrame([("7qax", 1, 4932, "MSTRW"), ("7qay", 1, None, "MK")], "entry string, entity int, tax_id int, sequence string"), str(tmp_path / "o"))
     back = readers.read_fasta(spark, str(tmp_path / "o"))
-    assert rows(back.select(*readers.query_header(F.col("header")), "sequence"), "entry") == [("1cbs", "1", 9606, "PNFSG"), ("1vyc", "1", None, "MK")]
+    assert rows(back.select(*readers.query_header(F.col("header")), "sequence"), "entry") == [("7qax", "1", 4932, "MSTRW"), ("7qay", "1", None, "MK")]
     (tmp_path / "w.fa").write_text(">a b\nAC\nGT\n>c\nTT\n")
     assert rows(readers.read_fasta(spark, str(tmp_path / "w.fa"))) == [("a b", "ACGT"), ("c", "TT")]
 
@@ -84,7 +84,7 @@ def test_number_segments(spark):
 
 
 def test_identifiers(spark):
-    df = spark.createDataFrame([("1cbs", "P29373"), ("../x", "P29373-2"), ("a" * 65, "x"), ("a\n", "A0A024R1X8"), (None, None)], "e string, a string")
+    df = spark.createDataFrame([("7qax", "Q5ZZ01"), ("../x", "Q5ZZ01-2"), ("a" * 65, "x"), ("a\n", "A0A024R1X8"), (None, None)], "e string, a string")
     assert rows(df.select(quality.valid_entry(F.col("e")), quality.valid_accession(F.col("a")))) == [(True, True), (False, True), (False, False), (False, True), (False, False)]
 
 
