@@ -249,9 +249,9 @@ def signed(texts: DataFrame) -> DataFrame:
 
 
 def lines_of(docs: DataFrame, doc_id: str, text: str) -> DataFrame:
-    """doc_id, line_no (from 0), line and its two hashes, of the lines that aren't blank."""
-    split = docs.where(F.col(doc_id).isNotNull()).select(F.col(doc_id).cast("long").alias("doc_id"), F.posexplode(F.split(F.col(text), "\n", -1)).alias("line_no", "line"))
-    return split.where(F.col("line").rlike(WORD)).select("doc_id", "line_no", "line", F.xxhash64("line").alias("h1"), F.xxhash64(F.lit(1), "line").alias("h2"))
+    """doc_id, the hash of the text, line_no (from 0), line and its two hashes, of the lines that aren't blank."""
+    whole = docs.where(F.col(doc_id).isNotNull()).select(F.col(doc_id).cast("long").alias("doc_id"), F.xxhash64(text).alias("print"), F.posexplode(F.split(F.col(text), "\n", -1)).alias("line_no", "line"))
+    return whole.where(F.col("line").rlike(WORD)).select("doc_id", "print", "line_no", "line", F.xxhash64("line").alias("h1"), F.xxhash64(F.lit(1), "line").alias("h2"))
 
 
 def met_by(keys: Callable[[DataFrame], DataFrame], lines: DataFrame, indexed: bool) -> DataFrame:
@@ -406,7 +406,7 @@ def winnowed_links(met: DataFrame, texts: DataFrame, allowed: Callable = by_leng
 
 
 def dropped(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", allowed: Callable = two_edits) -> DataFrame:
-    """doc_id and gone: which lines go, as (line number, both hashes)."""
+    """doc_id, the hash of the text and gone: the numbers of the lines that go."""
     lines = lines_of(docs, doc_id, text)
     places_ = materialise(lines.drop("line"), "places")
     distinct = lines.groupBy("h1", "h2").agg(F.min(F.struct("doc_id", "line_no")).alias("first"), F.count(F.lit(1)).alias("copies"), F.min("line").alias("text"))
@@ -429,15 +429,15 @@ def dropped(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", allowed
     kept = classed.groupBy("label").agg(F.min("first").alias("kept"), F.sum("copies").alias("copies")).where("copies > 1")
     going = materialise(classed.select("h1", "h2", "label").join(kept, "label").select("h1", "h2", "kept"), "going")
     out = places_.join(going, ["h1", "h2"]).where(~((F.col("doc_id") == F.col("kept.doc_id")) & (F.col("line_no") == F.col("kept.line_no"))))
-    return out.groupBy("doc_id").agg(F.collect_set(F.struct("line_no", "h1", "h2")).alias("gone"))
+    return out.groupBy("doc_id", "print").agg(F.collect_set("line_no").alias("gone"))
 
 
 def dedup(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", allowed: Callable = two_edits) -> DataFrame:
     """The documents with later copies of lines taken out; columns as they came. allowed: two_edits, by_length or by_spots."""
     gone = dropped(docs, doc_id, text, allowed)
-    joined = docs.select(F.struct("*").alias("doc"), F.col(doc_id).cast("long").alias("doc_id")).join(gone, "doc_id", "left")
+    own = docs.select(F.struct("*").alias("doc"), F.col(doc_id).cast("long").alias("doc_id"), F.xxhash64(text).alias("print"))
+    joined = own.join(gone, ["doc_id", "print"], "left")
     whole = F.col("doc").getField(text)
-    told_ = lambda x, i: F.struct(i.alias("line_no"), F.xxhash64(x).alias("h1"), F.xxhash64(F.lit(1), x).alias("h2"))
-    left = F.filter(F.split(whole, "\n", -1), lambda x, i: ~F.array_contains("gone", told_(x, i)))
+    left = F.filter(F.split(whole, "\n", -1), lambda x, i: ~F.array_contains("gone", i))
     cut = F.when(F.col("gone").isNull(), whole).otherwise(F.array_join(left, "\n"))
     return joined.select(*[(cut if c == text else F.col("doc").getField(c)).alias(c) for c in docs.columns])
