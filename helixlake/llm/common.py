@@ -69,6 +69,11 @@ def put_file(spark: SparkSession, name: str, content: bytes) -> str:
     return path.toString()
 
 
+def merged(left: DataFrame, right: DataFrame, on: str | list[str], how: str = "inner") -> DataFrame:
+    """A join by sorting and merging at any size: for sides that grow with the corpus, so the plan that is tried is the one that scales."""
+    return left.join(right.hint("merge"), on, how)
+
+
 def in_one_task(rows: DataFrame, work: Callable[[pa.Table], bytes]) -> bytes:
     """work(rows), done by one task: for samples of bounded size, so that the driver holds the outcome alone."""
     empty = pa.RecordBatch.from_pylist([], to_arrow_schema(rows.schema))

@@ -33,7 +33,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from .common import across, components, counted, dealt, groups, in_one_task, materialise, mix, most_frequent, parted, shingle_sets, slices, text_bytes, told
+from .common import across, components, counted, dealt, groups, in_one_task, materialise, merged, mix, most_frequent, parted, shingle_sets, slices, text_bytes, told
 
 WIDTH, SIMILARITY = 5, 80  # words of a shingle; per cent
 GROUPS, MOST_GROUPS = 256, 4096  # coordinates of a point: half as many as shingles, within these
@@ -221,8 +221,8 @@ def partners(rows: DataFrame) -> DataFrame:
 
 def verified(pairs: DataFrame, texts: DataFrame) -> DataFrame:
     """(a, b) of the pairs whose sets are similar."""
-    both = pairs.join(texts, "doc_id").select("doc_id", "partner", F.col("text").alias("own"))
-    both = both.join(texts.select(F.col("doc_id").alias("partner"), F.col("text").alias("other")), "partner").select("partner", "doc_id", "own", "other")
+    both = merged(pairs, texts, "doc_id").select("doc_id", "partner", F.col("text").alias("own"))
+    both = merged(both, texts.select(F.col("doc_id").alias("partner"), F.col("text").alias("other")), "partner").select("partner", "doc_id", "own", "other")
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for part in slices(batches, "own"):
@@ -299,23 +299,23 @@ def classes(docs: DataFrame, doc_id: str = "doc_id", text: str = "text") -> Data
     sketch = materialise(sketches(docs, frequent_shingles(docs, text), doc_id, text), "sketches")
     known = sketch.where("doc_id IS NOT NULL AND n_shingles > 0")
     stands = materialise(known.groupBy("print").agg(F.min("doc_id").alias("rep")), "stands")
-    reps = sketch.join(stands.select(F.col("rep").alias("doc_id"), "print"), ["doc_id", "print"], "left_semi")
+    reps = merged(sketch, stands.select(F.col("rep").alias("doc_id"), "print"), ["doc_id", "print"], "left_semi")
     met = materialise(cells(reps), "met")
-    points = reps.select("doc_id", "point", "n_shingles").join(met.select("doc_id").distinct(), "doc_id", "left_semi")
-    pairs = materialise(partners(first_look(met).join(points, "doc_id")), "pairs")
+    points = merged(reps.select("doc_id", "point", "n_shingles"), met.select("doc_id").distinct(), "doc_id", "left_semi")
+    pairs = materialise(partners(merged(first_look(met), points, "doc_id")), "pairs")
     own = docs.select(F.col(doc_id).cast("long").alias("doc_id"), F.col(text).alias("text"))
-    texts_of = lambda ids: own.join(ids.distinct(), "doc_id", "left_semi")
+    texts_of = lambda ids: merged(own, ids.distinct(), "doc_id", "left_semi")
     either = lambda p: p.select("doc_id").union(p.select("partner"))
     links = materialise(verified(pairs, texts_of(either(pairs))), "links")
     label = components(links).withColumnRenamed("node", "doc_id")
     tried = pairs.withColumnRenamed("partner", "tried")
     state = met.select("cell", "doc_id").join(label, "doc_id", "left").withColumn("label", F.coalesce("label", "doc_id"))
     state = materialise(across(state, "cell", "doc_id", CELL), "across")
-    state = state.join(points, "doc_id").join(tried, "doc_id", "left").withColumn("tried", F.coalesce("tried", "doc_id"))
+    state = merged(state, points, "doc_id").join(tried, "doc_id", "left").withColumn("tried", F.coalesce("tried", "doc_id"))
     more = materialise(apart(state), "apart")
     single = materialise(more.where("partner IS NOT NULL").select("doc_id", "partner").distinct(), "single")
     crowded = more.where("partner IS NULL").drop("partner")
-    held = crowded.join(points, "doc_id").join(texts_of(crowded.select("doc_id")), "doc_id").select("cell", "p", "q", "doc_id", "label", "point", "n_shingles", "text")
+    held = merged(merged(crowded, points, "doc_id"), texts_of(crowded.select("doc_id")), "doc_id").select("cell", "p", "q", "doc_id", "label", "point", "n_shingles", "text")
     last = materialise(verified(single, texts_of(either(single))).unionByName(last_links(held)), "last")
     label = components(links.unionByName(last)).withColumnRenamed("node", "rep")
     of_rep = stands.join(label, "rep", "left").select("print", F.least("rep", F.coalesce("label", "rep")).alias("component_id"))
