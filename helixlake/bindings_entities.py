@@ -40,9 +40,9 @@ def d7_chains_of_entities(spark, d):
     return entities.fan_out(mapping, lines(spark, d).select("entry", F.col("line").alias("chain"), "part"), ["entry"])[0]
 
 
-@query(f"WITH {L} SELECT entry, line AS chain, part, supplier FROM l ANTI JOIN part ON p_size = q")
+@query(f"WITH {L} SELECT entry, line AS chain, part, supplier FROM l ANTI JOIN part ON p_size * 2 = q")
 def m8_chains_without_entity(spark, d):
-    mapping = table(spark, d, "part").select(F.col("p_size").cast("long").alias("q"))
+    mapping = table(spark, d, "part").select((F.col("p_size") * 2).cast("long").alias("q"))
     return entities.fan_out(mapping, lines(spark, d), ["q"])[2].select("entry", F.col("line").alias("chain"), "part", "supplier")
 
 

@@ -194,9 +194,10 @@ def i17_residue_rows(spark, d):
     return out.select("entry_id", "accession", "reference_acc", "name", "type", "canonical_acc", "best_mapping", "n", "ids", "auths", "places", "mapped", "taxa", *[joined(c).alias(c) for c in TEXTS], "residue_id")
 
 
-@query(f"WITH {ROWS} SELECT 'e' || aln AS entry, 'A' AS chain FROM r GROUP BY aln HAVING NOT bool_or(canonical)")
+@query(f"WITH {ROWS} SELECT 'e' || aln AS entry, 'A' AS chain FROM r WHERE blank = 0 GROUP BY aln HAVING NOT bool_or(canonical)")
 def m9_chains_without_canonical(spark, d):
-    seg = mapped(spark, d)[0].select(F.col("entry_id").alias("entry"), F.col("auth_asym_id").alias("chain"), "canonical_acc")
+    """Chains none of whose mapped rows is canonical: those that their whole blank row makes up for."""
+    seg = mapped(spark, d)[0].where("accession IS NOT NULL").select(F.col("entry_id").alias("entry"), F.col("auth_asym_id").alias("chain"), "canonical_acc")
     return quality.without_canonical(seg)
 
 
