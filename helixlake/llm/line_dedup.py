@@ -36,7 +36,7 @@ import pyarrow.compute as pc
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from .common import WORD, across, coefficients, components, counted, dealt, groups, materialise, mix, parted, slices, told
+from .common import WORD, across, coefficients, components, counted, dealt, groups, materialise, merged, mix, parted, slices, told
 
 EDITS, SHORTEST = 2, 20
 WINNOWED = 60  # code points of a shorter line from which by_length and by_spots have their lines meet by winnowing
@@ -296,7 +296,7 @@ def near_links(met: DataFrame, texts: DataFrame, allowed: Callable = two_edits)
             yield flush()
 
         names = ["key", "line", "indexed", "label", "asks", *part]
-        return dealt(rows.select(*names).join(texts, "line"), ["key", *part], "line").mapInArrow(run, "a long, b long").distinct()
+        return dealt(merged(rows.select(*names), texts, "line"), ["key", *part], "line").mapInArrow(run, "a long, b long").distinct()
 
     alone = parted(met, "key", "line", BUCKET).withColumn("label", F.col("line")).withColumn("asks", F.lit(True))
     first = materialise(linked(alone, ["part"]), "links")
@@ -350,7 +350,7 @@ def whole_groups(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.Table]:
 
 def verified(pairs: DataFrame, texts: DataFrame, allowed: Callable) -> DataFrame:
     """(a, b) of the pairs that are within the edits."""
-    both = pairs.join(texts.select(F.col("line").alias("a"), F.col("text").alias("x")), "a").join(texts.select(F.col("line").alias("b"), F.col("text").alias("y")), "b")
+    both = merged(merged(pairs, texts.select(F.col("line").alias("a"), F.col("text").alias("x")), "a"), texts.select(F.col("line").alias("b"), F.col("text").alias("y")), "b")
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -420,15 +420,15 @@ def dropped(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", allowed
         long_lines = keyed.where(F.char_length("line_text") >= WINNOWED)
         long = materialise(met_by(lambda d: winnowed_keys(inner(d), allowed), long_lines, False), "winnowed")
         wanted = wanted.union(long.select("line"))
-    texts = materialise(own.join(wanted.distinct(), "line", "left_semi"), "texts")
+    texts = materialise(merged(own, wanted.distinct(), "line", "left_semi"), "texts")
     links = near_links(met, texts, allowed)
     if allowed is not two_edits:
         links = links.union(winnowed_links(long, texts, allowed))
     labels = components(links).withColumnRenamed("node", "line")
-    classed = distinct.drop("text").join(labels, "line", "left").withColumn("label", F.coalesce("label", "line"))
+    classed = merged(distinct.drop("text"), labels, "line", "left").withColumn("label", F.coalesce("label", "line"))
     kept = classed.groupBy("label").agg(F.min("first").alias("kept"), F.sum("copies").alias("copies")).where("copies > 1")
     going = materialise(classed.select("h1", "h2", "label").join(kept, "label").select("h1", "h2", "kept"), "going")
-    out = places_.join(going, ["h1", "h2"]).where(~((F.col("doc_id") == F.col("kept.doc_id")) & (F.col("line_no") == F.col("kept.line_no"))))
+    out = merged(places_, going, ["h1", "h2"]).where(~((F.col("doc_id") == F.col("kept.doc_id")) & (F.col("line_no") == F.col("kept.line_no"))))
     return out.groupBy("doc_id", "print").agg(F.collect_set("line_no").alias("gone"))
 
 
@@ -436,7 +436,7 @@ def dedup(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", allowed:
     """The documents with later copies of lines taken out; columns as they came. allowed: two_edits, by_length or by_spots."""
     gone = dropped(docs, doc_id, text, allowed)
     own = docs.select(F.struct("*").alias("doc"), F.col(doc_id).cast("long").alias("doc_id"), F.xxhash64(text).alias("print"))
-    joined = own.join(gone, ["doc_id", "print"], "left")
+    joined = merged(own, gone, ["doc_id", "print"], "left")
     whole = F.col("doc").getField(text)
     left = F.filter(F.split(whole, "\n", -1), lambda x, i: ~F.array_contains("gone", i))
     cut = F.when(F.col("gone").isNull(), whole).otherwise(F.array_join(left, "\n"))
