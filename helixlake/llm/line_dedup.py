@@ -364,23 +364,30 @@ def verified(pairs: DataFrame, texts: DataFrame, allowed: Callable) -> DataFrame
 def winnowed_links(met: DataFrame, texts: DataFrame, allowed: Callable = by_length) -> DataFrame:
     """(a, b): lines that share a key and are within the edits, enough of them to connect every class.
 
-    A first look takes a few keys of each line, large ones in parts, and gives each line the smallest one there
-    that lengths and counts leave it, one pair for each. What these pairs connect is one class; then every key
-    that still holds several classes is gone through for pairs across them. So a crowd of near copies costs
-    pairs in proportion to its lines.
+    A first look takes a few keys of each line, large ones in parts, and connects the lines there: a pair that is
+    connected by others isn't verified. What is connected is one class; then every key that still holds several
+    classes is gone through for pairs across them. So a crowd of near copies costs pairs in proportion to its lines.
     """
     bags = materialise(signed(texts), "bags")
 
-    def smallest(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    def inside(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for table in whole_groups(batches):
-            line = table.column("line").to_numpy()
-            least = line.copy()
+            line, text, most = table.column("line").to_pylist(), table.column("text").to_pylist(), allowed(table.column("size").to_numpy()).tolist()
+            root, a, b = list(range(len(line))), [], []
+
+            def top(k: int, root: list[int] = root) -> int:
+                while root[k] != k:
+                    root[k] = k = root[root[k]]
+                return k
+
             for i, j in close_pairs(table, ["key", "part"], allowed):
-                low = np.minimum(line[i], line[j])
-                np.minimum.at(least, i, low)
-                np.minimum.at(least, j, low)
-            met_ = least < line
-            yield pa.RecordBatch.from_arrays([pa.array(line[met_]), pa.array(least[met_])], ["b", "a"])
+                for x, y in zip(i.tolist(), j.tolist(), strict=True):
+                    p, q = top(x), top(y)
+                    if p != q and near(text[x], text[y], most[x]):
+                        root[q] = p
+                        a.append(min(line[x], line[y]))
+                        b.append(max(line[x], line[y]))
+            yield pa.RecordBatch.from_arrays([pa.array(a, pa.int64()), pa.array(b, pa.int64())], ["a", "b"])
 
     order = Window.partitionBy("line").orderBy(F.xxhash64("key"), "key")
     some = met.withColumn("nth", F.row_number().over(order)).where(f"nth <= {FIRST}").drop("nth")
@@ -388,8 +395,8 @@ def winnowed_links(met: DataFrame, texts: DataFrame, allowed: Callable = by_leng
     every = F.explode(F.sequence(F.lit(0).cast("long"), F.ceil(F.col("n") / BUCKET).cast("long") - 1))
     lead = some.where(F.col("n") > BUCKET).groupBy("key", "n").agg(F.min("line").alias("line")).select("key", every.alias("part"), "line")
     dealt_ = parted(some, "key", "line", BUCKET).select("key", "part", "line").unionByName(lead).join(bags, "line").select("key", "part", "line", "size", "bag")
-    pairs = dealt(dealt_, ["key", "part"], "size", "line").mapInArrow(smallest, "b long, a long").groupBy("b").agg(F.min("a").alias("a"))
-    first = materialise(verified(pairs.select("a", "b"), texts, allowed), "links")
+    dealt_ = merged(dealt_, texts, "line").select("key", "part", "line", "size", "bag", "text")
+    first = materialise(dealt(dealt_, ["key", "part"], "size", "line").mapInArrow(inside, "a long, b long").where("a <> b").distinct(), "links")
 
     def others(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for table in whole_groups(batches):
