@@ -15,11 +15,13 @@ from __future__ import annotations
 import hashlib
 import json
 import os
+import re
 import unicodedata
 import uuid
 from array import array
 from collections import Counter
 from collections.abc import Iterator
+from heapq import heapify, heappop, heappush
 
 import numpy as np
 import pyarrow as pa
@@ -27,17 +29,19 @@ import regex
 from pyspark import SparkFiles
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from tokenizers import Tokenizer
 
 from .common import in_one_task, materialise, most_frequent, put_file, slices
 
 #: Words of the lexicon, and how many words a worker remembers or counts at a time.
 LEXICON_WORDS, MEMO_WORDS, COUNT_WORDS = 300_000, 200_000, 300_000
 MAX_LEXICON_CHARS = 40
+LONG_WORD = 64  # bytes, above which a piece is merged alone
 #: White space as the tokenizer's patterns know it.
 _SPACE = regex.compile(r"[\t-\r \x85\xa0  -     　]+")
 #: A dot or comma between a letter or digit and white space is a piece of its own in the tokenizer's split.
-_CLOSING = regex.compile(r"(?<=[a-z0-9])([.,])(?=[ \n]|$)")
-_PYTHON_ONLY = regex.compile(r"[\x1c-\x1f]")  # str.split() takes these for white space, too
+_CLOSING = re.compile(r"([.,])(?<=[a-z0-9][.,])(?=[ \n]|\Z)")
+PYTHON_ONLY = re.compile(r"[\x1c-\x1f]")  # str.split() takes these for white space, too
 
 
 def byte_letters() -> list[str]:
@@ -51,6 +55,7 @@ class WordBpe:
     """Normalisation, word split and merges of a tokenizer file with word-end marks."""
 
     def __init__(self, path: str):
+        self.path = path
         with open(path, encoding="utf-8") as f:
             spec = json.load(f)
         model = spec["model"]
@@ -72,26 +77,36 @@ class WordBpe:
                 text = text.replace("Σ", "σ")
         return text.lower()
 
+    def spaced(self, text: str) -> str:
+        """The normal text with closing dots and commas set apart."""
+        return _CLOSING.sub(r" \1", self.normal(text))
+
     def words(self, text: str) -> list[str]:
         """Pieces between white space; no token reaches over one."""
-        text = _CLOSING.sub(r" \1", self.normal(text))
-        if text.isascii() and not _PYTHON_ONLY.search(text):
+        text = self.spaced(text)
+        if not PYTHON_ONLY.search(text):
             return text.split()
         return [w for w in _SPACE.split(text) if w]
 
     def merge(self, piece: str) -> list[int]:
-        parts = [self.letters[b] for b in piece.encode("utf-8", "replace")]
+        """Token ids of one piece; the pair of the lowest rank, and of those the leftmost, comes off a heap, so a long piece takes n log n."""
+        parts: list[str | None] = [self.letters[b] for b in piece.encode("utf-8", "replace")]
         parts[-1] += self.end
-        rank, far = self.rank, 1 << 30
-        found = [rank.get(pair, far) for pair in zip(parts, parts[1:], strict=False)]
-        while found and (best := min(found)) < far:
-            i = found.index(best)
-            parts[i : i + 2] = [parts[i] + parts[i + 1]]
-            del found[i]
-            if i:
-                found[i - 1] = rank.get((parts[i - 1], parts[i]), far)
-            if i < len(found):
-                found[i] = rank.get((parts[i], parts[i + 1]), far)
+        rank, n = self.rank, len(parts)
+        behind, before = list(range(1, n + 1)), list(range(-1, n - 1))
+        heap = [(r, i, a, b) for i, (a, b) in enumerate(zip(parts, parts[1:], strict=False)) if (r := rank.get((a, b))) is not None]
+        heapify(heap)
+        while heap:
+            _, i, a, b = heappop(heap)
+            j = behind[i]
+            if parts[i] != a or j >= n or parts[j] != b:
+                continue  # one of the two has been merged meanwhile
+            parts[i], parts[j], behind[i] = a + b, None, behind[j]
+            if behind[j] < n:
+                before[behind[j]] = i
+            for x, y in ((before[i], i), (i, behind[i])):
+                if x >= 0 and y < n and (r := rank.get((parts[x], parts[y]))) is not None:
+                    heappush(heap, (r, x, parts[x], parts[y]))
         return [self.vocab[x] for x in parts if x in self.vocab]
 
     def tables(self) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
@@ -100,59 +115,94 @@ class WordBpe:
             pairs = [(self.vocab[a] << 20 | self.vocab[b], r, self.vocab[a + b]) for (a, b), r in self.rank.items()]
             key, rank, made = (np.array(x, np.int64) for x in zip(*sorted(pairs), strict=True))
             ends = np.array([[self.vocab[x] for x in self.letters], [self.vocab[x + self.end] for x in self.letters]], np.int64)
-            self._tables = (key, rank, made[np.argsort(rank)], ends)
+            self._tables = (key, rank.astype(np.int32), made[np.argsort(rank)], ends)
         return self._tables
 
-    def merge_many(self, words: list[str]) -> list[list[int]]:
-        """merge() of many words at once, those of like length together."""
-        out: dict[int, list[int]] = {}
-        size = np.array([len(w.encode("utf-8", "replace")) for w in words], np.int64)
-        for low, high in ((0, 6), (6, 9), (9, 12), (12, 16), (16, 32), (32, 1 << 60)):
-            own = np.flatnonzero((size > low) & (size <= high)).tolist()
-            for a in range(0, len(own), 4096):
-                part = own[a : a + 4096]
-                some = [words[k] for k in part]
-                out.update(zip(part, self._merge_rounds(some) if high <= 32 else map(self.merge, some), strict=True))
-        return [out.get(k, []) for k in range(len(words))]
-
-    def _merge_rounds(self, words: list[str], longest: int = 32) -> list[list[int]]:
-        """Each round merges the best pair of every word that has one."""
+    def merge_flat(self, words: list[str]) -> tuple[np.ndarray, np.ndarray]:
+        """Token ids of all words on end, and n + 1 offsets: :func:`merge` of many words at once.
+
+        Each round merges the best pair of every word that has one; words that have none leave. A piece of over
+        LONG_WORD bytes goes alone.
+        """
         coded = [w.encode("utf-8", "replace") for w in words]
-        size = np.array([len(w) for w in coded], np.int64)
-        out: list[list[int]] = [self.merge(w) if n > longest else [] for w, n in zip(words, size, strict=True)]
-        todo = np.flatnonzero((size > 0) & (size <= longest))
-        if not len(todo):
-            return out
+        size = np.fromiter(map(len, coded), np.int64, len(coded))
+        long = {int(k): np.array(self.merge(words[k]), np.int64) for k in np.flatnonzero(size > LONG_WORD)}
+        todo = np.flatnonzero((size > 0) & (size <= LONG_WORD))
         key, rank, made, ends = self.tables()
-        far, width = 1 << 30, int(size[todo].max())
-        flat = np.frombuffer(b"".join(coded[k].ljust(width, b"\0") for k in todo), np.uint8).reshape(len(todo), width)
-        cols, n = np.arange(width), size[todo]
-        ids = np.where(cols < n[:, None], ends[0][flat], -1).astype(np.int32)
-        ids[np.arange(len(todo)), n - 1] = ends[1][flat[np.arange(len(todo)), n - 1]]
-        ids = np.hstack([ids, np.full((len(todo), 1), -1, np.int32)])
-
-        def ranks(a: np.ndarray, b: np.ndarray) -> np.ndarray:
-            k = a.astype(np.int64) << 20 | b
-            at = np.minimum(np.searchsorted(key, k), len(key) - 1)
-            return np.where((key[at] == k) & (a >= 0) & (b >= 0), rank[at], far).astype(np.int32)
+        far = np.int32(1 << 30)
 
-        best = np.hstack([ranks(ids[:, :-1], ids[:, 1:]), np.full((len(todo), 1), far, np.int32)])
-        cols = np.arange(width + 1)
+        def ranks(left: np.ndarray, right: np.ndarray) -> np.ndarray:
+            k = left << 20 | right
+            at = np.minimum(np.searchsorted(key, k), len(key) - 1)
+            return np.where(key[at] == k, rank[at], far)
+
+        done: list[tuple[np.ndarray, np.ndarray, np.ndarray]] = []  # words, their numbers of tokens, tokens
+        n = size[todo]
+        flat = np.frombuffer(b"".join([coded[k] for k in todo]), np.uint8)
+        last = np.cumsum(n) - 1
+        ids = ends[0][flat]
+        ids[last] = ends[1][flat[last]]
+        best = np.full(len(ids), far, np.int32)  # of a token with the next one
+        if len(ids) > 1:
+            best[:-1] = ranks(ids[:-1], ids[1:])
+        best[last] = far
         while len(todo):
-            i = best.argmin(axis=1)
-            r = best[np.arange(len(todo)), i]
-            over = r >= far
-            for k, row in zip(todo[over], ids[over], strict=True):
-                out[k] = row[row >= 0].tolist()
-            todo, ids, best, i, r = todo[~over], ids[~over], best[~over], i[~over], r[~over]
-            rows = np.arange(len(todo))
-            behind = np.minimum(cols + (cols > i[:, None]), width)
-            ids, best = np.take_along_axis(ids, behind, 1), np.take_along_axis(best, behind, 1)
-            ids[rows, i] = made[r]
-            best[rows, i] = ranks(ids[rows, i], ids[rows, np.minimum(i + 1, width)])
-            left = i > 0
-            best[rows[left], i[left] - 1] = ranks(ids[rows[left], i[left] - 1], ids[rows[left], i[left]])
-        return out
+            first = np.cumsum(n) - n
+            low = np.minimum.reduceat(best, first)
+            over = low >= far
+            if over.any():
+                gone = np.repeat(over, n)
+                done.append((todo[over], n[over], ids[gone]))
+                todo, n, low, ids, best = todo[~over], n[~over], low[~over], ids[~gone], best[~gone]
+                if not len(todo):
+                    break
+                first = np.cumsum(n) - n
+            hits = np.flatnonzero(best == np.repeat(low, n))
+            own = np.searchsorted(first, hits, "right") - 1
+            at = hits[np.concatenate([[True], own[1:] != own[:-1]])]  # the leftmost of each word
+            ids[at] = made[low]
+            keep = np.ones(len(ids), bool)
+            keep[at + 1] = False
+            to = at - np.arange(len(at))  # where the merged tokens lie once one token before each has gone
+            ids, best, n = ids[keep], best[keep], n - 1
+            first = np.cumsum(n) - n
+            best[to] = far
+            more = to[to < first + n - 1]
+            best[more] = ranks(ids[more], ids[more + 1])
+            less = to[to > first] - 1
+            best[less] = ranks(ids[less], ids[less + 1])
+        count = np.zeros(len(words), np.int64)
+        for which, k, _ in done:
+            count[which] = k
+        for k, found in long.items():
+            count[k] = len(found)
+        offsets = np.concatenate([[0], np.cumsum(count)])
+        out = np.zeros(int(offsets[-1]), np.int64)
+        for which, k, tokens in done:
+            out[np.repeat(offsets[which] - (np.cumsum(k) - k), k) + np.arange(len(tokens))] = tokens
+        for k, found in long.items():
+            out[offsets[k] : offsets[k + 1]] = found
+        return out, offsets
+
+    def merge_many(self, words: list[str]) -> list[list[int]]:
+        """Token ids of each word."""
+        ids, offsets = self.merge_flat(words)
+        flat = ids.tolist()
+        return [flat[a:b] for a, b in zip(offsets[:-1].tolist(), offsets[1:].tolist(), strict=True)]
+
+    def pieces(self, word: str) -> list[str]:
+        """A word cut into runs of letters, single digits, runs of other signs and the usual contractions."""
+        return [word] if word.isalpha() else self.split.findall(word)
+
+    def by_library(self, words: list[str]) -> dict[str, list[int]]:
+        """Token ids of the words with a code point that this Python's Unicode leaves unassigned: the tokenizer's own library may know its class, case or order."""
+        newer = {c for c in set("".join(w for w in words if not w.isascii())) if unicodedata.category(c) == "Cn"}
+        if not newer:
+            return {}
+        if not hasattr(self, "_library"):
+            self._library = Tokenizer.from_file(self.path)
+        odd = [w for w in words if not newer.isdisjoint(w)]
+        return dict(zip(odd, (e.ids for e in self._library.encode_batch(odd, add_special_tokens=False)), strict=True))
 
 
 def compile_lexicon(entries: dict[str, list[int]]) -> dict[str, np.ndarray]:
@@ -261,7 +311,7 @@ def frequent_words(docs: DataFrame, path: str, text: str = "text", most: int = L
         def flush() -> pa.RecordBatch:
             pieces: Counter = Counter()
             for word, n in seen.items():
-                for x in (word,) if word.isalpha() else bpe.split.findall(word):
+                for x in bpe.pieces(word):
                     pieces[x] += n
             seen.clear()
             return pa.RecordBatch.from_arrays([pa.array(list(pieces), pa.string()), pa.array(list(pieces.values()), pa.int64())], ["word", "n"])
@@ -328,7 +378,10 @@ class Encoder:
     def learn(self, pieces: set[str]) -> None:
         """Make the memo hold all of the pieces."""
         memo = self.memo
-        split = {x: [x] if x.isalpha() else self.bpe.split.findall(x) for x in memo.missing(pieces)}
+        new = memo.missing(pieces)
+        odd = self.bpe.by_library(new)
+        memo.update((x, self.entry(ids)) for x, ids in odd.items())
+        split = {x: self.bpe.pieces(x) for x in new if x not in odd}
         new = list({w for words in split.values() for w in words})
         found = dict(zip(new, self.lexicon.find(new) if self.lexicon else [None] * len(new), strict=True))
         rare = [w for w, ids in found.items() if ids is None]
@@ -336,15 +389,19 @@ class Encoder:
         for x, words in split.items():
             memo[x] = self.entry(found[words[0]] if len(words) == 1 else [i for w in words for i in found[w]])
 
-    def texts(self, texts: list[str | None]) -> Iterator[tuple[int, str, str]]:
-        """(number of tokens, ids in decimal, decoded text) of each text."""
+    def entries(self, texts: list[str | None]) -> Iterator[list]:
+        """The entries of each text's words and special tokens, in order."""
         cut = self.bpe.cut
         parts = [cut.split(x) if cut and x and "<|" in x else [x or ""] for x in texts]
         split = [[[p] if k % 2 else self.bpe.words(p) for k, p in enumerate(x)] for x in parts]
         self.learn({w for x in split for k, words in enumerate(x) if not k % 2 for w in words})
         of = self.memo.__getitem__
         for x in split:
-            found = [e for k, words in enumerate(x) for e in ([self.entry([self.bpe.special[words[0]]])] if k % 2 else map(of, words))] if len(x) > 1 else list(map(of, x[0]))
+            yield [e for k, words in enumerate(x) for e in ([self.entry([self.bpe.special[words[0]]])] if k % 2 else map(of, words))] if len(x) > 1 else list(map(of, x[0]))
+
+    def texts(self, texts: list[str | None]) -> Iterator[tuple[int, str, str]]:
+        """(number of tokens, ids in decimal, decoded text) of each text."""
+        for found in self.entries(texts):
             if found:
                 n, ids, names = zip(*found, strict=True)
                 yield sum(n), " ".join(ids), " ".join(names)

@@ -6,7 +6,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import ann, bpe, langid, licenses, line_dedup, mixing, ngram_join, quality_cnn, rules, toxicity_cnn
+from . import ann, bpe, collocations, langid, licenses, line_dedup, merkle, mixing, ngram_join, packing, quality_cnn, rules, toxicity_cnn
 from .common import WORD, fold
 
 TOKENIZER = "word_bpe_49k.json"
@@ -76,7 +76,24 @@ def op10_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     return bpe.encode_digests(table(spark, sf_dir, "documents"), public_tokenizers.path(TOKENIZER))
 
 
-QUERIES = {f.__name__: f for f in (op1_quality_classifier, op2_ngram_jaccard_join, op3_toxicity, op4_license_scans, op5_quality_rules, op6_source_mixing, op7_nearest_neighbours, op8_line_dedup, op9_language_id, op10_bpe)}
+def op11_best_fit_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return packing.pack(table(spark, sf_dir, "documents"), public_tokenizers.path(TOKENIZER))
+
+
+def op12_merkle_manifest(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The manifest, and the root that each row's proof gives for what the row holds now; every seventh row's n_chars has been tampered with."""
+    fields = ["doc_id", "source", "lang", "n_chars", "text"]
+    tampered = F.when(F.crc32(F.col("doc_id").cast("string")) % 7 == 0, merkle.leaf([F.col("n_chars") + 1 if c == "n_chars" else c for c in fields]))
+    found = merkle.manifest(table(spark, sf_dir, "documents"), "lang", "doc_id", fields, {"now": tampered})
+    found = found.select("doc_id", "leaf", "subroot", "root", F.sha2(merkle.proof("path"), 256).alias("proof_sha256"), merkle.folded(F.coalesce("now", "leaf"), "path").alias("folded_root"))
+    return found.withColumn("verified", F.col("folded_root") == F.col("root"))
+
+
+def op13_phrase_collocations(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return collocations.collocations(table(spark, sf_dir, "documents"), "lang")
+
+
+QUERIES = {f.__name__: f for f in (op1_quality_classifier, op2_ngram_jaccard_join, op3_toxicity, op4_license_scans, op5_quality_rules, op6_source_mixing, op7_nearest_neighbours, op8_line_dedup, op9_language_id, op10_bpe, op11_best_fit_packing, op12_merkle_manifest, op13_phrase_collocations)}
 
 _UPPER, _LOWER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
 _TEMPLATES = ", ".join(f"('{k}', '{s}')" for k, t in licenses.TEMPLATES.items() for s in licenses.shingles_of(t))
@@ -137,4 +154,46 @@ WITH RECURSIVE l AS (
 SELECT d.doc_id, len(string_split(d.text, chr(10)))::BIGINT AS n_lines, length(coalesce(t.text, ''))::BIGINT AS n_chars_left, sha256(coalesce(t.text, '')) AS text_sha256
 FROM documents d LEFT JOIN (
   SELECT doc_id, string_agg(line, chr(10) ORDER BY i) AS text FROM l LEFT JOIN k USING (line) WHERE kept IS NULL OR kept = (doc_id, i) GROUP BY doc_id) t USING (doc_id)""",
+    "op12_merkle_manifest": """
+WITH RECURSIVE t AS (
+  SELECT list_transform(range(256), lambda n: list_reduce([n, 0, 0, 0, 0, 0, 0, 0, 0], lambda c, x: CASE WHEN c & 1 = 1 THEN xor(c >> 1, 3988292384) ELSE c >> 1 END)) AS t
+), d AS (
+  SELECT doc_id, lang, row_number() OVER (PARTITION BY lang ORDER BY doc_id NULLS FIRST) - 1 AS pos, n_chars, text,
+    concat(coalesce(strlen(doc_id::VARCHAR) || ':' || doc_id, '-'), coalesce(strlen(source) || ':' || source, '-'), coalesce(strlen(lang) || ':' || lang, '-')) AS head, coalesce(strlen(text) || ':' || text, '-') AS tail,
+    xor(4294967295, list_reduce([4294967295] || list_transform(string_split(doc_id::VARCHAR, ''), lambda s: ascii(s)::BIGINT), lambda c, b: xor(c >> 8, t[(xor(c, b) & 255) + 1]))) % 7 = 0 AS tampered FROM documents, t
+), f AS (
+  SELECT doc_id, lang, pos, sha256(head || coalesce(strlen(n_chars::VARCHAR) || ':' || n_chars, '-') || tail) AS leaf,
+    CASE WHEN tampered THEN sha256(head || coalesce(strlen((n_chars + 1)::VARCHAR) || ':' || (n_chars + 1), '-') || tail) END AS now FROM d
+), n(lang, lev, idx, h, n) AS (
+  SELECT lang, 0, pos, leaf, count(*) OVER (PARTITION BY lang) FROM f
+  UNION ALL SELECT lang, lev + 1, idx // 2, sha256(string_agg(h, '' ORDER BY idx)), (any_value(n) + 1) // 2 FROM n WHERE n > 1 GROUP BY lang, lev, idx // 2
+), s AS (SELECT lang, h, lev AS height, row_number() OVER (ORDER BY lang NULLS FIRST) - 1 AS place FROM n WHERE n = 1), m(lev, idx, h, n) AS (
+  SELECT 0, place, h, count(*) OVER () FROM s UNION ALL SELECT lev + 1, idx // 2, sha256(string_agg(h, '' ORDER BY idx)), (any_value(n) + 1) // 2 FROM m WHERE n > 1 GROUP BY lev, idx // 2
+), r AS (SELECT h AS root, lev AS height FROM m WHERE n = 1), u AS (
+  SELECT lang, lev, idx, h FROM n WHERE n > 1 UNION ALL SELECT lang, height + lev, idx, m.h FROM s, m WHERE m.n > 1
+), g AS (
+  SELECT doc_id, f.lang, leaf, coalesce(now, leaf) AS now, s.h AS subroot, root, unnest(range(s.height + r.height)) AS lev, CASE WHEN lev < s.height THEN pos >> lev ELSE place >> (lev - s.height) END AS x
+  FROM f JOIN s ON s.lang IS NOT DISTINCT FROM f.lang, r
+), e AS (
+  SELECT doc_id, leaf, now, subroot, root, list(CASE WHEN x % 2 = 1 THEN 'l' ELSE 'r' END || coalesce(h, '') ORDER BY g.lev) AS steps
+  FROM g LEFT JOIN u ON u.lang IS NOT DISTINCT FROM g.lang AND u.lev = g.lev AND u.idx = xor(x, 1) GROUP BY ALL
+), o AS (
+  SELECT *, list_reduce([now] || steps, lambda d, s: CASE WHEN s[1] = 'l' THEN sha256(s[2:] || d) ELSE sha256(d || s[2:]) END) AS folded_root FROM e
+)
+SELECT doc_id, leaf, subroot, root, sha256(list_aggregate(list_transform(steps, lambda s: s[2:]), 'string_agg', '')) AS proof_sha256, folded_root, folded_root = root AS verified FROM o""",
+    "op13_phrase_collocations": f"""
+WITH RECURSIVE p AS (
+  SELECT coalesce(lang, 'und') AS lang, unnest(string_split_regex(translate(coalesce(text, ''), '{_UPPER}', '{_LOWER}'), '[.,;:!?\\x0A-\\x0D]')) AS p FROM documents
+), w AS (
+  SELECT lang, regexp_extract_all(p, '[^\\x20\\x09]+') AS w FROM p
+), n AS (SELECT lang, sum(len(w))::BIGINT AS n FROM w GROUP BY lang), f AS (
+  SELECT lang, k, unnest(list_transform(range(1, len(w) - k + 2), lambda i: w[i:i + k - 1])) AS g FROM w, unnest([1, 2, 3, 4]) AS t(k)
+), c AS (SELECT lang, g, count(*) AS a FROM f GROUP BY lang, g HAVING count(*) >= 30), s AS (
+  SELECT c.lang, c.g, c.a, k, x.a AS l, y.a AS r, (2000000::HUGEINT * c.a // (x.a + y.a))::BIGINT AS score
+  FROM c, unnest(range(1, len(c.g))) AS t(k) JOIN c x ON x.lang = c.lang AND x.g = c.g[1:k] JOIN c y ON y.lang = c.lang AND y.g = c.g[k + 1:]
+), b AS (SELECT lang, g, a, arg_min((l, r, score), (score, k)) AS b FROM s GROUP BY ALL), d AS (
+  SELECT * FROM b WHERE NOT EXISTS (SELECT 1 FROM c z WHERE z.lang = b.lang AND len(z.g) > len(b.g) AND 100 * z.a >= 80 * b.a
+    AND (z.g[1:len(b.g)] = b.g OR z.g[2:len(b.g) + 1] = b.g OR z.g[3:len(b.g) + 2] = b.g))
+), o AS (SELECT lang, array_to_string(g, ' ') AS phrase, a::BIGINT AS a, b[1]::BIGINT AS l, b[2]::BIGINT AS r, b[3] AS score FROM d)
+SELECT lang, rank, phrase, a, l, r, n, score FROM (SELECT *, row_number() OVER (PARTITION BY lang ORDER BY score DESC, a DESC, phrase) AS rank FROM o) JOIN n USING (lang) WHERE rank <= 2000""",
 }
