@@ -38,8 +38,8 @@ CONTAINED = 80  # per cent of its count at which a longer phrase takes a shorter
 MAX_BITS = 28  # the bitmap of frequent pairs has 2^28 bits at most, 32 MB; 32 for each pair below that
 BLOCK_BITS = 15
 SALTS = 32
-#: Distinct words and pairs that a task holds before it passes their counts on.
-HELD = 2_000_000
+#: Distinct words and pairs that a task holds before it passes their counts on, and bytes of text that it takes at a time.
+HELD, SLICE = 400_000, 1 << 20
 _U = np.uint64
 _BREAK, _GAP = np.zeros(256, bool), np.zeros(256, bool)
 _BREAK[[*b".,;:!?", *range(0x0A, 0x0E)]] = True
@@ -100,7 +100,7 @@ def counts(texts: DataFrame, seed: int) -> DataFrame:
             return pa.RecordBatch.from_arrays([pa.array(g.astype(np.int64)), pa.array(pair.astype(bool)), *(pa.array(c.astype(np.uint64).view(np.int64)) for c in (h, other)), pa.array(n)], ["g", "pair", "h", "other", "n"])
 
         size = 0
-        for part in slices(batches, "text"):
+        for part in slices(batches, "text", SLICE):
             p = Pieces(part.column(1), part.column(0).to_numpy(), seed)
             if not len(p.words):
                 continue
@@ -154,7 +154,7 @@ def windows(texts: DataFrame, seed: int, file: str, bits: int) -> DataFrame:
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         frequent, known = bits_of(SparkFiles.get(file)), set()
-        for part in slices(batches, "text"):
+        for part in slices(batches, "text", SLICE):
             p = Pieces(part.column(1), part.column(0).to_numpy(), seed)
             pairs = p.pairs()
             at = (pairs >> _U(64 - bits)).astype(np.int64)

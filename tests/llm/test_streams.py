@@ -161,12 +161,13 @@ def test_manifest_of_nothing_and_of_one(spark):
 def plain_collocations(rows, least, top):
     f, n = defaultdict(Counter), Counter()
     for _, text, lang in rows:
+        own = "und" if lang is None else lang
         lower = "".join(chr(ord(c) + 32) if "A" <= c <= "Z" else c for c in text or "")
         for piece in re.split(r"[.,;:!?\x0A-\x0D]", lower):
             w = [x for x in re.split(r"[\x20\x09]+", piece) if x]
-            n[lang or "und"] += len(w)
+            n[own] += len(w)
             for k in range(1, 5):
-                f[lang or "und"].update(tuple(w[i : i + k]) for i in range(len(w) - k + 1))
+                f[own].update(tuple(w[i : i + k]) for i in range(len(w) - k + 1))
     out = []
     for lang, count in f.items():
         own = {g: a for g, a in count.items() if len(g) > 1 and a >= least}
