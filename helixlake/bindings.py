@@ -359,8 +359,7 @@ SELECT query, ref, (rpos - qpos)::BIGINT AS diagonal, count(*) AS shared, min(qp
 def i3_kmer_candidates(spark, d):
     q = table(spark, d, "benchmark").select(F.col("item_id").alias("query"), F.col("text").alias("sequence"))
     r = table(spark, d, "documents").select(F.col("doc_id").alias("ref"), F.col("text").alias("sequence"))
-    out = search.candidates(q, r, k=24, max_refs=None)
-    return out.withColumn("qstart", F.col("qstart").cast("long")).withColumn("qlast", F.col("qlast").cast("long"))
+    return search.candidates(q, r, k=24)
 
 
 @query("SELECT page_id, regexp_full_match(u, '[a-zA-Z0-9][a-zA-Z0-9_-]{0,63}') AS valid FROM (SELECT page_id, split_part(url, '/', -1) AS u FROM pages)")

@@ -5,13 +5,15 @@ The tables stand in as in ``bindings``: documents for aligned chains, orders wit
 
 from __future__ import annotations
 
+import uuid
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from . import jobs
-from .bindings import A, H, SCORES, alignments, hits, query, scored, table
+from .bindings import A, H, SCORES, SQL, alignments, hits, query, scored, table
 from .bindings_entities import ORDER, L, lines
-from .operators import accessions, assembly, delta, entities, exports, gaps, quality, residues, scoring, search, structure
+from .operators import accessions, anchors, assembly, chaining, delta, entities, exports, gaps, quality, residues, scoring, search, structure, tables
 from .sources import structures
 
 CODES = list(entities.STANDARD)
@@ -25,6 +27,7 @@ def _joined(rows: str, field: str, by: str = "") -> Column:
 
 # -- structure files: one for each order, its lines for residues -----------------------------------------------
 
+SCHEME = "pdbx_poly_seq_scheme"
 SCHEME_ITEMS = ["asym_id", "entity_id", "seq_id", "mon_id", "pdb_strand_id", "pdb_seq_num", "auth_seq_num", "pdb_ins_code", "hetero"]
 
 
@@ -62,8 +65,9 @@ FILES = f"""{L}, o AS (SELECT o_orderkey AS entry, any_value(o_custkey) AS cust,
 f AS (SELECT l.*, {_LIST}[part % 20 + 1] AS comp, {_LETTERS}[part % 20 + 1] AS letter, cust, status, row_number() OVER (PARTITION BY entry ORDER BY line, part, supplier, q, price) AS n FROM l JOIN o USING (entry) WHERE entry % 50 <> 0)"""
 
 
-def category_rows(spark, d) -> DataFrame:
-    return structures.categories(files(spark, d))
+def category_rows(spark, d, *wanted: str) -> DataFrame:
+    """Rows of the categories: of one straight from the files, of several from a scratch table that the files are read for once."""
+    return structures.categories(files(spark, d), wanted) if len(wanted) == 1 else structures.parsed(files(spark, d), wanted or None)
 
 
 def letters(spark) -> DataFrame:
@@ -72,44 +76,44 @@ def letters(spark) -> DataFrame:
 
 @query(f"WITH {FILES} SELECT entry::VARCHAR AS entry, n AS row_no, line AS seq_id, comp, CASE WHEN flag = 'A' THEN 'B B' ELSE 'A' END AS chain, CASE WHEN q % 6 = 0 THEN NULL ELSE (line + 100)::VARCHAR END AS auth_seq_num FROM f")
 def a11_structure_rows(spark, d):
-    return structures.scheme_rows(category_rows(spark, d)).select("entry", "row_no", "seq_id", "comp", "chain", "auth_seq_num")
+    return structures.scheme_rows(category_rows(spark, d, SCHEME)).select("entry", "row_no", "seq_id", "comp", "chain", "auth_seq_num")
 
 
 @query(f"WITH {L} SELECT DISTINCT entry::VARCHAR AS entry, 'a loop of pdbx_poly_seq_scheme ends within a row' AS error FROM l JOIN orders ON o_orderkey = entry WHERE entry % 50 = 0")
 def m7_failed_files(spark, d):
-    return structures.failed(category_rows(spark, d))
+    return structures.failed(category_rows(spark, d, SCHEME))
 
 
 @query(f"""WITH {FILES}, p AS (SELECT entry, line, arg_min(letter, n) AS c, any_value(cust) AS cust FROM f WHERE status <> 'P' GROUP BY entry, line)
 SELECT entry::VARCHAR AS entry, '1' AS entity, string_agg(c, '' ORDER BY line) AS sequence, CASE WHEN any_value(cust) % 3 = 0 THEN 9606 WHEN any_value(cust) % 4 <> 0 THEN any_value(cust) END::BIGINT AS tax_id FROM p GROUP BY entry""")
 def i38_structure_entities(spark, d):
-    rows = category_rows(spark, d)
+    rows = category_rows(spark, d, SCHEME, "entity_poly", *structures.SOURCES)
     out = assembly.structure_entities(structures.scheme_rows(rows), structures.entity_rows(rows), structures.source_taxa(rows), letters(spark))
     return out.withColumn("tax_id", F.col("tax_id").cast("long"))
 
 
 @query(f"WITH {FILES} SELECT DISTINCT entry::VARCHAR AS entry, '1' AS entity, 'P' || cust AS accession FROM f WHERE cust % 2 = 0")
 def d9_structure_accessions(spark, d):
-    return structures.references(category_rows(spark, d)).select("entry", "entity", "accession")
+    return structures.references(category_rows(spark, d, "struct_ref")).select("entry", "entity", "accession")
 
 
 @query(f"WITH {FILES} SELECT entry::VARCHAR AS entry, 'A' AS chain, 'P' || any_value(cust) AS accession, 5 AS unp_start, count(*) + 5 AS unp_end FROM f GROUP BY entry")
 def d10_structure_ranges(spark, d):
-    return structures.reference_ranges(category_rows(spark, d)).drop("row_no")
+    return structures.reference_ranges(category_rows(spark, d, "struct_ref_seq")).drop("row_no")
 
 
 @query(f"""WITH {FILES}, t AS (SELECT DISTINCT entry, line FROM f WHERE flag = 'R')
 SELECT f.entry::VARCHAR AS entry, CASE WHEN flag = 'A' THEN 'B B' ELSE 'A' END AS chain, f.line AS seq_id, comp, letter, q % 6 <> 0 AS observed, CASE WHEN flag <> 'A' AND t.line IS NOT NULL THEN 'Engineered mutation' END AS rtype,
   CASE WHEN flag <> 'A' AND t.line IS NOT NULL THEN 'G' END AS original, row_number() OVER (PARTITION BY f.entry, f.line ORDER BY n) AS mh_id FROM f LEFT JOIN t ON t.entry = f.entry AND t.line = f.line""")
 def i40_residue_table(spark, d):
-    rows = category_rows(spark, d)
+    rows = category_rows(spark, d, SCHEME, "struct_ref_seq_dif")
     out = assembly.residue_table(structures.scheme_rows(rows), structures.annotations(rows), letters(spark))
     return out.select("entry", "chain", "seq_id", "comp", "letter", "observed", "rtype", "original", F.col("mh_id").cast("long").alias("mh_id"))
 
 
 @query(f"""WITH {FILES} SELECT entry::VARCHAR AS entry, CASE WHEN flag = 'A' THEN 'B B' ELSE 'A' END AS chain, '1' AS entity, 'X' AS asym FROM f WHERE status <> 'P' GROUP BY ALL""")
 def i39_chain_inventory(spark, d):
-    rows = category_rows(spark, d)
+    rows = category_rows(spark, d, SCHEME, "entity_poly")
     return assembly.polypeptide_chains(structures.scheme_rows(rows), structures.entity_rows(rows))
 
 
@@ -118,7 +122,7 @@ p AS (SELECT entry, line, arg_min(letter, n) AS c FROM r JOIN c USING (entry, ch
 SELECT entry::VARCHAR AS entry, '1' AS entity, CASE WHEN any_value(status) = 'P' THEN 'polydeoxyribonucleotide' ELSE 'polypeptide(L)' END AS type, string_agg(DISTINCT chain, ',' ORDER BY chain) AS chains, count(*) FILTER (q % 6 <> 0) AS observed,
   count(*) AS residues, any_value(sequence) AS sequence, any_value(cust) % 5 = 0 AS enzyme, CASE WHEN any_value(cust) % 2 = 0 THEN 'P' || any_value(cust) ELSE '' END AS accessions FROM r JOIN s USING (entry) GROUP BY entry""")
 def i33_entity_table(spark, d):
-    rows = category_rows(spark, d)
+    rows = category_rows(spark, d, SCHEME, "struct_ref_seq_dif", "entity_poly", "struct_ref")
     table_ = assembly.residue_table(structures.scheme_rows(rows), structures.annotations(rows), letters(spark))
     numbers = table(spark, d, "orders").select(F.col("o_orderkey").cast("string").alias("entry"), F.lit("1").alias("entity"), F.when(F.col("o_custkey") % 5 == 0, "1.1.1.1, ?").otherwise("?").alias("ec"))
     return assembly.entity_table(table_, structures.entity_rows(rows), numbers, structures.references(rows))
@@ -488,17 +492,61 @@ def _texts(spark, d) -> tuple[DataFrame, DataFrame]:
     return q, table(spark, d, "documents").select(F.col("doc_id").alias("ref"), F.col("text").alias("sequence"))
 
 
-@query("""WITH q AS (SELECT item_id AS query, i AS qpos, substring(text, i, 24) AS k FROM (SELECT item_id, text, unnest(range(1, length(text) - 22)) AS i FROM benchmark WHERE length(text) >= 24)),
-r AS (SELECT doc_id AS ref, i AS rpos, substring(text, i, 24) AS k FROM (SELECT doc_id, text, unnest(range(1, length(text) - 22)) AS i FROM documents WHERE length(text) >= 24)),
+def _diagonals(k: int, documents: str = "documents") -> str:
+    return f"""WITH q AS (SELECT item_id AS query, i AS qpos, substring(text, i, {k}) AS k FROM (SELECT item_id, text, unnest(range(1, length(text) - {k - 2})) AS i FROM benchmark WHERE length(text) >= {k})),
+r AS (SELECT doc_id AS ref, i AS rpos, substring(text, i, {k}) AS k FROM (SELECT doc_id, text, unnest(range(1, length(text) - {k - 2})) AS i FROM {documents} WHERE length(text) >= {k})),
 c AS (SELECT query, ref, (rpos - qpos)::BIGINT AS d FROM q JOIN r USING (k) GROUP BY ALL HAVING count(*) >= 2),
-b AS (SELECT c.*, x.text AS q, y.text AS t, greatest(0, -d) AS a, least(length(x.text) - greatest(0, -d), length(y.text) - greatest(0, -d) - d) AS n FROM c JOIN benchmark x ON item_id = query JOIN documents y ON doc_id = ref),
+b AS (SELECT c.*, x.text AS q, y.text AS t, greatest(0, -d) AS a, least(length(x.text) - greatest(0, -d), length(y.text) - greatest(0, -d) - d) AS n FROM c JOIN benchmark x ON item_id = query JOIN {documents} y ON doc_id = ref),
 p AS (SELECT query, ref, d, a, length(q) AS ql, i, CASE WHEN substring(q, (a + i)::BIGINT, 1) = substring(t, (a + d + i)::BIGINT, 1) THEN 1 ELSE -3 END AS s FROM (SELECT *, unnest(range(1, n + 1)) AS i FROM b WHERE n > 0)),
 v AS (SELECT *, sum(s) OVER (PARTITION BY query, ref, d ORDER BY i) AS e FROM p), z AS (SELECT query, ref, d, a, ql, i, e FROM v UNION ALL SELECT DISTINCT query, ref, d, a, ql, 0, 0 FROM p),
 m AS (SELECT *, min(e) OVER (PARTITION BY query, ref, d ORDER BY i ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING) AS low FROM z),
 g AS (SELECT query, ref, d, max(e - low) AS score FROM m GROUP BY ALL), h AS (SELECT m.query, m.ref, m.d, min(m.i) AS fin, any_value(score) AS score FROM m JOIN g ON m.query = g.query AND m.ref = g.ref AND m.d = g.d AND m.e - m.low = g.score GROUP BY ALL),
 w AS (SELECT h.*, m.low, m.a, m.ql FROM h JOIN m ON m.query = h.query AND m.ref = h.ref AND m.d = h.d AND m.i = h.fin), f AS (SELECT w.query, w.ref, w.d, fin, score, w.a, w.ql, min(z.i) AS beg FROM w JOIN z ON z.query = w.query AND z.ref = w.ref AND z.d = w.d AND z.e = w.low AND z.i < w.fin GROUP BY ALL)
-SELECT query, ref, d AS diagonal, (a + beg + 1)::BIGINT AS qstart, (a + fin)::BIGINT AS qend, (a + d + beg + 1)::BIGINT AS tstart, (a + d + fin)::BIGINT AS tend, (fin - beg - score)::BIGINT // 4 AS mismatch, score::BIGINT AS score, (fin - beg)::DOUBLE / ql AS coverage FROM f""")
+SELECT query, ref, d AS diagonal, (a + beg + 1)::BIGINT AS qstart, (a + fin)::BIGINT AS qend, (a + d + beg + 1)::BIGINT AS tstart, (a + d + fin)::BIGINT AS tend, (fin - beg - score)::BIGINT // 4 AS mismatch, score::BIGINT AS score, (fin - beg)::DOUBLE / ql AS coverage FROM f"""
+
+
+@query(_diagonals(24))
 def i4_diagonal_alignments(spark, d):
     q, r = _texts(spark, d)
     out = search.diagonal_align(search.candidates(q, r, k=24), q, r)
     return out.select("query", "ref", "diagonal", "qstart", "qend", "tstart", "tend", "mismatch", "score", "coverage")
+
+
+@query(SQL["i3_kmer_candidates"])
+def i3_store_candidates(spark, d):
+    """The candidates of i3, from a store of the references that the search reads in place."""
+    q, r = _texts(spark, d)
+    name = f"references_{uuid.uuid4().hex}"
+    taxa = table(spark, d, "documents").select(F.col("doc_id").alias("accession"), F.lit(9606).alias("tax_id"))
+    anchors.write_reference_set(r, taxa, name, tables.scratch(spark, name), k=24, buckets=16)
+    return anchors.search_store(q, name)
+
+
+CHAINS = f"""WITH RECURSIVE docs AS (SELECT doc_id, replace(text, 'b', '') AS text FROM documents), hit AS (SELECT query, ref, qstart, qend, tstart, tend, score, row_number() OVER (PARTITION BY query, ref ORDER BY qstart, tstart, qend, tend, score) AS r FROM ({_diagonals(12, "docs")})),
+chain AS (SELECT query, ref, qend, tend, score AS total, [r] AS path FROM hit UNION ALL SELECT c.query, c.ref, n.qend, n.tend, total + n.score, list_append(path, n.r) FROM chain c JOIN hit n ON n.query = c.query AND n.ref = c.ref AND n.qstart > c.qend AND n.tstart > c.tend),
+best AS (SELECT query, ref, total, path FROM chain QUALIFY row_number() OVER (PARTITION BY query, ref ORDER BY total DESC, path) = 1),
+part AS (SELECT hit.*, total, lag(qend) OVER k AS qb, lag(tend) OVER k AS tb FROM hit JOIN best ON best.query = hit.query AND best.ref = hit.ref AND list_contains(path, r) WINDOW k AS (PARTITION BY hit.query, hit.ref ORDER BY hit.qstart))"""
+
+
+def gapped(spark, d) -> DataFrame:
+    """Passages against documents that lack a letter, so that their alignments have gaps."""
+    q, r = _texts(spark, d)
+    r = r.withColumn("sequence", F.replace("sequence", F.lit("b"), F.lit("")))
+    return chaining.gapped_alignments(search.diagonal_align(search.candidates(q, r, k=12), q, r), q, r)
+
+
+@query(f"""{CHAINS}, s AS (SELECT query, ref, min(qstart) AS qstart, max(qend) AS qend, min(tstart) AS tstart, max(tend) AS tend, count(*) AS segments, any_value(total)::BIGINT AS score,
+  string_agg(CASE WHEN qb IS NULL THEN '' ELSE substring(x.text, qb + 1, qstart - qb - 1) || repeat('-', tstart - tb - 1) END || substring(x.text, qstart, qend - qstart + 1), '' ORDER BY qstart) AS qaln,
+  string_agg(CASE WHEN tb IS NULL THEN '' ELSE repeat('-', qstart - qb - 1) || substring(y.text, tb + 1, tstart - tb - 1) END || substring(y.text, tstart, tend - tstart + 1), '' ORDER BY qstart) AS taln,
+  coalesce(sum((qstart > qb + 1)::INT + (tstart > tb + 1)::INT), 0)::BIGINT AS gapopen FROM part JOIN benchmark x ON item_id = query JOIN docs y ON doc_id = ref GROUP BY query, ref)
+SELECT query, ref, qstart, qend, tstart, tend, segments, score, length(qaln) AS alnlen, gapopen, qaln, taln FROM s""")
+def i4_gapped_alignments(spark, d):
+    return gapped(spark, d).select("query", "ref", "qstart", "qend", "tstart", "tend", "segments", "score", "alnlen", "gapopen", "qaln", "taln")
+
+
+@query(f"{CHAINS} SELECT query || ' ' || ref AS aln, unnest(range(qstart, qend + 1)) AS pdb_pos, unnest(range(tstart, tend + 1)) AS unp_pos FROM part")
+def i4_gapped_residue_map(spark, d):
+    """From candidates to positions: chained diagonals as one gapped pair, read column by column."""
+    pair = gapped(spark, d).select(F.concat_ws(" ", "query", "ref").alias("aln"), F.col("qaln").alias("pdb_aln"), F.col("taln").alias("unp_aln"), F.col("qstart").alias("pdb_start"), F.col("tstart").alias("unp_start"))
+    # a letter of either text may be a '-' of its own, which is no gap
+    return residues.residue_map(pair)

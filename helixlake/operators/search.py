@@ -1,4 +1,4 @@
-"""Sequence search: k-mer candidates on diagonals, and ungapped alignments along them."""
+"""Sequence search: k-mer candidates on diagonals, and ungapped alignments along them. ``chaining`` makes gapped ones of these."""
 
 from __future__ import annotations
 
@@ -9,7 +9,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .gaps import disjoint_chunks
+from . import anchors
 
 CHUNK = 256
 HOT = 10_000  # places of a k-mer in the references, above which it is dealt into parts
@@ -26,15 +26,16 @@ def kmers(sequences: DataFrame, key: str, sequence: str, k: int) -> DataFrame:
 
 
 def candidates(queries: DataFrame, refs: DataFrame, k: int = 12, min_shared: int = 2, max_refs: int | None = None) -> DataFrame:
-    """(query, ref, diagonal, shared): k-mers that a query and a reference share on one diagonal.
+    """(query, ref, diagonal, shared, qstart, qlast): k-mers that a query and a reference share on one diagonal, the first and the last.
 
-    All k-mers count; those of many references are dealt over tasks. A caller who gives ``max_refs`` has
-    k-mers that more references hold left out.
+    All k-mers count, found through their anchors (see :mod:`anchors`). A caller who gives ``max_refs`` has k-mers
+    that more references hold left out; then each k-mer travels by itself.
     """
+    if max_refs is None:
+        return anchors.candidates(queries, refs, k, min_shared)
     q, r = kmers(queries, "query", "sequence", k), kmers(refs, "ref", "sequence", k)
-    if max_refs is not None:
-        common = r.groupBy("kmer").agg(F.countDistinct("ref").alias("n")).where(F.col("n") > max_refs)
-        q = q.join(common, "kmer", "left_anti")
+    common = r.groupBy("kmer").agg(F.countDistinct("ref").alias("n")).where(F.col("n") > max_refs)
+    q = q.join(common, "kmer", "left_anti")
     hot = r.groupBy("kmer").agg(F.ceil(F.count(F.lit(1)) / HOT).alias("parts")).where("parts > 1").join(q.select("kmer"), "kmer", "left_semi")
     parts = F.coalesce("parts", F.lit(1).cast("long"))
     q = q.join(hot, "kmer", "left").withColumn("part", F.explode(F.sequence(F.lit(0).cast("long"), parts - 1))).drop("parts")
@@ -87,19 +88,3 @@ def diagonal_align(candidates: DataFrame, queries: DataFrame, refs: DataFrame) -
                 yield pa.RecordBatch.from_arrays([batch.column(0).take(pa.array(keep)), batch.column(1).take(pa.array(keep)), *cols], [c.split()[0] for c in HIT.split(", ")])
 
     return both.select("query", "ref", "diagonal", "q", "t").mapInArrow(run, HIT.format(**kinds))
-
-
-def chained(hits: DataFrame) -> DataFrame:
-    """Of the diagonals of a pair those that meet on neither sequence, best first: together they stand for an alignment with gaps."""
-    return disjoint_chunks(hits.select("query", "ref", "score", F.col("qstart").alias("p0"), F.col("qend").alias("p1"), F.col("tstart").alias("u0"), F.col("tend").alias("u1")), ["query", "ref"])
-
-
-def write_reference_set(refs: DataFrame, taxa: DataFrame, path: str, k: int = 12, buckets: int = 64) -> None:
-    """The store that searches read: sequences (ref, sequence, tax_id) with the taxa (accession, tax_id) they have, and their k-mers.
-
-    k-mers lie in files by a bucket of their hash, so a search reads the buckets of its own k-mers.
-    """
-    own = taxa.groupBy(F.col("accession").alias("ref")).agg(F.max("tax_id").alias("tax_id"))
-    refs.select("ref", "sequence").join(own, "ref", "left").write.mode("overwrite").parquet(f"{path}/sequences")
-    rows = kmers(refs, "ref", "sequence", k).withColumn("bucket", F.pmod(F.xxhash64("kmer"), F.lit(buckets)))
-    rows.repartition(buckets, "bucket", F.pmod(F.xxhash64("ref"), F.lit(4))).write.mode("overwrite").partitionBy("bucket").parquet(f"{path}/kmers")

@@ -60,9 +60,13 @@ def parsed(spark, tmp_path_factory):
     (where / "8bad.cif").write_text("data_8BAD\nloop_\n_a.b\n_a.c\n1 2 3\n")
     (where / "list.txt").write_text(f"{where}/9XYZ.cif\n\n  {where}/8bad.cif \n{where}/none.cif\n")
     paths = structures.listed_paths(spark, str(where / "list.txt"))
-    there, lacking = structures.present(spark, paths)
-    assert len(there) == 2 and lacking == [f"{where}/none.cif"]
-    return structures.categories(structures.read_structures(spark, *there))
+    there, lacking = structures.present(paths)
+    assert there.count() == 2 and rows(lacking) == [(f"{where}/none.cif",)]
+    files, missing = structures.read_listed(paths)
+    assert files.count() == 2 and rows(missing) == rows(lacking)
+    nowhere = structures.present(spark.createDataFrame([(f"{where}/no/folder/x.cif",)], "path string"))
+    assert nowhere[0].count() == 0 and nowhere[1].count() == 1
+    return structures.categories(files)
 
 
 def test_structure_files(spark, parsed):
@@ -83,6 +87,30 @@ def test_entities_of_a_file(spark, parsed):
     assert [(r.seq_id, r.mh_id, r.letter, r.rtype, r.original, r.observed) for r in table] == [(1, 1, "A", "Expression tag", None, True), (2, 1, "X", None, None, True), (2, 2, "S", None, None, True), (3, 1, "C", None, None, False), (4, 1, "D", "Engineered mutation", "E", True)]
 
 
+def test_files_are_read_once_for_all_categories(spark, parsed, tmp_path):
+    """The scratch table holds what the files hold, category by category, and a category opens its own folder alone."""
+    seen = tmp_path / "seen"
+    seen.mkdir()
+
+    def marked(batches):
+        for batch in batches:
+            for entry in batch.column(0).to_pylist():
+                (seen / f"{entry}-{len(list(seen.iterdir()))}").touch()
+            yield batch
+
+    text = "data_1\nloop_\n_a.x\n_a.y\n1 ?\n. 'two words'\n_b.x\n;one\n two\n;\n_c.d \"q\" # comment\n#all\nloop_\n_e.f\n_e.g 1\n2 3 4\n"
+    files = spark.createDataFrame([("one", text), ("bad", "data_\n1")], "entry string, text string").mapInArrow(marked, "entry string, text string")
+    once = structures.parsed(files)
+    assert len(list(seen.iterdir())) == 2
+    assert rows(structures.category(once, "a", ["x", "y"]), "row_no") == [("one", 1, "1", None), ("one", 2, ".", "two words")]
+    assert rows(structures.category(once, "b", ["x"])) == [("one", 1, "one\n two")] and rows(structures.category(once, "c", ["d"])) == [("one", 1, "q")]
+    assert rows(structures.category(once, "e", ["f", "g"]), "row_no") == [("one", 1, "1", "2"), ("one", 2, "3", "4")]
+    assert rows(structures.failed(once)) == [("bad", "a value without a tag: '1'")]
+    assert len(list(seen.iterdir())) == 2
+    plan = once.where("category = 'a'")._jdf.queryExecution().executedPlan().toString()
+    assert "PartitionFilters: [isnotnull(category" in plan
+
+
 def test_component_dictionary(spark):
     text = "data_ALA\n_chem_comp.id ALA\n_chem_comp.one_letter_code A\nloop_\n_chem_comp_atom.comp_id\n_chem_comp_atom.atom_id\n_chem_comp_atom.type_symbol\n_chem_comp_atom.pdbx_n_terminal_atom_flag\n_chem_comp_atom.pdbx_c_terminal_atom_flag\n_chem_comp_atom.pdbx_ordinal\nALA N N Y N 1\nALA CA C N N 2\nALA C C N Y 3\n"
     files = spark.createDataFrame([("ala", text), ("zzz", "data_ZZZ\n_chem_comp.id ZZZ\n_chem_comp.one_letter_code ?\n"), ("none", None)], "entry string, text string")
@@ -323,9 +351,6 @@ def test_diagonal_alignment(spark, tmp_path):
     a, b = got["a"], got["b"]
     assert (a.qstart, a.qend, a.tstart, a.tend, a.mismatch, a.identity, a.qaln, a.taln) == (3, 12, 4, 13, 0, 1.0, "MKTAYIAKQR", "MKTAYIAKQR")
     assert (b.qlen, b.alnlen, b.coverage) == (10, 9, 0.9)  # filled up with X to ten letters, of which four meet
-    search.write_reference_set(r, spark.createDataFrame([("t", 7)], "accession string, tax_id int"), str(tmp_path / "set"), k=4)
-    assert rows(spark.read.parquet(str(tmp_path / "set/sequences")).select("ref", "tax_id"), "ref") == [("s", None), ("t", 7)]
-    assert spark.read.parquet(str(tmp_path / "set/kmers")).where("kmer = 'MKTA'").count() == 2
 
 
 def test_schemes(spark):
