@@ -201,7 +201,7 @@ SQL["e3_sequence_assembly"] = """WITH t AS (SELECT doc_id, regexp_replace(lower(
 SELECT doc_id, string_agg(CASE WHEN i % 11 = 0 THEN 'J' WHEN i % 13 = 0 THEN 'X' ELSE t[i + 1] END, '' ORDER BY i) AS sequence FROM p GROUP BY doc_id"""
 
 
-@query("""WITH c AS (SELECT l_orderkey AS chain, l_linenumber AS pos, l_returnflag AS detail FROM lineitem), f AS (
+@query("""WITH c AS (SELECT DISTINCT l_orderkey AS chain, l_linenumber AS pos, l_returnflag AS detail FROM lineitem), f AS (
   SELECT *, CASE WHEN detail IS NOT DISTINCT FROM lag(detail) OVER k AND pos = lag(pos) OVER k + 1 THEN 0 ELSE 1 END AS n FROM c WINDOW k AS (PARTITION BY chain ORDER BY pos, detail)),
 r AS (SELECT *, sum(n) OVER (PARTITION BY chain ORDER BY pos, detail ROWS UNBOUNDED PRECEDING) AS g FROM f)
 SELECT chain, min(detail) AS detail, min(pos)::BIGINT AS "start", max(pos)::BIGINT AS "end" FROM r GROUP BY chain, g""")
@@ -210,7 +210,7 @@ def i22_difference_runs(spark, d):
     return residues.difference_runs(c, ["chain"])
 
 
-@query("SELECT doc_id, left(text, 4) || 'AB' || substring(text, 8, 12) || 'C' || substring(text, 23) AS sequence FROM documents")
+@query("SELECT doc_id, left(t, 4) || 'AB' || substring(t, 8) AS sequence FROM (SELECT doc_id, left(text, 19) || 'C' || substring(text, 23) AS t FROM documents)")
 def i19_splice_variants(spark, d):
     variants = F.array(*[F.struct(F.lit(b).alias("begin"), F.lit(e).alias("end"), F.lit(v).alias("variation")) for b, e, v in ((5, 7, "AB"), (20, 22, "C"))])
     return table(spark, d, "documents").select("doc_id", residues.splice(F.col("text"), variants).alias("sequence"))

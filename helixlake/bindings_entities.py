@@ -166,17 +166,26 @@ def i30_merged_chunks(spark, d):
     return gaps.merged_chunks(rows.select("entry", F.col("mh_id").alias("chunk_no"), (F.col("q") % 20 + 1).alias("start"), F.repeat("flag", F.lit(4)).alias("letters"), F.lit(24).alias("length")), ["entry"])
 
 
-@query()
+@query(f"""WITH RECURSIVE {L}, c AS (SELECT entry, price AS score, q AS p0, q + 5 AS p1, part % 50 AS u0, part % 50 + 5 AS u1 FROM l),
+n AS (SELECT *, row_number() OVER (PARTITION BY entry ORDER BY score DESC, p0, p1, u0, u1) AS n FROM c),
+r(entry, n, kept) AS (SELECT entry, 1, [struct_pack(score, p0, p1, u0, u1)] FROM n WHERE n = 1 UNION ALL
+  SELECT n.entry, n.n, CASE WHEN len(list_filter(kept, lambda k: NOT ((k.p1 < n.p0 OR n.p1 < k.p0) AND (k.u1 < n.u0 OR n.u1 < k.u0)))) = 0 THEN list_append(kept, struct_pack(n.score, n.p0, n.p1, n.u0, n.u1)) ELSE kept END
+  FROM r JOIN n ON n.entry = r.entry AND n.n = r.n + 1),
+z AS (SELECT entry, unnest(arg_max(kept, n)) AS k FROM r GROUP BY entry) SELECT entry, k.score, k.p0, k.p1, k.u0, k.u1 FROM z""")
 def i26_disjoint_chunks(spark, d):
-    """Pieces of each order, best price first, that meet on neither axis (a greedy choice, held against brute force in tests)."""
+    """Pieces of each order, best price first, that meet on neither axis (a greedy choice)."""
     p, u = F.col("q"), F.col("part") % 50
     rows = lines(spark, d).select("entry", F.col("price").alias("score"), p.alias("p0"), (p + 5).alias("p1"), u.alias("u0"), (u + 5).alias("u1"))
     return gaps.disjoint_chunks(rows, ["entry"])
 
 
-@query()
+@query(f"""WITH RECURSIVE {L}, c AS (SELECT entry, q % 10 AS pdb_pos, 'P' || part % 3 AS accession, q % 10 + part % 3 AS unp_pos, bool_or(flag = 'R') AS agrees FROM l GROUP BY ALL),
+o AS (SELECT entry, pdb_pos, coalesce(list((accession, unp_pos) ORDER BY accession, unp_pos) FILTER (agrees), list((accession, unp_pos) ORDER BY accession, unp_pos)) AS o, row_number() OVER (PARTITION BY entry ORDER BY pdb_pos) AS n FROM c GROUP BY entry, pdb_pos),
+r(entry, n, pdb_pos, x) AS (SELECT entry, n, pdb_pos, o[1] FROM o WHERE n = 1 UNION ALL
+  SELECT o.entry, o.n, o.pdb_pos, coalesce(list_filter(o.o, lambda y: y[1] = x[1] AND y[2] = x[2] + 1)[1], o.o[1]) FROM r JOIN o ON o.entry = r.entry AND o.n = r.n + 1)
+SELECT entry, pdb_pos, x[1] AS accession, x[2] AS unp_pos FROM r""")
 def i8_resolved_chimera(spark, d):
-    """Positions that accessions of an order share, given to one each (a choice in sequence, held against a planted case in tests)."""
+    """Positions that accessions of an order share, given to one each (a choice in sequence)."""
     rows = lines(spark, d).select("entry", (F.col("q") % 10).alias("pdb_pos"), F.concat(F.lit("P"), F.col("part") % 3).alias("accession"), (F.col("q") % 10 + F.col("part") % 3).alias("unp_pos"), (F.col("flag") == "R").alias("agrees"))
     return gaps.resolved_chimera(rows.groupBy("entry", "pdb_pos", "accession", "unp_pos").agg(F.bool_or("agrees").alias("agrees")), ["entry"])
 

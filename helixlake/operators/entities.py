@@ -5,6 +5,8 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from .walks import covering
+
 # The twenty standard residues.
 STANDARD = {
     "ALA": "A", "ARG": "R", "ASN": "N", "ASP": "D", "CYS": "C", "GLN": "Q", "GLU": "E", "GLY": "G", "HIS": "H", "ILE": "I",
@@ -102,8 +104,8 @@ def user_mapping(rows: DataFrame, given: str) -> DataFrame:
 
 
 def features_at(features: DataFrame, positions: DataFrame, keys: list[str]) -> DataFrame:
-    """Features with the positions they cover: ranges become rows, so the join is one of equal keys."""
-    return features.withColumn("pos", F.explode(F.sequence("begin", "end"))).join(positions, [*keys, "pos"])
+    """Features with the positions they cover, each a row: all columns of both."""
+    return covering(positions, features, keys, "pos", "begin", "end")
 
 
 def variant(sequence: Column, begin: Column, end: Column, variation: Column) -> Column:

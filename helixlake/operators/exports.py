@@ -6,6 +6,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from .residues import rounded
+from .walks import covering
 
 
 def number_segments(segments: DataFrame, keys: list[str], order: list[str]) -> DataFrame:
@@ -21,7 +22,7 @@ def number_segments(segments: DataFrame, keys: list[str], order: list[str]) -> D
 
 
 def expand(segments: DataFrame, keys: list[str], carry: list[str]) -> DataFrame:
-    """A row for each position of each segment: a range join as rows with an equality on positions."""
+    """A row for each position of each segment. Where only the segments of given positions are asked for, see :func:`walks.covering`."""
     return segments.select(*keys, *carry, F.explode(F.sequence("start", "end")).alias("seq_id"))
 
 
@@ -40,8 +41,8 @@ def atom_xrefs(atoms: DataFrame, residues: DataFrame, keys: list[str]) -> DataFr
 
 def residue_xrefs(residues: DataFrame, numbered: DataFrame, observed: DataFrame, keys: list[str]) -> DataFrame:
     """Mapped residues with segment numbers (the last segment that holds them), observed flag and ordinal."""
-    spread = expand(numbered, [*keys, "accession"], ["segment_id", "instance_id"])
-    last = spread.groupBy(*keys, "accession", "seq_id").agg(F.max(F.struct("segment_id", "instance_id")).alias("s"))
+    held = covering(residues.select(*keys, "accession", "seq_id").distinct(), numbered.select(*keys, "accession", "start", "end", "segment_id", "instance_id"), [*keys, "accession"], "seq_id", "start", "end")
+    last = held.groupBy(*keys, "accession", "seq_id").agg(F.max(F.struct("segment_id", "instance_id")).alias("s"))
     joined = residues.join(last, [*keys, "accession", "seq_id"], "left").join(observed.select(*keys, "seq_id", "auth_seq_num"), [*keys, "seq_id"], "left")
     nth = F.row_number().over(Window.partitionBy(*keys, "seq_id").orderBy("accession"))
     return joined.select(*keys, "seq_id", "accession", "s.segment_id", "s.instance_id", F.when(F.col("auth_seq_num").isNull(), "n").otherwise("y").alias("observed"), nth.alias("ordinal"))

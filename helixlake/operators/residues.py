@@ -103,25 +103,31 @@ def preferred_positions(mapped: DataFrame, keys: list[str], rank: str = "rank")
 
 
 def aligned_islands(alignments: DataFrame, key: str = "aln") -> DataFrame:
-    """:func:`islands` of :func:`residue_map`, folded inside the row of each alignment: only whole runs leave it.
+    """:func:`islands` of :func:`residue_map`, found inside the row of each alignment: only whole runs leave it.
 
-    Columns become letters: M where both sides have one, D where the structure alone has, I where the reference
-    alone has. Runs end at D; what stands between two of them counts its letters.
+    A run ends where the structure's position, counted over columns with a letter on both sides, takes more than one step.
     """
     start = lambda c: F.coalesce(F.col(c), F.lit(1)).cast("long") if c in alignments.columns else F.lit(1).cast("long")
-    kind = F.zip_with(letters("unp_aln"), letters("pdb_aln"), lambda u, p: F.when(u.isNull() | p.isNull() | ((u == "-") & (p == "-")), "").when(u == "-", "D").when(p == "-", "I").otherwise("M"))
-    runs = F.split(F.array_join(kind, ""), "D")
-    count = lambda x, c: F.length(x) - F.length(F.replace(x, F.lit(c), F.lit("")))
+    cols = alignments.where("unp_aln IS NOT NULL AND pdb_aln IS NOT NULL").select(key, "unp_aln", "pdb_aln", start("unp_start").alias("u0"), start("pdb_start").alias("p0"))
 
-    def add(done: Column, run: Column) -> Column:
-        n, here = count(run, "M").cast("long"), F.ltrim(run, F.lit("I"))
-        first, last = done.u + F.length(run) - F.length(here), done.u + F.length(F.rtrim(run, F.lit("I")))
-        found = F.struct((done.p + 1).alias("pdb_start"), (done.p + n).alias("pdb_end"), (first + 1).cast("long").alias("unp_start"), last.cast("long").alias("unp_end"))
-        return F.struct((done.p + n + 1).alias("p"), (done.u + F.length(run)).cast("long").alias("u"), F.when(n > 0, F.array_append(done.runs, found)).otherwise(done.runs).alias("runs"))
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            found: list[list[np.ndarray]] = []
+            for k, (unp, pdb, u0, p0) in enumerate(zip(*(batch.column(c).to_pylist() for c in range(1, 5)), strict=True)):
+                n = min(len(unp), len(pdb))
+                u, p = _codes(unp)[:n] != 45, _codes(pdb)[:n] != 45
+                both = np.flatnonzero(u & p)
+                if not len(both):
+                    continue
+                at_u, at_p = (np.cumsum(u) + (u0 - 1))[both], (np.cumsum(p) + (p0 - 1))[both]
+                border = np.flatnonzero(at_p[1:] != at_p[:-1] + 1)
+                first, last = np.concatenate([[0], border + 1]), np.concatenate([border, [len(both) - 1]])
+                found.append([np.full(len(first), k), at_p[first], at_p[last], at_u[first], at_u[last]])
+            if found:
+                rows, *ranges = (np.concatenate(c) for c in zip(*found, strict=True))
+                yield pa.RecordBatch.from_arrays([batch.column(0).take(pa.array(rows)), *map(pa.array, ranges)], [key, "pdb_start", "pdb_end", "unp_start", "unp_end"])
 
-    none = F.array().cast("array<struct<pdb_start:bigint,pdb_end:bigint,unp_start:bigint,unp_end:bigint>>")
-    begin = F.struct((start("pdb_start") - 1).alias("p"), (start("unp_start") - 1).alias("u"), none.alias("runs"))
-    return alignments.select(key, F.inline(F.aggregate(runs, begin, add, lambda x: x.runs)))
+    return cols.mapInArrow(run, f"`{key}` {alignments.schema[key].dataType.simpleString()}, pdb_start long, pdb_end long, unp_start long, unp_end long")
 
 
 def excluded_types(residues: DataFrame, types: tuple[str, ...] = ("Insertion", "Linker", "Expression tag")) -> DataFrame:
@@ -220,7 +226,8 @@ def assembled(rows: DataFrame, keys: list[str], position: str = "pos", letter: s
 
 
 def difference_runs(changes: DataFrame, keys: list[str]) -> DataFrame:
-    """Runs of consecutive positions with one detail; rows without a position go."""
+    """Runs of consecutive positions with one detail; rows without a position go, and repeated ones count once."""
+    changes = changes.select(*keys, "pos", "detail").distinct()
     w = Window.partitionBy(*keys).orderBy("pos", "detail")
     same = (F.col("detail").eqNullSafe(F.lag("detail").over(w))) & (F.col("pos") == F.lag("pos").over(w) + 1)
     runs = changes.where("pos IS NOT NULL").withColumn("__new", F.when(F.coalesce(same, F.lit(False)), 0).otherwise(1))
@@ -229,7 +236,10 @@ def difference_runs(changes: DataFrame, keys: list[str]) -> DataFrame:
 
 
 def splice(sequence: Column, variants: Column) -> Column:
-    """Replace [begin, end] by variation, the last range first, so earlier places stay valid."""
+    """Replace [begin, end] by variation, the last range first, so earlier places stay valid.
+
+    A range that begins behind the end of the sequence puts its variation there; ranges before it are applied to that.
+    """
     latest = F.reverse(F.array_sort(variants))
     return F.aggregate(latest, sequence, lambda s, v: F.concat(F.substring(s, F.lit(1), v.begin - 1), v.variation, F.substring(s, v.end + 1, F.length(s))))
 
