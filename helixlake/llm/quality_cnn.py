@@ -26,6 +26,7 @@ BLOCK, DIM, FILTERS = 4, 8, 24  # a filter sees two blocks of four bytes
 #: Bound of the labelled sample that the network is fitted on, in whole documents; and the weight in chunks of a long one.
 MAX_TRAIN_DOCS, MOST_WEIGHT = 4000, 12
 THRESHOLD = 0.3
+DECIMALS = 9  # of a score
 
 
 def chunk_starts(offsets: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
@@ -69,9 +70,10 @@ class ByteNet:
 
     def logits(self, chunks: np.ndarray) -> np.ndarray:
         if not len(chunks):
-            return np.zeros(0, np.float32)
+            return np.zeros(0)
         pooled = np.maximum(self.filtered(chunks)[1].max(axis=1) + self.p["bias"], 0)
-        return np.clip(pooled @ self.p["out"] + self.p["c"], -12, 12)
+        # summed chunk by chunk: a product with a vector would round by how many chunks there are
+        return np.clip((pooled.astype(np.float64) * self.p["out"]).sum(axis=1) + self.p["c"], -12, 12)
 
     def step(self, chunks: np.ndarray, label: np.ndarray, weight: np.ndarray, rate: float) -> None:
         x, y = self.filtered(chunks)
@@ -161,7 +163,7 @@ def probabilities(texts: pa.Array, net: ByteNet, w: np.ndarray) -> np.ndarray:
     starts, count = chunk_starts(offsets)
     ends = np.repeat(offsets[1:], count)
     z = np.concatenate([net.logits(chunk_matrix(data, starts[a : a + 1024], ends[a : a + 1024])) for a in range(0, len(starts), 1024)])
-    return 1 / (1 + np.exp(-np.clip(pooled(z, count) @ w[:-1] + w[-1], -30, 30)))
+    return np.round(1 / (1 + np.exp(-np.clip((pooled(z, count) * w[:-1]).sum(axis=1) + w[-1], -30, 30))), DECIMALS)
 
 
 def loaded(model: dict) -> tuple[ByteNet, np.ndarray]:

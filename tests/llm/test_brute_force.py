@@ -68,6 +68,19 @@ def test_quality_rows(spark, odd):
     assert quality_cnn.scores(none, empty).count() == 0 and quality_cnn.keep_good(none, empty).count() == 0
 
 
+def test_quality_scores_do_not_depend_on_their_neighbours(spark):
+    r = random.Random(2)
+    texts = ["".join(chr(r.randrange(32, 400)) for _ in range(r.randrange(0, 2500))) for _ in range(300)]
+    model = quality_cnn.train(texts, np.array([k % 2 for k in range(300)]), epochs=1)
+    net, w = quality_cnn.loaded(model)
+    whole = quality_cnn.probabilities(pa.array(texts), net, w).tolist()
+    for n in (1, 7, 64):
+        assert [p for a in range(0, 300, n) for p in quality_cnn.probabilities(pa.array(texts[a : a + n]), net, w)] == whole
+    df = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
+    for n in (1, 7, 50):
+        assert [x["score"] for x in quality_cnn.scores(df.repartition(n), model).orderBy("doc_id").collect()] == whole
+
+
 def test_toxicity_against_loops():
     r = random.Random(3)
     words = ["alpha", "beta", "gamma", "delta", "nasty", "ok", "élan"]
