@@ -53,11 +53,12 @@ def mapped_entries(aligned: DataFrame, residue_table: DataFrame, chains: DataFra
 
 
 def exported(segments: DataFrame, residue_rows: DataFrame, atoms: DataFrame) -> tuple[DataFrame, DataFrame, DataFrame]:
-    """Tables to exports: numbered segments, residue cross-references and atom cross-references, the first two checked for nulls in their keys."""
-    numbered = exports.unp_segments(exports.best_segments(segments))
-    quality.require(numbered, ["entry", "entity_id", "asym_id", "unp_acc"])
-    xrefs = exports.xref_db(residue_rows, numbered)
-    quality.require(xrefs, ["entry", "entity_id", "asym_id", "seq_id"])
+    """Tables to exports: numbered segments, residue cross-references and atom cross-references.
+
+    The first two are written once to the shared folder, which checks their keys for nulls on the way, and read from there.
+    """
+    numbered = quality.written_checked(exports.unp_segments(exports.best_segments(segments)), "segments", ["entry", "entity_id", "asym_id", "unp_acc"])
+    xrefs = quality.written_checked(exports.xref_db(residue_rows, numbered), "xrefs", ["entry", "entity_id", "asym_id", "seq_id"])
     return numbered, xrefs, exports.atom_site_xref(atoms, xrefs)
 
 

@@ -2,9 +2,11 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Observation
 from pyspark.sql import functions as F
 
+from .tables import written
+
 # Forms of identifiers.
 ENTRY_ID = r"^[a-zA-Z0-9][a-zA-Z0-9_-]{0,63}\z"
 ACCESSION = r"^([OPQ][0-9][A-Z0-9]{3}[0-9]|[A-NR-Z][0-9]([A-Z][A-Z0-9]{2}[0-9]){1,2})(-[0-9]+)?\z"
@@ -31,6 +33,29 @@ def require(df: DataFrame, required: list[str]) -> DataFrame:
     return df
 
 
+def written_checked(df: DataFrame, name: str, required: list[str], rows: bool = False) -> DataFrame:
+    """df written to the shared folder and read back, its required columns counted for nulls by the write itself.
+
+    rows: it must have some, too. What fails the check is an error; its plan runs once in any case.
+    """
+    seen = Observation()
+    watched = df.observe(seen, F.count(F.lit(1)).alias("__rows"), *[F.count_if(F.col(c).isNull()).alias(c) for c in required])
+    out = written(watched, name)
+    raise_for(seen, name, required, rows)
+    return out
+
+
+def raise_for(seen: Observation, name: str, required: list[str], rows: bool = False) -> int:
+    """Wait for what a write observed, and fail it for nulls or, with ``rows``, for emptiness; returns the number of rows."""
+    counts = seen.get
+    bad = [c for c in required if counts[c]]
+    if bad:
+        raise ValueError(f"nulls in {', '.join(bad)}")
+    if rows and not counts["__rows"]:
+        raise ValueError(f"{name} is empty")
+    return counts["__rows"]
+
+
 def same_schema(df: DataFrame, names: list[str]) -> DataFrame:
     if df.columns != names:
         raise ValueError(f"columns {df.columns}, wanted {names}")

@@ -28,7 +28,7 @@ def scratch(spark: SparkSession, name: str) -> str:
 def written(df: DataFrame, name: str, *by: str) -> DataFrame:
     """df as a table in the shared folder, with a folder for each value of ``by``, read back: its lineage ends here."""
     path = scratch(df.sparkSession, name)
-    df.write.partitionBy(*by).option("compression", "zstd").parquet(path)
+    (df.write.partitionBy(*by) if by else df.write).option("compression", "zstd").parquet(path)
     return df.sparkSession.read.schema(df.schema).parquet(path).select(*df.columns)
 
 

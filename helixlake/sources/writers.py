@@ -2,45 +2,116 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+import uuid
+from collections.abc import Callable
+
+from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
 from ..operators import delta
 from ..operators.assembly import RESIDUE, RESIDUE_REQUIRED, SEGMENT, SEGMENT_REQUIRED
-from ..operators.quality import require, same_schema
-
-BUCKETS = 64
+from ..operators.quality import raise_for, same_schema
+from ..operators.tables import written
+from . import snapshots
 
 
 def write_fasta(entities: DataFrame, path: str) -> None:
     """'>pdb|entry-entity|OX=tax' and the sequence; nothing to write is an error."""
-    if entities.isEmpty():
-        raise ValueError("no entities to write")
     head = F.concat(F.lit(">pdb|"), "entry", F.lit("-"), F.col("entity").cast("string"), F.lit("|OX="), F.coalesce(F.col("tax_id").cast("string"), F.lit("")))
-    entities.select(F.concat_ws("\n", head, "sequence").alias("value")).write.mode("overwrite").text(path)
+    lines = F.concat_ws("\n", head, "sequence").alias("value")
+    staged(entities, path, lambda df, where: df.select(lines).write.text(where), needed=True)
+
+
+def _moved(spark: SparkSession, held: str, path: str) -> None:
+    """Put a finished folder in the place of another, which stands aside until it is there."""
+    jvm, conf = spark.sparkContext._jvm, spark.sparkContext._jsc.hadoopConfiguration()
+    new, where, aside = (jvm.org.apache.hadoop.fs.Path(p) for p in (held, path, f"{path}.before"))
+    fs = where.getFileSystem(conf)
+    if fs.exists(where):
+        fs.delete(aside, True)
+        fs.rename(where, aside)
+    if not fs.rename(new, where):
+        raise RuntimeError(f"{held} could not be moved to {path}")
+    fs.delete(aside, True)
+
 
+def _recovered(spark: SparkSession, path: str) -> None:
+    """Undo a replacement that died while the old folder stood aside."""
+    jvm, conf = spark.sparkContext._jvm, spark.sparkContext._jsc.hadoopConfiguration()
+    where, aside = (jvm.org.apache.hadoop.fs.Path(p) for p in (path, f"{path}.before"))
+    fs = where.getFileSystem(conf)
+    if fs.exists(aside) and not fs.exists(where):
+        fs.rename(aside, where)
 
-def write_delimited(rows: DataFrame, path: str) -> None:
-    """Headerless gzip CSV: commas in strings become semicolons, booleans 0 and 1."""
+
+def _dropped(spark: SparkSession, path: str) -> None:
+    where = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
+    where.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(where, True)
+
+
+def staged(rows: DataFrame, path: str, put: Callable[[DataFrame, str], None], required: list[str] = [], needed: bool = False) -> int:  # noqa: B006
+    """Write rows by ``put`` to a folder beside ``path`` and, if what the write observed is good, in place of it; returns their number.
+
+    The rows are worked out once: the write counts them and the nulls of their required columns. Without rows, where
+    they are not ``needed``, or with nulls, which is an error, the old folder stays as it is.
+    """
+    spark, held, seen = rows.sparkSession, f"{path}.{uuid.uuid4().hex}", Observation()
+    _recovered(spark, path)
+    try:
+        put(rows.observe(seen, F.count(F.lit(1)).alias("__rows"), *[F.count_if(F.col(c).isNull()).alias(c) for c in required]), held)
+        n = raise_for(seen, path, required, needed)
+        if n:
+            _moved(spark, held, path)
+        return n
+    finally:
+        _dropped(spark, held)
+
+
+def write_delimited(rows: DataFrame, path: str, required: list[str] = []) -> None:  # noqa: B006
+    """Headerless gzip CSV: commas in strings become semicolons, booleans 0 and 1. Nulls in required columns are an error."""
     kinds = dict(rows.dtypes)
     cols = [F.regexp_replace(c, ",", ";").alias(c) if kinds[c] == "string" else F.col(c).cast("int").alias(c) if kinds[c] == "boolean" else F.col(c) for c in rows.columns]
-    rows.select(*cols).write.mode("overwrite").option("quote", "|").option("compression", "gzip").csv(path)
+
+    def put(checked: DataFrame, where: str) -> None:
+        checked.select(*cols).write.option("quote", "|").option("compression", "gzip").csv(where)
+
+    if not staged(rows, path, put, required):
+        put(rows.limit(0), f"{path}.none")
+        _moved(rows.sparkSession, f"{path}.none", path)
 
 
 def load_table(rows: DataFrame, path: str) -> bool:
-    """Replace a table by the rows; without rows it stays as it is."""
-    if rows.isEmpty():
-        return False
-    rows.write.mode("overwrite").parquet(path)
-    return True
+    """Replace a table by the rows; without rows it stays as it is. The old table stands until the new one is whole."""
+    return staged(rows, path, lambda df, where: df.write.parquet(where)) > 0
 
 
 def write_delta(changes: DataFrame, path: str) -> bool:
-    """Append a non-empty change log by release date."""
-    if changes.isEmpty():
-        return False
-    changes.write.mode("append").partitionBy("release_date").parquet(path)
-    return True
+    """Add a non-empty change log to the releases under ``path``, one folder for each release date."""
+    spark, held, seen = changes.sparkSession, f"{path}.{uuid.uuid4().hex}", Observation()
+    jvm, conf = spark.sparkContext._jvm, spark.sparkContext._jsc.hadoopConfiguration()
+    try:
+        changes.observe(seen, F.count(F.lit(1)).alias("__rows")).write.partitionBy("release_date").parquet(held)
+        if not raise_for(seen, path, []):
+            return False
+        where = jvm.org.apache.hadoop.fs.Path(path)
+        fs = where.getFileSystem(conf)
+        fs.mkdirs(where)
+        for each in fs.listStatus(jvm.org.apache.hadoop.fs.Path(held)):  # the dates of a run
+            if each.isDirectory():
+                date = jvm.org.apache.hadoop.fs.Path(where, each.getPath().getName())
+                if fs.exists(date):  # more of a date that has been logged before
+                    for part in fs.listStatus(each.getPath()):
+                        fs.rename(part.getPath(), jvm.org.apache.hadoop.fs.Path(date, part.getPath().getName()))
+                else:
+                    fs.rename(each.getPath(), date)
+        return True
+    finally:
+        _dropped(spark, held)
+
+
+def write_delta_csv(changes: DataFrame, path: str) -> bool:
+    """A non-empty change log in its published form: gzip CSV with a header and every string quoted; without rows what is there stays."""
+    return staged(changes, path, lambda df, where: df.write.option("header", True).option("quoteAll", True).option("escape", '"').option("compression", "gzip").csv(where)) > 0
 
 
 def write_hits(hits: DataFrame, folder: str) -> None:
@@ -57,52 +128,41 @@ def _columns(schema: str) -> list[str]:
 
 def write_segments(rows: DataFrame, path: str) -> None:
     """The 26 columns of segments, checked, as headerless files."""
-    write_delimited(require(same_schema(rows, _columns(SEGMENT)), SEGMENT_REQUIRED), path)
+    write_delimited(same_schema(rows, _columns(SEGMENT)), path, SEGMENT_REQUIRED)
 
 
 def write_residues(rows: DataFrame, path: str) -> None:
     """The 24 columns of residues, checked, as headerless files."""
-    write_delimited(require(same_schema(rows, _columns(RESIDUE)), RESIDUE_REQUIRED), path)
-
-
-def bucket(entry: str = "entry_id"):
-    return F.pmod(F.xxhash64(entry), F.lit(BUCKETS)).cast("int")
+    write_delimited(same_schema(rows, _columns(RESIDUE)), path, RESIDUE_REQUIRED)
 
 
 def changed_entries(old: DataFrame, new: DataFrame, entry: str = "entry_id") -> DataFrame:
     """Entries of ``new`` whose rows are not just those of ``old``; one that is there for the first time is among them."""
-    lost, come = old.join(new.select(entry).distinct(), entry, "left_semi").exceptAll(new), new.exceptAll(old)
-    return lost.select(entry).union(come.select(entry)).distinct()
+    return delta.changed_keys(delta.fingerprints(old, [entry]), delta.fingerprints(new, [entry]), [entry]).where("n_new > 0").select(entry)
 
 
 def write_changed(rows: DataFrame, path: str, entry: str = "entry_id", failed: DataFrame | None = None) -> bool:
     """Write entries that changed and take out those that failed; the others stay as they are. False: nothing to do.
 
-    The table lies in buckets of entries, of which those touched are written anew. ``failed`` (entry) had a chain
-    without accessions or a file that could not be read, so what an earlier run wrote of them goes.
+    The table is one of :mod:`snapshots`, whose version changes at once. What changed is told by the fingerprints kept
+    with it; only buckets that are touched are read. ``failed`` (entry) had a chain without accessions or a file that
+    could not be read, so what an earlier run wrote of them goes.
     """
     spark = rows.sparkSession
-    jvm = spark.sparkContext._jvm
-    where = jvm.org.apache.hadoop.fs.Path(path)
-    if not where.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).exists(where):
-        old = spark.createDataFrame([], rows.schema)
-    else:
-        old = spark.read.schema(rows.schema).parquet(path).select(*rows.columns)
-    gone = failed.select(F.col(failed.columns[0]).alias(entry)).distinct() if failed is not None else spark.createDataFrame([], rows.select(entry).schema)
-    rows = rows.join(gone, entry, "left_anti")
-    touched = changed_entries(old, rows, entry).union(old.join(gone, entry, "left_semi").select(entry).distinct()).distinct().checkpoint()
-    if touched.isEmpty():
+    now = snapshots.latest(spark, path)
+    key = F.col(entry).cast("string") == F.col("__entry")
+    named = lambda entries: entries.select(F.col("entry").alias("__entry"))
+    gone = failed.select(F.col(failed.columns[0]).cast("string").alias("entry")).distinct() if failed is not None else spark.createDataFrame([], "entry string")
+    rows = written(rows.join(named(gone), key, "left_anti"), "run")
+    before, after = snapshots.marks(spark, path, version=now), snapshots.entry_marks(rows, entry)
+    changed = delta.changed_keys(before, after, ["entry"]).where("n_new > 0").select("entry")
+    touched = written(changed.union(before.join(gone, "entry", "left_semi").select("entry")).distinct(), "touched")
+    buckets = [r["b"] for r in touched.select(snapshots.bucket("entry").alias("b")).distinct().collect()]  # BUCKETS at most
+    if not buckets:
         return False
-    buckets = touched.select(bucket(entry).alias("bucket")).distinct()
-    kept = old.withColumn("bucket", bucket(entry)).join(buckets, "bucket", "left_semi").join(touched, entry, "left_anti")
-    new = rows.join(touched, entry, "left_semi").withColumn("bucket", bucket(entry))
-    out = kept.select(*rows.columns, "bucket").unionByName(new.select(*rows.columns, "bucket")).checkpoint()  # read before its own files are replaced
-    # a bucket that lost its last entry is emptied, too
-    empty = [r["bucket"] for r in buckets.join(out.select("bucket").distinct(), "bucket", "left_anti").collect()]  # BUCKETS at most
-    out.write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy("bucket").parquet(path)
-    for b in empty:
-        part = jvm.org.apache.hadoop.fs.Path(f"{path}/bucket={b}")
-        part.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(part, True)
+    kept = snapshots.read(spark, path, rows.schema, buckets, now).join(named(touched), key, "left_anti")
+    marks = snapshots.marks(spark, path, buckets, now).join(touched, "entry", "left_anti").unionByName(after.join(touched, "entry", "left_semi"))
+    snapshots.replace(spark, path, kept.unionByName(rows.join(named(touched), key, "left_semi")), entry, buckets, marks)
     return True
 
 

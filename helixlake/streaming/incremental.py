@@ -3,36 +3,32 @@
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
-from pyspark.sql import functions as F
 
 from ..operators import delta
-from ..operators.tables import cut
+from ..operators.tables import written
+from ..sources import snapshots
 
 
 def load_new_segments(spark: SparkSession, folder: str, schema: str, table: str, log: str, checkpoint: str) -> None:
-    """Read what arrived, log typed changes and overwrite the buckets of touched entries; then stop.
+    """Read what arrived, log typed changes and make the new version of the table, one of :mod:`snapshots`; then stop.
 
-    The table is partitioned by a bucket of the entry, so a batch rewrites the buckets it touches alone. The log
-    lies under the number of the batch: one that is tried again neither logs twice nor loses its log.
+    A batch writes the buckets that it touches alone. Its log lies under its number and is made of the table before
+    it; the table's new version, which counts all at once, names the batch. So a batch that died on the way is
+    repeated as if for the first time, log and table, and one whose version counts is passed over.
     """
 
-    context = spark.sparkContext
-
-    def there(path: str) -> bool:
-        where = context._jvm.org.apache.hadoop.fs.Path(path)
-        return where.getFileSystem(context._jsc.hadoopConfiguration()).exists(where)
-
     def batch(rows: DataFrame, number: int) -> None:
-        rows = cut(rows.withColumn("bucket", F.pmod(F.xxhash64("entry"), F.lit(64))))
-        old = spark.read.schema(rows.schema).parquet(table) if there(table) else spark.createDataFrame([], rows.schema)
-        touched = old.join(rows.select("bucket").distinct(), "bucket", "left_semi")
-        before = f"{log}/batch={number}"
-        if not there(f"{before}/_SUCCESS"):  # a batch that is tried again finds its log, made before the table changed
-            same = touched.join(rows.select("entry").distinct(), "entry", "left_semi")
-            delta.typed_delta(same, rows).write.mode("overwrite").parquet(before)
-        kept = touched.join(rows.select("entry").distinct(), "entry", "left_anti")
-        out = cut(kept.select(*rows.columns).unionByName(rows))  # read before its own files are replaced
-        out.write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy("bucket").parquet(table)
+        now = snapshots.latest(spark, table)
+        if now.batches.get(checkpoint, -1) >= number:
+            return
+        rows = written(rows, "arrived")
+        entries = rows.select("entry").distinct()
+        buckets = [r["b"] for r in entries.select(snapshots.bucket("entry").alias("b")).distinct().collect()]  # BUCKETS at most
+        old = snapshots.read(spark, table, rows.schema, buckets, now)
+        snapshots.step("log")
+        delta.typed_delta(old.join(entries, "entry", "left_semi"), rows).write.mode("overwrite").parquet(f"{log}/batch={number}")
+        kept = old.join(entries, "entry", "left_anti").select(*rows.columns)
+        snapshots.replace(spark, table, kept.unionByName(rows), "entry", buckets, batch=(checkpoint, number))
 
     source = spark.readStream.schema(schema).csv(folder)
     source.writeStream.foreachBatch(batch).option("checkpointLocation", checkpoint).trigger(availableNow=True).start().awaitTermination()

@@ -4,7 +4,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from helixlake.operators import delta, exports, quality, residues, scoring, structure
-from helixlake.sources import readers, writers
+from helixlake.sources import readers, snapshots, writers
 from helixlake.streaming import incremental
 
 
@@ -99,7 +99,7 @@ def test_typed_delta_and_stream(spark, tmp_path):
     with gzip.open(inbox / "b_seg.csv.gz", "wt") as f:
         f.write("1abc,A,P1,1,6,1,6,1\n")
     incremental.load_new_segments(spark, *args)
-    assert spark.read.parquet(args[2]).count() == 2
+    assert snapshots.read(spark, args[2]).count() == 2
     log = spark.read.parquet(args[3])
     assert rows(log.select("entry", "delta_type"), "batch", "entry") == [("1abc", "new_mapping"), ("2abc", "new_mapping"), ("1abc", "changed_segments")]
 

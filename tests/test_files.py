@@ -7,7 +7,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from helixlake.operators import assembly, quality, tables
-from helixlake.sources import readers, writers
+from helixlake.sources import readers, snapshots, writers
 
 
 def rows(df, *order):
@@ -65,7 +65,7 @@ def test_only_changed_entries_are_written(spark, tmp_path):
     assert not writers.write_changed(segments(spark, ("e", 1, 1), ("f", 1, 1)), where)  # what is not in the run stays
     failed = spark.createDataFrame([("g",)], "entry string")
     assert writers.write_changed(segments(spark, ("e", 1, 2), ("f", 1, 1), ("g", 1, 8)), where, failed=failed)
-    assert rows(spark.read.parquet(where).select("entry_id", "pdb_start"), "entry_id") == [("e", 2), ("f", 1)]
+    assert rows(snapshots.read(spark, where).select("entry_id", "pdb_start"), "entry_id") == [("e", 2), ("f", 1)]
     got = writers.changed_entries(segments(spark, ("e", 1, 1), ("f", 1, 1)), segments(spark, ("e", 1, 2), ("f", 1, 1), ("h", 1, 1)))
     assert rows(got, "entry_id") == [("e",), ("h",)]
 
