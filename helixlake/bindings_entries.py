@@ -14,7 +14,7 @@ from . import jobs
 from .bindings import A, H, SCORES, SQL, alignments, hits, query, scored, table
 from .bindings_entities import ORDER, L, lines
 from .operators import accessions, anchors, assembly, chaining, delta, entities, exports, gaps, quality, residues, scoring, search, structure, tables
-from .sources import structures
+from .sources import records_xml, structures
 
 CODES = list(entities.STANDARD)
 _LIST = "[" + ", ".join(f"'{c}'" for c in CODES) + "]"
@@ -484,6 +484,41 @@ def h8_lost_rows(spark, d):
     return quality.lost_rows(o.drop("o_orderstatus"), o.where("o_orderstatus <> 'P'").withColumn("more", F.lit(1)).select("more", "o_custkey", "o_orderkey"))
 
 
+# -- sequence records: one for each document, written as XML and read back --------------------------------------
+
+
+@query("""WITH x AS (SELECT doc_id, regexp_replace(lower(text), '[^a-z]', '', 'g') AS x FROM documents), y AS (SELECT doc_id, x, left(x, 19) || substring(x, 23) AS t FROM x WHERE x <> '')
+SELECT 'P' || doc_id AS accession, 'P' || doc_id || n AS isoform, CASE n WHEN '' THEN x WHEN '-1' THEN x WHEN '-2' THEN left(t, 4) || 'ab' || substring(t, 8) ELSE left(x, 4) || 'ab' || substring(x, 8) END AS sequence
+FROM y, unnest(['', '-1', '-2', '-3']) AS t(n) WHERE n <> '-3' OR doc_id % 3 = 0""")
+def a18_record_isoforms(spark, d):
+    """Isoforms of records in files: a replacement and a deletion, both or one of them."""
+    x = F.regexp_replace(F.lower("text"), "[^a-z]", "")
+    name = F.concat(F.lit("P"), "doc_id")
+    iso = lambda n, kind, ref: F.concat(F.lit("<isoform><id>"), name, F.lit(f"-{n}</id><name>{n}</name><sequence type=\"{kind}\"{ref}/></isoform>"))
+    part = lambda i, a, b, text: F.lit(f'<feature type="splice variant" id="V{i}">{text}<location><begin position="{a}"/><end position="{b}"/></location></feature>')
+    lines = table(spark, d, "documents").select("doc_id", x.alias("x")).where("x <> ''").select(F.concat(
+        F.lit("<entry><accession>"), name, F.lit("</accession>"), F.lit('<comment type="alternative products">'), iso(1, "displayed", ""), iso(2, "described", ' ref="V1 V2"'),
+        F.when(F.col("doc_id") % 3 == 0, iso(3, "described", ' ref="V1"')).otherwise(F.lit("")), F.lit("<isoform><id>Q0-9</id><sequence type=\"external\"/></isoform></comment>"),
+        part(1, 5, 7, "<original>xyz</original><variation>ab</variation>"), part(2, 20, 22, ""), F.lit('<sequence length="1">'), "x", F.lit("</sequence></entry>"),
+    ))
+    where = tables.scratch(spark, "records")
+    lines.write.text(where)
+    return records_xml.isoform_sequences(records_xml.read_records(spark, where))
+
+
+@query("""WITH o AS (SELECT l_suppkey, l_partkey, l_quantity::BIGINT AS q FROM lineitem WHERE l_orderkey % 5 <> 0), n AS (SELECT l_suppkey, l_partkey, l_quantity::BIGINT + (l_suppkey % 3 = 0 AND l_orderkey % 50 = 1)::INT AS q FROM lineitem WHERE l_orderkey % 5 <> 0 AND l_suppkey % 7 <> 0
+  UNION ALL SELECT l_suppkey, l_partkey, l_quantity::BIGINT FROM lineitem WHERE l_orderkey % 5 <> 0 AND l_suppkey % 11 = 0 AND l_orderkey % 3 = 0 AND l_suppkey % 7 <> 0),
+d AS (SELECT l_suppkey FROM (SELECT * FROM o EXCEPT ALL SELECT * FROM n) UNION SELECT l_suppkey FROM (SELECT * FROM n EXCEPT ALL SELECT * FROM o))
+SELECT l_suppkey, (SELECT count(*) FROM o WHERE o.l_suppkey = d.l_suppkey) AS n_old, (SELECT count(*) FROM n WHERE n.l_suppkey = d.l_suppkey) AS n_new FROM d""")
+def h2_changed_entries(spark, d):
+    """Suppliers whose lines are not the same rows, each as often, in two releases, told by fingerprints alone."""
+    old = table(spark, d, "lineitem").where("l_orderkey % 5 <> 0").select("l_suppkey", "l_partkey", F.col("l_quantity").cast("long").alias("q"), "l_orderkey")
+    new = old.where("l_suppkey % 7 <> 0").withColumn("q", F.col("q") + F.when((F.col("l_suppkey") % 3 == 0) & (F.col("l_orderkey") % 50 == 1), 1).otherwise(0))
+    new = new.unionByName(old.where("l_suppkey % 11 = 0 AND l_orderkey % 3 = 0 AND l_suppkey % 7 <> 0"))
+    marks = [delta.fingerprints(rows.drop("l_orderkey"), ["l_suppkey"]) for rows in (old, new)]
+    return delta.changed_keys(*marks, ["l_suppkey"])
+
+
 # -- search ----------------------------------------------------------------------------------------------------
 
 
