@@ -25,6 +25,7 @@ from heapq import heapify, heappop, heappush
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 import regex
 from pyspark import SparkFiles
 from pyspark.sql import DataFrame
@@ -317,9 +318,9 @@ def frequent_words(docs: DataFrame, path: str, text: str = "text", most: int = L
             return pa.RecordBatch.from_arrays([pa.array(list(pieces), pa.string()), pa.array(list(pieces.values()), pa.int64())], ["word", "n"])
 
         for part in slices(batches, text):
-            for x in part.column(0).to_pylist():
-                if x:
-                    seen.update(bpe.normal(x).split())
+            texts = pa.array([bpe.normal(x) for x in part.column(0).to_pylist() if x], pa.large_string())
+            found = pc.utf8_split_whitespace(texts).flatten().value_counts()
+            seen.update(dict(zip(found.field(0).to_pylist(), found.field(1).to_pylist(), strict=True)))
             if len(seen) > COUNT_WORDS:
                 yield flush()
         yield flush()
@@ -399,14 +400,32 @@ class Encoder:
         for x in split:
             yield [e for k, words in enumerate(x) for e in ([self.entry([self.bpe.special[words[0]]])] if k % 2 else map(of, words))] if len(x) > 1 else list(map(of, x[0]))
 
+    def numbered(self, texts: list[str | None]) -> tuple[dict[int, str], np.ndarray, np.ndarray, list]:
+        """Texts that have to go word by word; where the words of each other one begin; the number of each word; and what each number stands for.
+
+        Word by word go texts with the name of a special token, or with a separator that only Python takes for white
+        space. '' is a word, too, at the ends of a text.
+        """
+        apart = {k: x for k, x in enumerate(texts) if x and ("<|" in x or PYTHON_ONLY.search(x))}
+        plain = [self.bpe.spaced(x) if x and k not in apart else "" for k, x in enumerate(texts)]
+        words = pc.utf8_split_whitespace(pa.array(plain, pa.large_string()))
+        coded = words.flatten().dictionary_encode()
+        distinct = coded.dictionary.to_pylist()
+        self.learn(distinct)
+        return apart, words.offsets.to_numpy(), coded.indices.to_numpy(), [self.memo[w] for w in distinct]
+
     def texts(self, texts: list[str | None]) -> Iterator[tuple[int, str, str]]:
         """(number of tokens, ids in decimal, decoded text) of each text."""
-        for found in self.entries(texts):
-            if found:
-                n, ids, names = zip(*found, strict=True)
-                yield sum(n), " ".join(ids), " ".join(names)
+        apart, offsets, which, entries = self.numbered(texts)
+        n, ids, names = zip(*entries, strict=True) if entries else ((), (), ())
+        total = np.concatenate([[0], np.cumsum(np.array(n, np.int64)[which])])[offsets] if len(which) else np.zeros(len(texts) + 1, np.int64)
+        for k, (a, b) in enumerate(zip(offsets[:-1].tolist(), offsets[1:].tolist(), strict=True)):
+            if k in apart:
+                found = next(self.entries([apart[k]]))
+                yield sum(x[0] for x in found), " ".join(x[1] for x in found), " ".join(x[2] for x in found)
             else:
-                yield 0, "", ""
+                own = which[a:b].tolist()
+                yield int(total[k + 1] - total[k]), " ".join([ids[i] for i in own]).strip(" "), " ".join([names[i] for i in own]).strip(" ")
 
 
 def encode(docs: DataFrame, path: str, doc_id: str = "doc_id", text: str = "text", lexicon: str | None = None) -> DataFrame:

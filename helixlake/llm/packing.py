@@ -24,12 +24,11 @@ from functools import lru_cache
 
 import numpy as np
 import pyarrow as pa
-import pyarrow.compute as pc
 from pyspark import TaskContext
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from .bpe import PYTHON_ONLY, Encoder, Memo
+from .bpe import Encoder, Memo
 from .common import in_one_task, materialise, merged, slices
 
 CAPACITY, END = 4096, 1
@@ -61,23 +60,13 @@ class Ids(Encoder):
             memo[x] = found[parts[0]] if len(parts) == 1 else b"".join([found[w] for w in parts])
 
     def ids(self, texts: list[str | None]) -> Iterator[bytes]:
-        """The ids of each text. Words are numbered first, so that each is looked up once for all of its places.
-
-        Texts with the name of a special token, or with a separator that only Python takes for white space, go word by word.
-        """
-        apart = {k: x for k, x in enumerate(texts) if x and ("<|" in x or PYTHON_ONLY.search(x))}
-        plain = [self.bpe.spaced(x) if x and k not in apart else "" for k, x in enumerate(texts)]
-        words = pc.utf8_split_whitespace(pa.array(plain, pa.large_string()))
-        numbered = words.flatten().dictionary_encode()
-        distinct = numbered.dictionary.to_pylist()  # '' too, at the ends of texts; it has no ids
-        self.learn(distinct)
-        entries = [self.memo[w] for w in distinct]
+        """The ids of each text, gathered at once for all places of all words."""
+        apart, offsets, which, entries = self.numbered(texts)
         flat, size = np.frombuffer(b"".join(entries), "<u4"), np.array([len(x) // 4 for x in entries], np.int64)
-        first, which = np.cumsum(size) - size, numbered.indices.to_numpy()
-        n = size[which]
+        first, n = np.cumsum(size) - size, size[which]
         ends = np.cumsum(n)
         ids = flat[np.repeat(first[which] - (ends - n), n) + np.arange(n.sum())].tobytes()
-        borders = np.concatenate([[0], ends])[words.offsets.to_numpy()] * 4
+        borders = np.concatenate([[0], ends])[offsets] * 4
         for k, (a, b) in enumerate(zip(borders[:-1].tolist(), borders[1:].tolist(), strict=True)):
             yield b"".join(next(self.entries([apart[k]]))) if k in apart else ids[a:b]
 
