@@ -44,7 +44,9 @@ def tax_lineage(nodes: DataFrame, max_depth: int = 64) -> DataFrame:
     Jumps double: the ancestors within 2^k steps and the node 2^k steps up give those within 2^(k + 1), so a tree 60
     deep takes six rounds. A lineage deeper than ``max_depth``, such as one in a circle, is an error.
     """
-    found = nodes.select("tax_id", F.col("tax_id").alias("ancestor"), F.lit(0).alias("depth"))
+    own = nodes.select("tax_id")
+    unknown = nodes.select(F.col("parent").alias("tax_id")).where("tax_id IS NOT NULL").distinct().join(own, "tax_id", "left_anti")  # parents that are no nodes
+    found = own.unionByName(unknown).select("tax_id", F.col("tax_id").alias("ancestor"), F.lit(0).alias("depth"))
     jump = cut(nodes.select("tax_id", F.col("parent").alias("to")).where("to IS NOT NULL AND to <> tax_id"))
     step = 1
     while not jump.isEmpty():
@@ -56,7 +58,7 @@ def tax_lineage(nodes: DataFrame, max_depth: int = 64) -> DataFrame:
         step *= 2
     if not found.where(F.col("depth") > max_depth).isEmpty():
         raise ValueError(f"a lineage is deeper than {max_depth}")
-    return found
+    return found.join(own.distinct(), "tax_id", "left_semi")
 
 
 def tax_pairs(hits: DataFrame) -> DataFrame:
