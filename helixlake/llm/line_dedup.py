@@ -43,7 +43,8 @@ WINNOWED = 60  # code points of a shorter line from which by_length and by_spots
 LATER, RUN, BINS = 3, 0.3, 32
 EDGES = np.array([int(WINNOWED * 1.5**c) for c in range(40)])  # classes of lengths
 BUCKET = 1500  # lines of a bucket, above which it is dealt into parts
-FIRST = 4  # keys of a line that the first look takes
+FIRST, STEPS = 4, 16  # keys of a line that the first look takes, and lines of like length that each is compared with there
+WIDEST, PAIRS = 31, 2048  # edits that a band of one word holds, and pairs that are verified together
 _U = np.uint64
 _INVERSE = pow(0x9E3779B97F4A7C15 | 1, -1, 1 << 64)
 _BASE = 0x9E3779B97F4A7C15 | 1
@@ -132,6 +133,69 @@ def near(a: str, b: str, edits: int) -> bool:
     return score <= edits
 
 
+class Lines:
+    """Texts whose pairs are verified many at a time."""
+
+    def __init__(self, texts: list[str]):
+        self.texts, self.size = texts, np.array([len(x) for x in texts], np.int64)
+        self.flat = np.frombuffer("".join(texts).encode("utf-32-le", "surrogatepass"), np.uint32)
+        self.first = np.cumsum(self.size) - self.size
+
+    def near(self, i: np.ndarray, j: np.ndarray, edits: np.ndarray) -> np.ndarray:
+        """:func:`near` of the pairs (i, j), each with its edits.
+
+        A band of 64 diagonals of the edit matrix is one word of each pair. It moves down a row with every column, and
+        the words of all pairs move together. The distance is followed down the lowest diagonal of the band to the
+        pattern's last letter and from there along its row. Pairs of more edits than fit the band go one by one.
+        """
+        good, size, first = np.zeros(len(i), bool), self.size, self.first
+        alone = (edits > WIDEST) | (size[i] <= edits) | (size[j] <= edits)
+        for k in np.flatnonzero(alone):
+            good[k] = near(self.texts[i[k]], self.texts[j[k]], int(edits[k]))
+        fit = np.flatnonzero(~alone & (np.abs(size[i] - size[j]) <= edits))
+        fit = fit[np.argsort(size[i[fit]], kind="stable")]
+        for a in range(0, len(fit), PAIRS):
+            own = fit[a : a + PAIRS]
+            good[own] = _banded(self.flat, first[i[own]], size[i[own]], first[j[own]], size[j[own]], edits[own])
+        return good
+
+
+def _laid(flat: np.ndarray, first: np.ndarray, size: np.ndarray, at: np.ndarray, width: int) -> np.ndarray:
+    """A row for each text, its letters from column ``at`` on, 0 elsewhere."""
+    out = np.zeros((len(first), width), np.uint32)
+    step = np.arange(size.sum()) - np.repeat(np.cumsum(size) - size, size)
+    out[np.repeat(np.arange(len(first)), size), np.repeat(at, size) + step] = flat[np.repeat(first, size) + step] + np.uint32(1)
+    return out
+
+
+def _banded(flat: np.ndarray, pfirst: np.ndarray, m: np.ndarray, tfirst: np.ndarray, n: np.ndarray, edits: np.ndarray) -> np.ndarray:
+    columns = int(n.max())
+    pattern = _laid(flat, pfirst, m, 63 - edits, columns + 64 + int(max(0, (63 - edits + m).max() - columns - 64)))
+    text = _laid(flat, tfirst, n, np.zeros(len(n), np.int64), columns)
+    live, distance, turn = np.arange(len(n)), edits.copy(), m - edits  # turn: the column in which the lowest diagonal meets the last letter
+    out = np.zeros(len(n), bool)
+    up, down = ~_U(0) << (63 - edits).astype(_U), np.zeros(len(n), _U)
+    one, top = _U(1), _U(63)
+    for c in range(columns):
+        done = n[live] == c
+        if done.any() or c % 32 == 31:
+            out[live[done]] = distance[done] <= edits[live[done]]
+            keep = np.flatnonzero(~done & (distance <= edits[live] + np.maximum(0, n[live] - np.maximum(turn[live], c))))
+            live, distance, up, down = live[keep], distance[keep], up[keep], down[keep]
+            if not len(live):
+                return out
+        same = np.packbits(pattern[live, c : c + 64] == text[live, c][:, None], axis=1, bitorder="little").view("<u8").ravel()
+        diagonal = (((same & up) + up) ^ up) | same | down
+        more, less = down | ~(diagonal | up), diagonal & up
+        before = turn[live] > c
+        place = np.where(before, 0, 62 - (c - turn[live])).astype(_U)
+        distance = distance + np.where(before, (~diagonal >> top & one).astype(np.int64), (more >> place & one).astype(np.int64) - (less >> place & one).astype(np.int64))
+        diagonal >>= one
+        up, down = less | ~(diagonal | more), diagonal & more
+    out[live] = distance <= edits[live]
+    return out
+
+
 def places(size: np.ndarray, shorter: int, segment: int, edits: int = EDITS) -> list[tuple[np.ndarray, np.ndarray, np.ndarray]]:
     """(rows, start, length) of the substrings of lines of these sizes that can equal the given segment of a line shorter by ``shorter``."""
     base = size - shorter
@@ -308,17 +372,17 @@ def near_links(met: DataFrame, texts: DataFrame, allowed: Callable = two_edits)
     return first.unionByName(linked(rest, ["p", "q"]))
 
 
-def close_pairs(table: pa.Table, groups_: list[str], allowed: Callable) -> Iterator[tuple[np.ndarray, np.ndarray]]:
+def close_pairs(table: pa.Table, groups_: list[str], allowed: Callable, steps: int = 1 << 40) -> Iterator[tuple[np.ndarray, np.ndarray]]:
     """Places (i, j) of rows of one group whose lengths and counts of code points leave the edits of the shorter line, i.
 
     Rows come by group and size. All rows look at the one behind them, then at the next but one, and so on, until
-    the lengths of a row's group have gone too far.
+    the lengths of a row's group have gone too far, or for so many steps.
     """
     keys = [table.column(c).to_numpy() for c in groups_]
     size = table.column("size").to_numpy()
     bag = np.frombuffer(b"".join(table.column("bag").to_pylist()), np.uint16).reshape(-1, BINS).astype(np.int32)
     at, most, step = np.arange(len(size)), allowed(size), 1
-    while len(at := at[at + step < len(size)]):
+    while step <= steps and len(at := at[at + step < len(size)]):
         to = at + step
         open_ = size[to] <= size[at] + most[at]
         for k in keys:
@@ -355,7 +419,8 @@ def verified(pairs: DataFrame, texts: DataFrame, allowed: Callable) -> DataFrame
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             xs, ys = batch.column(2).to_pylist(), batch.column(3).to_pylist()
-            good = [near(x, y, int(allowed(np.array(min(len(x), len(y)))))) for x, y in zip(xs, ys, strict=True)]
+            at = np.arange(len(xs))
+            good = Lines([*xs, *ys]).near(at, at + len(xs), allowed(np.array([min(len(x), len(y)) for x, y in zip(xs, ys, strict=True)], np.int64)))
             yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(1)], ["a", "b"]).filter(pa.array(good, pa.bool_()))
 
     return both.select("a", "b", "x", "y").mapInArrow(run, "a long, b long")
@@ -364,26 +429,31 @@ def verified(pairs: DataFrame, texts: DataFrame, allowed: Callable) -> DataFrame
 def winnowed_links(met: DataFrame, texts: DataFrame, allowed: Callable = by_length) -> DataFrame:
     """(a, b): lines that share a key and are within the edits, enough of them to connect every class.
 
-    A first look takes a few keys of each line, large ones in parts, and connects the lines there: a pair that is
-    connected by others isn't verified. What is connected is one class; then every key that still holds several
-    classes is gone through for pairs across them. So a crowd of near copies costs pairs in proportion to its lines.
+    A first look takes a few keys of each line, large ones in parts, and compares each line there with those next to it
+    by length: a pair that is connected by others isn't verified. What is connected is one class; then every key that
+    still holds several classes is gone through for all pairs across them, each of which is verified once. A crowd of
+    near copies that are connected costs pairs in proportion to its lines; a line that stays apart costs as many as it is close to.
     """
     bags = materialise(signed(texts), "bags")
 
     def inside(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for table in whole_groups(batches):
-            line, text, most = table.column("line").to_pylist(), table.column("text").to_pylist(), allowed(table.column("size").to_numpy()).tolist()
-            root, a, b = list(range(len(line))), [], []
+            line, text, most = table.column("line").to_pylist(), table.column("text").to_pylist(), allowed(table.column("size").to_numpy())
+            root, a, b, lines = list(range(len(line))), [], [], Lines(text)
 
             def top(k: int, root: list[int] = root) -> int:
                 while root[k] != k:
                     root[k] = k = root[root[k]]
                 return k
 
-            for i, j in close_pairs(table, ["key", "part"], allowed):
-                for x, y in zip(i.tolist(), j.tolist(), strict=True):
+            for i, j in close_pairs(table, ["key", "part"], allowed, STEPS):
+                tops = np.array([top(k) for k in range(len(root))]) if len(i) > len(root) // 8 else None
+                apart = tops[i] != tops[j] if tops is not None else np.array([top(x) != top(y) for x, y in zip(i.tolist(), j.tolist(), strict=True)], bool)
+                i, j = i[apart], j[apart]
+                near_ = lines.near(i, j, most[i])
+                for x, y in zip(i[near_].tolist(), j[near_].tolist(), strict=True):
                     p, q = top(x), top(y)
-                    if p != q and near(text[x], text[y], most[x]):
+                    if p != q:
                         root[q] = p
                         a.append(min(line[x], line[y]))
                         b.append(max(line[x], line[y]))
@@ -445,6 +515,8 @@ def dedup(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", allowed:
     own = docs.select(F.struct("*").alias("doc"), F.col(doc_id).cast("long").alias("doc_id"), F.xxhash64(text).alias("print"))
     joined = merged(own, gone, ["doc_id", "print"], "left")
     whole = F.col("doc").getField(text)
-    left = F.filter(F.split(whole, "\n", -1), lambda x, i: ~F.array_contains("gone", i))
+    lines = F.split(whole, "\n", -1)
+    stay = F.array_except(F.sequence(F.lit(0), F.size(lines) - 1), F.col("gone"))
+    left = F.transform(stay, lambda i: F.get(lines, i))
     cut = F.when(F.col("gone").isNull(), whole).otherwise(F.array_join(left, "\n"))
     return joined.select(*[(cut if c == text else F.col("doc").getField(c)).alias(c) for c in docs.columns])

@@ -2,6 +2,7 @@
 
 import random
 
+import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
@@ -34,6 +35,21 @@ def test_distance_with_many_edits():
             assert line_dedup.near(a, b, edits) == (plain(a, b) <= edits)
 
 
+def test_pairs_verified_together():
+    r = random.Random(6)
+    texts, edits = [], []
+    for _ in range(700):
+        most = r.choice([0, 1, 2, 5, 12, 31, 40])
+        a = "".join(r.choice("abé\U0001f600") for _ in range(r.randrange(0, 160)))
+        texts += [a, edited(r, a, r.randrange(2 * most + 2))]
+        edits.append(most)
+    i = np.arange(0, len(texts), 2)
+    got = line_dedup.Lines(texts).near(i, i + 1, np.array(edits))
+    want = [plain(texts[k], texts[k + 1]) <= e for k, e in zip(i, edits, strict=True)]
+    assert got.tolist() == want and 100 < sum(want) < 600
+    assert line_dedup.Lines([]).near(i[:0], i[:0], i[:0]).tolist() == []
+
+
 @pytest.fixture(scope="module")
 def lines():
     r = random.Random(8)
