@@ -48,6 +48,7 @@ def residue_xrefs(residues: DataFrame, numbered: DataFrame, observed: DataFrame,
     return joined.select(*keys, "seq_id", "accession", "s.segment_id", "s.instance_id", F.when(F.col("auth_seq_num").isNull(), "n").otherwise("y").alias("observed"), nth.alias("ordinal"))
 
 
+# The columns of the exports.
 UNP_SEGMENTS = ["entity_id", "asym_id", "unp_acc", "segment_id", "instance_id", "unp_start", "unp_end", "seq_id_start", "seq_id_end", "best_mapping", "identity"]
 #: A table that a caller may have; its rows are compared between releases, none are made here.
 XREF_DB_SEGMENTS = "entry string, entity_id string, asym_id string, xref_db string, xref_db_acc string, domain_name string, segment_id long, instance_id long, seq_id_start long, seq_id_end long"
