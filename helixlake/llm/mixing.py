@@ -9,7 +9,8 @@ for as many as there are constraints.
 
 Documents of a source are dealt into blocks of bounded size, each balanced by one task. What a block leaves
 open (two documents at most) goes to the next level, in blocks again, until one block holds a source's rest;
-there the landing sets each of the last to the side that misses the word total the least. Nothing depends on
+there a dozen documents wait for the landing, which takes of all choices among them and the last two open ones the
+one that misses the word total the least. Nothing depends on
 the order of rows, so reruns agree.
 
 A null text has no words; a null source is a source of its own and the last one; rows with equal or null ids are
@@ -31,6 +32,7 @@ from .common import WORD, dealt, groups, materialise
 
 WEIGHTS, COPIES = (5, 2, 1), 3
 BLOCK = 5000  # documents that one block balances
+LANDED = 12  # open documents that are kept for the landing, besides the two that a flight leaves
 
 
 def targets(sizes: DataFrame, weights: tuple[int, ...] = WEIGHTS, copies: int = COPIES) -> DataFrame:
@@ -87,25 +89,33 @@ def flight(p: np.ndarray, size: np.ndarray, u: np.ndarray) -> np.ndarray:
 
 
 def landing(p: np.ndarray, size: np.ndarray) -> np.ndarray:
-    """Set the last few open documents so that their words come nearest to what they stood for."""
+    """Set the last few open documents so that their words come nearest to what they stood for, then their number."""
     open_ = np.flatnonzero((p > 0) & (p < 1))
-    want = float((p[open_] * size[open_]).sum())
-    best = min(range(1 << len(open_)), key=lambda m: (abs(sum(size[k] for i, k in enumerate(open_) if m >> i & 1) - want), m), default=0)
+    words, number = np.zeros(1), np.zeros(1)
+    for k in open_:  # subset m of those so far at place m
+        words, number = np.concatenate([words, words + size[k]]), np.concatenate([number, number + 1])
+    best = np.lexsort((np.abs(number - p[open_].sum()), np.abs(words - (p[open_] * size[open_]).sum())))[0]
     p = p.copy()
-    for i, k in enumerate(open_):
-        p[k] = best >> i & 1
+    p[open_] = int(best) >> np.arange(len(open_)) & 1
     return p
 
 
+def settled(p: np.ndarray, size: np.ndarray, u: np.ndarray) -> np.ndarray:
+    """The last level: all but LANDED open documents fly, and landing chooses among them and what the flight leaves open."""
+    open_ = np.flatnonzero((p > 1e-9) & (p < 1 - 1e-9))
+    flying = np.setdiff1d(np.arange(len(p)), open_[max(0, len(open_) - LANDED) :])
+    p = p.copy()
+    p[flying] = flight(p[flying], size[flying], u[flying])
+    return landing(p, size)
+
+
 def draw(docs: DataFrame, last: bool) -> DataFrame:
     """One level: (key, source, block, size, p) with p moved; the last level lands."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for table in groups(batches, ["source_key", "block"]):
             size = table.column("size").to_numpy().astype(float)
-            p = flight(table.column("p").to_numpy(), size, table.column("u").to_numpy())
-            if last:
-                p = landing(p, size)
+            p = (settled if last else flight)(table.column("p").to_numpy(), size, table.column("u").to_numpy())
             yield from table.set_column(table.schema.get_field_index("p"), "p", pa.array(p)).combine_chunks().to_batches()
 
     return dealt(docs, ["source_key", "block"], "u", "row", "size", "print").mapInArrow(run, docs.schema)

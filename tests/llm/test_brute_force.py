@@ -178,6 +178,26 @@ def test_targets_against_filling_by_bisection(spark):
         assert got == pytest.approx(want, rel=1e-6)
 
 
+def test_landing_takes_the_best_of_all_choices():
+    r = np.random.default_rng(4)
+    for _ in range(40):
+        n = int(r.integers(0, 9))
+        p, size = r.choice([0.0, 1.0, 0.3, 0.62], n), r.integers(1, 50, n).astype(float)
+        got, open_ = mixing.landing(p, size), (p > 0) & (p < 1)
+        assert set(got.tolist()) <= {0.0, 1.0} and (got[~open_] == p[~open_]).all()
+        every = [sum(size[open_][k] for k in range(open_.sum()) if m >> k & 1) for m in range(1 << open_.sum())]
+        want = (p[open_] * size[open_]).sum()
+        assert abs((got[open_] * size[open_]).sum() - want) == pytest.approx(min(abs(x - want) for x in every))
+
+
+def test_words_come_near_their_target_beside_a_huge_document():
+    r = np.random.default_rng(5)
+    for n in (40, 200):
+        size = np.concatenate([r.integers(20, 900, n), [6000]]).astype(float)
+        p = mixing.settled(np.full(n + 1, 0.37), size, r.random(n + 1))
+        assert set(p.tolist()) <= {0.0, 1.0} and (p * size).sum() == pytest.approx(0.37 * size.sum(), rel=0.01)
+
+
 def test_mix_rows(odd):
     out = mixing.mixed(odd)
     assert out.columns == odd.columns
