@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from collections.abc import Sequence
+
 from pyspark.sql import Column, DataFrame, Observation
 from pyspark.sql import functions as F
 
@@ -45,7 +47,7 @@ def written_checked(df: DataFrame, name: str, required: list[str], rows: bool =
     return out
 
 
-def raise_for(seen: Observation, name: str, required: list[str], rows: bool = False) -> int:
+def raise_for(seen: Observation, name: str, required: Sequence[str], rows: bool = False) -> int:
     """Wait for what a write observed, and fail it for nulls or, with ``rows``, for emptiness; returns the number of rows."""
     counts = seen.get
     bad = [c for c in required if counts[c]]

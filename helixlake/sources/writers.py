@@ -3,7 +3,7 @@
 from __future__ import annotations
 
 import uuid
-from collections.abc import Callable
+from collections.abc import Callable, Sequence
 
 from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
@@ -49,7 +49,7 @@ def _dropped(spark: SparkSession, path: str) -> None:
     where.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(where, True)
 
 
-def staged(rows: DataFrame, path: str, put: Callable[[DataFrame, str], None], required: list[str] = [], needed: bool = False) -> int:  # noqa: B006
+def staged(rows: DataFrame, path: str, put: Callable[[DataFrame, str], None], required: Sequence[str] = (), needed: bool = False) -> int:
     """Write rows by ``put`` to a folder beside ``path`` and, if what the write observed is good, in place of it; returns their number.
 
     The rows are worked out once: the write counts them and the nulls of their required columns. Without rows, where
@@ -67,7 +67,7 @@ def staged(rows: DataFrame, path: str, put: Callable[[DataFrame, str], None], re
         _dropped(spark, held)
 
 
-def write_delimited(rows: DataFrame, path: str, required: list[str] = []) -> None:  # noqa: B006
+def write_delimited(rows: DataFrame, path: str, required: Sequence[str] = ()) -> None:
     """Headerless gzip CSV: commas in strings become semicolons, booleans 0 and 1. Nulls in required columns are an error."""
     kinds = dict(rows.dtypes)
     cols = [F.regexp_replace(c, ",", ";").alias(c) if kinds[c] == "string" else F.col(c).cast("int").alias(c) if kinds[c] == "boolean" else F.col(c) for c in rows.columns]
@@ -91,7 +91,7 @@ def write_delta(changes: DataFrame, path: str) -> bool:
     jvm, conf = spark.sparkContext._jvm, spark.sparkContext._jsc.hadoopConfiguration()
     try:
         changes.observe(seen, F.count(F.lit(1)).alias("__rows")).write.partitionBy("release_date").parquet(held)
-        if not raise_for(seen, path, []):
+        if not raise_for(seen, path, ()):
             return False
         where = jvm.org.apache.hadoop.fs.Path(path)
         fs = where.getFileSystem(conf)
