@@ -32,7 +32,7 @@ from .bpe import Encoder, Memo
 from .common import in_one_task, materialise, merged, slices
 
 CAPACITY, END = 4096, 1
-MEMO_WORDS = 500_000  # words whose ids a worker remembers
+MEMO_WORDS = 150_000  # words whose ids a worker remembers, and as many of those before
 
 
 class Ids(Encoder):
