@@ -1,8 +1,8 @@
 """Line dedup: of lines that are equal or few edits apart, the first in the corpus stays.
 
 How many edits are few is a rule on the length of the shorter line. :func:`two_edits`, the rule of
-op8_line_dedup and its SQL, lets two edits pass from 20 code points on. :func:`by_length` lets one pass for each
-20 code points, two at least, and one below 20. :func:`by_spots`, the rule of the pipeline, lets as many pass,
+op8_line_dedup and its SQL, lets two edits pass from 20 code points on. :func:`by_length`, the rule of the
+pipeline, lets one pass for each 20 code points, two at least, and one below 20. :func:`by_spots` lets as many pass,
 where the edits of lines of 60 code points or more lie in one or two spots, such as an exchanged word, or else
 leave a run of three tenths of the line. Copies go at any length; only blank lines always stay.
 

@@ -95,6 +95,22 @@ def test_pipeline_stage_follows_the_length(spark):
     assert {r["doc_id"]: r["text"] for r in line_dedup_stage(spark, df, "").collect()} == {1: text, 2: ""}
 
 
+def test_pipeline_stage_finds_edits_that_are_spread(spark):
+    from corpus_pipeline import line_dedup_stage
+
+    r = random.Random(14)
+    rows = []
+    for size in (60, 99, 140, 200, 300, 1000, 3001):
+        text, most = [r.choice("abcdefghijklmnopqrstuvwxyz ") for _ in range(size)], size // 20
+        spots = [(k + 1) * size // (most + 2) for k in range(most + 1)]  # as far apart as they can be
+        near = "".join("#" if k in spots[:most] else x for k, x in enumerate(text))
+        far = "".join("%" if k in spots else x for k, x in enumerate(text))
+        rows += [(len(rows), "".join(text)), (len(rows) + 1, near), (len(rows) + 2, far)]
+    df = spark.createDataFrame([(*x, 0) for x in rows], "doc_id long, text string, n_chars int")
+    got = {r["doc_id"]: r["text"] for r in line_dedup_stage(spark, df, "").collect()}
+    assert got == {k: "" if k % 3 == 1 else x for k, x in rows}
+
+
 def test_short_lines(spark):
     texts = ["The end of it\nLes.\n\n \nab", "Les.\nThe and of it\n\n \nLes!", "Les.\nab\nac\nThe ant of it", None, "Short of it"]
     df = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
