@@ -119,6 +119,28 @@ def test_toxicity_rows(spark, odd):
     assert toxicity_cnn.scores(none, toxicity_cnn.fit(none, labels)).count() == 0
 
 
+def test_toxicity_learns_from_every_labelled_document(spark, monkeypatch):
+    monkeypatch.setattr(toxicity_cnn, "PART", 300)
+    r = random.Random(12)
+    texts = [" ".join(r.choice(["alpha", "beta", "gamma", "delta"]) for _ in range(20)) for _ in range(4800)]
+    label = [k % 2 for k in range(4800)]
+    # every toxic document has one of 300 words, each in eight documents: a sample would leave some unknown
+    rude = [t + f" {'vxqzjk'[k // 2 % 6]}{k // 2 % 300}wfb" if y else t for k, (t, y) in enumerate(zip(texts, label, strict=True))]
+    docs = spark.createDataFrame([(k, t, "en") for k, t in enumerate(rude)], "doc_id long, text string, lang string").repartition(3)
+    labels = spark.createDataFrame(list(enumerate(label)), "doc_id long, toxic int")
+    model = toxicity_cnn.fit(docs, labels)
+    rows, _ = toxicity_cnn.features(pa.array(rude))
+    assert (model["spoken"][rows[:, 0]] != 0).all()
+    whole = toxicity_cnn.features(pa.array(rude))[0]
+    at, n = np.unique(whole[:, 0], return_counts=True)
+    want = np.log((n + 0.5) / (len(whole) + 0.5 * (1 << toxicity_cnn.BITS)))
+    assert np.allclose(model["spoken"][at, 0], want, atol=1e-5)
+    score = {x["doc_id"]: x["score"] for x in toxicity_cnn.scores(docs, model).collect()}
+    assert np.mean([(score[k] >= 0.5) == y for k, y in enumerate(label)]) > 0.98
+    again = toxicity_cnn.fit(docs.repartition(5), labels)
+    assert all((model["p"][k] == again["p"][k]).all() for k in model["p"]) and (model["cut"] == again["cut"]).all()
+
+
 def plain_profile(text):
     count = Counter()
     low = (text or "").lower()
