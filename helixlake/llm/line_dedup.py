@@ -29,6 +29,7 @@ result.
 from __future__ import annotations
 
 from collections.abc import Callable, Iterator
+from functools import reduce
 
 import numpy as np
 import pyarrow as pa
@@ -36,15 +37,19 @@ import pyarrow.compute as pc
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from .common import WORD, across, coefficients, components, counted, dealt, groups, materialise, merged, mix, parted, slices, told
+from .common import SALTS, WORD, across, coefficients, components, counted, dealt, groups, hot_keys, materialise, merged, mix, parted, settled, slices, told
 
 EDITS, SHORTEST = 2, 20
 WINNOWED = 60  # code points of a shorter line from which by_length and by_spots have their lines meet by winnowing
-LATER, RUN, BINS = 3, 0.3, 32
-EDGES = np.array([int(WINNOWED * 1.5**c) for c in range(40)])  # classes of lengths
+GRAM, RUN, BINS = 10, 0.3, 32
+EDGES = np.array([int(WINNOWED * 1.25**c) for c in range(73)])  # classes of lengths
+PLACE = 4  # half code points of a stretch of a line in which grams meet, in edits of the class
+ROUNDS = 3  # in which winnowed keys are counted, so that only a share of them is on disk at once
+FEW, MANY = 32, 64  # rows of a key, up to which its pairs are listed, and above which its rows aren't told apart
 BUCKET = 1500  # lines of a bucket, above which it is dealt into parts
 FIRST, STEPS = 4, 16  # keys of a line that the first look takes, and lines of like length that each is compared with there
 WIDEST, PAIRS = 31, 2048  # edits that a band of one word holds, and pairs that are verified together
+GRAMS = 2048  # bins of the grams of three code points, whose counts leave few pairs of more edits than that
 _U = np.uint64
 _INVERSE = pow(0x9E3779B97F4A7C15 | 1, -1, 1 << 64)
 _BASE = 0x9E3779B97F4A7C15 | 1
@@ -103,7 +108,8 @@ def by_spots(size: np.ndarray) -> np.ndarray:
 def window(allowed: Callable, kind: int) -> tuple[int, int]:
     """Code points of a gram, and grams of a window, for a class of lengths: together a run that near copies share."""
     if allowed is by_length:
-        return (10, 6) if kind < LATER else (12, 7)
+        edits = int(EDGES[kind]) // 20
+        return GRAM, -(-19 * edits // (edits + 1)) - GRAM + 1  # of 20 * edits code points 19 * edits are left in edits + 1 runs
     run = int(RUN * EDGES[kind])
     gram = min(24, 2 * run // 3)
     return gram, run - gram + 1
@@ -141,6 +147,15 @@ class Lines:
         self.flat = np.frombuffer("".join(texts).encode("utf-32-le", "surrogatepass"), np.uint32)
         self.first = np.cumsum(self.size) - self.size
 
+    def grams(self, k: int, known: dict[int, np.ndarray]) -> np.ndarray:
+        """How many grams of three code points of text ``k`` fall in each of GRAMS bins."""
+        if k not in known:
+            if len(known) > 1000:
+                known.clear()
+            codes = self.flat[self.first[k] : self.first[k] + self.size[k]].astype(_U)
+            known[k] = np.bincount((mix((codes[:-2] << _U(42)) | (codes[1:-1] << _U(21)) | codes[2:]) % _U(GRAMS)).astype(np.int64), minlength=GRAMS)
+        return known[k]
+
     def near(self, i: np.ndarray, j: np.ndarray, edits: np.ndarray) -> np.ndarray:
         """:func:`near` of the pairs (i, j), each with its edits.
 
@@ -150,7 +165,12 @@ class Lines:
         """
         good, size, first = np.zeros(len(i), bool), self.size, self.first
         alone = (edits > WIDEST) | (size[i] <= edits) | (size[j] <= edits)
+        grams: dict[int, np.ndarray] = {}
         for k in np.flatnonzero(alone):
+            if edits[k] > WIDEST:  # an edit takes three grams of three at most from a text, and adds as many
+                apart = self.grams(i[k], grams) - self.grams(j[k], grams)
+                if max(np.maximum(apart, 0).sum(), np.maximum(-apart, 0).sum()) > 3 * edits[k]:
+                    continue
             good[k] = near(self.texts[i[k]], self.texts[j[k]], int(edits[k]))
         fit = np.flatnonzero(~alone & (np.abs(size[i] - size[j]) <= edits))
         fit = fit[np.argsort(size[i[fit]], kind="stable")]
@@ -273,12 +293,18 @@ def chosen(values: np.ndarray, inside: np.ndarray, width: int) -> np.ndarray:
     return np.flatnonzero(most == values)
 
 
-def winnowed_keys(lines: DataFrame, allowed: Callable = by_length) -> DataFrame:
-    """(key, line): of every window of grams of a long line the gram of the smallest hash, under each class of lengths that the shorter line of a pair can have."""
-    factors = coefficients(len(EDGES), 21)
+def winnowed_keys(lines: DataFrame, allowed: Callable = by_length, nth: int = 0, rounds: int = 1) -> DataFrame:
+    """(key, line, spot): of every window of grams of a long line the gram of the smallest hash, under each class of lengths that the shorter line of a pair can have.
+
+    A key also has the gram's stretch of the line, told from the middle: a run that two lines share within e edits
+    is shifted by e / 2 against their middles at most, as what shifts it further has to be made up for behind it.
+    Each gram goes by all stretches within half of that. spot has the line's length in the upper 32 bits and in the
+    lower ones the gram's place from the middle, doubled. Of the keys those of round ``nth`` of ``rounds`` are made.
+    """
+    factors, stretches = coefficients(len(EDGES), 21), coefficients(1, 22)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for part in slices(batches, "line"):
+        for part in slices(batches, "text"):
             size = pc.utf8_length(part.column(1)).to_numpy().astype(np.int64)
             # a line of n code points is at most a twentieth longer than the shorter one
             high, low = (np.searchsorted(EDGES, n, "right") - 1 for n in (size, size * 20 // 21))
@@ -292,10 +318,84 @@ def winnowed_keys(lines: DataFrame, allowed: Callable = by_length) -> DataFrame:
                 ends = np.repeat(text.first + text.size, text.size)
                 at = chosen(grams, np.arange(len(grams) - w + 1) + w + k - 1 <= ends[: len(grams) - w + 1], w)
                 owner = np.repeat(np.arange(len(text.ids)), text.size)[at]
-                rows = pa.table({"key": mix(grams[at] + factors[kind]).view(np.int64), "line": text.ids[owner]})
-                yield from rows.group_by(["key", "line"]).aggregate([]).to_batches()
+                edits = int(allowed(EDGES[kind + 1 : kind + 2] - 1)[0])
+                middle = 2 * (at - text.first[owner]) - text.size[owner]
+                # two lines that share the run lie in one stretch if each reaches out by half of the edits
+                before, after = ((2 * middle + x) // (2 * PLACE * edits) for x in (-edits, edits))
+                twice = np.flatnonzero(after > before)
+                row, stretch = np.concatenate([np.arange(len(at)), twice]), np.concatenate([before, after[twice]])
+                keys = mix(grams[at[row]] + factors[kind] + stretch.astype(_U) * stretches)
+                take = np.flatnonzero(keys % _U(rounds) == nth)
+                row, keys = row[take], keys[take]
+                spot = (text.size[owner[row]] << 32) | (middle[row] & 0xFFFFFFFF)
+                yield pa.RecordBatch.from_arrays([pa.array(keys.view(np.int64)), pa.array(text.ids[owner[row]]), pa.array(spot)], ["key", "line", "spot"])
+
+    return lines.mapInArrow(run, "key long, line long, spot long")
+
+
+def winnowed_met(lines: DataFrame, bags: DataFrame, allowed: Callable) -> DataFrame:
+    """(key, line, n, other) of the winnowed keys under which a line has another that may be within the edits.
+
+    First length and place have to leave the edits, then the counts of code points. Keys are counted in ROUNDS, one
+    after the other. Of a key of up to FEW such rows there is each pair, as line and other; else other is null. Those of
+    more than MANY rows stay as they are, those of very many with their estimated n.
+    """
+    n = int(lines.sparkSession.conf.get("spark.sql.shuffle.partitions"))
 
-    return lines.mapInArrow(run, "key long, line long")
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        held = [b for b in batches if b.num_rows]
+        if not held:
+            return
+        key, line, spot, hot = (c.to_numpy() for c in pa.Table.from_batches(held).columns)
+        order = np.argsort(key)
+        same = key[order[1:]] == key[order[:-1]]
+        order = order[np.append(same, False) | np.append(False, same)]  # rows of keys that come once go before the finer order
+        order = order[np.lexsort((line[order], spot[order], key[order]))]
+        key, line, spot, hot = key[order], line[order], spot[order], hot[order]
+        size, middle = spot >> 32, spot.astype(np.int32).astype(np.int64)
+        most, (first, count) = allowed(size), np.unique(key, return_index=True, return_counts=True)[1:]
+        good = (hot > 0) | np.repeat(count > MANY, count)
+        at, step = np.flatnonzero(~good), 1
+        while len(at := at[at + step < len(key)]):
+            to = at + step
+            open_ = (key[to] == key[at]) & (size[to] <= size[at] + most[at])
+            at, to = at[open_], to[open_]
+            near_ = (line[at] != line[to]) & (np.abs(middle[at] - middle[to]) <= most[at])
+            good[at[near_]] = good[to[near_]] = True
+            step += 1
+        rows = pa.table({"key": key[good], "line": line[good], "hot": hot[good]}).group_by(["key", "line"]).aggregate([("hot", "max")])
+        per = rows.group_by("key").aggregate([("line", "count")])
+        rows = rows.join(per, "key")
+        own = np.maximum(rows.column("hot_max").to_numpy(), rows.column("line_count").to_numpy())
+        yield from pa.table({"key": rows.column("key"), "line": rows.column("line"), "n": own}).to_batches()
+
+    def closer(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for table in whole_groups(batches):
+            good, pairs = np.zeros(table.num_rows, bool), [(np.zeros(0, np.int64),) * 2]
+            for i, j in close_pairs(table, ["key"], allowed):
+                good[i] = good[j] = True
+                pairs.append((i, j))
+            line, (back, count) = table.column("line").to_numpy(), np.unique(table.column("key").to_numpy(), return_inverse=True, return_counts=True)[1:]
+            n = np.bincount(back, good, len(count)).astype(np.int64)[back]
+            i, j = (np.concatenate(x) for x in zip(*pairs, strict=True))
+            i, j = i[n[i] <= FEW], j[n[i] <= FEW]
+            few = pa.table({"line": np.minimum(line[i], line[j]), "other": np.maximum(line[i], line[j])}).group_by(["line", "other"]).aggregate([])
+            more, none = good & (n > FEW), pa.nulls(len(few), pa.int64())
+            yield from pa.table({"key": none, "line": few.column("line"), "n": none, "other": few.column("other")}).to_batches()
+            yield from pa.table({"key": table.column("key").to_numpy()[more], "line": line[more], "n": n[more], "other": pa.nulls(int(more.sum()), pa.int64())}).to_batches()
+
+    hot = hot_keys(winnowed_keys(lines.where(told("line")), allowed), "key").withColumnRenamed("__hot", "hot")
+
+    def met(nth: int) -> DataFrame:
+        rows = winnowed_keys(lines, allowed, nth, ROUNDS).join(F.broadcast(hot), "key", "left")  # SHARES rows at most
+        rows = rows.select("key", "line", "spot", F.coalesce("hot", F.lit(0).cast("long")).alias("hot"))
+        salt = F.when(F.col("hot") > 0, F.pmod(F.xxhash64("line"), F.lit(SALTS)))
+        found = materialise(rows.repartition(n, "key", salt).mapInArrow(run, "key long, line long, n long"), "winnowed")
+        few = merged(found.where(F.col("n") <= MANY), bags, "line").select("key", "line", "size", "bag")
+        close = dealt(few, ["key"], "size", "line").mapInArrow(closer, "key long, line long, n long, other long")
+        return close.unionByName(found.where(F.col("n") > MANY).withColumn("other", F.lit(None).cast("long")))
+
+    return reduce(DataFrame.unionByName, [settled(lambda k=k: met(k), "close") for k in range(ROUNDS)])
 
 
 def signed(texts: DataFrame) -> DataFrame:
@@ -318,13 +418,11 @@ def lines_of(docs: DataFrame, doc_id: str, text: str) -> DataFrame:
     return whole.where(F.col("line").rlike(WORD)).select("doc_id", "print", "line_no", "line", F.xxhash64("line").alias("h1"), F.xxhash64(F.lit(1), "line").alias("h2"))
 
 
-def met_by(keys: Callable[[DataFrame], DataFrame], lines: DataFrame, indexed: bool) -> DataFrame:
-    """(key, line, indexed, n) of the keys that several lines have, one of them as a segment where ``indexed``."""
-    more = {"low": F.min("line"), "high": F.max("line")} | ({"own": F.bool_or("indexed")} if indexed else {})
+def met_by(keys: Callable[[DataFrame], DataFrame], lines: DataFrame) -> DataFrame:
+    """(key, line, indexed, n) of the keys that several lines have, one of them as a segment."""
+    more = {"low": F.min("line"), "high": F.max("line"), "own": F.bool_or("indexed")}
     met = counted(keys(lines), keys(lines.where(told("line"))), "key", "line", more).where("low < high OR low IS NULL")
-    if indexed:
-        met = met.where("own OR own IS NULL").groupBy("key", "line").agg(F.bool_or("indexed").alias("indexed"), F.max("n").alias("n"))
-    return met.drop("low", "high", "own")
+    return met.where("own OR own IS NULL").groupBy("key", "line").agg(F.bool_or("indexed").alias("indexed"), F.max("n").alias("n"))
 
 
 def near_links(met: DataFrame, texts: DataFrame, allowed: Callable = two_edits) -> DataFrame:
@@ -426,20 +524,18 @@ def verified(pairs: DataFrame, texts: DataFrame, allowed: Callable) -> DataFrame
     return both.select("a", "b", "x", "y").mapInArrow(run, "a long, b long")
 
 
-def winnowed_links(met: DataFrame, texts: DataFrame, allowed: Callable = by_length) -> DataFrame:
-    """(a, b): lines that share a key and are within the edits, enough of them to connect every class.
+def winnowed_links(met: DataFrame, texts: DataFrame, bags: DataFrame, allowed: Callable = by_length) -> DataFrame:
+    """(a, b): lines of one class, enough of them to connect every class of lines that share a key and are within the edits.
 
-    A first look takes a few keys of each line, large ones in parts, and compares each line there with those next to it
+    A first look takes a few keys of each line, those of FEW rows apart, large ones in parts, and compares each line there with those next to it
     by length: a pair that is connected by others isn't verified. What is connected is one class; then every key that
     still holds several classes is gone through for all pairs across them, each of which is verified once. A crowd of
     near copies that are connected costs pairs in proportion to its lines; a line that stays apart costs as many as it is close to.
     """
-    bags = materialise(signed(texts), "bags")
-
     def inside(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for table in whole_groups(batches):
-            line, text, most = table.column("line").to_pylist(), table.column("text").to_pylist(), allowed(table.column("size").to_numpy())
-            root, a, b, lines = list(range(len(line))), [], [], Lines(text)
+            text, most = table.column("text").to_pylist(), allowed(table.column("size").to_numpy())
+            root, lines = list(range(len(line))), Lines(text)
 
             def top(k: int, root: list[int] = root) -> int:
                 while root[k] != k:
@@ -455,11 +551,13 @@ def winnowed_links(met: DataFrame, texts: DataFrame, allowed: Callable = by_leng
                     p, q = top(x), top(y)
                     if p != q:
                         root[q] = p
-                        a.append(min(line[x], line[y]))
-                        b.append(max(line[x], line[y]))
-            yield pa.RecordBatch.from_arrays([pa.array(a, pa.int64()), pa.array(b, pa.int64())], ["a", "b"])
+            ids, tops = table.column("line").to_numpy(), table.column("line").to_numpy()[[top(k) for k in range(len(root))]]
+            # each to the one line of its class, so that no long chains are left to components()
+            yield pa.RecordBatch.from_arrays([pa.array(np.minimum(ids, tops)), pa.array(np.maximum(ids, tops))], ["a", "b"])
 
     order = Window.partitionBy("line").orderBy(F.xxhash64("key"), "key")
+    few = met.where("other IS NOT NULL").select(F.col("line").alias("a"), F.col("other").alias("b")).distinct()
+    met = met.where("other IS NULL").drop("other")
     some = met.withColumn("nth", F.row_number().over(order)).where(f"nth <= {FIRST}").drop("nth")
     # the smallest line of a large key goes to all of its parts
     every = F.explode(F.sequence(F.lit(0).cast("long"), F.ceil(F.col("n") / BUCKET).cast("long") - 1))
@@ -476,35 +574,45 @@ def winnowed_links(met: DataFrame, texts: DataFrame, allowed: Callable = by_leng
                 low, high = np.minimum(line[i], line[j])[take], np.maximum(line[i], line[j])[take]
                 yield pa.RecordBatch.from_arrays([pa.array(low), pa.array(high)], ["a", "b"])
 
-    state = met.select("key", "line").join(components(first).withColumnRenamed("node", "line"), "line", "left").withColumn("label", F.coalesce("label", "line"))
+    labels = components(first)
+    state = met.select("key", "line").join(labels.withColumnRenamed("node", "line"), "line", "left").withColumn("label", F.coalesce("label", "line"))
+    for end in ("a", "b"):
+        few = few.join(labels.select(F.col("node").alias(end), F.col("label").alias(f"{end}_label")), end, "left")
+    few = few.where("coalesce(a_label, a) <> coalesce(b_label, b)").select("a", "b")
     rest = across(state, "key", "line", BUCKET).join(bags, "line").select("key", "p", "q", "line", "size", "bag", "label", "asks")
-    pairs = materialise(dealt(rest, ["key", "p", "q"], "size", "line").mapInArrow(others, "a long, b long").distinct(), "pairs")
-    return first.unionByName(verified(pairs, texts, allowed))
+    pairs = materialise(dealt(rest, ["key", "p", "q"], "size", "line").mapInArrow(others, "a long, b long").unionByName(few).distinct(), "pairs")
+    return first.unionByName(materialise(verified(pairs, texts, allowed), "verified"))  # components() reads its links twice
 
 
-def dropped(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", allowed: Callable = two_edits) -> DataFrame:
-    """doc_id, the hash of the text and gone: the numbers of the lines that go."""
-    lines = lines_of(docs, doc_id, text)
-    places_ = materialise(lines.drop("line"), "places")
+def going_lines(lines: DataFrame, allowed: Callable) -> DataFrame:
+    """h1, h2 and kept (doc_id, line_no) of the lines of classes that have several: all but the one at ``kept`` go."""
     distinct = lines.groupBy("h1", "h2").agg(F.min(F.struct("doc_id", "line_no")).alias("first"), F.count(F.lit(1)).alias("copies"), F.min("line").alias("text"))
     distinct = materialise(distinct.withColumn("line", F.monotonically_increasing_id()), "distinct")
     own = distinct.select("line", "text")
     keyed = own.select("line", F.col("text").alias("line_text"))
     inner = lambda d: d.select(F.col("line").alias("id"), F.col("line_text").alias("line"))
-    met = materialise(met_by(lambda d: segment_keys(inner(d), allowed), keyed, True), "met")
+    met = materialise(met_by(lambda d: segment_keys(inner(d), allowed), keyed), "met")
     wanted = met.select("line")
     if allowed is not two_edits:
-        long_lines = keyed.where(F.char_length("line_text") >= WINNOWED)
-        long = materialise(met_by(lambda d: winnowed_keys(inner(d), allowed), long_lines, False), "winnowed")
-        wanted = wanted.union(long.select("line"))
+        long_lines = own.where(F.char_length("text") >= WINNOWED)
+        bags = materialise(signed(long_lines), "bags")
+        long = winnowed_met(long_lines, bags, allowed)
+        wanted = wanted.union(long.select("line")).union(long.where("other IS NOT NULL").select("other"))
     texts = materialise(merged(own, wanted.distinct(), "line", "left_semi"), "texts")
     links = near_links(met, texts, allowed)
     if allowed is not two_edits:
-        links = links.union(winnowed_links(long, texts, allowed))
+        links = links.union(winnowed_links(long, texts, bags, allowed))
     labels = components(links).withColumnRenamed("node", "line")
     classed = merged(distinct.drop("text"), labels, "line", "left").withColumn("label", F.coalesce("label", "line"))
     kept = classed.groupBy("label").agg(F.min("first").alias("kept"), F.sum("copies").alias("copies")).where("copies > 1")
-    going = materialise(classed.select("h1", "h2", "label").join(kept, "label").select("h1", "h2", "kept"), "going")
+    return classed.select("h1", "h2", "label").join(kept, "label").select("h1", "h2", "kept")
+
+
+def dropped(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", allowed: Callable = two_edits) -> DataFrame:
+    """doc_id, the hash of the text and gone: the numbers of the lines that go."""
+    lines = lines_of(docs, doc_id, text)
+    places_ = materialise(lines.drop("line"), "places")
+    going = settled(lambda: going_lines(lines, allowed), "going")
     out = merged(places_, going, ["h1", "h2"]).where(~((F.col("doc_id") == F.col("kept.doc_id")) & (F.col("line_no") == F.col("kept.line_no"))))
     return out.groupBy("doc_id", "print").agg(F.collect_set("line_no").alias("gone"))
 

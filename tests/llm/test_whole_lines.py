@@ -1,12 +1,13 @@
 """Line dedup with thresholds that follow the length, against brute force."""
 
 import random
+from pathlib import Path
 
 import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
-from helixlake.llm import line_dedup
+from helixlake.llm import common, line_dedup
 
 
 def plain(a, b):
@@ -134,3 +135,26 @@ def test_all_pairs_of_short_lines(spark):
     df = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
     got = {r["doc_id"]: r["text"] for r in line_dedup.dedup(df, allowed=line_dedup.by_length).collect()}
     assert got == {k: x if first[label[k]] == k else "" for k, x in enumerate(texts)}
+
+
+def test_stage_leaves_only_what_its_result_reads(spark, lines):
+    from corpus_pipeline import line_dedup_stage
+
+    folder = Path(common.shared_folder(spark).removeprefix("file://"))
+    before = set(folder.iterdir()) if folder.exists() else set()
+    df = spark.createDataFrame([(k, x, 0) for k, x in enumerate(lines[:20])], "doc_id long, text string, n_chars int")
+    out = line_dedup_stage(spark, df, "")
+    left = sorted(x.name.partition("-")[0] for x in set(folder.iterdir()) - before)
+    assert left == ["going", "places"] and out.count() == 20
+
+
+def test_keys_stay_only_where_place_and_letters_leave_the_edits(spark):
+    r = random.Random(21)
+    word = lambda n: "".join(r.choice("abcdefghijklmnopqrstuvwxyz") for _ in range(n))
+    phrase = word(30)
+    texts = [word(10 * k) + phrase + word(170 - 10 * k) for k in range(18)]  # one phrase in other places of other lines
+    texts.append(edited(r, texts[0], 9))
+    lines = spark.createDataFrame(list(enumerate(texts)), "line long, text string")
+    bags = line_dedup.signed(lines)
+    met = line_dedup.winnowed_met(lines, bags, line_dedup.by_length).collect()
+    assert {(x["line"], x["other"]) for x in met} == {(0, 18)}
