@@ -535,7 +535,7 @@ def winnowed_links(met: DataFrame, texts: DataFrame, bags: DataFrame, allowed: C
     def inside(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for table in whole_groups(batches):
             text, most = table.column("text").to_pylist(), allowed(table.column("size").to_numpy())
-            root, lines = list(range(len(line))), Lines(text)
+            root, lines = list(range(len(text))), Lines(text)
 
             def top(k: int, root: list[int] = root) -> int:
                 while root[k] != k:
