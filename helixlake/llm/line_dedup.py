@@ -12,9 +12,9 @@ segment's own place; which lengths and places can match follows from the lengths
 selection). Segments and substrings meet by hash, and pairs are verified by a banded bit-parallel edit distance
 over code points. Where the edits grow with the line, from 60 code points on, the number of substrings would
 grow with the square of the edits. There the lines meet by winnowing instead. Under by_length two lines within
-the edits share a run of 15 code points (18 from 202 on), under by_spots a run of three tenths of their class
-of lengths, and of every such run both choose the same gram. Lengths and counts of code points leave few of
-those pairs, which bit-parallel columns verify. No pair that the rule names is lost. by_spots is far cheaper:
+the edits share a run of 15 code points (up to 19 in longer ones), under by_spots a run of three tenths of their
+class of lengths, and of every such run both choose the same gram, near the same place of the line. Lengths, places
+and counts of code points leave few of those pairs, which bit-parallel columns verify. No pair that the rule names is lost. by_spots is far cheaper:
 long runs have few chosen grams, and those are rare.
 
 Lines that links connect make a class. Its first line, by doc_id and line number, stays. Equal lines are told by
