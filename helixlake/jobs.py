@@ -2,12 +2,13 @@
 
 from __future__ import annotations
 
+from collections.abc import Callable
+
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .operators import accessions, assembly, delta, exports, quality, residues, scoring
+from .operators import accessions, bychain, delta, exports, quality, scoring
 from .operators.entities import preferred
-from .operators.tables import cut
 
 
 def ranked_hits(hits: DataFrame, info: DataFrame, nodes: DataFrame, xrefs: DataFrame, override: DataFrame | None = None, cutoff: float = scoring.MIN_IDENTITY) -> DataFrame:
@@ -33,22 +34,18 @@ def chain_mappings(ranked: DataFrame, chains: DataFrame, records: DataFrame, str
     return preferred(rows, ["entry", "chain"]).select(*key).distinct()
 
 
-def mapped_entries(aligned: DataFrame, residue_table: DataFrame, chains: DataFrame, records: DataFrame) -> tuple[DataFrame, DataFrame]:
+def mapped_entries(aligned: DataFrame, residue_table: DataFrame | None, chains: DataFrame, records: DataFrame, read: Callable = bychain.listed) -> tuple[DataFrame, DataFrame]:
     """Entries to rows: (segments of 26 columns, residues of 24).
 
     aligned: one row for each alignment (entry, chain, accession, pdb_at, unp_at, unp_aln, pdb_aln, best,
-    canonical); residue_table: see ``assembly.residue_table``, with auth; chains: (entry, chain, entity, asym,
-    sequence, chimera, tax_id); records: (accession, name, seq_version, sequence, tax_id).
+    canonical); residue_table: see ``assembly.residue_table``, with auth; without it chains have a column residues, of
+    which ``read`` makes the rows of a chain; chains: (entry, chain, entity, asym, sequence, chimera, tax_id); records:
+    (accession, name, seq_version, sequence, tax_id). What belongs to a chain comes together in one row and is gone
+    through there, see ``operators.bychain``; tables that are dealt out by entry before stay where they are.
     """
-    key = ["entry", "chain", "accession"]
-    own = aligned.select(F.struct(*key).alias("aln"), "unp_aln", "pdb_aln", F.col("unp_at").alias("unp_start"), F.col("pdb_at").alias("pdb_start"))
-    positions = residues.residue_map(own).select("aln.*", "pdb_pos", "unp_pos")
-    positions = residues.without_excluded(positions, residue_table, ["entry", "chain"])
-    segments = cut(residues.islands(positions, key))  # a row for each run; read several times
-    scored = aligned.withColumn("score", residues.identity(F.col("unp_aln"), F.col("pdb_aln"))).withColumn("pdb_from", F.col("pdb_at")).withColumn("pdb_to", F.col("pdb_at") + F.length(F.replace("pdb_aln", F.lit("-"), F.lit(""))) - 1)
-    info = aligned.groupBy(*key).agg(F.bool_or("best").alias("best"), F.bool_or("canonical").alias("canonical")).join(records.select("accession", "name", "tax_id"), "accession", "left")
-    seg = assembly.segment_rows(segments, chains, scored, records.select("accession", "name", "seq_version"), residue_table)
-    res = assembly.residue_rows(residue_table, positions, chains, info, assembly.reference_letters(positions, records))
+    own = bychain.gathered(residue_table) if residue_table is not None else None
+    seg = bychain.segment_table(bychain.chain_rows(aligned, own, chains, records, letters=False), read)
+    res = bychain.residue_table(bychain.chain_rows(aligned, own, chains, records), read)
     return seg, res
 
 
