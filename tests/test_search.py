@@ -122,3 +122,18 @@ def test_a_gapped_pair_has_the_letters_of_its_stretch(spark):
     n = len(left)
     assert got == [(k, k + 3) for k in range(1, n + 1)] + [(n + 3 + k, n + 4 + k) for k in range(1, len(right) + 1)]
     assert chaining.gapped_alignments(hits.where("score < 0"), q, t).count() == 0
+
+
+def test_reference_pieces_without_a_query_anchor_do_not_travel(spark):
+    r = random.Random(11)
+    text = lambda n: "".join(r.choice("ACDEFGHIKLMN") for _ in range(n))
+    refs = [(k, text(400)) for k in range(60)]
+    queries = [(k, refs[k][1][50:110] + text(40)) for k in range(3)] + [(9, text(80)), (10, None), (11, "AC")]
+    q, t = spark.createDataFrame(queries, "query int, sequence string"), spark.createDataFrame(refs, "ref int, sequence string")
+    own = anchors.pieces(q, "query", "sequence", 12)
+    every, sifted = anchors.pieces(t, "ref", "sequence", 12), anchors.pieces(t, "ref", "sequence", 12, anchors.sieve(own))
+    met = every.join(own.select("anchor").distinct(), "anchor", "left_semi")
+    assert sifted.count() < every.count() / 10 and met.select(*every.columns).exceptAll(sifted).isEmpty()
+    got, want = (sorted(search.candidates(q, t, 12, max_refs=m).collect()) for m in (None, 1000))
+    assert got == want and len(got) == 3
+    assert search.candidates(q.where("query > 9"), t, 12).isEmpty()
